@@ -28,8 +28,27 @@ FIRST_LANDING_DAY = "2024-03-01"
 LANDING_DAYS = 10
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    return fan_out(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), key)
+
+
+def fan_out(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A large input already arrives as many file splits and is returned as is
+    (no shuffle). A small single-file table would otherwise run all the
+    per-row derivation below in one task, and its landed output would be
+    one file that serialises every later stage.
+
+    When the next operator groups by ``key``, the fan-out hash-partitions on
+    it, so that aggregation reuses the partitioning instead of shuffling again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # Split count of the planned scan (file listing only; no job, no Python RDD).
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    if splits >= cores:
+        return df
+    return df.repartition(cores, key) if key else df.repartition(cores)
 
 
 def pad(c: Column, width: int) -> Column:
@@ -289,7 +308,7 @@ def mobile_raw(events: DataFrame) -> DataFrame:
 def bronze_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three bronze feeds over the tables in ``sf_dir``."""
     orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem", key="l_orderkey")
     events = table(spark, sf_dir, "events")
     return {
         "pos": pos_raw(orders),
