@@ -673,4 +673,59 @@ def oracle_sql() -> dict[str, str]:
         ),
         *[src for _, _, src in layer_rows],
     )
+    q["landing_pos_csv"] = with_ctes(
+        f"SELECT {POS_FIELDS}, source_system, source_format FROM pos_raw", "pos_raw"
+    )
+    q["landing_ecommerce_json"] = with_ctes(
+        """SELECT orderId, orderDate, customer_id, item_count, first_product_id, first_unit_price,
+          payment_status, shipping_city, totalAmount, source_system, source_format FROM ecom_raw""",
+        "ecom_raw",
+    )
+    q["landing_mobile_parquet"] = with_ctes(
+        """SELECT transaction_id, product_id, device_id, quantity, amount, "timestamp", app_version,
+          platform, payment_status, source_system, source_format FROM mobile_raw""",
+        "mobile_raw",
+    )
+    lake = [
+        ("silver.unified_scored", "scored"),
+        ("silver.unified_sales", "silver_main"),
+        ("silver.sales_rejected", "silver_rejected"),
+        ("silver.unified_sales_deduped", "dedup"),
+        ("gold.revenue_by_source", "gold_revenue"),
+        ("gold.product_performance", "gold_product"),
+        ("gold.data_quality_metrics", "gold_quality"),
+        ("gold.executive_summary", "gold_exec"),
+    ]
+    q["layer_roundtrip"] = with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {src}" for name, src in lake
+        ),
+        *[src for _, src in lake],
+    )
+    q["snapshot_history"] = with_ctes(
+        """SELECT CAST(v AS BIGINT) AS version, op AS operation, (SELECT COUNT(*) FROM silver_main) AS num_rows
+        FROM (VALUES (0, 'WRITE'), (1, 'OVERWRITE'), (2, 'OPTIMIZE')) AS t(v, op)""",
+        "silver_main",
+    )
+    q["snapshot_as_of"] = with_ctes(
+        f"SELECT {SCORED}, false AS is_duplicate, 'no_duplicate' AS duplicate_resolution FROM silver_main",
+        "silver_main",
+    )
+    q["snapshot_diff"] = with_ctes(
+        f"""SELECT {SCORED}, is_duplicate, duplicate_resolution, 'added' AS change
+          FROM dedup WHERE duplicate_resolution <> 'no_duplicate'
+        UNION ALL
+        SELECT {SCORED}, false, 'no_duplicate', 'removed'
+          FROM dedup WHERE duplicate_resolution <> 'no_duplicate'""",
+        "dedup",
+    )
+    dedup_cols = f"SELECT {SCORED}, is_duplicate, duplicate_resolution FROM dedup"
+    q["compact_table"] = with_ctes(dedup_cols, "dedup")
+    q["cluster_table"] = with_ctes(dedup_cols, "dedup")
+    q["schema_evolution"] = with_ctes(
+        f"""SELECT {SCORED}, CASE WHEN source_system <> 'pos'
+            THEN coalesce(quantity > 100 AND unit_price < 1, false) END AS needs_review
+        FROM silver_main""",
+        "silver_main",
+    )
     return q

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import codes, dates, prices
-from tributary.operators import dedup, gold, normalize, profile, quality
+from tributary.operators import dedup, gold, maintenance, normalize, profile, quality
+from tributary.plans import pipeline
 from tributary.plans.medallion import Medallion
 from tributary.rules import DOCUMENTED
-from tributary.schemas import POS_FIELDS
-from tributary.session import apply_runtime_conf
+from tributary.schemas import MOBILE_SCHEMA, POS_FIELDS
+from tributary.session import apply_runtime_conf, fresh_dir
+from tributary.sources import catalog, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -379,6 +381,172 @@ def layer_audit(spark, sf_dir):
     return profile.row_counts(_m(spark, sf_dir).layer_tables())
 
 
+# --------------------------------------------------------------------------
+# landing files, layer tables and catalog
+# --------------------------------------------------------------------------
+
+# Ingestion time given to re-read landing files in the queries.
+LANDING_TS = "2024-04-01 00:00:00"
+
+
+def _landed_files(spark, sf_dir) -> dict[str, DataFrame]:
+    """Write the bronze feeds as CSV / JSON / Parquet landing files into a
+    fresh workspace folder and read them back through the feed readers."""
+    m = _m(spark, sf_dir)
+    paths = landing.write_landing_files(m.bronze, fresh_dir(spark, "landing"))
+    return {
+        name: reader(spark, paths[name], LANDING_TS)
+        for name, reader in (
+            ("pos", landing.read_pos_csv),
+            ("ecommerce", landing.read_ecommerce_json),
+            ("mobile", landing.read_mobile_parquet),
+        )
+    }
+
+
+@register("landing_pos_csv")
+def landing_pos_csv(spark, sf_dir):
+    """POS rows after a CSV round trip: NULL and '' must both survive."""
+    return _landed_files(spark, sf_dir)["pos"].select(*POS_FIELDS, "source_system", "source_format")
+
+
+@register("landing_ecommerce_json")
+def landing_ecommerce_json(spark, sf_dir):
+    e = _landed_files(spark, sf_dir)["ecommerce"]
+    first = F.get(F.col("lineItems"), 0)
+    return e.select(
+        "orderId",
+        "orderDate",
+        F.col("customer.customerId").alias("customer_id"),
+        F.size("lineItems").alias("item_count"),
+        first["productId"].alias("first_product_id"),
+        first["unitPrice"].alias("first_unit_price"),
+        F.col("payment.status").alias("payment_status"),
+        F.col("shipping.address.city").alias("shipping_city"),
+        "totalAmount",
+        "source_system",
+        "source_format",
+    )
+
+
+@register("landing_mobile_parquet")
+def landing_mobile_parquet(spark, sf_dir):
+    cols = [f.name for f in MOBILE_SCHEMA.fields]
+    return _landed_files(spark, sf_dir)["mobile"].select(*cols, "source_system", "source_format")
+
+
+def _lake(spark, sf_dir):
+    """Run the materialised pipeline into a fresh lake (tables registered)."""
+    return pipeline.run(spark, sf_dir, fresh_dir(spark, "lake"))
+
+
+# The tables a pipeline run registers, in catalog order.
+LAYER_TABLES = [
+    "silver.unified_scored",
+    "silver.unified_sales",
+    "silver.sales_rejected",
+    "silver.unified_sales_deduped",
+    "gold.revenue_by_source",
+    "gold.product_performance",
+    "gold.data_quality_metrics",
+    "gold.executive_summary",
+]
+
+
+@register("layer_roundtrip")
+def layer_roundtrip(spark, sf_dir):
+    """Write every layer, register it in the catalog, count it back."""
+    _lake(spark, sf_dir)
+    parts = [
+        spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(t).alias("table_name"), "row_count"
+        )
+        for t in LAYER_TABLES
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@register("file_inventory")
+def file_inventory_q(spark, sf_dir):
+    """Files and bytes behind each physical table of a run (layout-dependent,
+    so there is no oracle: file counts follow the partitioning)."""
+    res = _lake(spark, sf_dir)
+    parts = [
+        catalog.file_inventory(spark.read.parquet(path)).select(F.lit(t).alias("table_name"), "*")
+        for t, path in sorted(res.tables.items())
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+# --------------------------------------------------------------------------
+# table maintenance (M1-M5)
+# --------------------------------------------------------------------------
+
+# Commit times given to the published snapshot versions.
+COMMIT_TIMES = ["2024-03-10 01:00:00", "2024-03-10 02:00:00", "2024-03-10 03:00:00"]
+
+
+def _snapshots(spark, sf_dir) -> maintenance.SnapshotTable:
+    """v0: dedup stub flags (the original behaviour); v1: real flags;
+    v2: v1 compacted."""
+    m = _m(spark, sf_dir)
+    table = maintenance.SnapshotTable(spark, fresh_dir(spark, "snapshots"))
+    table.publish(dedup.mark_stub(m.main), "WRITE", COMMIT_TIMES[0])
+    table.publish(m.deduped, "OVERWRITE", COMMIT_TIMES[1])
+    maintenance.compact(table, committed_at=COMMIT_TIMES[2])
+    return table
+
+
+@register("snapshot_history")
+def snapshot_history(spark, sf_dir):
+    """DESCRIBE HISTORY: the last 5 commits, newest first (top-k)."""
+    return _snapshots(spark, sf_dir).history(limit=5).select("version", "operation", "num_rows")
+
+
+@register("snapshot_as_of")
+def snapshot_as_of(spark, sf_dir):
+    """Time travel: version 0 read back after later versions were published."""
+    return _snapshots(spark, sf_dir).read(0)
+
+
+@register("snapshot_diff")
+def snapshot_diff(spark, sf_dir):
+    """Rows that differ between version 0 and version 1."""
+    return _snapshots(spark, sf_dir).diff(0, 1)
+
+
+@register("compact_table")
+def compact_table(spark, sf_dir):
+    """A table written as many small files, compacted, read back."""
+    table = maintenance.SnapshotTable(spark, fresh_dir(spark, "compact"))
+    table.publish(_m(spark, sf_dir).deduped.repartition(64), "WRITE", COMMIT_TIMES[0])
+    maintenance.compact(table, target_file_bytes=1 << 20, committed_at=COMMIT_TIMES[1])
+    return table.read()
+
+
+@register("cluster_table")
+def cluster_table(spark, sf_dir):
+    """Deduped silver clustered by (source_system, transaction_date)."""
+    path = fresh_dir(spark, "clustered")
+    clustered = maintenance.cluster(_m(spark, sf_dir).deduped, ["source_system", "transaction_date"])
+    clustered.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("schema_evolution")
+def schema_evolution(spark, sf_dir):
+    """Point-of-sale rows written first; the other channels appended later
+    with a new ``needs_review`` column; read with merged schemas."""
+    main = _m(spark, sf_dir).main
+    path = fresh_dir(spark, "evolving")
+    maintenance.append_evolving(main.filter(F.col("source_system") == "pos"), path)
+    maintenance.append_evolving(
+        main.filter(F.col("source_system") != "pos").withColumn("needs_review", quality.review_flag()),
+        path,
+    )
+    return maintenance.read_merged(spark, path)
+
+
 def queries() -> dict[str, Query]:
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
