@@ -728,4 +728,32 @@ def oracle_sql() -> dict[str, str]:
         FROM silver_main""",
         "silver_main",
     )
+    q["stream_silver"] = with_ctes(f"SELECT {SCORED} FROM scored", "scored")
+    q["stream_dedup"] = with_ctes(
+        """SELECT DISTINCT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day
+        FROM silver_main
+        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL""",
+        "silver_main",
+    )
+    q["stream_revenue"] = with_ctes(
+        f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
+          COUNT(*) AS transactions, {exact_sum('total_amount')} AS revenue
+        FROM silver_main
+        WHERE quality_tier IN ('high', 'medium') AND transaction_date IS NOT NULL AND total_amount IS NOT NULL
+        GROUP BY 1, 2""",
+        "silver_main",
+    )
+    q["incremental_upsert"] = with_ctes(
+        """SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,
+          store_id, CASE WHEN upd THEN 'completed' ELSE status END AS status, payment_method,
+          source_system,
+          CASE WHEN upd THEN ingestion_timestamp + INTERVAL 10 DAY ELSE ingestion_timestamp END AS ingestion_timestamp,
+          source_file, total_amount, quality_score, quality_tier,
+          CASE WHEN upd THEN transformation_timestamp + INTERVAL 10 DAY ELSE transformation_timestamp END
+            AS transformation_timestamp
+        FROM (SELECT *, source_system = 'ecommerce' AND status = 'pending'
+                AND CAST(ingestion_timestamp AS DATE) <= DATE '2024-03-05' AS upd
+              FROM silver_main)""",
+        "silver_main",
+    )
     return q

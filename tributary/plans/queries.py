@@ -20,9 +20,10 @@ from tributary.operators import dedup, gold, maintenance, normalize, profile, qu
 from tributary.plans import pipeline
 from tributary.plans.medallion import Medallion
 from tributary.rules import DOCUMENTED
-from tributary.schemas import MOBILE_SCHEMA, POS_FIELDS
+from tributary.schemas import MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS
 from tributary.session import apply_runtime_conf, fresh_dir
 from tributary.sources import catalog, landing
+from tributary.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -547,6 +548,72 @@ def schema_evolution(spark, sf_dir):
     return maintenance.read_merged(spark, path)
 
 
+# --------------------------------------------------------------------------
+# streaming and incremental
+# --------------------------------------------------------------------------
+
+def _silver_stream_run(spark, sf_dir) -> str:
+    """W1 over the landed bronze files, two files per micro-batch; returns
+    the sink path."""
+    _m(spark, sf_dir).bronze  # make sure the feeds are landed
+    root = landing.bronze_root(spark, sf_dir)
+    paths = {n: f"{root}/{n}" for n in ("pos", "ecommerce", "mobile")}
+    out = fresh_dir(spark, "stream-silver")
+    incremental.stream_silver(
+        spark, paths, f"{out}/sink", f"{out}/checkpoint", max_files_per_trigger=2
+    )
+    return f"{out}/sink"
+
+
+@register("stream_silver")
+def stream_silver(spark, sf_dir):
+    """Scored silver produced incrementally by a file stream."""
+    return spark.read.parquet(_silver_stream_run(spark, sf_dir)).select(*SCORED_COLUMNS)
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    """Keys kept by the streaming first-arrival dedup. Which row of a key
+    arrives first depends on file order, so the compared output is the key
+    set: exactly one row per full key must survive."""
+    silver = _silver_stream_run(spark, sf_dir)
+    out = fresh_dir(spark, "stream-dedup")
+    incremental.stream_dedup(spark, silver, f"{out}/sink", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/sink").select("customer_id", "product_id", "dedup_day")
+
+
+@register("stream_revenue")
+def stream_revenue(spark, sf_dir):
+    silver = _silver_stream_run(spark, sf_dir)
+    out = fresh_dir(spark, "stream-revenue")
+    incremental.stream_revenue(spark, silver, f"{out}/sink", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/sink")
+
+
+# The snapshot/change split day and the status update replay.
+UPSERT_SPLIT_DAY = "2024-03-05"
+UPSERT_DELAY = "INTERVAL 10 DAYS"
+
+
+@register("incremental_upsert")
+def incremental_upsert(spark, sf_dir):
+    """Snapshot of the first landing days, then a change set: the later days
+    plus pending online orders re-sent as completed ten days later."""
+    main = _m(spark, sf_dir).main
+    day = F.to_date("ingestion_timestamp")
+    current = main.filter(day <= F.lit(UPSERT_SPLIT_DAY).cast("date"))
+    later = main.filter(day > F.lit(UPSERT_SPLIT_DAY).cast("date"))
+    updates = (
+        current.filter((F.col("source_system") == "ecommerce") & (F.col("status") == "pending"))
+        .withColumn("status", F.lit("completed"))
+        .withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr(UPSERT_DELAY))
+        .withColumn("transformation_timestamp", F.col("transformation_timestamp") + F.expr(UPSERT_DELAY))
+    )
+    return incremental.upsert_latest(
+        current, later.unionByName(updates), ["source_system", "transaction_id"], ["ingestion_timestamp"]
+    )
+
+
 def queries() -> dict[str, Query]:
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
