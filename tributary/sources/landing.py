@@ -9,6 +9,7 @@ column, so lineage survives without a driver-side file listing.
 from __future__ import annotations
 
 import hashlib
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,8 +114,9 @@ def read_landing_files(spark: SparkSession, paths: dict[str, str]) -> dict[str,
 # bronze layer over the driver tables
 # --------------------------------------------------------------------------
 
-# Bump when the fixture derivation changes, so stale landed copies are not reused.
-FIXTURE_VERSION = "1"
+# Landed copies are keyed by the fixture code itself: any change to the
+# derivation lands a fresh copy instead of reusing a stale one.
+FIXTURE_VERSION = hashlib.sha1(inspect.getsource(fixtures).encode()).hexdigest()[:10]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
