@@ -275,64 +275,53 @@ cte(
       'mobile_txn_' || strftime({landing_day('event_id')}, '%Y%m%d') || '.parquet' AS file_name
     FROM events WHERE event_type <> 'signup'""",
 )
-cte(
-    "pos_norm",
-    ["pos_raw"],
-    f"""SELECT *, CASE WHEN quantity IS NOT NULL AND unit_price IS NOT NULL THEN quantity * unit_price END AS total_amount
+def _pos_norm_sql(documented: bool) -> str:
+    if documented:
+        digits = "regexp_extract(CUST_NUM, '(\\d+)', 1)"
+        customer = (
+            f"CASE WHEN {digits} <> '' THEN 'CUST-' || CASE WHEN length({digits}) >= 5 "
+            f"THEN {digits} ELSE lpad({digits}, 5, '0') END END"
+        )
+        product = (
+            "CASE WHEN NOT (upper(trim(PRODUCT_CODE)) IN ('', 'MISSING', 'NULL', 'N/A')) "
+            "THEN PRODUCT_CODE END"
+        )
+    else:
+        customer = (
+            "CASE WHEN CUST_NUM IS NOT NULL AND CUST_NUM <> '' "
+            "THEN 'CUST-' || lpad(regexp_extract(CUST_NUM, '(\\d+)', 1), 5, '0') END"
+        )
+        product = "PRODUCT_CODE"
+    return f"""SELECT *, CASE WHEN quantity IS NOT NULL AND unit_price IS NOT NULL THEN quantity * unit_price END AS total_amount
     FROM (SELECT
       TRANS_ID AS transaction_id,
-      {date_parse('TRANS_DATE')} AS transaction_date,
-      CASE WHEN CUST_NUM IS NOT NULL AND CUST_NUM <> ''
-           THEN 'CUST-' || lpad(regexp_extract(CUST_NUM, '(\\d+)', 1), 5, '0') END AS customer_id,
-      PRODUCT_CODE AS product_id,
+      {date_parse('TRANS_DATE', documented)} AS transaction_date,
+      {customer} AS customer_id,
+      {product} AS product_id,
       CAST(CASE WHEN regexp_matches(QTY, '^\\d+$') THEN TRY_CAST(QTY AS INTEGER) END AS BIGINT) AS quantity,
-      {price_clean('PRICE')} AS unit_price,
+      {price_clean('PRICE', documented)} AS unit_price,
       {store('STORE')} AS store_id,
       {status('STATUS')} AS status,
       {payment('PAYMENT_TYPE')} AS payment_method,
       'pos' AS source_system, ingestion_timestamp, file_name AS source_file
-    FROM pos_raw)""",
-)
-cte(
-    "ecom_norm",
-    ["ecom_raw"],
-    f"""SELECT orderId AS transaction_id,
-      try_strptime(orderDate, '%Y-%m-%dT%H:%M:%SZ') AS transaction_date,
-      customer_id, first_product_id AS product_id,
-      TRY_CAST(first_quantity AS BIGINT) AS quantity, first_unit_price AS unit_price,
-      'ONLINE' AS store_id, {status('payment_status')} AS status, payment_method,
-      'ecommerce' AS source_system, ingestion_timestamp, file_name AS source_file,
-      totalAmount AS total_amount
-    FROM ecom_raw""",
-)
-cte(
-    "mobile_norm",
-    ["mobile_raw"],
-    f"""SELECT transaction_id,
-      CASE WHEN "timestamp" BETWEEN -62135596800 AND 253402300799
+    FROM pos_raw)"""
+
+
+def _mobile_norm_sql(documented: bool) -> str:
+    zero = ' AND "timestamp" <> 0' if documented else ""
+    return f"""SELECT transaction_id,
+      CASE WHEN "timestamp" BETWEEN -62135596800 AND 253402300799{zero}
            THEN make_timestamp("timestamp" * 1000000) END AS transaction_date,
       'DEVICE-' || device_id AS customer_id, product_id, quantity,
       CASE WHEN quantity IS NOT NULL AND quantity > 0 AND amount IS NOT NULL THEN amount / quantity END AS unit_price,
       'MOBILE' AS store_id, {status('payment_status')} AS status,
       'mobile_app_payment' AS payment_method, 'mobile' AS source_system,
       ingestion_timestamp, file_name AS source_file, amount AS total_amount
-    FROM mobile_raw""",
-)
-cte(
-    "unified",
-    ["pos_norm", "ecom_norm", "mobile_norm"],
-    f"""SELECT {UNIFIED} FROM pos_norm
-    UNION ALL SELECT {UNIFIED} FROM ecom_norm
-    UNION ALL SELECT {UNIFIED} FROM mobile_norm""",
-)
-cte(
-    "scored",
-    ["unified"],
-    f"""SELECT {UNIFIED}, quality_score,
-      CASE WHEN quality_score >= 90 THEN 'high' WHEN quality_score >= 70 THEN 'medium'
-           WHEN quality_score >= 50 THEN 'low' ELSE 'rejected' END AS quality_tier,
-      ingestion_timestamp AS transformation_timestamp
-    FROM (SELECT *, 100
+    FROM mobile_raw"""
+
+
+def _scored_sql(unified: str, clamp: bool) -> str:
+    penalties = """100
       - CASE WHEN transaction_id IS NULL THEN 100 ELSE 0 END
       - CASE WHEN product_id IS NULL THEN 100 ELSE 0 END
       - CASE WHEN customer_id IS NULL THEN 10 ELSE 0 END
@@ -340,9 +329,41 @@ cte(
       - CASE WHEN unit_price IS NULL OR unit_price <= 0 THEN 50 ELSE 0 END
       - CASE WHEN quantity IS NULL OR quantity <= 0 THEN 30 ELSE 0 END
       - CASE WHEN status = 'unknown' THEN 5 ELSE 0 END
-      - CASE WHEN store_id = 'UNKNOWN' THEN 5 ELSE 0 END AS quality_score
-    FROM unified)""",
+      - CASE WHEN store_id = 'UNKNOWN' THEN 5 ELSE 0 END"""
+    score = f"greatest({penalties}, 0)" if clamp else penalties
+    return f"""SELECT {UNIFIED}, quality_score,
+      CASE WHEN quality_score >= 90 THEN 'high' WHEN quality_score >= 70 THEN 'medium'
+           WHEN quality_score >= 50 THEN 'low' ELSE 'rejected' END AS quality_tier,
+      ingestion_timestamp AS transformation_timestamp
+    FROM (SELECT *, {score} AS quality_score FROM {unified})"""
+
+
+cte("pos_norm", ["pos_raw"], _pos_norm_sql(False))
+cte("pos_norm_doc", ["pos_raw"], _pos_norm_sql(True))
+cte(
+    "ecom_norm",
+    ["ecom_raw"],
+    f"""SELECT orderId AS transaction_id,
+      try_strptime(orderDate, '%Y-%m-%dT%H:%M:%SZ') AS transaction_date,
+      customer_id, first_product_id AS product_id,
+      TRY_CAST(first_quantity AS BIGINT) AS quantity, first_unit_price AS unit_price,
+      'ONLINE' AS store_id, {status('payment_status')} AS status, payment_method,
+      'ecommerce' AS source_system, ingestion_timestamp, file_name AS source_file,
+      totalAmount AS total_amount
+    FROM ecom_raw""",
 )
+cte("mobile_norm", ["mobile_raw"], _mobile_norm_sql(False))
+cte("mobile_norm_doc", ["mobile_raw"], _mobile_norm_sql(True))
+for _suffix in ("", "_doc"):
+    cte(
+        f"unified{_suffix}",
+        [f"pos_norm{_suffix}", "ecom_norm", f"mobile_norm{_suffix}"],
+        f"""SELECT {UNIFIED} FROM pos_norm{_suffix}
+    UNION ALL SELECT {UNIFIED} FROM ecom_norm
+    UNION ALL SELECT {UNIFIED} FROM mobile_norm{_suffix}""",
+    )
+cte("scored", ["unified"], _scored_sql("unified", clamp=False))
+cte("scored_doc", ["unified_doc"], _scored_sql("unified_doc", clamp=True))
 cte("silver_main", ["scored"], "SELECT * FROM scored WHERE quality_tier <> 'rejected'")
 cte("silver_rejected", ["scored"], "SELECT * FROM scored WHERE quality_tier = 'rejected'")
 cte(
@@ -756,4 +777,14 @@ def oracle_sql() -> dict[str, str]:
               FROM silver_main)""",
         "silver_main",
     )
+    q["unified_sales_documented"] = with_ctes(f"SELECT {UNIFIED} FROM unified_doc", "unified_doc")
+    q["quality_distribution_documented"] = with_ctes(
+        """SELECT source_system, quality_tier, COUNT(*) AS "count", MIN(quality_score) AS min_score
+        FROM scored_doc GROUP BY source_system, quality_tier""",
+        "scored_doc",
+    )
+    q["dedup_stub"] = with_ctes(
+        f"SELECT {SCORED}, false AS is_duplicate, 'no_duplicate' AS duplicate_resolution FROM silver_main",
+        "silver_main",
+    )
     return q

@@ -263,6 +263,21 @@ def ecommerce_line_items(spark, sf_dir):
     return normalize.ecommerce_line_items(_m(spark, sf_dir).bronze["ecommerce"])
 
 
+@register("unified_sales_documented")
+def unified_sales_documented(spark, sf_dir):
+    """The unified feed under the documented rule set."""
+    return _m(spark, sf_dir, rules=DOCUMENTED).unified
+
+
+@register("quality_distribution_documented")
+def quality_distribution_documented(spark, sf_dir):
+    """Tier counts under the documented rules (score floored at 0)."""
+    scored = _m(spark, sf_dir, rules=DOCUMENTED).scored
+    return scored.groupBy("source_system", "quality_tier").agg(
+        F.count(F.lit(1)).alias("count"), F.min("quality_score").alias("min_score")
+    )
+
+
 # --------------------------------------------------------------------------
 # quality (D1-D15)
 # --------------------------------------------------------------------------
@@ -316,6 +331,12 @@ def dedup_flagged(spark, sf_dir):
     return _m(spark, sf_dir).deduped
 
 
+@register("dedup_stub")
+def dedup_stub(spark, sf_dir):
+    """The original dedup step: every row marked as a non-duplicate."""
+    return dedup.mark_stub(_m(spark, sf_dir).main)
+
+
 @register("dedup_summary")
 def dedup_summary(spark, sf_dir):
     return dedup.summary(dedup.flag_duplicates(_m(spark, sf_dir).main, with_winner=True))
