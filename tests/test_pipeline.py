@@ -120,3 +120,43 @@ def test_rejection_reasons(spark):
         ["missing_product_id", "missing_quantity_and_price"],
         ["score_below_threshold"],
     ]
+
+
+def test_dedup_hot_key_is_split_by_skew_join(spark):
+    """One key holds a third of all rows: the final adaptive plan must split
+    that key's join partition over several tasks, and one row survives."""
+    confs = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.shuffle.partitions": "32",
+        # As at scale: the per-key summary is too big to broadcast.
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.col("id") % 3 == 0
+        df = spark.range(150000).select(
+            F.format_string("T%07d", "id").alias("transaction_id"),
+            F.when(hot, F.lit("CUST-HOT")).otherwise(F.format_string("C%07d", "id")).alias("customer_id"),
+            F.when(hot, F.lit("P1")).otherwise(F.format_string("P%d", F.col("id") % 97)).alias("product_id"),
+            F.lit("2024-01-01 10:00:00").cast("timestamp").alias("transaction_date"),
+            F.element_at(
+                F.array(F.lit("pos"), F.lit("mobile"), F.lit("ecommerce")), (F.col("id") % 3 + 1).cast("int")
+            ).alias("source_system"),
+            F.rpad(F.lit("x"), 200, "y").alias("payload"),
+        )
+        flagged = dedup.flag_duplicates(df)
+        qe = flagged._jdf.queryExecution()
+        qe.toRdd().count()
+        plan = spark._jvm.PythonSQLUtils.explainString(qe, "formatted")
+        assert "SortMergeJoin(skew=true)" in plan
+        assert "Broadcast" not in plan
+        survivors = flagged.filter((F.col("customer_id") == "CUST-HOT") & ~F.col("is_duplicate"))
+        assert survivors.count() == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
