@@ -496,6 +496,7 @@ def file_inventory_q(spark, sf_dir):
     parts = [
         catalog.file_inventory(spark.read.parquet(path)).select(F.lit(t).alias("table_name"), "*")
         for t, path in sorted(res.tables.items())
+        if not t.startswith("bronze.")
     ]
     return reduce(DataFrame.unionAll, parts)
 
