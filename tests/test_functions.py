@@ -134,3 +134,15 @@ def test_exact_rounding(spark):
     assert ints.agg(half_up_avg_int("i", 1).alias("a")).first().a == 90.5
     empty = spark.createDataFrame([(None,)], "x double")
     assert empty.agg(half_up_avg("x", 2).alias("a")).first().a is None
+
+
+def test_half_up_is_symmetric(spark):
+    from tributary.functions.exact import half_up_avg, half_up_avg_int
+
+    df = spark.createDataFrame([(g, x) for g, xs in [(1, [-1.005, -1.005]), (2, [-0.125]), (3, [2.5, -0.5])]
+                                for x in xs], "g int, x double")
+    got = {r.g: r.a for r in df.groupBy("g").agg(half_up_avg("x", 2).alias("a")).collect()}
+    assert got == {1: -1.01, 2: -0.13, 3: 1.0}
+    ints = spark.createDataFrame([(1, -90), (1, -91), (2, -3), (2, -4), (2, -4)], "g int, i int")
+    got = {r.g: r.a for r in ints.groupBy("g").agg(half_up_avg_int("i", 1).alias("a")).collect()}
+    assert got == {1: -90.5, 2: -3.7}

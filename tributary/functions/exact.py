@@ -3,8 +3,9 @@
 A DOUBLE sum depends on the order rows are added, which differs between runs,
 partitionings and engines. Money is therefore summed as DECIMAL and turned
 into DOUBLE once; averages are one IEEE division of two exact numbers; and
-rounding to n places is done half-up in exact integer arithmetic, so every
-engine and every partitioning gets the same bits.
+rounding to n places is done half away from zero (as Spark's ROUND) in exact
+integer arithmetic, so every engine and every partitioning gets the same
+bits.
 """
 
 from __future__ import annotations
@@ -33,26 +34,38 @@ def int_avg(name: str) -> Column:
     return F.expr(f"CAST(SUM({name}) AS DOUBLE) / CAST(COUNT({name}) AS DOUBLE)")
 
 
+def _half_up_div(num: str, den: str) -> str:
+    """round(num / den) half away from zero, den > 0, as integer SQL.
+
+    Only non-negative numbers are divided, so truncating and flooring
+    division agree and every engine gives the same integer.
+    """
+    return (
+        f"CASE WHEN {num} >= 0 THEN (2 * ({num}) + {den}) DIV (2 * {den}) "
+        f"ELSE -((2 * (-({num})) + {den}) DIV (2 * {den})) END"
+    )
+
+
 def half_up_avg(name: str, places: int) -> Column:
-    """ROUND(AVG(x), places), exact half-up, for x >= 0.
+    """ROUND(AVG(x), places), exact, half away from zero (Spark's ROUND).
 
     With M the sum of x in micro-units (6 decimals) and n the count, the
-    result in units of 10^-places is (2M + n*u) div (2n*u), u = 10^(6-places).
+    result in units of 10^-places is round(M / (n * 10^(6-places))).
     """
     u = 10 ** (6 - places)
     m = f"SUM(CAST(CAST({name} AS {MONEY}) * 1000000 AS DECIMAL(38,0)))"
     n = f"COUNT({name})"
     return F.expr(
         f"CASE WHEN {n} > 0 THEN "
-        f"CAST((2 * {m} + {n} * {u}) DIV (2 * {n} * {u}) AS DOUBLE) / {float(10**places)}D END"
+        f"CAST({_half_up_div(m, f'{n} * {u}')} AS DOUBLE) / {float(10**places)}D END"
     )
 
 
 def half_up_avg_int(name: str, places: int) -> Column:
-    """ROUND(AVG(i), places) of an integer column, exact half-up, sum >= 0."""
+    """ROUND(AVG(i), places) of an integer column, exact, half away from zero."""
     s = 10**places
     n = f"COUNT({name})"
     return F.expr(
         f"CASE WHEN {n} > 0 THEN "
-        f"CAST(({2 * s} * SUM({name}) + {n}) DIV (2 * {n}) AS DOUBLE) / {float(s)}D END"
+        f"CAST({_half_up_div(f'{s} * SUM({name})', n)} AS DOUBLE) / {float(s)}D END"
     )

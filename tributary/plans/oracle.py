@@ -106,12 +106,19 @@ def int_avg(c: str) -> str:
     return f"CAST(SUM({c}) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
 
 
+def _half_up_div(num: str, den: str) -> str:
+    return (
+        f"(CASE WHEN {num} >= 0 THEN (2 * ({num}) + {den}) // (2 * {den}) "
+        f"ELSE -((2 * (-({num})) + {den}) // (2 * {den})) END)"
+    )
+
+
 def half_up_avg(c: str, places: int) -> str:
     u = 10 ** (6 - places)
     m = f"CAST(SUM(CAST(CAST({c} AS DECIMAL(38,6)) * 1000000 AS DECIMAL(38,0))) AS HUGEINT)"
     n = f"COUNT({c})"
     return (
-        f"(CASE WHEN {n} > 0 THEN CAST((2 * {m} + {n} * {u}) // (2 * {n} * {u}) AS DOUBLE) "
+        f"(CASE WHEN {n} > 0 THEN CAST({_half_up_div(m, f'{n} * {u}')} AS DOUBLE) "
         f"/ CAST({10**places} AS DOUBLE) END)"
     )
 
@@ -120,7 +127,7 @@ def half_up_avg_int(c: str, places: int) -> str:
     s = 10**places
     n = f"COUNT({c})"
     return (
-        f"(CASE WHEN {n} > 0 THEN CAST(({2 * s} * SUM({c}) + {n}) // (2 * {n}) AS DOUBLE) "
+        f"(CASE WHEN {n} > 0 THEN CAST({_half_up_div(f'{s} * SUM({c})', n)} AS DOUBLE) "
         f"/ CAST({s} AS DOUBLE) END)"
     )
 
