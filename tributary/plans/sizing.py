@@ -35,10 +35,16 @@ def tune_shuffle(
 ) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to fit the input (never lower
     it below the configured value or the cluster's cores)."""
-    size = input_bytes(spark, paths)
+    try:
+        size = input_bytes(spark, paths)
+    except Exception:  # noqa: BLE001 - no JVM handle: keep the configured value
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = math.ceil(size * ROW_EXPANSION / target_bytes)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        cores = 1
     n = min(MAX_SHUFFLE_PARTITIONS, max(current, cores, wanted))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))

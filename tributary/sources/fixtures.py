@@ -43,9 +43,12 @@ def fan_out(df: DataFrame, key: str | None = None) -> DataFrame:
     When the next operator groups by ``key``, the fan-out hash-partitions on
     it, so that aggregation reuses the partitioning instead of shuffling again.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Split count of the planned scan (file listing only; no job, no Python RDD).
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        # Split count of the planned scan (file listing only; no job, no Python RDD).
+        splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handle: leave the scan as it is
+        return df
     if splits >= cores:
         return df
     return df.repartition(cores, key) if key else df.repartition(cores)

@@ -9,6 +9,7 @@ column, so lineage survives without a driver-side file listing.
 from __future__ import annotations
 
 import hashlib
+import os
 import inspect
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,10 +121,14 @@ FIXTURE_VERSION = hashlib.sha1(inspect.getsource(fixtures).encode()).hexdigest()
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Existence through the Hadoop file system of the path (any scheme)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle: plain local paths only
+        return os.path.exists(path.removeprefix("file:"))
 
 
 def bronze_root(spark: SparkSession, sf_dir: str) -> str:
