@@ -81,7 +81,7 @@ def workspace_dir(spark: SparkSession, *parts: str) -> str:
     The setting is read from the session. If it is unset (local mode, tests) a
     fresh scratch folder is created and registered as the checkpoint dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_WORKSPACE.get(id(spark))
     if not base:
         try:
             base = spark.sparkContext.getCheckpointDir()
@@ -89,14 +89,18 @@ def workspace_dir(spark: SparkSession, *parts: str) -> str:
             base = None
     if not base:
         base = tempfile.mkdtemp(prefix="tributary-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _LOCAL_WORKSPACE[id(spark)] = base
         try:
             spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # noqa: BLE001
+        except Exception:  # noqa: BLE001 - no SparkContext handle
             pass
     return os.path.join(base, *parts) if parts else base
 
 
+# Scratch workspaces created for sessions that name none (local runs only).
+_LOCAL_WORKSPACE: dict[int, str] = {}
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, never-used folder under the workspace for one job's output."""
     return workspace_dir(spark, "jobs", f"{label}-{uuid.uuid4().hex[:12]}")
