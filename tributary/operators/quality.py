@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.exact import half_up_avg_int, int_avg
+from tributary.functions.exact import int_avg
 from tributary.rules import AS_CODED, CleaningRules
 
 # The eight quality dimensions, their failure test and penalty.
@@ -189,11 +189,3 @@ def average_quality(scored: DataFrame) -> DataFrame:
             "avg_quality_score",
         )
     )
-
-
-def rounded_quality(scored: DataFrame) -> DataFrame:
-    """Per source and tier: rows and ROUND(AVG(score), 1), exact half-up."""
-    return scored.groupBy("source_system", "quality_tier").agg(
-        F.count(F.lit(1)).alias("record_count"),
-        half_up_avg_int("quality_score", 1).alias("avg_quality_score"),
-    )

@@ -102,10 +102,6 @@ MOBILE_SCHEMA = T.StructType(
 )
 
 
-def with_audit_fields(schema: T.StructType) -> T.StructType:
-    return T.StructType(list(schema.fields) + AUDIT_FIELDS)
-
-
 # Unified sale, in union order (point of sale first).
 UNIFIED_SCHEMA = T.StructType(
     [

@@ -102,15 +102,6 @@ def write_landing_files(feeds: dict[str, DataFrame], root: str) -> dict[str, str
     return paths
 
 
-def read_landing_files(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    readers = {
-        "pos": read_pos_csv,
-        "ecommerce": read_ecommerce_json,
-        "mobile": read_mobile_parquet,
-    }
-    return {name: readers[name](spark, path) for name, path in paths.items()}
-
-
 # --------------------------------------------------------------------------
 # bronze layer over the driver tables
 # --------------------------------------------------------------------------

@@ -72,10 +72,6 @@ def stream_silver(
     q.awaitTermination()
 
 
-def dedup_key() -> list:
-    return [F.col("customer_id"), F.col("product_id"), F.to_date("transaction_date").alias("dedup_day")]
-
-
 def first_arrivals(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
     """Rows with a full duplicate key, first arrival per key kept."""
     keyed = stream.filter(
