@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.schemas import ECOMMERCE_SCHEMA, MOBILE_SCHEMA, POS_FIELDS
+from tributary.schemas import ECOMMERCE_SCHEMA, MOBILE_SCHEMA
 
 # First landing day and number of daily batches.
 FIRST_LANDING_DAY = "2024-03-01"
