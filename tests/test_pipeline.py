@@ -160,3 +160,16 @@ def test_dedup_hot_key_is_split_by_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_dedup_broadcast_and_shuffle_paths_agree(spark):
+    from tributary.session import fresh_dir
+
+    main = Medallion(spark, SF_SMALL).main
+    path = fresh_dir(spark, "t-dupkeys")
+    dedup.duplicate_keys(main).write.parquet(path)
+    keys = spark.read.parquet(path)
+    assert keys.filter(F.col("_n") < 2).count() == 0
+    a = dedup.flag_duplicates(main, dup_keys=keys, broadcast_keys=True)
+    b = dedup.flag_duplicates(main)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -16,8 +16,11 @@ the whole job. Instead:
    skew-join handling splits a hot key's rows over several tasks, each joined
    to the single summary row.
 
-Rows whose key has a NULL part are never duplicates; they take a left-join
-miss instead of a separate branch, so the input is not scanned a third time.
+Only keys that occur more than once are kept in the summary, so every row
+whose key is unique (or has a NULL part) takes a left-join miss. In the
+production run the summary is written first and its decoded size measured;
+when it is under a fixed bound it is broadcast and the rows are never
+shuffled, otherwise the join is a shuffle join as above.
 A row is superseded when some row of its key is strictly better; rows tied on
 the whole ordering tuple are all kept (RANK = 1 semantics), so the result does
 not depend on arrival order.
@@ -60,27 +63,51 @@ def mark_stub(df: DataFrame) -> DataFrame:
     )
 
 
-def flag_duplicates(silver: DataFrame, with_winner: bool = False) -> DataFrame:
-    """Flag cross-channel duplicates (U2); returns the input columns plus
-    ``is_duplicate`` and ``duplicate_resolution`` (and ``winner_source`` if
-    asked)."""
-    cols = silver.columns
-    keyed = silver.withColumn("_dedup_day", F.to_date("transaction_date")).withColumn(
+def _keyed(silver: DataFrame) -> DataFrame:
+    return silver.withColumn("_dedup_day", F.to_date("transaction_date")).withColumn(
         "_order", _order_tuple()
     )
-    full_key = F.col("customer_id").isNotNull() & F.col("product_id").isNotNull() & F.col(
-        "_dedup_day"
-    ).isNotNull()
-    summary = (
-        keyed.filter(full_key)
+
+
+def duplicate_keys(silver: DataFrame) -> DataFrame:
+    """Keys that occur more than once: key, row count ``_n`` and best ordering
+    tuple ``_best``. One partial/final aggregate over the key columns only."""
+    full_key = (
+        F.col("customer_id").isNotNull()
+        & F.col("product_id").isNotNull()
+        & F.col("_dedup_day").isNotNull()
+    )
+    return (
+        _keyed(silver)
+        .filter(full_key)
         .groupBy(*KEY)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_best"))
+        .filter(F.col("_n") > 1)
     )
-    joined = keyed.join(summary, on=KEY, how="left")
-    n = F.coalesce(F.col("_n"), F.lit(1))
+
+
+def flag_duplicates(
+    silver: DataFrame,
+    with_winner: bool = False,
+    dup_keys: DataFrame | None = None,
+    broadcast_keys: bool = False,
+) -> DataFrame:
+    """Flag cross-channel duplicates (U2); returns the input columns plus
+    ``is_duplicate`` and ``duplicate_resolution`` (and ``winner_source`` if
+    asked).
+
+    ``dup_keys`` may be a materialised ``duplicate_keys`` table; pass
+    ``broadcast_keys=True`` only when its size has been measured and bounded
+    (``pipeline.run`` does), so the rows are joined without being shuffled.
+    """
+    cols = silver.columns
+    keys = dup_keys if dup_keys is not None else duplicate_keys(silver)
+    if broadcast_keys:
+        keys = F.broadcast(keys)
+    joined = _keyed(silver).join(keys, on=KEY, how="left")
     is_best = F.col("_order") == F.col("_best")
     resolution = (
-        F.when(n <= 1, F.lit(NO_DUPLICATE))
+        F.when(F.col("_n").isNull(), F.lit(NO_DUPLICATE))
         .when(is_best, F.lit(KEPT))
         .otherwise(F.lit(SUPERSEDED))
     )
@@ -99,6 +126,17 @@ def flag_duplicates(silver: DataFrame, with_winner: bool = False) -> DataFrame:
     return out.select(*cols, *extra)
 
 
+def key_table_bytes() -> list:
+    """``observe`` metrics bounding the decoded size of a duplicate-key table:
+    its row count and the total length of its strings."""
+    return [
+        F.count(F.lit(1)).alias("key_rows"),
+        F.sum(
+            F.length("customer_id") + F.length("product_id") + F.length(F.col("_best.id"))
+        ).alias("key_chars"),
+    ]
+
+
 def summary(flagged: DataFrame) -> DataFrame:
     """Rows per source, resolution and winning channel, with the share of the
     source's rows (U4). Expects ``flag_duplicates(..., with_winner=True)``."""
