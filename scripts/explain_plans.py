@@ -49,9 +49,14 @@ def main() -> None:
     main_t = scored.filter(F.col("quality_tier") != "rejected")
     dedup.flag_duplicates(main_t).write.parquet(f"{scratch}/deduped")
     deduped = spark.read.parquet(f"{scratch}/deduped")
+    dedup.duplicate_keys(main_t).write.parquet(f"{scratch}/dupkeys")
+    dup = spark.read.parquet(f"{scratch}/dupkeys")
     stages = {
         "silver: normalise + score (written partitioned by tier)": m.scored,
-        "dedup: per-key aggregate joined back": dedup.flag_duplicates(main_t),
+        "dedup, one plan: per-key aggregate joined back (shuffle join)": dedup.flag_duplicates(main_t),
+        "dedup, production run: measured duplicate-key table broadcast": dedup.flag_duplicates(
+            main_t, dup_keys=dup, broadcast_keys=True
+        ),
         "gold G1 revenue_by_source": gold.revenue_by_source(deduped),
         "gold G2 product_performance": gold.product_performance(deduped),
         "gold G4 executive_summary": gold.executive_summary(deduped, "2024-03-10"),
