@@ -1,6 +1,7 @@
 """Command line: ``python -m tributary <command>`` (or through spark-submit).
 
-  run    --input DIR --lake DIR [--rules as_coded|documented]
+  run    (--input DIR | --pos-csv DIR --ecommerce-json DIR --mobile-parquet DIR)
+         --lake DIR [--rules as_coded|documented]
          [--transformation-ts TS] [--report-date DATE] [--master URL]
          Materialise bronze, silver and gold and register the layer tables.
   query  NAME --input DIR [--rows N] [--out PATH] [--master URL]
@@ -21,7 +22,11 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tributary")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
-    r.add_argument("--input", required=True)
+    r.add_argument("--input", help="driver tables folder (fixture feeds are derived from it)")
+    r.add_argument("--pos-csv", help="folder of POS CSV exports")
+    r.add_argument("--ecommerce-json", help="folder of e-commerce JSON orders")
+    r.add_argument("--mobile-parquet", help="folder of mobile Parquet logs")
+    r.add_argument("--ingestion-ts", help="ingestion time stamped on landed rows")
     r.add_argument("--lake", required=True)
     r.add_argument("--rules", choices=["as_coded", "documented"], default="as_coded")
     r.add_argument("--transformation-ts")
@@ -49,6 +54,19 @@ def main(argv: list[str] | None = None) -> int:
         from tributary.plans import pipeline
 
         rules = DOCUMENTED if args.rules == "documented" else AS_CODED
+        landing = {
+            k: v
+            for k, v in (
+                ("pos", args.pos_csv),
+                ("ecommerce", args.ecommerce_json),
+                ("mobile", args.mobile_parquet),
+            )
+            if v
+        }
+        if landing and len(landing) != 3:
+            ap.error("give all three of --pos-csv, --ecommerce-json, --mobile-parquet")
+        if not landing and not args.input:
+            ap.error("give --input or the three landing folders")
         res = pipeline.run(
             spark,
             args.input,
@@ -56,6 +74,8 @@ def main(argv: list[str] | None = None) -> int:
             rules=rules,
             transformation_ts=args.transformation_ts,
             report_date=args.report_date,
+            landing_paths=landing or None,
+            ingestion_ts=args.ingestion_ts,
         )
         print(json.dumps({"tables": res.tables, "timings": res.timings, "metrics": res.metrics}))
         return 0

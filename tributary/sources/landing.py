@@ -148,3 +148,19 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             {n: (lambda n=n: feeds[n].write.mode("overwrite").parquet(f"{root}/{n}")) for n in missing}
         )
     return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+
+
+def land_files(
+    spark: SparkSession, landing_paths: dict[str, str], bronze_base: str, ingestion_ts: str | None = None
+) -> dict[str, DataFrame]:
+    """Bronze from landing files: each feed read with its typed reader (audit
+    columns added) and stored as a Parquet bronze table; the three feeds are
+    landed as concurrent jobs."""
+    from tributary.plans.concurrent import run_all
+
+    readers = {"pos": read_pos_csv, "ecommerce": read_ecommerce_json, "mobile": read_mobile_parquet}
+    frames = {n: readers[n](spark, p, ingestion_ts) for n, p in landing_paths.items()}
+    run_all(
+        {n: (lambda n=n: frames[n].write.mode("overwrite").parquet(f"{bronze_base}/{n}")) for n in frames}
+    )
+    return {n: spark.read.parquet(f"{bronze_base}/{n}") for n in frames}
