@@ -146,3 +146,11 @@ def test_half_up_is_symmetric(spark):
     ints = spark.createDataFrame([(1, -90), (1, -91), (2, -3), (2, -4), (2, -4)], "g int, i int")
     got = {r.g: r.a for r in ints.groupBy("g").agg(half_up_avg_int("i", 1).alias("a")).collect()}
     assert got == {1: -90.5, 2: -3.7}
+
+
+def test_exact_aggregates_skip_nan_under_ansi(spark, ansi):
+    from tributary.functions.exact import exact_avg, exact_sum, half_up_avg
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (2.0,)], "x double")
+    r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a"), half_up_avg("x", 2).alias("h")).first()
+    assert (r.s, r.a, r.h) == (3.0, 1.5, 1.5)

@@ -5,7 +5,8 @@ partitionings and engines. Money is therefore summed as DECIMAL and turned
 into DOUBLE once; averages are one IEEE division of two exact numbers; and
 rounding to n places is done half away from zero (as Spark's ROUND) in exact
 integer arithmetic, so every engine and every partitioning gets the same
-bits.
+bits. Values a DECIMAL cannot hold (NaN, infinities, > 10^32) are left out
+of sums, averages and their counts instead of failing the job under ANSI.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ MONEY = "decimal(38,6)"
 def exact_sum(name: str) -> Column:
     """SUM of a DOUBLE column as an exact decimal, returned as DOUBLE (NULL
     when there is no non-NULL input)."""
-    return F.expr(f"CAST(SUM(CAST({name} AS {MONEY})) AS DOUBLE)")
+    return F.expr(f"CAST(SUM(TRY_CAST({name} AS {MONEY})) AS DOUBLE)")
 
 
 def exact_avg(name: str) -> Column:
     """AVG as exact sum / count: one IEEE division."""
     return F.expr(
-        f"CAST(SUM(CAST({name} AS {MONEY})) AS DOUBLE) / CAST(COUNT({name}) AS DOUBLE)"
+        f"CAST(SUM(TRY_CAST({name} AS {MONEY})) AS DOUBLE) / CAST(COUNT(TRY_CAST({name} AS {MONEY})) AS DOUBLE)"
     )
 
 
@@ -53,8 +54,8 @@ def half_up_avg(name: str, places: int) -> Column:
     result in units of 10^-places is round(M / (n * 10^(6-places))).
     """
     u = 10 ** (6 - places)
-    m = f"SUM(CAST(CAST({name} AS {MONEY}) * 1000000 AS DECIMAL(38,0)))"
-    n = f"COUNT({name})"
+    m = f"SUM(CAST(TRY_CAST({name} AS {MONEY}) * 1000000 AS DECIMAL(38,0)))"
+    n = f"COUNT(TRY_CAST({name} AS {MONEY}))"
     return F.expr(
         f"CASE WHEN {n} > 0 THEN "
         f"CAST({_half_up_div(m, f'{n} * {u}')} AS DOUBLE) / {float(10**places)}D END"

@@ -95,11 +95,11 @@ def payment(c: str) -> str:
 
 
 def exact_sum(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(38,6))) AS DOUBLE)"
+    return f"CAST(SUM(TRY_CAST({c} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def exact_avg(c: str) -> str:
-    return f"CAST(SUM(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)"
+    return f"CAST(SUM(TRY_CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / CAST(COUNT(TRY_CAST({c} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def int_avg(c: str) -> str:
@@ -115,8 +115,8 @@ def _half_up_div(num: str, den: str) -> str:
 
 def half_up_avg(c: str, places: int) -> str:
     u = 10 ** (6 - places)
-    m = f"CAST(SUM(CAST(CAST({c} AS DECIMAL(38,6)) * 1000000 AS DECIMAL(38,0))) AS HUGEINT)"
-    n = f"COUNT({c})"
+    m = f"CAST(SUM(CAST(TRY_CAST({c} AS DECIMAL(38,6)) * 1000000 AS DECIMAL(38,0))) AS HUGEINT)"
+    n = f"COUNT(TRY_CAST({c} AS DECIMAL(38,6)))"
     return (
         f"(CASE WHEN {n} > 0 THEN CAST({_half_up_div(m, f'{n} * {u}')} AS DOUBLE) "
         f"/ CAST({10**places} AS DOUBLE) END)"
