@@ -760,7 +760,11 @@ def oracle_sql() -> dict[str, str]:
     q["stream_dedup"] = with_ctes(
         """SELECT DISTINCT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day
         FROM silver_main
-        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL""",
+        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL
+        UNION ALL
+        SELECT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day
+        FROM silver_main
+        WHERE customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL""",
         "silver_main",
     )
     q["stream_revenue"] = with_ctes(

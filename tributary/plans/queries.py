@@ -595,9 +595,10 @@ def stream_silver(spark, sf_dir):
 
 @register("stream_dedup")
 def stream_dedup(spark, sf_dir):
-    """Keys kept by the streaming first-arrival dedup. Which row of a key
-    arrives first depends on file order, so the compared output is the key
-    set: exactly one row per full key must survive."""
+    """Keys of the rows kept by the streaming first-arrival dedup. Which row
+    of a key arrives first depends on file order, so the compared output is
+    the key of every kept row: one row per full key, plus every row whose
+    key has a NULL part (never a duplicate)."""
     silver = _silver_stream_run(spark, sf_dir)
     out = fresh_dir(spark, "stream-dedup")
     incremental.stream_dedup(spark, silver, f"{out}/sink", f"{out}/checkpoint")

@@ -73,15 +73,20 @@ def stream_silver(
 
 
 def first_arrivals(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
-    """Rows with a full duplicate key, first arrival per key kept."""
-    keyed = stream.filter(
+    """First arrival per duplicate key; rows whose key has a NULL part
+    are never duplicates and pass through unchanged."""
+    full = (
         F.col("customer_id").isNotNull()
         & F.col("product_id").isNotNull()
         & F.col("transaction_date").isNotNull()
-    ).withColumn("dedup_day", F.to_date("transaction_date"))
-    return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(
-        ["customer_id", "product_id", "dedup_day"]
     )
+    dated = stream.withColumn("dedup_day", F.to_date("transaction_date"))
+    kept = (
+        dated.filter(full)
+        .withWatermark(event_time, delay)
+        .dropDuplicatesWithinWatermark(["customer_id", "product_id", "dedup_day"])
+    )
+    return kept.unionByName(dated.filter(~full))
 
 
 def stream_dedup(
