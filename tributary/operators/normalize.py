@@ -94,13 +94,14 @@ def unified_sales(feeds: dict[str, DataFrame], rules: CleaningRules = AS_CODED)
 
 
 def ecommerce_line_items(bronze: DataFrame) -> DataFrame:
-    """Line grain: one row per line item (``posexplode``; broken orders with no
-    lines produce no rows). ``line_number`` is 1-based."""
+    """Line grain: one row per line item (``posexplode_outer``: an order
+    with no lines is kept as one row with NULL line fields).
+    ``line_number`` is 1-based."""
     exploded = bronze.select(
         F.col("orderId").alias("transaction_id"),
         dates.parse_iso_z("orderDate").alias("transaction_date"),
         F.col("customer.customerId").alias("customer_id"),
-        F.posexplode("lineItems").alias("_pos", "_item"),
+        F.posexplode_outer("lineItems").alias("_pos", "_item"),
     )
     item = F.col("_item")
     qty = item["quantity"].try_cast("bigint")

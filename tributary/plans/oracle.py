@@ -586,7 +586,12 @@ def oracle_sql() -> dict[str, str]:
           l.l_discount AS discount,
           (1 + CAST(l.l_quantity AS BIGINT) % 8) * (CAST(1500 + (l.l_partkey * 3701) % 58500 AS DOUBLE) / 100.0) AS gross_amount
         FROM orders o JOIN ecom_lines l ON l.l_orderkey = o.o_orderkey
-        WHERE o.o_orderkey % 20 <> 19""",
+        WHERE o.o_orderkey % 20 <> 19
+        UNION ALL
+        SELECT 'ORD-ERROR-' || CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, NULL, NULL,
+          NULL, NULL, NULL, NULL
+        FROM orders WHERE o_orderkey % 20 = 19
+          AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
         "ecom_lines",
     )
     q["quality_scored"] = with_ctes(f"SELECT {SCORED} FROM scored", "scored")
