@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.sources.catalog import file_inventory
+from tributary.sources.catalog import data_file_stats
 
 VERSION_COL = "snapshot_version"
 COMMIT_SCHEMA = T.StructType(
@@ -58,6 +58,9 @@ class SnapshotTable:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         return hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
+    def version_path(self, version: int) -> str:
+        return f"{self.data_path}/{VERSION_COL}={version}"
+
     def history(self, limit: int | None = None) -> DataFrame:
         """Commit rows, newest first (M1: ``DESCRIBE HISTORY``)."""
         if not self._fs_exists(self.commit_path):
@@ -83,10 +86,10 @@ class SnapshotTable:
         version = 0 if latest is None else latest + 1
         obs = Observation(f"snapshot_{version}")
         writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        writer.parquet(f"{self.data_path}/{VERSION_COL}={version}")
+        writer.parquet(self.version_path(version))
         rows = int(obs.get["rows"])
         if num_files is None:
-            num_files = int(file_inventory(self.spark.read.parquet(f"{self.data_path}/{VERSION_COL}={version}")).first()[0])
+            num_files = data_file_stats(self.spark, self.version_path(version))[0]
         ts = (
             dt.datetime.fromisoformat(committed_at)
             if committed_at
@@ -123,17 +126,16 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES, committed_at: str | None = None) -> dict:
     """Rewrite the latest version into ~target-sized files as a new version
-    (OPTIMIZE). The file count comes from one aggregate over the scan's file
-    metadata; the rewrite is a round-robin repartition, so every output file
-    gets an equal share regardless of key skew."""
+    (OPTIMIZE). The file count comes from the measured bytes (a file-system
+    listing, no data read); the rewrite is a round-robin repartition, so
+    every output file gets an equal share regardless of key skew."""
     latest = table.latest_version()
     src = table.read(latest)
-    inv = file_inventory(table.spark.read.parquet(f"{table.data_path}/{VERSION_COL}={latest}")).first()
-    files_before, total_bytes = int(inv["file_count"]), int(inv["total_bytes"] or 0)
+    files_before, total_bytes = data_file_stats(table.spark, table.version_path(latest))
     n = max(1, math.ceil(total_bytes / target_file_bytes))
-    version = table.publish(src.repartition(n), "OPTIMIZE", committed_at, num_files=None)
-    after = file_inventory(table.spark.read.parquet(f"{table.data_path}/{VERSION_COL}={version}")).first()
-    return {"version": version, "files_before": files_before, "files_after": int(after["file_count"])}
+    version = table.publish(src.repartition(n), "OPTIMIZE", committed_at)
+    files_after, _ = data_file_stats(table.spark, table.version_path(version))
+    return {"version": version, "files_before": files_before, "files_after": files_after}
 
 
 # --------------------------------------------------------------------------

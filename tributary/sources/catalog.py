@@ -81,3 +81,22 @@ def file_inventory(df: DataFrame) -> DataFrame:
         F.min("file_size").alias("min_file_bytes"),
         F.max("file_size").alias("max_file_bytes"),
     )
+
+
+def data_file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(data file count, total bytes) under ``path`` from a file-system
+    listing: metadata only, no data is read. Marker and hidden files
+    (``_SUCCESS``, ``.crc``, ``_spark_metadata``) are not counted."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(hpath, True)
+    count = size = 0
+    while files.hasNext():
+        st = files.next()
+        rel = str(st.getPath().toUri().getPath())[len(str(hpath.toUri().getPath())):]
+        if any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+            continue
+        count += 1
+        size += st.getLen()
+    return count, size
