@@ -64,3 +64,16 @@ def test_pipeline_from_landing_files_matches_fixture_run(spark):
     from_files = spark.read.parquet(res.tables["gold.revenue_by_source"])
     assert _bag(from_files) == _bag(m.revenue_by_source)
     assert res.metrics["scored_rows"] == m.scored.count()
+
+
+def test_overwrite_replaces_schema(spark):
+    """Overwriting a layer table replaces its files and its schema."""
+    from tributary.sources import catalog
+
+    path = fresh_dir(spark, "t-overwrite")
+    catalog.write_table(spark.range(3).withColumn("a", F.lit(1)), path)
+    catalog.write_table(spark.range(2).withColumn("b", F.lit("x")), path)
+    back = spark.read.parquet(path)
+    assert back.columns == ["id", "b"] and back.count() == 2
+    t = catalog.register_table(spark, "silver.t_overwrite", path)
+    assert t.columns == ["id", "b"]

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.session import workspace_dir
+
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -54,7 +56,13 @@ def write_table(
 def register_table(
     spark: SparkSession, name: str, path: str, fmt: str = "parquet", partitioned: bool = False
 ) -> DataFrame:
-    """Drop and re-create ``name`` as an external table at ``path``."""
+    """Drop and re-create ``name`` as an external table at ``path``.
+    A missing layer database is created in the shared workspace."""
+    if "." in name:
+        db = name.split(".", 1)[0]
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{workspace_dir(spark, 'warehouse', db + '.db')}'"
+        )
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if partitioned and fmt != "delta":
