@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--ingestion-ts", help="ingestion time stamped on landed rows")
     r.add_argument("--lake", required=True)
     r.add_argument("--rules", choices=["as_coded", "documented"], default="as_coded")
+    r.add_argument("--dedup", choices=["priority", "none"], default="priority")
     r.add_argument("--transformation-ts")
     r.add_argument("--report-date", default="2024-03-10")
     r.add_argument("--master")
@@ -76,6 +77,7 @@ def main(argv: list[str] | None = None) -> int:
             report_date=args.report_date,
             landing_paths=landing or None,
             ingestion_ts=args.ingestion_ts,
+            dedup_mode=args.dedup,
         )
         print(json.dumps({"tables": res.tables, "timings": res.timings, "metrics": res.metrics}))
         return 0

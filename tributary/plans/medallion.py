@@ -28,7 +28,14 @@ class Medallion:
         rules: CleaningRules = AS_CODED,
         transformation_ts: str | None = None,
         report_date: str = DEFAULT_REPORT_DATE,
+        dedup_mode: str = "priority",
     ):
+        """``dedup_mode``: ``priority`` flags cross-channel duplicates (the
+        documented behaviour, default); ``none`` is the original stub, under
+        which Gold counts every production row."""
+        if dedup_mode not in ("priority", "none"):
+            raise ValueError(f"unknown dedup_mode {dedup_mode!r}")
+        self.dedup_mode = dedup_mode
         self.spark = spark
         self.sf_dir = sf_dir
         self.rules = rules
@@ -71,6 +78,8 @@ class Medallion:
 
     @cached_property
     def deduped(self) -> DataFrame:
+        if self.dedup_mode == "none":
+            return dedup.mark_stub(self.main)
         return dedup.flag_duplicates(self.main)
 
     # gold -----------------------------------------------------------------

@@ -803,4 +803,18 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {SCORED}, false AS is_duplicate, 'no_duplicate' AS duplicate_resolution FROM silver_main",
         "silver_main",
     )
+    q["gold_revenue_by_source_no_dedup"] = with_ctes(
+        f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
+          COUNT(DISTINCT transaction_id) AS transaction_count,
+          COUNT(DISTINCT customer_id) AS unique_customers,
+          {exact_sum('total_amount')} AS total_revenue,
+          {exact_avg('total_amount')} AS avg_transaction_value,
+          CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
+          COUNT(DISTINCT product_id) AS unique_products
+        FROM silver_main
+        WHERE quality_tier IN ('high', 'medium') AND transaction_date IS NOT NULL
+          AND total_amount IS NOT NULL
+        GROUP BY source_system, CAST(transaction_date AS DATE)""",
+        "silver_main",
+    )
     return q

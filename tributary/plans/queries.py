@@ -361,6 +361,13 @@ def gold_revenue_by_source(spark, sf_dir):
     return _m(spark, sf_dir).revenue_by_source
 
 
+@register("gold_revenue_by_source_no_dedup")
+def gold_revenue_by_source_no_dedup(spark, sf_dir):
+    """G1 as the original computed it: over the dedup stub, so duplicates
+    are counted (reproduces the original's numbers)."""
+    return _m(spark, sf_dir, dedup_mode="none").revenue_by_source
+
+
 @register("gold_product_performance")
 def gold_product_performance(spark, sf_dir):
     return _m(spark, sf_dir).product_performance
