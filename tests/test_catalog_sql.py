@@ -97,7 +97,10 @@ def test_increment_equals_full_rebuild(spark):
                         ingestion_ts=ts, register=False)
     first = pipeline.run(spark, None, fresh_dir(spark, "t-inc"), landing_paths=paths["first"],
                          ingestion_ts=ts, register=False)
-    inc = pipeline.run_increment(spark, first, paths["second"], ingestion_ts=ts)
+    prev, seq = pipeline.load_manifest(spark, first.base)
+    assert seq == 0 and prev.tables == first.tables
+    inc = pipeline.run_increment(spark, prev, paths["second"], ingestion_ts=ts, seq=seq)
+    assert pipeline.load_manifest(spark, first.base)[1] == 1
     assert inc.metrics["affected_days"] > 0
     for table in ["silver.unified_scored", "silver.unified_sales_deduped", "gold.revenue_by_source",
                   "gold.product_performance", "gold.data_quality_metrics", "gold.executive_summary"]:
