@@ -817,4 +817,11 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY source_system, CAST(transaction_date AS DATE)""",
         "silver_main",
     )
+    q["incremental_run"] = with_ctes(
+        """SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,
+          store_id, status, payment_method, source_system, total_amount, quality_score,
+          quality_tier, is_duplicate, duplicate_resolution
+        FROM dedup""",
+        "dedup",
+    )
     return q
