@@ -51,6 +51,19 @@ def main() -> None:
     deduped = spark.read.parquet(f"{scratch}/deduped")
     dedup.duplicate_keys(main_t).write.parquet(f"{scratch}/dupkeys")
     dup = spark.read.parquet(f"{scratch}/dupkeys")
+    # An increment's re-flag step: affected days of a tenth of the rows.
+    days = (
+        main_t.filter(F.col("transaction_id").endswith("7"))
+        .select(F.to_date("transaction_date").alias("_day"))
+        .filter(F.col("_day").isNotNull())
+        .distinct()
+    )
+    days.write.parquet(f"{scratch}/days")
+    day_table = F.broadcast(spark.read.parquet(f"{scratch}/days"))
+    on_day = F.to_date("transaction_date") == F.col("_day")
+    increment = deduped.join(day_table, on_day, "left_anti").unionByName(
+        dedup.flag_duplicates(main_t.join(day_table, on_day, "left_semi"))
+    )
     stages = {
         "silver: normalise + score (written partitioned by tier)": m.scored,
         "dedup, one plan: per-key aggregate joined back (shuffle join)": dedup.flag_duplicates(main_t),
@@ -66,6 +79,7 @@ def main() -> None:
             main_t.filter(F.col("source_system") == "pos"), main_t, ["source_system", "transaction_id"],
             ["ingestion_timestamp"]),
         "clustering (M4)": maintenance.cluster(deduped, ["source_system", "transaction_date"]),
+        "daily increment: keep other days (anti join) + re-flag affected days (semi join)": increment,
     }
     parts = [
         "# Physical plans",
