@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact_dedup, line_dedup, simhash, substring_dedup
+from tributary.llm import bpe, exact_dedup, line_dedup, packing, quality, simhash, substring_dedup
 from tributary.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document."""
+    prepare(spark)
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     prepare(spark)
@@ -37,13 +45,42 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean(table(spark, sf_dir, "pages"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    prepare(spark)
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _round_trip(ids: list[list[int]], codec: bpe.Codec) -> list[pa.Array]:
+    """Digests of the ids and of what they decode to."""
+
+    def sha(data: bytes) -> str:
+        return hashlib.sha256(data).hexdigest()
+
+    return [
+        pa.array([len(x) for x in ids], pa.int64()),
+        pa.array([sha(b",".join(map(codec.decimal.__getitem__, x))) for x in ids]),
+        pa.array([sha(codec.decode(x).encode()) for x in ids]),
+    ]
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again."""
+    prepare(spark)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return bpe.coded(table(spark, sf_dir, "documents"), _round_trip, schema)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
         op2_exact_dedup,
+        op3_best_fit_packing,
         op4_simhash,
         op5_line_dedup,
+        op9_quality,
+        op10_bpe,
     )
 }
 
