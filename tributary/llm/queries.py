@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, line_dedup, packing, quality, simhash, substring_dedup
+from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup
 from tributary.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean(table(spark, sf_dir, "pages"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    prepare(spark)
+    return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
         op3_best_fit_packing,
         op4_simhash,
         op5_line_dedup,
+        op6_fingerprint,
         op9_quality,
         op10_bpe,
     )
