@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterable, Iterator
 
@@ -21,6 +20,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 * 1024 * 1024
 
+# Spark deletes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> None:
     """Session settings of the Arrow operators: batches bounded by bytes, too."""
@@ -41,20 +43,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks that ran on it, and what
-    the table holds is not computed again.
+    the table holds is not computed again. The shuffle files behind it are of
+    no more use and go as soon as it is written.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of frames that are no longer held."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def partitions(spark: SparkSession, n_bytes: int, target: int) -> int:
     """Number of partitions of about ``target`` bytes, at least the configured one."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))

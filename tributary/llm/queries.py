@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup
+from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup, suffix_tree
 from tributary.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,12 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document."""
+    prepare(spark)
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash,
         op5_line_dedup,
         op6_fingerprint,
+        op7_suffix_tree,
         op9_quality,
         op10_bpe,
     )
