@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup, suffix_tree
+from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree
 from tributary.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,20 @@ def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeats of 400 bytes."""
+    prepare(spark)
+    found = suffix_dedup.removals(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
@@ -93,6 +107,7 @@ QUERIES: dict[str, Query] = {
         op5_line_dedup,
         op6_fingerprint,
         op7_suffix_tree,
+        op8_suffix_dedup,
         op9_quality,
         op10_bpe,
     )
