@@ -16,8 +16,9 @@ Features are bounded statistics of the whole text: byte classes, word shapes,
 repetition. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results: a null text scores as the empty one, whose features are all
-zero; a document without doc_id is scored and in no fold that learns; without
-a trusted positive every score is the prior.
+zero; a document without doc_id is scored and has no label; of several labels
+of a doc_id the least counts; without a trusted positive every score is the
+prior; ``accepted`` judges rows that share a doc_id each by its text.
 """
 
 from __future__ import annotations
@@ -113,14 +114,16 @@ def fold_of(doc_id: Column) -> Column:
 
 
 def featured(docs: DataFrame) -> DataFrame:
-    """(doc_id, x): the features as little-endian float32 bytes."""
+    """(doc_id, key, x): a digest of the text and the features as little-endian
+    float32 bytes."""
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t or "").astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "x"])
+            found = [features(t or "").astype("<f4").tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], ["doc_id", "key", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, "doc_id long, x binary")
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
+    return keyed.mapInArrow(task, "doc_id long, key long, x binary")
 
 
 def _sums(table: DataFrame, per_rows) -> np.ndarray:
@@ -210,7 +213,7 @@ def fit(table: DataFrame, prior: float) -> np.ndarray | None:
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """A row per document: doc_id, held_out, score, predicted."""
+    """A row per document: doc_id, key, held_out, score, predicted."""
     held = F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False))
     marks = (
         labels.where("quality is not null and doc_id is not null")
@@ -221,22 +224,23 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts = marks.agg(F.avg("quality")).first()[0]
     prior = min(max(counts if counts is not None else 0.5, 0.01), 0.99)
     joined = featured(docs).join(marks, "doc_id", "left")
-    table = written(joined.select("doc_id", "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("trusted")), "features")
+    table = written(joined.select("doc_id", "key", "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("trusted")), "features")
     w = fit(table, prior)
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<f4").reshape(-1, N_BASE)
+            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<f4").reshape(-1, N_BASE)
             p = _sigmoid(expand(x) @ w) if w is not None else np.full(len(x), prior)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(p)], ["doc_id", "key", "score"])
 
-    scored = table.select("doc_id", "x").mapInArrow(task, "doc_id long, score double")
+    scored = table.select("doc_id", "key", "x").mapInArrow(task, "doc_id long, key long, score double")
     return scored.select(
-        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", "key", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all columns."""
-    bad = scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("__doc")), "left_anti")
+    bad = scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
+    same = docs.doc_id.eqNullSafe(F.col("__doc")) & (F.xxhash64(docs.text) == F.col("__key"))
+    return docs.join(bad, same, "left_anti")

@@ -74,7 +74,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     prepare(spark)
-    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
 
 
 def _round_trip(ids: list[list[int]], codec: bpe.Codec) -> list[pa.Array]:

@@ -9,8 +9,9 @@ all its pairs: the same components with fewer links. Links are deduplicated,
 verified by their bit distance and joined into components.
 
 Defined results: a null or blank text has fingerprint zero, which links like
-any other; equal fingerprints are linked; a null doc_id has no component of
-its own (it gets the least doc_id of its component, or null).
+any other; equal fingerprints are linked; a row without doc_id gets the least
+doc_id of its component, or null, and stays in the latter case; rows that
+share a doc_id are judged each by its text.
 """
 
 from __future__ import annotations
@@ -56,15 +57,16 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, key, fp): a digest of the text and the fingerprint, signed."""
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()]
+            found = [fingerprint(t or "", shingle) for t in batch.column(2).to_pylist()]
             fps = pa.array(np.array(found, "<u8").view("<i8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], ["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, "doc_id long, fp long")
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text")
+    return keyed.mapInArrow(task, "doc_id long, key long, fp long")
 
 
 def ball(fp: str, radius: int) -> F.Column:
@@ -92,13 +94,13 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         pairs = variants.select("fp", F.lag("fp").over(around).alias("other")).where("other is not null")
     else:  # a group is bounded by the ball's size, so its pairs are, too
         near = F.collect_list("fp").over(around.rowsBetween(Window.unboundedPreceding, -1))
-        pairs = variants.select("fp", F.explode(near).alias("other"))
+        pairs = variants.select("fp", near.alias("near")).select("fp", F.explode("near").alias("other"))
     found = pairs.select(F.col("fp").alias("u"), F.col("other").alias("v")).distinct()
     return found.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """A row per document: doc_id, fp, component_id (least doc_id it reaches)."""
+    """A row per document: doc_id, key, fp, component_id (least doc_id it reaches)."""
     fps = written(fingerprints(docs, shingle), "fingerprints")
     # One node per fingerprint, named by its least doc_id.
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
@@ -108,11 +110,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     edges = found.join(left, "u").join(right, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
     least = components(edges.where("u is not null and v is not null"))
     named = nodes.join(least, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "key", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The document with the least doc_id of every component, all columns."""
     classes = near_duplicates(docs, shingle, max_bits)
-    stay = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(stay, docs.doc_id.eqNullSafe(F.col("__doc")), "left_semi")
+    stay = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
+    same = docs.doc_id.eqNullSafe(F.col("__doc")) & (F.xxhash64(docs.text) == F.col("__key"))
+    return docs.join(stay, same, "left_semi")

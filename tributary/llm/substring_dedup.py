@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.llm.common import LOWER, UPPER, written
 
@@ -116,7 +117,8 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     schema = docs.schema
     joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
     place = schema.names.index("text")
-    out = schema.add("kept_spans", "array<struct<start:int,length:int>>")
+    span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "length")])
+    out = T.StructType([*schema.fields, T.StructField("kept_spans", T.ArrayType(span))])
 
     def task(batches):
         for batch in batches:
@@ -132,7 +134,7 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
                     spans_left.append((at, len(text) - at))
                 kept_texts.append(None if text is None else "".join(text[a : a + n] for a, n in spans_left))
                 kept_spans.append([{"start": a, "length": n} for a, n in spans_left])
-            arrays = [batch.column(i) for i in range(len(schema.names) - 1)]
+            arrays = [batch.column(i) for i in range(len(schema.names))]
             arrays[place] = pa.array(kept_texts, pa.string())
             kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(kept_spans, kind)], out.names)
