@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-TABLES = ["orders", "lineitem", "events", "customer", "part", "supplier", "nation", "region"]
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def _norm(v):

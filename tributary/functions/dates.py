@@ -24,8 +24,8 @@ DASH_GUARD = r"^\d{2}-\d{2}-\d{4}$"
 DAY_FIRST_DASH = "dd-MM-yyyy"
 # Numeric text read as epoch seconds; the fraction is dropped.
 EPOCH_GUARD = r"^\s*[+-]?\d+(\.\d+)?\s*$"
-# Epoch seconds of 0001-01-01 and 9999-12-31 23:59:59 UTC.
-EPOCH_MIN, EPOCH_MAX = -62135596800, 253402300799
+# Epoch seconds that a timestamp (64-bit microseconds) can hold.
+EPOCH_MAX = (2**63 - 1) // 1_000_000
 
 
 def _col(c: str | Column) -> Column:
@@ -37,10 +37,9 @@ def _try_ts(c: Column, fmt: str) -> Column:
 
 
 def epoch_seconds_to_ts(seconds: Column) -> Column:
-    """Epoch seconds -> timestamp, NULL outside years 1-9999."""
-    return F.when(
-        seconds.between(EPOCH_MIN, EPOCH_MAX), F.timestamp_seconds(seconds)
-    )
+    """Epoch seconds -> timestamp, NULL only for what no timestamp can hold
+    (a feed in milliseconds is read as a year far ahead, as coded)."""
+    return F.when(seconds.between(-EPOCH_MAX, EPOCH_MAX), F.timestamp_seconds(seconds))
 
 
 def parse_date_text(c: str | Column, rules: CleaningRules = AS_CODED) -> Column:

@@ -5,8 +5,9 @@ partitionings and engines. Money is therefore summed as DECIMAL and turned
 into DOUBLE once; averages are one IEEE division of two exact numbers; and
 rounding to n places is done half away from zero (as Spark's ROUND) in exact
 integer arithmetic, so every engine and every partitioning gets the same
-bits. Values a DECIMAL cannot hold (NaN, infinities, > 10^32) are left out
-of sums, averages and their counts instead of failing the job under ANSI.
+bits. A group with a value that a DECIMAL cannot hold (NaN, infinities,
+10^32 and more), or whose sum outgrows it, falls back to the plain DOUBLE
+aggregate: nothing is left out, nothing wraps and nothing fails under ANSI.
 """
 
 from __future__ import annotations
@@ -17,16 +18,31 @@ from pyspark.sql import functions as F
 MONEY = "decimal(38,6)"
 
 
+# Sums below this bound leave room for micro-units in DECIMAL(38,6).
+EXACT_BOUND = "CAST('10000000000000000000000000' AS DECIMAL(38,6))"
+
+
+def _total(name: str) -> str:
+    """Exact sum, NULL if it outgrows the type or without input."""
+    return f"TRY_SUM(TRY_CAST({name} AS {MONEY}))"
+
+
+def _exact(name: str) -> str:
+    """Whether every value of the group, and its sum, is a DECIMAL."""
+    return f"(COUNT({name}) = COUNT(TRY_CAST({name} AS {MONEY})) AND {_total(name)} IS NOT NULL)"
+
+
 def exact_sum(name: str) -> Column:
     """SUM of a DOUBLE column as an exact decimal, returned as DOUBLE (NULL
     when there is no non-NULL input)."""
-    return F.expr(f"CAST(SUM(TRY_CAST({name} AS {MONEY})) AS DOUBLE)")
+    return F.expr(f"CASE WHEN {_exact(name)} THEN CAST({_total(name)} AS DOUBLE) ELSE SUM({name}) END")
 
 
 def exact_avg(name: str) -> Column:
     """AVG as exact sum / count: one IEEE division."""
     return F.expr(
-        f"CAST(SUM(TRY_CAST({name} AS {MONEY})) AS DOUBLE) / CAST(COUNT(TRY_CAST({name} AS {MONEY})) AS DOUBLE)"
+        f"CASE WHEN {_exact(name)} THEN CAST({_total(name)} AS DOUBLE) / CAST(COUNT({name}) AS DOUBLE) "
+        f"ELSE AVG({name}) END"
     )
 
 
@@ -36,29 +52,29 @@ def int_avg(name: str) -> Column:
 
 
 def _half_up_div(num: str, den: str) -> str:
-    """round(num / den) half away from zero, den > 0, as integer SQL.
+    """round(num / den) half away from zero, den > 0, for integral operands.
 
-    Only non-negative numbers are divided, so truncating and flooring
-    division agree and every engine gives the same integer.
+    The remainder is taken off first, so the division is exact for DECIMAL
+    operands, too (DIV would go through BIGINT and wrap).
     """
-    return (
-        f"CASE WHEN {num} >= 0 THEN (2 * ({num}) + {den}) DIV (2 * {den}) "
-        f"ELSE -((2 * (-({num})) + {den}) DIV (2 * {den})) END"
-    )
+    twice = f"(2 * ABS({num}) + {den})"
+    whole = f"({twice} - {twice} % (2 * {den})) / (2 * {den})"
+    return f"SIGN({num}) * CAST({whole} AS DOUBLE)"
 
 
 def half_up_avg(name: str, places: int) -> Column:
     """ROUND(AVG(x), places), exact, half away from zero (Spark's ROUND).
 
     With M the sum of x in micro-units (6 decimals) and n the count, the
-    result in units of 10^-places is round(M / (n * 10^(6-places))).
+    result in units of 10^-places is round(M / (n * 10^(6-places))). Beyond
+    ``EXACT_BOUND`` cents are below a DOUBLE's resolution: the plain average.
     """
     u = 10 ** (6 - places)
-    m = f"SUM(CAST(TRY_CAST({name} AS {MONEY}) * 1000000 AS DECIMAL(38,0)))"
-    n = f"COUNT(TRY_CAST({name} AS {MONEY}))"
+    m = f"CAST({_total(name)} * 1000000 AS DECIMAL(37,0))"
+    n = f"CAST(COUNT({name}) * {u} AS DECIMAL(30,0))"
     return F.expr(
-        f"CASE WHEN {n} > 0 THEN "
-        f"CAST({_half_up_div(m, f'{n} * {u}')} AS DOUBLE) / {float(10**places)}D END"
+        f"CASE WHEN {_exact(name)} AND ABS({_total(name)}) < {EXACT_BOUND} THEN "
+        f"{_half_up_div(m, n)} / {float(10**places)}D ELSE AVG({name}) END"
     )
 
 
@@ -68,5 +84,5 @@ def half_up_avg_int(name: str, places: int) -> Column:
     n = f"COUNT({name})"
     return F.expr(
         f"CASE WHEN {n} > 0 THEN "
-        f"CAST({_half_up_div(f'{s} * SUM({name})', n)} AS DOUBLE) / {float(s)}D END"
+        f"{_half_up_div(f'CAST({s} * SUM({name}) AS DECIMAL(30,0))', f'CAST({n} AS DECIMAL(20,0))')} / {float(s)}D END"
     )

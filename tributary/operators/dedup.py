@@ -1,34 +1,34 @@
 """Duplicate detection.
 
-Cross-channel duplicates share customer, product and calendar day. The best
-row of a group is the one from the highest-priority channel (e-commerce, then
-mobile, then point of sale), then the earliest time, then the smallest id.
-Rows are flagged, never dropped.
+Cross-channel duplicates share customer, product and calendar day and come
+from two channels or more: one row survives, that of the highest-priority
+channel (e-commerce, then mobile, then point of sale), then the earliest time,
+the smallest id, and further columns; rows equal in all of them are told apart
+by their place in the input, so exactly one survives. Within one channel a
+customer may buy a product twice in a day: such rows are no duplicates, unless
+they carry the same transaction id (a record sent again), of which one
+survives. Rows with a NULL key part are never duplicates. Rows are flagged,
+never dropped.
 
 Plan shape. A window over the duplicate key would send every row of a key to
 one task; one hot key (a bulk customer, a default product) would then stall
 the whole job. Instead:
 
-1. one aggregate per key: row count and the best ordering tuple — a
-   partial/final hash aggregate, so a hot key is pre-combined map-side;
-2. the rows are joined back to that per-key summary. The summary has one row
-   per key (so it grows with the data and is not broadcast blindly); AQE's
-   skew-join handling splits a hot key's rows over several tasks, each joined
-   to the single summary row.
-
-Only keys that occur more than once are kept in the summary, so every row
-whose key is unique (or has a NULL part) takes a left-join miss. In the
-production run the summary is written first and its decoded size measured;
-when it is under a fixed bound it is broadcast and the rows are never
-shuffled, otherwise the join is a shuffle join as above.
-A row is superseded when some row of its key is strictly better; rows tied on
-the whole ordering tuple are all kept (RANK = 1 semantics), so the result does
-not depend on arrival order.
+1. one aggregate per key of count, least and greatest priority: a hash
+   aggregate on fixed-width values, so a hot key is combined map-side;
+2. only the rows of keys with several rows are ordered: the least ordering
+   tuple per cross-channel key, and per repeated id of the others;
+3. rows are left-joined to these survivors, which are far fewer than rows. In
+   the production run they are written first and measured: under a fixed
+   bound they are broadcast and rows are not shuffled, otherwise it is a
+   shuffle join whose hot keys adaptive execution splits. Rows with a NULL
+   key part pass by the joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Channel priority (lower wins) and resolution labels.
@@ -48,12 +48,18 @@ def _priority():
     return out.otherwise(F.lit(len(SOURCE_PRIORITY) + 1))
 
 
-def _order_tuple():
-    return F.struct(
-        _priority().alias("priority"),
-        F.col("transaction_date").alias("ts"),
-        F.col("transaction_id").alias("id"),
-    )
+# Columns that order the rows of a group after the priority.
+ORDER = [
+    "transaction_date",
+    "transaction_id",
+    "source_file",
+    "quantity",
+    "unit_price",
+    "total_amount",
+    "status",
+    "store_id",
+    "payment_method",
+]
 
 
 def mark_stub(df: DataFrame) -> DataFrame:
@@ -63,26 +69,57 @@ def mark_stub(df: DataFrame) -> DataFrame:
     )
 
 
+def _place(df: DataFrame) -> Column:
+    """A row's place: file and row number, or for a frame that is no file scan
+    its partition and row number."""
+    place = F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    try:
+        df.select(place)
+    except AnalysisException:
+        place = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return place
+
+
 def _keyed(silver: DataFrame) -> DataFrame:
-    return silver.withColumn("_dedup_day", F.to_date("transaction_date")).withColumn(
-        "_order", _order_tuple()
+    order = F.struct(_priority().alias("priority"), *ORDER, F.col("_place").alias("place"))
+    return (
+        silver.withColumn("_place", _place(silver))
+        .withColumn("_dedup_day", F.to_date("transaction_date"))
+        .withColumn("_priority", _priority())
+        .withColumn("_order", order)
     )
 
 
+def _has_key() -> Column:
+    return F.col("customer_id").isNotNull() & F.col("product_id").isNotNull() & F.col("_dedup_day").isNotNull()
+
+
 def duplicate_keys(silver: DataFrame) -> DataFrame:
-    """Keys that occur more than once: key, row count ``_n`` and best ordering
-    tuple ``_best``. One partial/final aggregate over the key columns only."""
-    full_key = (
-        F.col("customer_id").isNotNull()
-        & F.col("product_id").isNotNull()
-        & F.col("_dedup_day").isNotNull()
-    )
-    return (
-        _keyed(silver)
-        .filter(full_key)
-        .groupBy(*KEY)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_best"))
+    """Survivors: key, ``_id`` (NULL for a cross-channel key, else the id that
+    one channel sent again) and the best ordering tuple ``_best``."""
+    rows = _keyed(silver).filter(_has_key())
+    several = (
+        rows.groupBy(*KEY)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min("_priority").alias("_least"),
+            F.max("_priority").alias("_most"),
+        )
         .filter(F.col("_n") > 1)
+        .select(*KEY, (F.col("_least") < F.col("_most")).alias("_cross"))
+    )
+    narrow = rows.select(*KEY, F.col("transaction_id").alias("_id"), "_order").join(several, KEY)
+    cross = narrow.filter("_cross").groupBy(*KEY).agg(F.min("_order").alias("_best"))
+    again = (
+        narrow.filter("not _cross")
+        .groupBy(*KEY, "_id")
+        .agg(F.min("_order").alias("_best"), F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") > 1) & F.col("_id").isNotNull())
+    )
+    return cross.select(*KEY, F.lit(None).cast("string").alias("_id"), "_best").unionByName(
+        again.select(*KEY, "_id", "_best")
     )
 
 
@@ -92,35 +129,47 @@ def flag_duplicates(
     dup_keys: DataFrame | None = None,
     broadcast_keys: bool = False,
 ) -> DataFrame:
-    """Flag cross-channel duplicates (U2); returns the input columns plus
-    ``is_duplicate`` and ``duplicate_resolution`` (and ``winner_source`` if
-    asked).
+    """Flag duplicates (U2); returns the input columns plus ``is_duplicate``
+    and ``duplicate_resolution`` (and ``winner_source`` if asked).
 
-    ``dup_keys`` may be a materialised ``duplicate_keys`` table; pass
-    ``broadcast_keys=True`` only when its size has been measured and bounded
-    (``pipeline.run`` does), so the rows are joined without being shuffled.
+    ``silver`` is best a file scan: it is read more than once. ``dup_keys`` may
+    be a materialised ``duplicate_keys`` table; pass ``broadcast_keys=True``
+    only when its size has been measured and bounded (``pipeline.run`` does),
+    so the rows are joined without being shuffled.
     """
     cols = silver.columns
     keys = dup_keys if dup_keys is not None else duplicate_keys(silver)
+    cross = keys.filter("_id is null").select(*KEY, F.col("_best").alias("_cross_best"))
+    again = keys.filter("_id is not null").withColumnRenamed("_best", "_again_best")
     if broadcast_keys:
-        keys = F.broadcast(keys)
-    joined = _keyed(silver).join(keys, on=KEY, how="left")
-    is_best = F.col("_order") == F.col("_best")
+        cross, again = F.broadcast(cross), F.broadcast(again)
+    rows = _keyed(silver)
+    joined = (
+        rows.filter(_has_key())
+        .withColumn("_id", F.col("transaction_id"))
+        .join(cross, on=KEY, how="left")
+        .join(again, on=[*KEY, "_id"], how="left")
+    )
+    best = F.coalesce("_cross_best", "_again_best")
     resolution = (
-        F.when(F.col("_n").isNull(), F.lit(NO_DUPLICATE))
-        .when(is_best, F.lit(KEPT))
+        F.when(best.isNull(), F.lit(NO_DUPLICATE))
+        .when(F.col("_order") == best, F.lit(KEPT))
         .otherwise(F.lit(SUPERSEDED))
     )
-    out = joined.withColumn("duplicate_resolution", resolution).withColumn(
+    flagged = joined.select(
+        *cols, resolution.alias("duplicate_resolution"), best["priority"].alias("_winner")
+    )
+    keyless = rows.filter(~_has_key()).select(
+        *cols, F.lit(NO_DUPLICATE).alias("duplicate_resolution"), F.lit(None).cast("int").alias("_winner")
+    )
+    out = flagged.unionByName(keyless).withColumn(
         "is_duplicate", F.col("duplicate_resolution") == SUPERSEDED
     )
     extra = ["is_duplicate", "duplicate_resolution"]
     if with_winner:
-        names = {rank: source for source, rank in SOURCE_PRIORITY.items()}
         winner = None
-        for rank, source in names.items():
-            cond = F.col("_best.priority") == rank
-            winner = F.when(cond, F.lit(source)) if winner is None else winner.when(cond, F.lit(source))
+        for source, rank in SOURCE_PRIORITY.items():
+            winner = (F.when if winner is None else winner.when)(F.col("_winner") == rank, F.lit(source))
         out = out.withColumn("winner_source", F.when(F.col("is_duplicate"), winner))
         extra.append("winner_source")
     return out.select(*cols, *extra)
@@ -132,7 +181,10 @@ def key_table_bytes() -> list:
     return [
         F.count(F.lit(1)).alias("key_rows"),
         F.sum(
-            F.length("customer_id") + F.length("product_id") + F.length(F.col("_best.id"))
+            F.length("customer_id")
+            + F.length("product_id")
+            + F.coalesce(F.length("_best.transaction_id"), F.lit(0))
+            + F.coalesce(F.length("_best.source_file"), F.lit(0))
         ).alias("key_chars"),
     ]
 
@@ -155,20 +207,25 @@ def summary(flagged: DataFrame) -> DataFrame:
 
 
 def content_duplicates(df: DataFrame, id_col: str, ignore: list[str] | None = None) -> DataFrame:
-    """Same-content copies under different ids.
+    """Same-content copies under different ids (U3): the rows whose content
+    occurs more than once.
 
     Groups rows by every column except the id (and ``ignore``); NULLs group
-    together. Adds ``copies`` (group size) and ``canonical_id`` (smallest id
-    of the group). Like ``flag_duplicates``: aggregate per content, then join
-    back on the content with null-safe equality.
+    together, rows without an id are corrupt and no copies. Adds ``copies``
+    (group size) and ``canonical_id`` (smallest id of the group). Like
+    ``flag_duplicates``: an aggregate that combines before the shuffle, then a
+    join on the content with the groups that have copies, which are few.
     """
     skip = {id_col, *(ignore or [])}
     content = [c for c in df.columns if c not in skip]
-    groups = df.groupBy(*content).agg(
-        F.count(F.lit(1)).alias("copies"), F.min(id_col).alias("canonical_id")
+    known = df.filter(F.col(id_col).isNotNull())
+    groups = (
+        known.groupBy(*content)
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(id_col).alias("canonical_id"))
+        .filter(F.col("copies") > 1)
     )
     g = groups.alias("_g")
-    d = df.alias("_d")
+    d = known.alias("_d")
     cond = [F.col(f"_d.{c}").eqNullSafe(F.col(f"_g.{c}")) for c in content]
     return d.join(g, cond, "inner").select(
         *[F.col(f"_d.{c}") for c in df.columns], F.col("_g.copies"), F.col("_g.canonical_id")

@@ -73,7 +73,8 @@ def score(
     transformation_ts: str | None = None,
     rules: CleaningRules = AS_CODED,
 ) -> DataFrame:
-    """Append quality_score, quality_tier and transformation_timestamp.
+    """Append quality_score, quality_tier, transformation_timestamp and
+    needs_review.
 
     ``transformation_ts`` is the run's timestamp (a literal, so a rerun gives
     the same rows). When None, each row is stamped with its landing time,
@@ -88,6 +89,7 @@ def score(
         unified.withColumn("quality_score", quality_score(rules))
         .withColumn("quality_tier", quality_tier(F.col("quality_score")))
         .withColumn("transformation_timestamp", stamp)
+        .withColumn("needs_review", review_flag())
     )
 
 

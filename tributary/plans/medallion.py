@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tributary.operators import dedup, gold, normalize, quality
 from tributary.rules import AS_CODED, CleaningRules
+from tributary.session import fresh_dir
 from tributary.sources.landing import land_bronze
 
 # The as-of date of the reports over the fixture data.
@@ -76,11 +77,19 @@ class Medallion:
     def rejected(self) -> DataFrame:
         return quality.split_rejected(self.scored)[1]
 
+    @cached_property
+    def stored_main(self) -> DataFrame:
+        """Production rows as a stored table: deduplication reads them more
+        than once, and the feeds are normalised and scored once."""
+        path = fresh_dir(self.spark, "silver-main")
+        self.main.write.parquet(path)
+        return self.spark.read.schema(self.main.schema).parquet(path)
+
     @cached_property
     def deduped(self) -> DataFrame:
         if self.dedup_mode == "none":
             return dedup.mark_stub(self.main)
-        return dedup.flag_duplicates(self.main)
+        return dedup.flag_duplicates(self.stored_main)
 
     # gold -----------------------------------------------------------------
     @cached_property

@@ -46,7 +46,7 @@ def date_parse(c: str, documented: bool = False) -> str:
       WHEN regexp_matches({c}, '^\\d{{2}}/\\d{{2}}/\\d{{4}}$') THEN {slash}
       WHEN regexp_matches({c}, '^\\d{{2}}-\\d{{2}}-\\d{{4}}$') THEN try_strptime({c}, '%d-%m-%Y')
       WHEN regexp_matches({c}, '{EPOCH_GUARD}') THEN
-        CASE WHEN {epoch} BETWEEN -62135596800 AND 253402300799 THEN make_timestamp({epoch} * 1000000) END
+        CASE WHEN {epoch} BETWEEN -9223372036854 AND 9223372036854 THEN make_timestamp({epoch} * 1000000) END
     END)"""
 
 
@@ -146,7 +146,13 @@ UNIFIED = (
     "transaction_id, transaction_date, customer_id, product_id, quantity, unit_price, "
     "store_id, status, payment_method, source_system, ingestion_timestamp, source_file, total_amount"
 )
-SCORED = UNIFIED + ", quality_score, quality_tier, transformation_timestamp"
+SCORED = UNIFIED + ", quality_score, quality_tier, transformation_timestamp, needs_review"
+
+# Order of the rows of a duplicate group; what is equal in all of it is equal.
+TIE = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in "transaction_date transaction_id source_file quantity unit_price total_amount status store_id payment_method".split()
+)
 
 CTES: dict[str, tuple[list[str], str]] = {}
 
@@ -179,8 +185,9 @@ cte(
            WHEN r_prod < 4 THEN NULL WHEN r_prod < 7 THEN '' WHEN r_prod < 10 THEN 'MISSING'
            ELSE 'SKU-' || CAST(1000 + (k * 31) % 9000 AS VARCHAR) END AS PRODUCT_CODE,
       CASE WHEN corrupt THEN 'abc' WHEN r_qty < 2 THEN NULL WHEN r_qty < 4 THEN ''
-           WHEN r_qty < 6 THEN '0' WHEN r_qty < 8 THEN '-1' ELSE CAST(1 + k % 5 AS VARCHAR) END AS QTY,
-      CASE WHEN corrupt THEN 'INVALID' WHEN p = 0 THEN '$' || x WHEN p = 1 THEN 'PHP ' || x
+           WHEN r_qty < 6 THEN '0' WHEN r_qty < 8 THEN '-1'
+           WHEN k % 50 = 13 THEN CAST(100 + k % 401 AS VARCHAR) ELSE CAST(1 + k % 5 AS VARCHAR) END AS QTY,
+      CASE WHEN corrupt THEN 'INVALID' WHEN k % 100 = 13 THEN '0.75' WHEN p = 0 THEN '$' || x WHEN p = 1 THEN 'PHP ' || x
            WHEN p = 2 THEN x || ' USD' WHEN p = 3 THEN replace(x, '.', ',') WHEN p = 4 THEN '-' || x
            WHEN p = 5 THEN NULL WHEN p = 6 THEN '' WHEN p = 7 THEN '0' ELSE x END AS PRICE,
       CASE WHEN corrupt THEN '99/99/9999' WHEN q = 0 THEN NULL WHEN q = 1 THEN ''
@@ -228,8 +235,8 @@ cte(
     f"""SELECT o.o_orderkey AS k, o.o_custkey, o.o_orderdate, o.o_orderkey % 20 = 19 AS broken,
       a.n_items, a.cents, a.qty_total, f.l_partkey AS f_partkey, f.l_quantity AS f_quantity,
       f.l_discount AS f_discount, {landing_day('o.o_orderkey')} AS day
-    FROM orders o JOIN ecom_agg a ON a.l_orderkey = o.o_orderkey
-    JOIN ecom_lines f ON f.l_orderkey = o.o_orderkey AND f.pos = 1""",
+    FROM orders o LEFT JOIN ecom_agg a ON a.l_orderkey = o.o_orderkey
+    LEFT JOIN ecom_lines f ON f.l_orderkey = o.o_orderkey AND f.pos = 1""",
 )
 cte(
     "ecom_raw",
@@ -242,10 +249,10 @@ cte(
       CASE WHEN NOT broken AND (k * 104729 + 4) % 100 >= 5
            THEN 'customer' || CAST(o_custkey AS VARCHAR) || '@example.com' END AS customer_email,
       CASE WHEN NOT broken THEN {pick('k % 5', ['bronze', 'silver', 'gold', 'platinum', None])} END AS loyalty_tier,
-      CAST(CASE WHEN broken THEN 0 ELSE n_items END AS INTEGER) AS item_count,
-      CAST(CASE WHEN broken THEN 0 ELSE qty_total END AS BIGINT) AS item_quantity_total,
-      CASE WHEN NOT broken THEN 'PROD-' || {pad('(k * 31 + 7) % 50 + 1', 4)} END AS first_product_id,
-      CASE WHEN NOT broken THEN 'Product PROD-' || {pad('(k * 31 + 7) % 50 + 1', 4)} END AS first_product_name,
+      CAST(CASE WHEN broken THEN 0 ELSE coalesce(n_items, 0) END AS INTEGER) AS item_count,
+      CAST(CASE WHEN broken THEN 0 ELSE coalesce(qty_total, 0) END AS BIGINT) AS item_quantity_total,
+      CASE WHEN NOT broken AND n_items IS NOT NULL THEN 'PROD-' || {pad('(k * 31 + 7) % 50 + 1', 4)} END AS first_product_id,
+      CASE WHEN NOT broken AND n_items IS NOT NULL THEN 'Product PROD-' || {pad('(k * 31 + 7) % 50 + 1', 4)} END AS first_product_name,
       CASE WHEN NOT broken THEN CAST(1 + CAST(f_quantity AS BIGINT) % 8 AS VARCHAR) END AS first_quantity,
       CASE WHEN NOT broken THEN CAST(1500 + (f_partkey * 3701) % 58500 AS DOUBLE) / 100.0 END AS first_unit_price,
       CASE WHEN NOT broken THEN f_discount END AS first_discount,
@@ -256,7 +263,7 @@ cte(
       CASE WHEN NOT broken THEN 'PH' END AS shipping_country,
       CASE WHEN NOT broken THEN {pick('k % 4', ['Manila', 'Quezon City', 'Makati', 'Cebu'])} END AS shipping_city,
       CASE WHEN broken THEN 'unknown' WHEN k % 10 < 7 THEN 'web' ELSE 'mobile_web' END AS platform,
-      CASE WHEN broken THEN CAST(0 AS DOUBLE) ELSE CAST(cents AS DOUBLE) / 100.0 END AS totalAmount,
+      CASE WHEN broken THEN CAST(0 AS DOUBLE) ELSE CAST(coalesce(cents, 0) AS DOUBLE) / 100.0 END AS totalAmount,
       'ecommerce_platform' AS source_system, 'json' AS source_format,
       CAST(day AS TIMESTAMP) AS ingestion_timestamp,
       'orders_' || strftime(day, '%Y%m%d') || '.json' AS file_name
@@ -276,11 +283,11 @@ cte(
            ELSE {pick('event_id % 4', ['2.1.0', '2.2.0', '2.3.0', '2.4.0'])} END AS app_version,
       CASE WHEN event_type = 'error' THEN 'unknown' ELSE {pick('event_id % 2', ['iOS', 'Android'])} END AS platform,
       CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'click' THEN 'pending'
-           WHEN 'view' THEN 'failed' WHEN 'error' THEN 'error' END AS payment_status,
+           WHEN 'view' THEN 'failed' ELSE event_type END AS payment_status,
       'mobile_app' AS source_system, 'parquet' AS source_format,
       CAST({landing_day('event_id')} AS TIMESTAMP) AS ingestion_timestamp,
       'mobile_txn_' || strftime({landing_day('event_id')}, '%Y%m%d') || '.parquet' AS file_name
-    FROM events WHERE event_type <> 'signup'""",
+    FROM events""",
 )
 def _pos_norm_sql(documented: bool) -> str:
     if documented:
@@ -317,7 +324,7 @@ def _pos_norm_sql(documented: bool) -> str:
 def _mobile_norm_sql(documented: bool) -> str:
     zero = ' AND "timestamp" <> 0' if documented else ""
     return f"""SELECT transaction_id,
-      CASE WHEN "timestamp" BETWEEN -62135596800 AND 253402300799{zero}
+      CASE WHEN "timestamp" BETWEEN -9223372036854 AND 9223372036854{zero}
            THEN make_timestamp("timestamp" * 1000000) END AS transaction_date,
       'DEVICE-' || device_id AS customer_id, product_id, quantity,
       CASE WHEN quantity IS NOT NULL AND quantity > 0 AND amount IS NOT NULL THEN amount / quantity END AS unit_price,
@@ -341,7 +348,8 @@ def _scored_sql(unified: str, clamp: bool) -> str:
     return f"""SELECT {UNIFIED}, quality_score,
       CASE WHEN quality_score >= 90 THEN 'high' WHEN quality_score >= 70 THEN 'medium'
            WHEN quality_score >= 50 THEN 'low' ELSE 'rejected' END AS quality_tier,
-      ingestion_timestamp AS transformation_timestamp
+      ingestion_timestamp AS transformation_timestamp,
+      coalesce(quantity > 100 AND unit_price < 1, false) AS needs_review
     FROM (SELECT *, {score} AS quality_score FROM {unified})"""
 
 
@@ -378,13 +386,16 @@ cte(
     ["silver_main"],
     f"""SELECT {SCORED},
       CASE WHEN customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL THEN 'no_duplicate'
-           WHEN count(*) OVER w = 1 THEN 'no_duplicate'
-           WHEN rank() OVER (w ORDER BY prio, transaction_date, transaction_id) = 1 THEN 'kept_by_priority'
+           WHEN min(prio) OVER w < max(prio) OVER w THEN
+             CASE WHEN row_number() OVER (w ORDER BY prio, {TIE}) = 1 THEN 'kept_by_priority' ELSE 'superseded' END
+           WHEN count(*) OVER r = 1 THEN 'no_duplicate'
+           WHEN row_number() OVER (r ORDER BY {TIE}) = 1 THEN 'kept_by_priority'
            ELSE 'superseded' END AS duplicate_resolution,
-      first_value(source_system) OVER (w ORDER BY prio, transaction_date, transaction_id) AS best_source
+      first_value(source_system) OVER (w ORDER BY prio, {TIE}) AS best_source
     FROM (SELECT *, CASE source_system WHEN 'ecommerce' THEN 1 WHEN 'mobile' THEN 2
                         WHEN 'pos' THEN 3 ELSE 4 END AS prio FROM silver_main)
-    WINDOW w AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE))""",
+    WINDOW w AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE)),
+      r AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE), transaction_id)""",
 )
 cte(
     "dedup",
@@ -585,13 +596,12 @@ def oracle_sql() -> dict[str, str]:
           CAST(1500 + (l.l_partkey * 3701) % 58500 AS DOUBLE) / 100.0 AS unit_price,
           l.l_discount AS discount,
           (1 + CAST(l.l_quantity AS BIGINT) % 8) * (CAST(1500 + (l.l_partkey * 3701) % 58500 AS DOUBLE) / 100.0) AS gross_amount
-        FROM orders o JOIN ecom_lines l ON l.l_orderkey = o.o_orderkey
+        FROM orders o LEFT JOIN ecom_lines l ON l.l_orderkey = o.o_orderkey
         WHERE o.o_orderkey % 20 <> 19
         UNION ALL
         SELECT 'ORD-ERROR-' || CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, NULL, NULL,
           NULL, NULL, NULL, NULL
-        FROM orders WHERE o_orderkey % 20 = 19
-          AND o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+        FROM orders WHERE o_orderkey % 20 = 19""",
         "ecom_lines",
     )
     q["quality_scored"] = with_ctes(f"SELECT {SCORED} FROM scored", "scored")
@@ -604,7 +614,7 @@ def oracle_sql() -> dict[str, str]:
     q["silver_rejected"] = with_ctes(f"SELECT {SCORED} FROM silver_rejected", "silver_rejected")
     q["review_flags"] = with_ctes(
         """SELECT source_system, COUNT(*) AS records,
-          COUNT(CASE WHEN coalesce(quantity > 100 AND unit_price < 1, false) THEN 1 END) AS needs_review
+          COUNT(CASE WHEN quantity > 100 AND unit_price < 1 THEN 1 END) AS needs_review
         FROM scored GROUP BY source_system""",
         "scored",
     )
@@ -659,7 +669,7 @@ def oracle_sql() -> dict[str, str]:
     q["pos_content_duplicates"] = with_ctes(
         f"""SELECT TRANS_ID, CUST_NUM, PRODUCT_CODE, TRANS_DATE, copies, canonical_id FROM (
           SELECT *, COUNT(*) OVER c AS copies, MIN(TRANS_ID) OVER c AS canonical_id
-          FROM pos_raw WINDOW c AS (PARTITION BY {content}))
+          FROM pos_raw WHERE TRANS_ID IS NOT NULL WINDOW c AS (PARTITION BY {content}))
         WHERE copies > 1""",
         "pos_raw",
     )
@@ -756,8 +766,7 @@ def oracle_sql() -> dict[str, str]:
     q["compact_table"] = with_ctes(dedup_cols, "dedup")
     q["cluster_table"] = with_ctes(dedup_cols, "dedup")
     q["schema_evolution"] = with_ctes(
-        f"""SELECT {SCORED}, CASE WHEN source_system <> 'pos'
-            THEN coalesce(quantity > 100 AND unit_price < 1, false) END AS needs_review
+        f"""SELECT {SCORED}, CASE WHEN source_system <> 'pos' THEN 'online' END AS channel_group
         FROM silver_main""",
         "silver_main",
     )
@@ -787,7 +796,7 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN upd THEN ingestion_timestamp + INTERVAL 10 DAY ELSE ingestion_timestamp END AS ingestion_timestamp,
           source_file, total_amount, quality_score, quality_tier,
           CASE WHEN upd THEN transformation_timestamp + INTERVAL 10 DAY ELSE transformation_timestamp END
-            AS transformation_timestamp
+            AS transformation_timestamp, needs_review
         FROM (SELECT *, source_system = 'ecommerce' AND status = 'pending'
                 AND CAST(ingestion_timestamp AS DATE) <= DATE '2024-03-05' AS upd
               FROM silver_main)""",
@@ -820,7 +829,7 @@ def oracle_sql() -> dict[str, str]:
     q["incremental_run"] = with_ctes(
         """SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,
           store_id, status, payment_method, source_system, total_amount, quality_score,
-          quality_tier, is_duplicate, duplicate_resolution
+          quality_tier, needs_review, is_duplicate, duplicate_resolution
         FROM dedup""",
         "dedup",
     )

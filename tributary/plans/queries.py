@@ -339,7 +339,7 @@ def dedup_stub(spark, sf_dir):
 
 @register("dedup_summary")
 def dedup_summary(spark, sf_dir):
-    return dedup.summary(dedup.flag_duplicates(_m(spark, sf_dir).main, with_winner=True))
+    return dedup.summary(dedup.flag_duplicates(_m(spark, sf_dir).stored_main, with_winner=True))
 
 
 # Audit columns are not content: a re-sent copy may arrive in another file.
@@ -347,7 +347,7 @@ def dedup_summary(spark, sf_dir):
 def pos_content_duplicates(spark, sf_dir):
     pos = _m(spark, sf_dir).bronze["pos"].select(*POS_FIELDS)
     flagged = dedup.content_duplicates(pos, "TRANS_ID")
-    return flagged.filter(F.col("copies") > 1).select(
+    return flagged.select(
         "TRANS_ID", "CUST_NUM", "PRODUCT_CODE", "TRANS_DATE", "copies", "canonical_id"
     )
 
@@ -566,12 +566,12 @@ def cluster_table(spark, sf_dir):
 @register("schema_evolution")
 def schema_evolution(spark, sf_dir):
     """Point-of-sale rows written first; the other channels appended later
-    with a new ``needs_review`` column; read with merged schemas."""
+    with a new ``channel_group`` column; read with merged schemas."""
     main = _m(spark, sf_dir).main
     path = fresh_dir(spark, "evolving")
     maintenance.append_evolving(main.filter(F.col("source_system") == "pos"), path)
     maintenance.append_evolving(
-        main.filter(F.col("source_system") != "pos").withColumn("needs_review", quality.review_flag()),
+        main.filter(F.col("source_system") != "pos").withColumn("channel_group", F.lit("online")),
         path,
     )
     return maintenance.read_merged(spark, path)

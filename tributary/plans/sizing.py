@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 # Parquet expands when decoded and shuffled as rows.
 ROW_EXPANSION = 3.0
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -45,7 +44,7 @@ def tune_shuffle(
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001
         cores = 1
-    n = min(MAX_SHUFFLE_PARTITIONS, max(current, cores, wanted))
+    n = max(current, cores, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     return n

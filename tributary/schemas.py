@@ -128,6 +128,7 @@ SCORED_SCHEMA = T.StructType(
         T.StructField("quality_score", T.IntegerType()),
         T.StructField("quality_tier", S),
         T.StructField("transformation_timestamp", T.TimestampType()),
+        T.StructField("needs_review", T.BooleanType()),
     ]
 )
 SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()

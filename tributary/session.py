@@ -9,6 +9,7 @@ set it ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -78,8 +79,9 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def workspace_dir(spark: SparkSession, *parts: str) -> str:
     """Path under the shared workspace (``spark.checkpoint.dir``).
 
-    The setting is read from the session. If it is unset (local mode, tests) a
-    fresh scratch folder is created and registered as the checkpoint dir.
+    The setting is read from the session. If it is unset in local mode (tests)
+    a fresh scratch folder is created and registered as the checkpoint dir; on
+    a cluster a machine-local folder would lose data, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_WORKSPACE.get(id(spark))
     if not base:
@@ -88,6 +90,9 @@ def workspace_dir(spark: SparkSession, *parts: str) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext handle
             base = None
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         base = tempfile.mkdtemp(prefix="tributary-")
         _LOCAL_WORKSPACE[id(spark)] = base
         try:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.plans.sizing import input_bytes
 from tributary.session import workspace_dir
 
 LAYERS = ("bronze", "silver", "gold")
@@ -26,10 +27,10 @@ def delta_available(spark: SparkSession) -> bool:
 
 
 def table_format(spark: SparkSession, requested: str | None = None) -> str:
-    """``delta`` when asked for and installed, else ``parquet``."""
-    if requested == "delta" and delta_available(spark):
-        return "delta"
-    return "parquet"
+    """The requested format, ``parquet`` by default."""
+    if requested == "delta" and not delta_available(spark):
+        raise ValueError("format delta was asked for, but its data source is not on the classpath")
+    return requested or "parquet"
 
 
 def create_layers(spark: SparkSession, base: str) -> None:
@@ -92,19 +93,8 @@ def file_inventory(df: DataFrame) -> DataFrame:
 
 
 def data_file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(data file count, total bytes) under ``path`` from a file-system
-    listing: metadata only, no data is read. Marker and hidden files
-    (``_SUCCESS``, ``.crc``, ``_spark_metadata``) are not counted."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = fs.listFiles(hpath, True)
-    count = size = 0
-    while files.hasNext():
-        st = files.next()
-        rel = str(st.getPath().toUri().getPath())[len(str(hpath.toUri().getPath())):]
-        if any(part.startswith(("_", ".")) for part in rel.split("/") if part):
-            continue
-        count += 1
-        size += st.getLen()
-    return count, size
+    """(data file count, total bytes) under ``path``, from the file list of a
+    scan: Spark lists large folders in parallel and leaves out marker and
+    hidden files; the sizes come from one content summary. No data is read."""
+    files = len(spark.read.parquet(path).inputFiles())
+    return files, input_bytes(spark, [path])

@@ -118,10 +118,12 @@ def pos_raw(orders: DataFrame) -> DataFrame:
         .when(r_qty < 4, F.lit(""))
         .when(r_qty < 6, F.lit("0"))
         .when(r_qty < 8, F.lit("-1"))
+        .when(k % 50 == 13, (F.lit(100) + k % 401).cast("string"))
         .otherwise((F.lit(1) + k % 5).cast("string"))
     )
     price = (
         F.when(corrupt, F.lit("INVALID"))
+        .when(k % 100 == 13, F.lit("0.75"))
         .when(p == 0, F.concat(F.lit("$"), x))
         .when(p == 1, F.concat(F.lit("PHP "), x))
         .when(p == 2, F.concat(x, F.lit(" USD")))
@@ -179,7 +181,8 @@ def pos_raw(orders: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def ecommerce_raw(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One nested row per order that has lines; k % 20 = 19 is a broken order.
+    """One nested row per order, one without lines included (an empty array);
+    k % 20 = 19 is a broken order.
 
     A line's position is its rank in (linenumber, partkey, suppkey, shipdate,
     extendedprice) order within the order. The array is bounded by the order
@@ -251,10 +254,10 @@ def ecommerce_raw(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             _pick(k % 4, ["Manila", "Quezon City", "Makati", "Cebu"]).alias("city"),
         ).alias("address"),
     )
-    items = F.transform(F.col("_lines"), item)
     empty = F.array().cast(ECOMMERCE_SCHEMA["lineItems"].dataType)
+    items = F.coalesce(F.transform(F.col("_lines"), item), empty)
     day = landing_day(k)
-    joined = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "inner")
+    joined = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"], "left")
     return joined.select(
         F.when(broken, F.concat(F.lit("ORD-ERROR-"), k.cast("string")))
         .otherwise(F.concat(F.lit("ORD-"), pad(k, 8)))
@@ -268,7 +271,7 @@ def ecommerce_raw(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         .when(k % 10 < 7, F.lit("web"))
         .otherwise(F.lit("mobile_web"))
         .alias("platform"),
-        F.when(broken, F.lit(0.0)).otherwise(F.col("_cents") / F.lit(100.0)).alias("totalAmount"),
+        F.when(broken, F.lit(0.0)).otherwise(F.coalesce("_cents", F.lit(0)) / F.lit(100.0)).alias("totalAmount"),
         *_audit(day, "ecommerce_platform", "json", "orders_", ".json"),
     )
 
@@ -278,13 +281,14 @@ def ecommerce_raw(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def mobile_raw(events: DataFrame) -> DataFrame:
-    """One row per event other than signup; 'error' events are broken rows."""
+    """One row per event; 'error' events are broken rows, 'signup' is a status
+    that no mapping knows."""
     e = F.col("event_id")
     et = F.col("event_type")
     broken = et == "error"
     epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
     day = landing_day(e)
-    return events.filter(et != "signup").select(
+    return events.select(
         F.when(~broken, F.concat(F.lit("MTX-"), e.cast("string"))).alias("transaction_id"),
         F.when(~broken, F.concat(F.lit("MP-"), ((e * 17) % 200).cast("string"))).alias(
             "product_id"
@@ -302,7 +306,7 @@ def mobile_raw(events: DataFrame) -> DataFrame:
         F.when(et == "purchase", F.lit("completed"))
         .when(et == "click", F.lit("pending"))
         .when(et == "view", F.lit("failed"))
-        .when(et == "error", F.lit("error"))
+        .when(et.isin("error", "signup"), et)
         .alias("payment_status"),
         *_audit(day, "mobile_app", "parquet", "mobile_txn_", ".parquet"),
     )
