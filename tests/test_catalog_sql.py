@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import glob
+import os
+
+import pytest
+
 from pyspark.sql import functions as F
 
 from tributary.operators import gold
 from tributary.plans import pipeline
 from tributary.session import fresh_dir
 
+from tributary.rules import DOCUMENTED
+
 from conftest import SF_SMALL
 
 
@@ -59,9 +66,9 @@ def test_pipeline_from_landing_files_matches_fixture_run(spark):
     paths = landing.write_landing_files(m.bronze, fresh_dir(spark, "t-landing"))
     res = pipeline.run(
         spark, None, fresh_dir(spark, "t-lake-files"), landing_paths=paths,
-        ingestion_ts="2024-03-10 00:00:00", register=False,
+        ingestion_ts="2024-03-10 00:00:00", register=False, period="month",
     )
-    from_files = spark.read.parquet(res.tables["gold.revenue_by_source"])
+    from_files = spark.read.parquet(res.tables["gold.revenue_by_source"]).drop("sale_period")
     assert _bag(from_files) == _bag(m.revenue_by_source)
     assert res.metrics["scored_rows"] == m.scored.count()
 
@@ -94,18 +101,37 @@ def test_increment_equals_full_rebuild(spark):
     paths = {k: landing.write_landing_files(v, fresh_dir(spark, f"t-inc-{k}")) for k, v in parts.items()}
     ts = "2024-03-10 00:00:00"
     full = pipeline.run(spark, None, fresh_dir(spark, "t-full"), landing_paths=paths["all"],
-                        ingestion_ts=ts, register=False)
+                        ingestion_ts=ts, register=False, period="month")
     first = pipeline.run(spark, None, fresh_dir(spark, "t-inc"), landing_paths=paths["first"],
-                         ingestion_ts=ts, register=False)
-    prev, seq = pipeline.load_manifest(spark, first.base)
-    assert seq == 0 and prev.tables == first.tables
-    inc = pipeline.run_increment(spark, prev, paths["second"], ingestion_ts=ts, seq=seq)
-    assert pipeline.load_manifest(spark, first.base)[1] == 1
-    assert inc.metrics["affected_days"] > 0
+                         ingestion_ts=ts, register=False, period="month")
+    day = "2024-03-10"
+    with pytest.raises(ValueError, match="dedup_mode"):
+        pipeline.run_increment(spark, first.base, paths["second"], dedup_mode="none")
+    with pytest.raises(ValueError, match="rules"):
+        pipeline.run_increment(spark, first.base, paths["second"], rules=DOCUMENTED)
+    for _ in range(2):  # the retry changes nothing
+        inc = pipeline.run_increment(spark, first.base, paths["second"], ingestion_ts=ts, report_date=day)
+    assert inc.metrics["affected_periods"] > 0
+    for n, t in (("pos", "pos_raw"), ("ecommerce", "ecommerce_raw"), ("mobile", "mobile_raw")):
+        assert spark.read.parquet(inc.tables[f"bronze.{t}"]).count() == bronze[n].count()
     for table in ["silver.unified_scored", "silver.unified_sales_deduped", "gold.revenue_by_source",
                   "gold.product_performance", "gold.data_quality_metrics", "gold.executive_summary"]:
         # source_file is lineage: the two landings used different files.
-        a = spark.read.parquet(full.tables[table]).drop("source_file")
+        a = spark.read.parquet(full.tables[table]).drop("source_file", "batch")
         b = spark.read.parquet(inc.tables[table]).select(*a.columns)
         assert a.count() == b.count(), table
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
+
+    # A batch of one sale rewrites the files of its month only.
+    def times():
+        root = inc.tables["silver.unified_sales_deduped"]
+        return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{root}/sale_period=*/*.parquet")}
+
+    one = {n: df.limit(0) for n, df in bronze.items()}
+    one["mobile"] = bronze["mobile"].filter("transaction_id is not null").limit(1)
+    before = times()
+    pipeline.run_increment(spark, first.base, landing.write_landing_files(one, fresh_dir(spark, "t-inc-one")),
+                           ingestion_ts=ts, report_date=day)
+    after = times()
+    same = {os.path.dirname(p) for p in before if after.get(p) == before[p]}
+    assert len({os.path.dirname(p) for p in before} - same) == 1

@@ -148,9 +148,25 @@ def test_half_up_is_symmetric(spark):
     assert got == {1: -90.5, 2: -3.7}
 
 
-def test_exact_aggregates_skip_nan_under_ansi(spark, ansi):
+def test_exact_aggregates_leave_nothing_out(spark, ansi):
+    """A value that no DECIMAL holds counts as in a plain SUM and AVG."""
     from tributary.functions.exact import exact_avg, exact_sum, half_up_avg
 
-    df = spark.createDataFrame([(1.0,), (float("nan"),), (float("inf"),), (2.0,)], "x double")
-    r = df.agg(exact_sum("x").alias("s"), exact_avg("x").alias("a"), half_up_avg("x", 2).alias("h")).first()
-    assert (r.s, r.a, r.h) == (3.0, 1.5, 1.5)
+    inf, nan = float("inf"), float("nan")
+    cases = {
+        1: ([1.0, nan, 2.0], nan, nan, nan),
+        2: ([1.0, inf], inf, inf, inf),
+        3: ([1e33, 2.0], 1e33, 5e32, 5e32),
+        4: ([1e28, 2.0], 1e28, 5e27, 5e27),
+        5: ([1e20, 2.0], 1e20, 5e19, 5e19),
+        6: ([1e31] * 12, 1.2e32, 1e31, 1e31),
+        7: ([None], None, None, None),
+        8: ([0.125, 0.125], 0.25, 0.125, 0.13),
+        9: ([-1e20, -1.0], -1e20, -5e19, -5e19),
+    }
+    df = spark.createDataFrame([(g, x) for g, (xs, *_) in cases.items() for x in xs], "g int, x double")
+    rows = df.groupBy("g").agg(exact_sum("x").alias("s"), exact_avg("x").alias("a"), half_up_avg("x", 2).alias("h"))
+    for r in rows.collect():
+        for got, want in zip((r.s, r.a, r.h), cases[r.g][1:]):
+            same = got is None if want is None else got != got if want != want else got == pytest.approx(want, rel=1e-15)
+            assert same, (r, want)

@@ -17,13 +17,47 @@ def test_snapshot_versions_and_time_travel(spark):
     t = maintenance.SnapshotTable(spark, fresh_dir(spark, "t-snap"))
     a = spark.range(10).withColumn("v", F.lit("a"))
     b = spark.range(5).withColumn("v", F.lit("b"))
-    assert t.publish(a, "WRITE", "2024-01-01 00:00:00") == 0
-    assert t.publish(b, "OVERWRITE", "2024-01-02 00:00:00") == 1
+    assert t.publish(a, "WRITE") == 0
+    assert t.publish(b, "OVERWRITE") == 1
     assert t.read(0).count() == 10 and t.read().count() == 5
     hist = [(r.version, r.operation, r.num_rows) for r in t.history().collect()]
     assert hist == [(1, "OVERWRITE", 5), (0, "WRITE", 10)]
     diff = t.diff(0, 1).groupBy("change").count().collect()
     assert {r.change: r["count"] for r in diff} == {"added": 5, "removed": 10}
+    t.publish(b.withColumn("extra", F.lit(1)), "EVOLVE")
+    assert t.read().columns == ["id", "v", "extra"] and t.read(0).columns == ["id", "v"]
+
+
+def test_stream_dedup_keeps_late_rows(spark):
+    """Three runs on one checkpoint; a row far behind with a new key stays."""
+    out = fresh_dir(spark, "t-late")
+    cols = ["transaction_id", "transaction_date", "customer_id", "product_id", "quantity", "unit_price", "store_id",
+            "status", "payment_method", "source_system", "ingestion_timestamp", "source_file", "total_amount", "quality_tier"]
+
+    def land(rows):
+        made = [(i, d, c, "P", 1, 1.0, "S", "completed", "cash", "pos", f"{d} 12:00:00", "f", 1.0, "high") for i, d, c in rows]
+        df = spark.createDataFrame(made, cols)
+        df = df.withColumn("transaction_date", F.col("transaction_date").cast("timestamp"))
+        df = df.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(f"{out}/in")
+        incremental.stream_dedup(spark, f"{out}/in", f"{out}/sink", f"{out}/ck")
+        incremental.stream_revenue(spark, f"{out}/in", f"{out}/rev", f"{out}/ck-rev")
+        return {r.transaction_id for r in spark.read.parquet(f"{out}/sink").collect()}
+
+    assert land([("A", "2024-03-01", "c1"), ("N", "2024-03-01", None)]) == {"A", "N"}
+    assert land([("A2", "2024-03-20", "c1"), ("B", "2024-03-01", "c1")]) == {"A", "N", "A2"}
+    assert land([("LATE", "2024-03-02", "c9"), ("C", "2024-03-20", "c1")]) == {"A", "N", "A2", "LATE"}
+    days = {str(r.transaction_date): (r.transactions, r.revenue) for r in incremental.read_revenue(spark, f"{out}/rev").collect()}
+    assert days == {"2024-03-01": (3, 3.0), "2024-03-02": (1, 1.0), "2024-03-20": (2, 2.0)}
+
+
+def test_string_clustering_uses_whole_values(spark):
+    df = spark.range(20000).select(F.format_string("CUST-%08d", F.col("id") * 7919 % 20000).alias("c"), "id")
+    path = fresh_dir(spark, "t-strings")
+    maintenance.cluster(df, ["c"], num_files=8).write.parquet(path)
+    back = spark.read.parquet(path).withColumn("f", F.col("_metadata.file_path"))
+    spans = back.groupBy("f").agg((F.max("c").substr(6, 8).cast("int") - F.min("c").substr(6, 8).cast("int")).alias("s"))
+    assert spans.agg(F.avg("s")).first()[0] < 20000 / 4
 
 
 def test_compaction_reduces_files_and_keeps_rows(spark):

@@ -21,7 +21,7 @@ def test_tune_shuffle_scales_with_bytes_and_never_lowers(spark, monkeypatch):
         n = sizing.tune_shuffle(spark, ["x"])
         assert n == 1200 and spark.conf.get("spark.sql.shuffle.partitions") == "1200"
         monkeypatch.setattr(sizing, "input_bytes", lambda s, p: 10**16)
-        assert sizing.tune_shuffle(spark, ["x"]) == 111759  # no cap
+        assert sizing.tune_shuffle(spark, ["x"]) == 111758709  # no cap
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_advisory)

@@ -33,8 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--lake", required=True)
     r.add_argument("--rules", choices=["as_coded", "documented"], default="as_coded")
     r.add_argument("--dedup", choices=["priority", "none"], default="priority")
-    r.add_argument("--transformation-ts")
-    r.add_argument("--report-date", default="2024-03-10")
+    r.add_argument("--transformation-ts", help="default: now")
+    r.add_argument("--report-date", help="default: today")
     r.add_argument("--master")
     inc = sub.add_parser("increment")
     inc.add_argument("--lake", required=True)
@@ -43,8 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     inc.add_argument("--mobile-parquet", required=True)
     inc.add_argument("--ingestion-ts")
     inc.add_argument("--rules", choices=["as_coded", "documented"], default="as_coded")
-    inc.add_argument("--transformation-ts")
-    inc.add_argument("--report-date", default="2024-03-10")
+    inc.add_argument("--dedup", choices=["priority", "none"], default="priority")
+    inc.add_argument("--batch", help="name of the batch (default: from its folders)")
+    inc.add_argument("--transformation-ts", help="default: now")
+    inc.add_argument("--report-date", help="default: today")
     inc.add_argument("--master")
     q = sub.add_parser("query")
     q.add_argument("name")
@@ -86,8 +88,8 @@ def main(argv: list[str] | None = None) -> int:
             args.input,
             args.lake,
             rules=rules,
-            transformation_ts=args.transformation_ts,
-            report_date=args.report_date,
+            transformation_ts=args.transformation_ts or pipeline.now(),
+            report_date=args.report_date or pipeline.today(),
             landing_paths=landing or None,
             ingestion_ts=args.ingestion_ts,
             dedup_mode=args.dedup,
@@ -98,17 +100,17 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "increment":
         from tributary.plans import pipeline
 
-        prev, seq = pipeline.load_manifest(spark, args.lake)
         res = pipeline.run_increment(
             spark,
-            prev,
+            args.lake,
             {"pos": args.pos_csv, "ecommerce": args.ecommerce_json, "mobile": args.mobile_parquet},
             rules=DOCUMENTED if args.rules == "documented" else AS_CODED,
-            transformation_ts=args.transformation_ts,
-            report_date=args.report_date,
+            transformation_ts=args.transformation_ts or pipeline.now(),
+            report_date=args.report_date or pipeline.today(),
             ingestion_ts=args.ingestion_ts,
             register=True,
-            seq=seq,
+            dedup_mode=args.dedup,
+            batch=args.batch,
         )
         print(json.dumps({"tables": res.tables, "timings": res.timings, "metrics": res.metrics}))
         return 0

@@ -83,7 +83,8 @@ def _place(df: DataFrame) -> Column:
 
 
 def _keyed(silver: DataFrame) -> DataFrame:
-    order = F.struct(_priority().alias("priority"), *ORDER, F.col("_place").alias("place"))
+    known = [c for c in ORDER if c in silver.columns]
+    order = F.struct(_priority().alias("priority"), *known, F.col("_place").alias("place"))
     return (
         silver.withColumn("_place", _place(silver))
         .withColumn("_dedup_day", F.to_date("transaction_date"))

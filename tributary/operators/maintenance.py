@@ -2,44 +2,35 @@
 
 Without a table format on the classpath, versioning is done with plain files:
 
-* a **snapshot table** keeps each published version under
-  ``data/snapshot_version=<v>/`` and a small commit table ``_commits`` with one
-  row per version. Data is written first and the commit row last, so a
-  reader that resolves versions from the commit table never sees a half
-  written version (single writer assumed). Reading a version is a
-  partition-pruned scan.
-* **compaction** rewrites the latest version into files of a target size,
-  with the file count derived from the measured bytes, as a new version.
+* a **snapshot table** is a partitioned table: each published version is one
+  ``snapshot_version=<v>/operation=<op>`` folder. Reading a version reads its
+  folder, with the columns that this version has; the history is a GROUP BY of
+  the partition columns. One writer at a time publishes.
+* **compaction** rewrites the latest version into files of a target size as a
+  new version: the scan packs small files up to that size, and each scan task
+  writes one file, so no row is shuffled and their order stays.
 * **clustering** orders rows by an interleaved-bits (Z-order) key over the
   chosen columns so Parquet row-group min/max statistics stay tight for
-  filters on any of them. Column values are mapped to buckets by
-  approximate quantile boundaries (a bounded list per column), never by a
-  global sort or rank.
+  filters on any of them. Column values are mapped to buckets by approximate
+  quantiles (a bounded list per column), never by a global sort or rank; the
+  number of files follows from the bytes.
 * **schema evolution** appends batches with new columns; reads merge the
   file schemas.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import math
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.sources.catalog import data_file_stats
+from tributary.sources.catalog import data_file_stats, file_inventory
 
 VERSION_COL = "snapshot_version"
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("num_rows", T.LongType()),
-        T.StructField("num_files", T.LongType()),
-    ]
-)
+OPERATION_COL = "operation"
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 # --------------------------------------------------------------------------
@@ -50,91 +41,83 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.data_path = f"{self.path}/data"
-        self.commit_path = f"{self.path}/_commits"
-
-    def _fs_exists(self, p: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        return hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
 
     def version_path(self, version: int) -> str:
-        return f"{self.data_path}/{VERSION_COL}={version}"
+        return f"{self.path}/{VERSION_COL}={version}"
+
+    def versions(self) -> list[int]:
+        """Published versions, from the folder names."""
+        hpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hpath):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(hpath)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{VERSION_COL}="))
 
     def history(self, limit: int | None = None) -> DataFrame:
-        """Commit rows, newest first (M1: ``DESCRIBE HISTORY``)."""
-        if not self._fs_exists(self.commit_path):
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        h = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commit_path).orderBy(
-            F.col("version").desc()
+        """Versions, newest first (M1): operation, rows, time and files."""
+        rows = self.spark.read.parquet(self.path).groupBy(
+            F.col(VERSION_COL).cast("long").alias("version"), OPERATION_COL
         )
+        h = rows.agg(
+            F.count(F.lit(1)).alias("num_rows"),
+            F.max("_metadata.file_modification_time").alias("timestamp"),
+            F.count_distinct("_metadata.file_path").alias("num_files"),
+        ).orderBy(F.col("version").desc())
         return h.limit(limit) if limit else h
 
-    def latest_version(self) -> int | None:
-        row = self.history().agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
-
-    def publish(
-        self,
-        df: DataFrame,
-        operation: str = "WRITE",
-        committed_at: str | None = None,
-        num_files: int | None = None,
-    ) -> int:
-        """Write ``df`` as the next version, then commit it."""
-        latest = self.latest_version()
-        version = 0 if latest is None else latest + 1
-        obs = Observation(f"snapshot_{version}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        writer.parquet(self.version_path(version))
-        rows = int(obs.get["rows"])
-        if num_files is None:
-            num_files = data_file_stats(self.spark, self.version_path(version))[0]
-        ts = (
-            dt.datetime.fromisoformat(committed_at)
-            if committed_at
-            else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        )
-        commit = self.spark.createDataFrame([(version, ts, operation, rows, num_files)], COMMIT_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self.commit_path)
+    def publish(self, df: DataFrame, operation: str = "WRITE") -> int:
+        """Write ``df`` as the next version."""
+        version = max(self.versions(), default=-1) + 1
+        df.write.mode("overwrite").parquet(f"{self.version_path(version)}/{OPERATION_COL}={operation}")
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
-        """Rows of ``version`` (default: latest committed) — a pruned scan
+        """Rows of ``version`` (default: the latest), with its own columns
         (M2: time travel)."""
         if version is None:
-            version = self.latest_version()
+            version = max(self.versions(), default=None)
         if version is None:
-            raise ValueError(f"no committed version at {self.path}")
-        df = self.spark.read.option("basePath", self.data_path).parquet(self.data_path)
-        return df.filter(F.col(VERSION_COL) == version).drop(VERSION_COL)
+            raise ValueError(f"no version at {self.path}")
+        return self.spark.read.parquet(self.version_path(version)).drop(OPERATION_COL)
 
     def diff(self, old: int, new: int) -> DataFrame:
-        """Rows added in ``new`` and removed from ``old`` (multiset)."""
+        """Rows added in ``new`` and removed from ``old`` (multiset): one
+        signed count per distinct row. A column that one version lacks is NULL
+        there."""
         a, b = self.read(old), self.read(new)
-        return b.exceptAll(a).withColumn("change", F.lit("added")).unionByName(
-            a.exceptAll(b).withColumn("change", F.lit("removed"))
-        )
+        both = b.withColumn("_n", F.lit(1)).unionByName(a.withColumn("_n", F.lit(-1)), allowMissingColumns=True)
+        cols = [c for c in both.columns if c != "_n"]
+        changed = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+        times = F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_i")
+        change = F.when(F.col("_n") > 0, "added").otherwise("removed").alias("change")
+        return changed.select(*cols, change, times).drop("_i")
 
 
 # --------------------------------------------------------------------------
 # compaction (M3)
 # --------------------------------------------------------------------------
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES, committed_at: str | None = None) -> dict:
+def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES) -> dict:
     """Rewrite the latest version into ~target-sized files as a new version
-    (OPTIMIZE). The file count comes from the measured bytes (a file-system
-    listing, no data read); the rewrite is a round-robin repartition, so
-    every output file gets an equal share regardless of key skew."""
-    latest = table.latest_version()
-    src = table.read(latest)
-    files_before, total_bytes = data_file_stats(table.spark, table.version_path(latest))
-    n = max(1, math.ceil(total_bytes / target_file_bytes))
-    version = table.publish(src.repartition(n), "OPTIMIZE", committed_at)
-    files_after, _ = data_file_stats(table.spark, table.version_path(version))
+    (OPTIMIZE): scan tasks pack files up to the target and write one each."""
+    spark = table.spark
+    latest = max(table.versions())
+    files_before, _ = data_file_stats(spark, table.version_path(latest))
+    packing = {
+        "spark.sql.files.maxPartitionBytes": str(target_file_bytes),
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in packing}
+    for k, v in packing.items():
+        spark.conf.set(k, v)
+    try:
+        version = table.publish(table.read(latest), "OPTIMIZE")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files_after, _ = data_file_stats(spark, table.version_path(version))
     return {"version": version, "files_before": files_before, "files_after": files_after}
 
 
@@ -148,15 +131,31 @@ def _ordinal(c: Column, dtype: T.DataType) -> Column:
         v = F.unix_micros(c.cast("timestamp")).cast("double")
     elif isinstance(dtype, T.DateType):
         v = F.unix_date(c).cast("double")
-    elif isinstance(dtype, T.StringType):
-        # First 6 UTF-8 bytes as a big-endian number: the prefix's order.
-        prefix = F.substring(F.encode(c, "UTF-8"), 1, 6)
-        v = F.conv(F.rpad(F.hex(prefix), 12, "0"), 16, 10).cast("double")
     else:
         v = c.cast("double")
     return F.coalesce(v, F.lit(-1.0e300))
 
 
+# Strings are compared with so many sampled quantiles; the sample has about
+# so many rows. Both only decide how well files are laid out.
+STRING_BUCKETS = 64
+STRING_SAMPLE = 100_000
+
+
+def _string_rank(df: DataFrame, name: str) -> Column:
+    """Number of sampled quantiles below a string: its whole text decides."""
+    n = df.count()
+    some = df.select(name).filter(F.col(name).isNotNull())
+    if n > STRING_SAMPLE:
+        some = some.sample(STRING_SAMPLE / n, seed=1)
+    found = sorted(r[0] for r in some.collect())
+    cuts = sorted({found[i * len(found) // STRING_BUCKETS] for i in range(1, STRING_BUCKETS)}) if found else []
+    if not cuts:
+        return F.lit(0.0)
+    rank = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b <= F.col(name)))
+    return F.coalesce(rank, F.lit(-1)).cast("double")
+
+
 def with_zorder(
     df: DataFrame, columns: list[str], buckets: int = 1024, accuracy: int = 10000, out: str = "_z"
 ) -> DataFrame:
@@ -173,7 +172,9 @@ def with_zorder(
     bits = max(1, (buckets - 1).bit_length())
     tmp = df
     for j, c in enumerate(columns):
-        tmp = tmp.withColumn(f"_o{j}", _ordinal(F.col(c), df.schema[c].dataType))
+        kind = df.schema[c].dataType
+        ordinal = _string_rank(df, c) if isinstance(kind, T.StringType) else _ordinal(F.col(c), kind)
+        tmp = tmp.withColumn(f"_o{j}", ordinal)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = tmp.agg(
         *[F.percentile_approx(f"_o{j}", probs, accuracy).alias(f"_o{j}") for j in range(len(columns))]
@@ -192,13 +193,19 @@ def with_zorder(
     return tmp.withColumn(out, key).drop(*helper)
 
 
-def cluster(df: DataFrame, columns: list[str], num_files: int | None = None) -> DataFrame:
-    """Range-partition and sort by the Z-order key (OPTIMIZE ZORDER BY).
+def cluster(
+    df: DataFrame,
+    columns: list[str],
+    num_files: int | None = None,
+    target_file_bytes: int = TARGET_FILE_BYTES,
+) -> DataFrame:
+    """Range-partition and sort by the Z-order key (OPTIMIZE ZORDER BY) a
+    stored table; without ``num_files`` their number follows from its bytes.
 
     The range partitioning also orders by a row hash after the key, so rows
     sharing one hot key value are split across several files instead of one.
     """
-    n = num_files or df.sparkSession.sparkContext.defaultParallelism
+    n = num_files or max(1, math.ceil((file_inventory(df).first()["total_bytes"] or 0) / target_file_bytes))
     cols = df.columns
     return (
         with_zorder(df, columns)

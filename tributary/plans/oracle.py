@@ -739,12 +739,67 @@ def oracle_sql() -> dict[str, str]:
         ("gold.data_quality_metrics", "gold_quality"),
         ("gold.executive_summary", "gold_exec"),
     ]
+    first = {
+        "gold.revenue_by_source": "source_system",
+        "gold.product_performance": "product_id",
+        "gold.data_quality_metrics": "source_system",
+        "gold.executive_summary": "report_date",
+    }
     q["layer_roundtrip"] = with_ctes(
         "\nUNION ALL ".join(
-            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {src}" for name, src in lake
+            f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, "
+            f"COUNT(DISTINCT {first.get(name, 'transaction_id')}) AS distinct_keys, "
+            f"COUNT({first.get(name, 'total_amount')}) AS filled FROM {src}"
+            for name, src in lake
         ),
         *[src for _, src in lake],
     )
+    stored = [(f"{layer}.{name}", src) for layer, name, src in layer_rows if name not in ("unified_sales", "sales_rejected")]
+    stored.append(("silver.unified_scored", "scored"))
+    q["file_inventory"] = with_ctes(
+        "\nUNION ALL ".join(
+            f"SELECT '{name}' AS table_name, true AS has_files, true AS sizes_fit, COUNT(*) AS row_count FROM {src}"
+            for name, src in stored
+        ),
+        *[src for _, src in stored],
+    )
+    fields = "[" + ", ".join(f"'{c}'" for c in "abcdefghijkl") + "]"
+    q["landing_rejects"] = f"""
+        SELECT 'pos' AS feed, true AS from_text_file, CASE o_orderkey % 50
+          WHEN 0 THEN 'POS' || CAST(o_orderkey AS VARCHAR) || ',C1,SKU-1,1'
+          ELSE 'POS,' || CAST(o_orderkey AS VARCHAR) || ',' || array_to_string({fields}, ',') END AS raw_text
+        FROM orders WHERE o_orderkey % 50 < 2
+        UNION ALL
+        SELECT 'ecommerce', true, '{{"orderId": "ORD-' || CAST(o_orderkey AS VARCHAR) || '", "customer": {{"cust'
+        FROM orders WHERE o_orderkey % 50 = 2"""
+    q["epoch_range"] = """
+        SELECT event_id, CAST(v AS VARCHAR) AS raw_value,
+          CASE WHEN abs(v) <= 9223372036854 THEN v END AS seconds
+        FROM (SELECT event_id, unnest([s, s * 1000, -s * 1000, s * 1000000]) AS v
+              FROM (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events))"""
+    # Whole cents of the ordinary totals are added as integers.
+    q["exact_aggregates"] = """
+        WITH v AS (
+          SELECT CAST(o_orderkey % 97 AS INTEGER) AS g, o_orderkey BETWEEN 1 AND 6 AS odd,
+            CASE o_orderkey WHEN 1 THEN CAST('NaN' AS DOUBLE) WHEN 2 THEN CAST('Infinity' AS DOUBLE)
+              WHEN 3 THEN 1e20 WHEN 4 THEN 1e28 WHEN 5 THEN 1e33 WHEN 6 THEN -1e33
+              ELSE CASE WHEN o_orderkey % 97 <> 7 THEN o_totalprice END END AS x FROM orders
+        ), s AS (
+          SELECT g, COUNT(x) AS n, MAX(CASE WHEN odd THEN x END) AS special,
+            SUM(CASE WHEN NOT odd THEN CAST(round(x * 100) AS HUGEINT) END) AS cents FROM v GROUP BY g
+        ), t AS (
+          SELECT g, n, special, cents,
+            CASE WHEN special IS NOT NULL THEN special ELSE CAST(cents AS DOUBLE) / 100 END AS total FROM s
+        ), u AS (
+          SELECT *, total / n AS mean,
+            CASE WHEN special IS NOT NULL THEN total / n
+              ELSE CAST((2 * cents + n) // (2 * n) AS DOUBLE) / 100 END AS mean_2 FROM t
+        )
+        SELECT g, n, """ + ", ".join(
+        f"CASE WHEN isnan({c}) OR isinf({c}) OR abs({c}) < 1e15 THEN {c} "
+        f"ELSE sign({c}) * round(log10(abs({c})), 6) END AS {c}"
+        for c in ("total", "mean", "mean_2")
+    ) + " FROM u"
     q["snapshot_history"] = with_ctes(
         """SELECT CAST(v AS BIGINT) AS version, op AS operation, (SELECT COUNT(*) FROM silver_main) AS num_rows
         FROM (VALUES (0, 'WRITE'), (1, 'OVERWRITE'), (2, 'OPTIMIZE')) AS t(v, op)""",
@@ -772,11 +827,15 @@ def oracle_sql() -> dict[str, str]:
     )
     q["stream_silver"] = with_ctes(f"SELECT {SCORED} FROM scored", "scored")
     q["stream_dedup"] = with_ctes(
-        """SELECT DISTINCT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day
-        FROM silver_main
-        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL
+        f"""SELECT {SCORED}, dedup_day FROM (
+          SELECT *, CAST(transaction_date AS DATE) AS dedup_day,
+            row_number() OVER (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE)
+              ORDER BY ingestion_timestamp, source_system, {TIE}) AS arrival
+          FROM silver_main
+          WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL)
+        WHERE arrival = 1
         UNION ALL
-        SELECT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day
+        SELECT {SCORED}, CAST(transaction_date AS DATE) AS dedup_day
         FROM silver_main
         WHERE customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL""",
         "silver_main",

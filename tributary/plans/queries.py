@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import codes, dates, prices
+from tributary.functions.exact import exact_avg, exact_sum, half_up_avg
 from tributary.operators import dedup, gold, maintenance, normalize, profile, quality
 from tributary.plans import pipeline
-from tributary.plans.medallion import Medallion
+from tributary.plans.medallion import DEFAULT_REPORT_DATE, Medallion
 from tributary.rules import DOCUMENTED
-from tributary.schemas import MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS
+from tributary.schemas import DEDUP_COLUMNS, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS
 from tributary.session import apply_runtime_conf, fresh_dir
 from tributary.sources import catalog, landing
 from tributary.streaming import incremental
@@ -407,7 +408,66 @@ def quality_trend_7d(spark, sf_dir):
 
 @register("layer_audit")
 def layer_audit(spark, sf_dir):
-    return profile.row_counts(_m(spark, sf_dir).layer_tables())
+    """Row counts of the ten tables that a run stores and registers."""
+    _lake(spark, sf_dir)
+    names = [tuple(t.split(".")) for t in AUDITED]
+    return profile.row_counts({n: spark.table(".".join(n)) for n in names})
+
+
+# Extreme values, one per group, among the orders' totals: what a price text
+# can turn into. The group is the order key modulo EXACT_GROUPS.
+EXACT_GROUPS = 97
+EXTREMES = {1: "NaN", 2: "Infinity", 3: "1e20", 4: "1e28", 5: "1e33", 6: "-1e33"}
+
+
+@register("exact_aggregates")
+def exact_aggregates(spark, sf_dir):
+    """Exact sums and averages with values that no DECIMAL holds (F24). Figures
+    of 10^15 and more are compared by their logarithm."""
+    apply_runtime_conf(spark)
+    value = F.when(F.col("g") == 7, F.lit(None)).otherwise(F.col("o_totalprice"))
+    for key, text in EXTREMES.items():
+        value = F.when(F.col("o_orderkey") == key, F.lit(text).cast("double")).otherwise(value)
+    rows = (
+        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        .withColumn("g", (F.col("o_orderkey") % EXACT_GROUPS).cast("int"))
+        .select("g", value.cast("double").alias("x"))
+    )
+    sums = rows.groupBy("g").agg(
+        F.count("x").alias("n"),
+        exact_sum("x").alias("total"),
+        exact_avg("x").alias("mean"),
+        half_up_avg("x", 2).alias("mean_2"),
+    )
+
+    def shown(name):
+        x = F.col(name)
+        huge = (F.abs(x) >= 1e15) & ~F.isnan(x) & (F.abs(x) < float("inf"))
+        return F.when(huge, F.signum(x) * F.round(F.log10(F.abs(x)), 6)).otherwise(x).alias(name)
+
+    return sums.select("g", "n", shown("total"), shown("mean"), shown("mean_2"))
+
+
+@register("epoch_range")
+def epoch_range(spark, sf_dir):
+    """Epoch text in seconds, in milliseconds (a year far ahead, as coded) and
+    beyond what a timestamp holds, as seconds of the parsed value (F6, F16)."""
+    apply_runtime_conf(spark)
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s")
+    )
+    raw = e.select(
+        "event_id",
+        F.explode(
+            F.array(
+                F.col("s").cast("string"),
+                (F.col("s") * 1000).cast("string"),
+                (-F.col("s") * 1000).cast("string"),
+                (F.col("s") * 1000000).cast("string"),
+            )
+        ).alias("raw_value"),
+    )
+    return raw.select("event_id", "raw_value", F.unix_seconds(dates.parse_date_text("raw_value")).alias("seconds"))
 
 
 # --------------------------------------------------------------------------
@@ -464,6 +524,36 @@ def landing_mobile_parquet(spark, sf_dir):
     return _landed_files(spark, sf_dir)["mobile"].select(*cols, "source_system", "source_format")
 
 
+@register("landing_rejects")
+def landing_rejects(spark, sf_dir):
+    """Broken lines among the landing files keep their text: sales with fields
+    missing or too many, and orders cut off in the middle."""
+    m = _m(spark, sf_dir)
+    root = fresh_dir(spark, "broken")
+    k = F.col("o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    short = F.concat(F.lit("POS"), k.cast("string"), F.lit(",C1,SKU-1,1"))
+    long = F.concat_ws(",", F.lit("POS"), k.cast("string"), *map(F.lit, "abcdefghijkl"))
+    sales = orders.filter(k % 50 < 2).select(F.lit(1).alias("o"), k, F.when(k % 50 == 0, short).otherwise(long).alias("value"))
+    header = spark.range(1).select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("o_orderkey"), F.lit(",".join(POS_FIELDS)).alias("value"))
+    # One file: a header has to stand above its lines.
+    header.union(sales).coalesce(1).sortWithinPartitions("o").select("value").write.text(f"{root}/pos")
+    cut = F.concat(F.lit('{"orderId": "ORD-'), k.cast("string"), F.lit('", "customer": {"cust'))
+    orders.filter(k % 50 == 2).select(cut.alias("value")).write.text(f"{root}/ecommerce")
+    good = landing.write_landing_files(m.bronze, f"{root}-good")
+    pos = landing.read_pos_csv(spark, f"{root}/pos", LANDING_TS).unionByName(landing.read_pos_csv(spark, good["pos"], LANDING_TS))
+    online = landing.read_ecommerce_json(spark, f"{root}/ecommerce", LANDING_TS).unionByName(
+        landing.read_ecommerce_json(spark, good["ecommerce"], LANDING_TS)
+    )
+    stored = {}
+    for name, df in (("pos", pos), ("ecommerce", online)):
+        df.write.parquet(f"{root}-bronze/{name}")
+        stored[name] = spark.read.parquet(f"{root}-bronze/{name}")
+    return landing.rejects(stored).select(
+        "feed", F.col("file_name").endswith(".txt").alias("from_text_file"), "raw_text"
+    )
+
+
 def _lake(spark, sf_dir):
     """Run the materialised pipeline into a fresh lake (tables registered)."""
     return pipeline.run(spark, sf_dir, fresh_dir(spark, "lake"))
@@ -482,29 +572,60 @@ LAYER_TABLES = [
 ]
 
 
+# The ten tables of the closing audit, in its order.
+AUDITED = [
+    "bronze.pos_raw",
+    "bronze.ecommerce_raw",
+    "bronze.mobile_raw",
+    "silver.unified_sales",
+    "silver.unified_sales_deduped",
+    "silver.sales_rejected",
+    "gold.revenue_by_source",
+    "gold.product_performance",
+    "gold.data_quality_metrics",
+    "gold.executive_summary",
+]
+
+
 @register("layer_roundtrip")
 def layer_roundtrip(spark, sf_dir):
-    """Write every layer, register it in the catalog, count it back."""
+    """Write every layer, register it in the catalog, read it back: rows, and
+    what stands in them by counts of distinct and non-NULL values."""
     _lake(spark, sf_dir)
-    parts = [
-        spark.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(t).alias("table_name"), "row_count"
+    parts = []
+    for t in LAYER_TABLES:
+        df = spark.table(t)
+        key = "transaction_id" if t.startswith("silver.") else df.columns[0]
+        parts.append(
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_distinct(key).alias("distinct_keys"),
+                F.count("total_amount" if "total_amount" in df.columns else key).alias("filled"),
+            ).select(F.lit(t).alias("table_name"), "*")
         )
-        for t in LAYER_TABLES
-    ]
     return reduce(DataFrame.unionAll, parts)
 
 
 @register("file_inventory")
 def file_inventory_q(spark, sf_dir):
-    """Files and bytes behind each physical table of a run (layout-dependent,
-    so there is no oracle: file counts follow the partitioning)."""
+    """Files and bytes behind each physical table of a run, with its rows.
+    The layout decides on file counts and sizes, so what is compared is that
+    they fit together."""
     res = _lake(spark, sf_dir)
-    parts = [
-        catalog.file_inventory(spark.read.parquet(path)).select(F.lit(t).alias("table_name"), "*")
-        for t, path in sorted(res.tables.items())
-        if not t.startswith("bronze.")
-    ]
+    parts = []
+    for t, path in sorted(res.tables.items()):
+        df = spark.read.parquet(path)
+        files = catalog.file_inventory(df).select(
+            F.lit(t).alias("table_name"),
+            (F.col("file_count") > 0).alias("has_files"),
+            (
+                (F.col("min_file_bytes") > 0)
+                & (F.col("min_file_bytes") * F.col("file_count") <= F.col("total_bytes"))
+                & (F.col("max_file_bytes") * F.col("file_count") >= F.col("total_bytes"))
+            ).alias("sizes_fit"),
+        )
+        rows = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(t))
+        parts.append(files.join(rows, "table_name"))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -512,24 +633,20 @@ def file_inventory_q(spark, sf_dir):
 # table maintenance (M1-M5)
 # --------------------------------------------------------------------------
 
-# Commit times given to the published snapshot versions.
-COMMIT_TIMES = ["2024-03-10 01:00:00", "2024-03-10 02:00:00", "2024-03-10 03:00:00"]
-
-
 def _snapshots(spark, sf_dir) -> maintenance.SnapshotTable:
     """v0: dedup stub flags (the original behaviour); v1: real flags;
     v2: v1 compacted."""
     m = _m(spark, sf_dir)
     table = maintenance.SnapshotTable(spark, fresh_dir(spark, "snapshots"))
-    table.publish(dedup.mark_stub(m.main), "WRITE", COMMIT_TIMES[0])
-    table.publish(m.deduped, "OVERWRITE", COMMIT_TIMES[1])
-    maintenance.compact(table, committed_at=COMMIT_TIMES[2])
+    table.publish(dedup.mark_stub(m.main), "WRITE")
+    table.publish(m.deduped, "OVERWRITE")
+    maintenance.compact(table)
     return table
 
 
 @register("snapshot_history")
 def snapshot_history(spark, sf_dir):
-    """DESCRIBE HISTORY: the last 5 commits, newest first (top-k)."""
+    """DESCRIBE HISTORY: the last 5 versions, newest first (top-k)."""
     return _snapshots(spark, sf_dir).history(limit=5).select("version", "operation", "num_rows")
 
 
@@ -549,8 +666,8 @@ def snapshot_diff(spark, sf_dir):
 def compact_table(spark, sf_dir):
     """A table written as many small files, compacted, read back."""
     table = maintenance.SnapshotTable(spark, fresh_dir(spark, "compact"))
-    table.publish(_m(spark, sf_dir).deduped.repartition(64), "WRITE", COMMIT_TIMES[0])
-    maintenance.compact(table, target_file_bytes=1 << 20, committed_at=COMMIT_TIMES[1])
+    table.publish(_m(spark, sf_dir).deduped.repartition(64), "WRITE")
+    maintenance.compact(table, target_file_bytes=1 << 20)
     return table.read()
 
 
@@ -558,7 +675,11 @@ def compact_table(spark, sf_dir):
 def cluster_table(spark, sf_dir):
     """Deduped silver clustered by (source_system, transaction_date)."""
     path = fresh_dir(spark, "clustered")
-    clustered = maintenance.cluster(_m(spark, sf_dir).deduped, ["source_system", "transaction_date"])
+    stored = f"{path}-in"
+    _m(spark, sf_dir).deduped.write.parquet(stored)
+    clustered = maintenance.cluster(
+        spark.read.parquet(stored), ["source_system", "transaction_date"], target_file_bytes=1 << 20
+    )
     clustered.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -602,22 +723,21 @@ def stream_silver(spark, sf_dir):
 
 @register("stream_dedup")
 def stream_dedup(spark, sf_dir):
-    """Keys of the rows kept by the streaming first-arrival dedup. Which row
-    of a key arrives first depends on file order, so the compared output is
-    the key of every kept row: one row per full key, plus every row whose
-    key has a NULL part (never a duplicate)."""
+    """Rows kept by the streaming first-arrival dedup, in one micro-batch, so
+    that the arrival order is that of the rows: one row per full key, plus
+    every row whose key has a NULL part (never a duplicate)."""
     silver = _silver_stream_run(spark, sf_dir)
     out = fresh_dir(spark, "stream-dedup")
     incremental.stream_dedup(spark, silver, f"{out}/sink", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/sink").select("customer_id", "product_id", "dedup_day")
+    return spark.read.parquet(f"{out}/sink").select(*SCORED_COLUMNS, "dedup_day")
 
 
 @register("stream_revenue")
 def stream_revenue(spark, sf_dir):
     silver = _silver_stream_run(spark, sf_dir)
     out = fresh_dir(spark, "stream-revenue")
-    incremental.stream_revenue(spark, silver, f"{out}/sink", f"{out}/checkpoint")
-    return spark.read.parquet(f"{out}/sink")
+    incremental.stream_revenue(spark, silver, f"{out}/sink", f"{out}/checkpoint", max_files_per_trigger=8)
+    return incremental.read_revenue(spark, f"{out}/sink")
 
 
 # The snapshot/change split day and the status update replay.
@@ -660,11 +780,13 @@ def incremental_run(spark, sf_dir):
     )
     base = pipeline.run(
         spark, None, fresh_dir(spark, "inc-lake"), landing_paths=first, ingestion_ts=LANDING_TS,
-        register=False,
+        register=False, period="month",
     )
-    res = pipeline.run_increment(spark, base, second, ingestion_ts=LANDING_TS)
-    return spark.read.parquet(res.tables["silver.unified_sales_deduped"]).drop(
-        "source_file", "ingestion_timestamp", "transformation_timestamp"
+    # A retry of the same batch must change nothing.
+    for _ in range(2):
+        res = pipeline.run_increment(spark, base.base, second, ingestion_ts=LANDING_TS, report_date=DEFAULT_REPORT_DATE)
+    return spark.read.parquet(res.tables["silver.unified_sales_deduped"]).select(
+        *[c for c in DEDUP_COLUMNS if c not in ("source_file", "ingestion_timestamp", "transformation_timestamp")]
     )
 
 

@@ -9,7 +9,6 @@ column, so lineage survives without a driver-side file listing.
 from __future__ import annotations
 
 import hashlib
-import os
 import inspect
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +19,7 @@ from tributary.schemas import ECOMMERCE_SCHEMA, MOBILE_SCHEMA, POS_FIELDS, POS_S
 from tributary.session import workspace_dir
 from tributary.sources import fixtures
 
+# Raw text of a line that does not fit its feed, NULL for the others.
 CORRUPT_COLUMN = "_corrupt_record"
 
 # Source system and format labels of the three feeds.
@@ -53,7 +53,10 @@ def with_audit(
 def read_pos_csv(spark: SparkSession, path: str, ingestion_ts: str | None = None) -> DataFrame:
     """POS exports: headered CSV, every field text. Malformed lines are kept
     (PERMISSIVE) with their raw text in ``_corrupt_record``, so nothing is
-    dropped at landing; the quality score decides later."""
+    dropped at landing; the quality score decides later. Quotes inside quoted
+    fields are doubled, as in standard CSV. A quoted line break does not join
+    lines: that would make each file one task; such a sale's lines do not fit
+    the header and keep their text."""
     schema = T.StructType(POS_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     raw = (
         spark.read.schema(schema)
@@ -61,16 +64,25 @@ def read_pos_csv(spark: SparkSession, path: str, ingestion_ts: str | None = None
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("nullValue", "\\N")
+        .option("quote", '"')
+        .option("escape", '"')
         .csv(path)
     )
-    return with_audit(raw.select(*POS_FIELDS), *FEEDS["pos"], ingestion_ts)
+    return with_audit(raw, *FEEDS["pos"], ingestion_ts)
 
 
 def read_ecommerce_json(
     spark: SparkSession, path: str, ingestion_ts: str | None = None
 ) -> DataFrame:
-    """E-commerce orders: JSON lines with the nested order schema."""
-    raw = spark.read.schema(ECOMMERCE_SCHEMA).option("mode", "PERMISSIVE").json(path)
+    """E-commerce orders: JSON lines with the nested order schema; a broken
+    line keeps its text in ``_corrupt_record``."""
+    schema = T.StructType(ECOMMERCE_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    raw = (
+        spark.read.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .json(path)
+    )
     return with_audit(raw, *FEEDS["ecommerce"], ingestion_ts)
 
 
@@ -82,6 +94,18 @@ def read_mobile_parquet(
     return with_audit(raw, *FEEDS["mobile"], ingestion_ts)
 
 
+def rejects(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Lines that did not fit their feed, in the stored bronze tables: source,
+    file and raw text."""
+    out = None
+    for name in ("pos", "ecommerce"):
+        part = bronze[name].filter(F.col(CORRUPT_COLUMN).isNotNull()).select(
+            F.lit(name).alias("feed"), "file_name", F.col(CORRUPT_COLUMN).alias("raw_text")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def write_landing_files(feeds: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Write fixture feeds as landing files in each feed's native format
     (audit columns dropped: the readers add them back)."""
@@ -93,7 +117,7 @@ def write_landing_files(feeds: dict[str, DataFrame], root: str) -> dict[str, str
         fmt = FEEDS[name][1]
         writer = raw.write.mode("overwrite")
         if fmt == "csv":
-            writer.option("header", "true").option("nullValue", "\\N").csv(path)
+            writer.option("header", "true").option("nullValue", "\\N").option("escape", '"').csv(path)
         elif fmt == "json":
             writer.json(path)
         else:
@@ -113,17 +137,21 @@ FIXTURE_VERSION = hashlib.sha1(inspect.getsource(fixtures).encode()).hexdigest()
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Existence through the Hadoop file system of the path (any scheme)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle: plain local paths only
-        return os.path.exists(path.removeprefix("file:"))
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
 
 
 def bronze_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    """Folder of the landed copy, named by the tables' path, sizes and times:
+    a copy of tables that have changed is not used again."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    state = [sf_dir.rstrip("/")]
+    for name in ("orders", "lineitem", "events"):
+        hpath = jvm.org.apache.hadoop.fs.Path(f"{state[0]}/{name}.parquet")
+        fs = hpath.getFileSystem(conf)
+        state += [fs.getContentSummary(hpath).getLength(), fs.getFileStatus(hpath).getModificationTime()]
+    tag = hashlib.sha1(repr(state).encode()).hexdigest()[:12]
     return workspace_dir(spark, "bronze", f"{tag}-v{FIXTURE_VERSION}")
 
 
@@ -151,16 +179,21 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def land_files(
-    spark: SparkSession, landing_paths: dict[str, str], bronze_base: str, ingestion_ts: str | None = None
+    spark: SparkSession,
+    landing_paths: dict[str, str],
+    bronze_base: str,
+    ingestion_ts: str | None = None,
+    batch: str = "base",
 ) -> dict[str, DataFrame]:
     """Bronze from landing files: each feed read with its typed reader (audit
-    columns added) and stored as a Parquet bronze table; the three feeds are
-    landed as concurrent jobs."""
+    columns added) and stored as the batch's partition of a Parquet bronze
+    table, which a retry replaces; the three feeds are landed as concurrent
+    jobs. Returns the batch's rows."""
     from tributary.plans.concurrent import run_all
 
     readers = {"pos": read_pos_csv, "ecommerce": read_ecommerce_json, "mobile": read_mobile_parquet}
     frames = {n: readers[n](spark, p, ingestion_ts) for n, p in landing_paths.items()}
     run_all(
-        {n: (lambda n=n: frames[n].write.mode("overwrite").parquet(f"{bronze_base}/{n}")) for n in frames}
+        {n: (lambda n=n: frames[n].write.mode("overwrite").parquet(f"{bronze_base}/{n}/batch={batch}")) for n in frames}
     )
-    return {n: spark.read.parquet(f"{bronze_base}/{n}") for n in frames}
+    return {n: spark.read.parquet(f"{bronze_base}/{n}/batch={batch}") for n in frames}

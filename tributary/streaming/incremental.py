@@ -5,12 +5,14 @@
   partitioned by tier. ``availableNow`` processes everything present and
   stops, so a scheduled run is an incremental batch with exactly-once file
   tracking from the checkpoint.
-* ``stream_dedup`` — first arrival per duplicate key within an event-time
-  watermark (``dropDuplicatesWithinWatermark``); state is bounded by the
-  watermark delay. Channel priority needs the whole key group, so it stays a
-  batch operator.
-* ``stream_revenue`` — daily revenue per channel as a streaming aggregate
-  (state: one row per channel-day).
+* ``stream_dedup`` — first arrival per duplicate key. Each micro-batch is
+  reduced to one row per key and joined against the keys kept so far, of the
+  months it touches only; the sink itself is the state, so none is held in
+  memory, and a row that comes late is kept if its key is new. Channel
+  priority needs the whole key group, so it stays a batch operator.
+* ``stream_revenue`` — daily revenue per channel as exact partial sums, one
+  partition per micro-batch; readers add them up. Nothing is rewritten, so
+  readers never miss the table, and late rows count.
 * ``upsert_latest`` — change data capture without MERGE: current snapshot
   plus changes, latest version per key by one aggregate (``max_by``), which
   combines map-side so a hot key never lands whole in one task.
@@ -21,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.functions.exact import exact_sum
 from tributary.operators import normalize, quality
+from tributary.operators.dedup import ORDER
 from tributary.rules import AS_CODED, CleaningRules
 
 
@@ -72,31 +74,54 @@ def stream_silver(
     q.awaitTermination()
 
 
-def first_arrivals(stream: DataFrame, event_time: str, delay: str) -> DataFrame:
-    """First arrival per duplicate key; rows whose key has a NULL part
-    are never duplicates and pass through unchanged."""
-    full = (
-        F.col("customer_id").isNotNull()
-        & F.col("product_id").isNotNull()
-        & F.col("transaction_date").isNotNull()
-    )
-    dated = stream.withColumn("dedup_day", F.to_date("transaction_date"))
-    kept = (
+KEY = ["customer_id", "product_id", "dedup_day"]
+# Arrival order of the rows of a key within a micro-batch.
+ARRIVAL = ["ingestion_timestamp", "source_system", *ORDER]
+
+
+def first_arrivals(rows: DataFrame) -> DataFrame:
+    """One row per full key, the first by arrival; rows whose key has a NULL
+    part are never duplicates and pass through unchanged."""
+    dated = rows.withColumn("dedup_day", F.to_date("transaction_date"))
+    full = F.col("customer_id").isNotNull() & F.col("product_id").isNotNull() & F.col("dedup_day").isNotNull()
+    rest = [c for c in dated.columns if c not in {*KEY, *ARRIVAL}]
+    first = (
         dated.filter(full)
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(["customer_id", "product_id", "dedup_day"])
+        .groupBy(*KEY)
+        .agg(F.min(F.struct(*ARRIVAL, *rest)).alias("_row"))
+        .select(*[F.col(c) if c in KEY else F.col(f"_row.{c}") for c in dated.columns])
     )
-    return kept.unionByName(dated.filter(~full))
+    return first.unionByName(dated.filter(~full))
+
+
+def _write_epoch(rows: DataFrame, sink: str, epoch: int, parts: list[str]) -> None:
+    """The micro-batch's partitions; a retry of it replaces them."""
+    writer = rows.withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "epoch").parquet(sink)
 
 
 def stream_dedup(
-    spark: SparkSession, silver_path: str, sink: str, checkpoint: str, delay: str = "10 days"
+    spark: SparkSession, silver_path: str, sink: str, checkpoint: str, max_files_per_trigger: int | None = None
 ) -> None:
-    src = _read_stream(spark, silver_path, None).filter(F.col("quality_tier") != quality.REJECTED)
+    """Keep the first arrival of each key over all micro-batches."""
+    src = _read_stream(spark, silver_path, max_files_per_trigger).filter(F.col("quality_tier") != quality.REJECTED)
+    month = F.coalesce(F.date_format("dedup_day", "yyyy-MM"), F.lit("none"))
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        new = first_arrivals(batch).withColumn("month", month).persist()
+        try:
+            months = [r[0] for r in new.select("month").distinct().collect()]  # bounded by the calendar
+            if _has_data(spark, sink):
+                kept = spark.read.parquet(sink).filter(F.col("month").isin(months) & (F.col("epoch") != epoch))
+                new_rows = new.join(kept.select(*KEY), KEY, "left_anti")
+            else:
+                new_rows = new
+            _write_epoch(new_rows.select(*new.columns), sink, epoch, ["month"])
+        finally:
+            new.unpersist()
+
     q = (
-        first_arrivals(src, "ingestion_timestamp", delay)
-        .writeStream.format("parquet")
-        .option("path", sink)
+        src.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -104,34 +129,41 @@ def stream_dedup(
     q.awaitTermination()
 
 
-def revenue_stream(silver: DataFrame) -> DataFrame:
-    """Channel-day revenue of usable rows (tumbling one-day windows)."""
+def _has_data(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath) and fs.getContentSummary(hpath).getLength() > 0
+
+
+def revenue_parts(silver: DataFrame) -> DataFrame:
+    """Partial channel-day revenue of usable rows: count, exact sum (NULL
+    if a value or the sum has none) and plain sum."""
     rows = silver.filter(
         F.col("quality_tier").isin(quality.USABLE_TIERS)
         & F.col("transaction_date").isNotNull()
         & F.col("total_amount").isNotNull()
     )
-    return rows.groupBy(F.window("transaction_date", "1 day").alias("w"), "source_system").agg(
-        F.count(F.lit(1)).alias("transactions"), exact_sum("total_amount").alias("revenue")
+    return rows.groupBy("source_system", F.to_date("transaction_date").alias("transaction_date")).agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.expr(
+            "CASE WHEN COUNT(total_amount) = COUNT(TRY_CAST(total_amount AS DECIMAL(38,6))) "
+            "THEN TRY_SUM(TRY_CAST(total_amount AS DECIMAL(38,6))) END"
+        ).alias("exact"),
+        F.sum("total_amount").alias("plain"),
     )
 
 
-def stream_revenue(spark: SparkSession, silver_path: str, sink: str, checkpoint: str) -> None:
-    """Complete-mode aggregate; each micro-batch replaces the sink with the
-    full (small: one row per channel-day) result table."""
-    agg = revenue_stream(_read_stream(spark, silver_path, None))
+def stream_revenue(
+    spark: SparkSession, silver_path: str, sink: str, checkpoint: str, max_files_per_trigger: int | None = None
+) -> None:
+    """A partition of partial sums per micro-batch."""
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.select(
-            "source_system",
-            F.to_date(F.col("w.start")).alias("transaction_date"),
-            "transactions",
-            "revenue",
-        ).write.mode("overwrite").parquet(sink)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        _write_epoch(revenue_parts(batch), sink, epoch, [])
 
     q = (
-        agg.writeStream.outputMode("complete")
-        .foreachBatch(publish)
+        _read_stream(spark, silver_path, max_files_per_trigger)
+        .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -139,6 +171,15 @@ def stream_revenue(spark: SparkSession, silver_path: str, sink: str, checkpoint:
     q.awaitTermination()
 
 
+def read_revenue(spark: SparkSession, sink: str) -> DataFrame:
+    """The revenue of all micro-batches so far."""
+    exact = "COUNT(exact) = COUNT(1) AND TRY_SUM(exact) IS NOT NULL"
+    return spark.read.parquet(sink).groupBy("source_system", "transaction_date").agg(
+        F.sum("transactions").alias("transactions"),
+        F.expr(f"CASE WHEN {exact} THEN CAST(TRY_SUM(exact) AS DOUBLE) ELSE SUM(plain) END").alias("revenue"),
+    )
+
+
 def upsert_latest(current: DataFrame, changes: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
     """The latest row per key over ``current`` and ``changes``; on equal
     ``order_by`` values the change wins."""
@@ -146,7 +187,10 @@ def upsert_latest(current: DataFrame, changes: DataFrame, key: list[str], order_
     both = current.withColumn("_seq", F.lit(0)).unionByName(
         changes.select(*cols).withColumn("_seq", F.lit(1))
     )
-    latest = both.groupBy(*key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order_by, "_seq")).alias("_row")
-    )
-    return latest.select(*[F.col(f"_row.{c}").alias(c) for c in cols])
+    # Only keys that the changes name can have several rows: the others pass.
+    named = changes.select(*key).distinct()
+    touched = both.join(named, key, "left_semi")
+    order = F.struct(*order_by, "_seq")
+    latest = touched.groupBy(*key).agg(F.max_by(F.struct(*cols), order).alias("_row"))
+    untouched = current.join(named, key, "left_anti")
+    return untouched.select(*cols).unionByName(latest.select(*[F.col(f"_row.{c}").alias(c) for c in cols]))
