@@ -17,12 +17,14 @@ shard sends its distinct intervals only. A window of ``min_bytes`` that occurs
 twice holds ``ROUNDS`` common phrases behind its first inner anchor, whatever
 the text, so the open intervals of the last round cover all repeats.
 
-What lies in them is then checked by content. All windows with the same first
-inner anchor share a core; a core is closed if it occurs once, and repeats as
-a whole if all of its occurrences have the same context. Only cores with
-several contexts compare their windows one by one (128-bit digests). All
-messages are distinct per shard, so a passage that a third of the documents
-share is one row per shard, and what is compared never meets in one group.
+What lies in them is then checked by content (128-bit digests). All windows
+with the same first inner anchor share a core; a core is closed if it occurs
+once, and repeats as a whole if all of its occurrences have the same context.
+Only cores with several contexts compare their windows one by one. All messages
+are distinct per shard, so a passage that a third of the documents share is one
+row per shard, and what is compared never meets in one group.
+
+Texts travel once, compressed one by one, and all rounds read that exchange.
 
 Defined results: a null text counts as empty; documents are compared as UTF-8
 bytes and matches end with them; rows that repeat a doc_id are documents of
@@ -32,21 +34,27 @@ their own; a character that is cut in two is dropped from the text that
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.llm.common import partitions
 
 MIN_BYTES = 400
 ROUNDS = 2
 GRAM = 12
-BLOCK_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
+# Anchors whose Python numbers exist at a time.
+CHUNK = 1 << 15
 # Positions hashed at a time: their arrays stay in the processor's cache.
 SEGMENT = 1 << 17
 
@@ -132,8 +140,13 @@ class Shard:
     @cached_property
     def symbols(self) -> np.ndarray:
         """Digest of the phrase from each anchor to the next."""
-        raw, digest, at = self.raw, xxhash.xxh3_64_intdigest, self.at.tolist()
-        return np.array([digest(raw[a:b]) for a, b in zip(at, [*at[1:], len(raw)], strict=True)], np.uint64)
+        raw, digest = self.raw, xxhash.xxh3_64_intdigest
+        ends = np.append(self.at[1:], len(raw))
+        out = np.empty(len(self.at), np.uint64)
+        for i in range(0, len(out), CHUNK):
+            spans = zip(self.at[i : i + CHUNK].tolist(), ends[i : i + CHUNK].tolist(), strict=True)
+            out[i : i + CHUNK] = [digest(raw[a:b]) for a, b in spans]
+        return out
 
     def intervals(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """(interval, whether it lies within the document) of every suffix.
@@ -159,31 +172,39 @@ class Shard:
             good = good & live & np.append(live[1:], False)
         return name[good]
 
-    def candidates(self, open_: np.ndarray) -> list[tuple[int, int, int]]:
-        """(anchor, first, last) start of the windows whose first inner anchor
-        is that of an open interval; first <= last."""
-        name, good = self.intervals(ROUNDS)
-        live = np.flatnonzero(good & _among(name, open_))
+    def ranges(self, open_: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchors, first, last): starts of the windows whose first inner
+        anchor it is; of all anchors, or of those in open intervals."""
+        live = np.arange(len(self.at))
+        if open_ is not None:
+            name, good = self.intervals(ROUNDS)
+            live = np.flatnonzero(good & _among(name, open_))
         at, doc = self.at[live], self.doc[live]
         before = np.where(live > 0, self.at[live - 1], -self.w)
         start = np.where(doc > 0, self.ends[doc - 1], 0)
         first = np.maximum(np.maximum(before, at - self.w) - self.w + 2, start)
         last = np.minimum(at - self.w + 1, self.ends[doc] - self.min_bytes)
         some = first <= last
-        return list(zip(at[some].tolist(), first[some].tolist(), last[some].tolist(), strict=True))
-
-    def core(self, anchor: int) -> int:
-        """Digest of what all windows with this first inner anchor share."""
-        a, b = anchor - self.w + 1, anchor - 2 * self.w + 2 + self.min_bytes
-        return xxhash.xxh3_128_intdigest(self.raw[a:b])
+        return at[some], first[some], last[some]
+
+    def cores(self, open_: np.ndarray | None = None) -> Iterator[tuple[int, int, int, int]]:
+        """(core, anchor, first, last) of ``ranges``; the core is the digest of
+        what all windows with this first inner anchor share."""
+        raw, digest = self.raw, xxhash.xxh3_128_intdigest
+        every = self.ranges(open_)
+        before, behind = 1 - self.w, 2 - 2 * self.w + self.min_bytes
+        for i in range(0, len(every[0]), CHUNK):
+            for a, first, last in zip(*(x[i : i + CHUNK].tolist() for x in every), strict=True):
+                yield digest(raw[a + before : a + behind]), a, first, last
 
     def context(self, anchor: int, first: int, last: int) -> int:
-        """Digest of all those windows and where they start."""
+        """Digest of those windows and where they start, as a positive long."""
         around = self.raw[first : last + self.min_bytes]
-        return xxhash.xxh3_64_intdigest(around, seed=(anchor - first) << 16 | (anchor - last))
+        return xxhash.xxh3_64_intdigest(around, seed=(anchor - first) << 16 | (anchor - last)) >> 1
 
-    def window(self, start: int) -> int:
-        return xxhash.xxh3_128_intdigest(self.raw[start : start + self.min_bytes])
+    def windows(self, first: int, last: int) -> list[int]:
+        raw, digest, n = self.raw, xxhash.xxh3_128_intdigest, self.min_bytes
+        return [digest(raw[a : a + n]) for a in range(first, last + 1)]
 
     def spans(self, starts: np.ndarray) -> list[list[tuple[int, int]]]:
         """For each document the maximal (start, length) that windows cover."""
@@ -262,8 +283,28 @@ def _answers(parts: dict[int, DataFrame]) -> DataFrame:
     return out
 
 
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """``docs`` with texts as compressed UTF-8, in the same column."""
+    schema = T.StructType(
+        [T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in docs.schema.fields]
+    )
+    place = docs.columns.index("text")
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            small = [None if t is None else squeeze(t.encode()) for t in batch.column(place).to_pylist()]
+            columns = list(batch.columns)
+            columns[place] = pa.array(small, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.mapInArrow(task, schema)
+
+
 def _shard(docs: pa.Table, min_bytes: int) -> Shard:
-    return Shard([(t or "").encode() for t in docs.column("text").to_pylist()], min_bytes)
+    pa.default_memory_pool().release_unused()  # of the block before
+    whole = zstandard.ZstdDecompressor().decompress
+    return Shard([b"" if t is None else whole(t) for t in docs.column("text").to_pylist()], min_bytes)
 
 
 def _names(answers: pa.Table, kind: int) -> np.ndarray:
@@ -281,11 +322,11 @@ def repeated_spans(docs: DataFrame, finish, schema: str | object, min_bytes: int
     """Find all repeats and hand each block to ``finish(rows, shard, spans)``,
     which returns a table of ``schema``.
 
-    Texts are dealt into blocks once; all rounds read the same exchange.
+    ``rows`` holds the document's columns, with compressed texts.
     """
     size = n_bytes if n_bytes is not None else docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(docs.sparkSession, size, BLOCK_BYTES)
-    dealt = docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    dealt = _squeezed(docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")))
     blocks = dealt.groupBy(BLOCK)
 
     def number(rows: pa.Table, length: int) -> pa.Array:
@@ -312,10 +353,12 @@ def repeated_spans(docs: DataFrame, finish, schema: str | object, min_bytes: int
     def cores(rows: pa.Table, answers: pa.Table) -> pa.Table:
         shard = _shard(rows, min_bytes)
         seen: dict[int, list[int]] = {}
-        for anchor, first, last in shard.candidates(_names(answers, OPEN)):
-            context = shard.context(anchor, first, last) >> 1
-            entry = seen.setdefault(shard.core(anchor), [context, context, 0])
-            entry[0], entry[1], entry[2] = min(entry[0], context), max(entry[1], context), entry[2] + 1
+        for core, *part in shard.cores(_names(answers, OPEN)):
+            context = shard.context(*part)
+            if (entry := seen.get(core)) is None:
+                seen[core] = [context, context, 1]
+            else:
+                entry[0], entry[1], entry[2] = min(entry[0], context), max(entry[1], context), entry[2] + 1
         hi, lo = _halves(list(seen))
         low, high, times = (pa.array([e[i] for e in seen.values()], pa.int64()) for i in range(3))
         return pa.table({"block": number(rows, len(seen)), "hi": hi, "lo": lo, "low": low, "high": high, "n": times})
@@ -326,38 +369,44 @@ def repeated_spans(docs: DataFrame, finish, schema: str | object, min_bytes: int
 
     def windows(rows: pa.Table, answers: pa.Table) -> pa.Table:
         wanted = _pairs(answers, MIXED)
-        seen: dict[int, int] = {}
+        seen: Counter[int] = Counter()
         if wanted:
             shard = _shard(rows, min_bytes)
-            for anchor, first, last in shard.candidates(_names(answers, OPEN)):
-                if shard.core(anchor) in wanted:
-                    for start in range(first, last + 1):
-                        digest = shard.window(start)
-                        seen[digest] = seen.get(digest, 0) + 1
+            for core, _, a, b in shard.cores():
+                if core in wanted:
+                    seen.update(shard.windows(a, b))
         hi, lo = _halves(list(seen))
-        return pa.table({"block": number(rows, len(seen)), "hi": hi, "lo": lo, "n": pa.array(list(seen.values()), pa.int64())})
+        return pa.table(
+            {"block": number(rows, len(seen)), "hi": hi, "lo": lo, "n": pa.array(list(seen.values()), pa.int64())}
+        )
 
-    asked = _answers({OPEN: open_, MIXED: mixed}).groupBy("block")
-    again = interleave(blocks.cogroup(asked).applyInArrow(windows, _WINDOW), n)
+    again = interleave(blocks.cogroup(_answers({MIXED: mixed}).groupBy("block")).applyInArrow(windows, _WINDOW), n)
 
     def last_(rows: pa.Table, answers: pa.Table) -> pa.Table:
         shard = _shard(rows, min_bytes)
         full, part, twice = (_pairs(answers, k) for k in (WHOLE, MIXED, AGAIN))
-        starts: list[np.ndarray] = []
+        runs: list[tuple[int, int]] = []
         if full or part:
-            for anchor, first, last in shard.candidates(_names(answers, OPEN)):
-                core = shard.core(anchor)
+            for core, _, a, b in shard.cores():
                 if core in full:
-                    starts.append(np.arange(first, last + 1))
+                    runs.append((a, b))
                 elif core in part:
-                    starts.append(np.array([s for s in range(first, last + 1) if shard.window(s) in twice], np.int64))
-        spans = shard.spans(np.concatenate(starts) if starts else np.zeros(0, np.int64))
-        return finish(rows, shard, spans)
+                    runs += [(s, s) for s, w in enumerate(shard.windows(a, b), a) if w in twice]
+        return finish(rows, shard, shard.spans(_every(runs)))
 
-    asked = _answers({OPEN: open_, WHOLE: whole, MIXED: mixed, AGAIN: again}).groupBy("block")
+    asked = _answers({WHOLE: whole, MIXED: mixed, AGAIN: again}).groupBy("block")
     return blocks.cogroup(asked).applyInArrow(last_, schema)
 
 
+def _every(runs: list[tuple[int, int]]) -> np.ndarray:
+    """All numbers of ranges with their last one."""
+    if not runs:
+        return np.zeros(0, np.int64)
+    first, last = np.array(runs, np.int64).T
+    length = last - first + 1
+    return np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
+
+
 def kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     parts, at = [], 0
     for start, length in spans:
@@ -391,11 +440,10 @@ def without_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
     def finish(rows: pa.Table, shard: Shard, spans: list[list[tuple[int, int]]]) -> pa.Table:
         own = rows.select(columns)
-        old = own.column("text").to_pylist()
         new = [
-            o if not s else kept(t, s).decode(errors="ignore")
-            for o, t, s in zip(old, shard.texts, spans, strict=True)
+            None if o is None else kept(t, s).decode(errors="ignore")
+            for o, t, s in zip(own.column("text").to_pylist(), shard.texts, spans, strict=True)
         ]
-        return own.set_column(columns.index("text"), "text", pa.array(new, own.schema.field("text").type))
+        return own.set_column(columns.index("text"), "text", pa.array(new, pa.string()))
 
     return repeated_spans(docs, finish, docs.schema, min_bytes)
