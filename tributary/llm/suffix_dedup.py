@@ -17,7 +17,8 @@ shard sends its distinct intervals only. A window of ``min_bytes`` that occurs
 twice holds ``ROUNDS`` common phrases behind its first inner anchor, whatever
 the text, so the open intervals of the last round cover all repeats.
 
-What lies in them is then checked by content (128-bit digests). All windows
+What lies in them is then checked by content (digests of 128 bits, and of 96
+for single windows). All windows
 with the same first inner anchor share a core; a core is closed if it occurs
 once, and repeats as a whole if all of its occurrences have the same context.
 Only cores with several contexts compare their windows one by one. All messages
@@ -52,7 +53,9 @@ from tributary.llm.common import partitions
 MIN_BYTES = 400
 ROUNDS = 2
 GRAM = 12
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 12 * 1024 * 1024
+# Of a window's digest 96 bits are sent: windows are most of the messages.
+WINDOW_BITS = ((1 << 64) - 1) << 64 | (1 << 32) - 1
 # Anchors whose Python numbers exist at a time.
 CHUNK = 1 << 15
 # Positions hashed at a time: their arrays stay in the processor's cache.
@@ -204,7 +207,7 @@ class Shard:
 
     def windows(self, first: int, last: int) -> list[int]:
         raw, digest, n = self.raw, xxhash.xxh3_128_intdigest, self.min_bytes
-        return [digest(raw[a : a + n]) for a in range(first, last + 1)]
+        return [digest(raw[a : a + n]) & WINDOW_BITS for a in range(first, last + 1)]
 
     def spans(self, starts: np.ndarray) -> list[list[tuple[int, int]]]:
         """For each document the maximal (start, length) that windows cover."""
