@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -74,6 +76,48 @@ def test_without_spans_keeps_offsets(edge):
     assert out.count() == edge.count()
 
 
+def brute_units(text):
+    """(start, end) of paragraphs and lines of any length and of longer
+    sentences, without those of the same words as one around them."""
+    lines, at = [], 0
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        lines.append((at, at + len(line)))
+        at += len(line)
+    found = [s for s in substring_dedup.cut(text) if len(substring_dedup.normalise(text[slice(*s)]).split(" ")) >= 5]
+    for full, block in groupby(lines, lambda s: substring_dedup.normalise(text[slice(*s)]) != ""):
+        block = list(block)
+        if full:
+            found += [*block, (block[0][0], block[-1][1])]
+    plain = {s: substring_dedup.normalise(text[slice(*s)]) for s in found}
+    return {s: p for s, p in plain.items() if not any(q == p and t != s and t[0] <= s[0] and s[1] <= t[1] for t, q in plain.items())}
+
+
+def test_whole_lines_of_any_length_go(edge, empty, spark):
+    seen = defaultdict(list)
+    for doc, text in pairs(edge):
+        own = sorted((a, b, p) for (a, b), p in brute_units(text or "").items())
+        first = {p: a for a, _, p in reversed(own)}
+        for a, b, p in own:
+            seen[p].append((doc, float("inf") if doc is None else doc, a, b, a > first[p]))
+    want = Counter()
+    for places in seen.values():
+        keep, least = min((p[:2] for p in places), key=lambda p: p[1])
+        want.update((d, a, b - a, keep, len(places)) for d, rank, a, b, again in places if rank > least or again)
+    got = substring_dedup.removals(edge).select("doc_id", "start", "length", "keep_doc_id", "copies")
+    assert bag(got.collect()) == want
+    assert substring_dedup.removals(empty).count() == 0
+
+    rows = [
+        (1, "Short one.\nThe and attion to it, anea. Eriner thanea.\nown\n"),
+        (2, "mine. Eriner thanea.\nshort  ONE. \nThe and attion to it, anea. Eriner thanea.\nEnd"),
+        (3, "x\n\nsome words\nand others\n\ny"),
+        (4, "some\nwords and others\n\nz\nx"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in substring_dedup.without(df, substring_dedup.removals(df)).collect()}
+    assert left == {1: rows[0][1], 2: "mine. Eriner thanea.\nEnd", 3: rows[2][1], 4: "\nz\n"}
+
+
 # -- op 2 ------------------------------------------------------------------
 def test_exact_decisions(edge, empty):
     groups = defaultdict(list)

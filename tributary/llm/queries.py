@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of repeated units that go, with the document whose copy stays."""
     prepare(spark)
-    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+    return substring_dedup.removals(table(spark, sf_dir, "documents"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,25 @@
 """Substring deduplication by unit hashing.
 
-A document is cut into units (lines, cut again after sentence ends, since a
-shared passage need not start on a line of its own). Units are normalised,
-their 128-bit digests are grouped over the corpus, and every occurrence but
-the earliest ranked one is removed; spans keep their offsets in the original.
-
-Defined results: a null text has no units; a unit of fewer than ``min_words``
-words always stays; rank is (doc_id, position), null doc_ids last; rows that
-share a doc_id are one document, so their copies stay or go alike; extra
-columns are ignored by ``repeats`` and kept by ``without``.
+A document is cut into units: its paragraphs (lines between blank ones), its
+lines, whatever their length, and in addition the sentences within a line,
+since a shared passage need not start on a line of its own. Units are
+normalised, their 128-bit digests are grouped over the corpus, and every
+occurrence but the earliest ranked one is removed; spans keep their offsets in
+the original. ``removals`` compares all units, ``repeats`` sentences alone.
+
+Defined results: a null text has no units; a blank line is no unit; a sentence
+that is no line of its own is compared from ``min_words`` words on; a unit of
+the same words as the one around it is not compared again; spans may lie within
+one another (a paragraph, its lines), and what goes is their union; rank is
+(doc_id, position), null doc_ids last; rows that share a doc_id are one
+document, so their copies stay or go alike; extra columns are ignored by
+``removals`` and ``repeats`` and kept by ``without``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -50,8 +55,40 @@ def normalise(unit: str) -> str:
     return BLANKS.sub(" ", unit).strip(" ").translate(TO_LOWER)
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each unit that is long enough to be compared.
+def sentences(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, str]]:
+    """(unit, start, end, normalised) of the sentences that are long enough."""
+    for k, (a, b) in enumerate(cut(text)):
+        plain = normalise(text[a:b])
+        if plain.count(" ") + 1 >= min_words:
+            yield k, a, b, plain
+
+
+def passages(text: str, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, str]]:
+    """``sentences`` of paragraphs, lines and sentences, by start, the longest
+    first; ``unit`` is the number of the sentence that they start with."""
+    paragraph: list[list[tuple[int, int, int, str]]] = []
+    line: list[tuple[int, int, int, str]] = []
+    for k, (a, b) in enumerate(cut(text)):
+        line.append((k, a, b, normalise(text[a:b])))
+        if text[b - 1] != "\n" and b < len(text):
+            continue
+        # What parts sentences and lines is blank, so their words join to the whole's.
+        plain = " ".join(x[3] for x in line if x[3])
+        if plain:
+            whole = (line[0][0], line[0][1], b, plain)
+            paragraph.append([whole, *(x for x in line if x[3] != plain and x[3].count(" ") + 1 >= min_words)])
+        if paragraph and (not plain or b == len(text)):
+            if len(paragraph) > 1:
+                first, last = paragraph[0][0], paragraph[-1][0]
+                yield *first[:2], last[2], " ".join(x[0][3] for x in paragraph)
+            for parts in paragraph:
+                yield from parts
+            paragraph = []
+        line = []
+
+
+def units(docs: DataFrame, min_words: int = MIN_WORDS, of: Callable = sentences) -> DataFrame:
+    """A row for each unit that is compared.
 
     ``again`` marks a unit that the same row holds at an earlier place.
     """
@@ -61,10 +98,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             out: list[tuple] = []
             for rank, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen = set()
-                for k, (a, b) in enumerate(cut(text or "")):
-                    plain = normalise(text[a:b])
-                    if plain.count(" ") + 1 < min_words:
-                        continue
+                for k, a, b, plain in of(text or "", min_words):
                     digest = xxhash.xxh3_128_digest(plain.encode())
                     hi, lo = (int.from_bytes(digest[i : i + 8], "little", signed=True) for i in (0, 8))
                     out.append((rank, k, a, b - a, hi, lo, digest in seen))
@@ -80,7 +114,12 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return ranked.mapInArrow(task, _UNITS)
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``repeats`` of paragraphs, lines and sentences."""
+    return repeats(docs, min_words, passages)
+
+
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, of: Callable = sentences) -> DataFrame:
     """Spans to remove: doc_id, unit, start, length, keep_doc_id, copies.
 
     Grouping is a hash aggregate on fixed-width keys that combines before the
@@ -88,7 +127,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     back to the occurrences is a plain join, which adaptive execution splits
     where one digest fills a partition.
     """
-    every = written(units(docs, min_words), "units")
+    every = written(units(docs, min_words, of), "units")
     groups = (
         every.groupBy("hi", "lo")
         .agg(F.min("rank").alias("first"), F.count("*").alias("copies"))
@@ -110,6 +149,7 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     Adds ``kept_spans``: (start, length) of what is left, in the original.
     The spans of one document meet in one row: they are no more than its units.
+    A span may lie within another.
     """
     cuts = spans.groupBy(F.col("doc_id").alias("__doc")).agg(
         F.sort_array(F.collect_set(F.struct("start", "length"))).alias("__cuts")
@@ -129,7 +169,7 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 for s in gone or []:
                     if s["start"] > at:
                         spans_left.append((at, s["start"] - at))
-                    at = s["start"] + s["length"]
+                    at = max(at, s["start"] + s["length"])
                 if text is not None and at < len(text):
                     spans_left.append((at, len(text) - at))
                 kept_texts.append(None if text is None else "".join(text[a : a + n] for a, n in spans_left))
