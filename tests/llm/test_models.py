@@ -175,6 +175,30 @@ def test_bounds_and_best_fit():
     assert packing.lower_bound(np.array([7, 7, 7, 7, 7]), 20) == 3
 
 
+def test_pack_ends_where_best_fit_keeps_a_gap(spark, monkeypatch):
+    """Sizes whose bound best fit doesn't reach: a repacking gains nothing."""
+    rng = random.Random(3)
+    rows = [(i, 0, 0, rng.randrange(300, 700), i) for i in range(12_000)]
+    rounds, real = [], packing._pack
+
+    def counted(items, n, turn, last, capacity):
+        rounds.append((n, items.count()))
+        assert turn < 8
+        return real(items, n, turn, last, capacity)
+
+    monkeypatch.setattr(packing, "_pack", counted)
+    monkeypatch.setattr(packing, "PIECES", 400)
+    placed = packing.pack(spark.createDataFrame(rows, packing._PIECE)).collect()
+    assert Counter(tuple(r)[:5] for r in placed) == Counter(rows)
+    fill = Counter()
+    for r in placed:
+        fill[r.sequence_id] += r.length
+    assert max(fill.values()) <= 2048
+    assert rounds[0] == (30, 12_000) and all(n >= m / 400 for n, m in rounds)
+    first = packing.best_fit_decreasing(np.array([r[3] for r in rows]))
+    assert len(fill) <= 1.02 * (first.max() + 1)
+
+
 # -- op 5 ------------------------------------------------------------------
 def brute_lines(html):
     t = re.sub(line_dedup.HIDDEN, " ", html or "")

@@ -5,10 +5,11 @@ sequence. Pieces are dealt evenly over partitions; each packs its own best-fit
 decreasing and compares its number of bins with lower bounds from dual
 feasible functions. A partition that meets its bound is certified and keeps
 its bins, all but the emptiest; a partition with a gap gives up its
-under-filled bins. What is given up goes to fewer partitions, which mix the
-documents of several, and is packed best-fit decreasing again; a repacking
-that needs more bins than came in is not taken. Rounds end when one partition
-has repacked the rest, which shrinks geometrically.
+under-filled bins. What is given up goes to fewer partitions, of a bounded
+number of pieces, which mix the documents of several, and is packed best-fit
+decreasing again; a repacking that needs no fewer bins than came in is not
+taken, and a partition with a gap that gains nothing keeps its bins. So a round
+either gains a bin or hands on one bin a partition at most, and rounds end.
 
 Defined results: a null or empty text is one piece that holds the end id;
 rows that repeat a doc_id, or have none, are documents of their own; an empty
@@ -159,12 +160,14 @@ def _pack(items: DataFrame, n: int, turn: int, last: bool, capacity: int) -> Dat
         sizes = got.column("length").to_numpy()
         bins = best_fit_decreasing(sizes, capacity)
         old = np.unique(got.column("sequence_id").to_numpy(), return_inverse=True)[1] if turn else bins
-        if turn and old.max() < bins.max():
-            bins = old  # no gain: as they came
+        gained = not turn or bins.max() < old.max()
+        if not gained:
+            bins = old  # as they came
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
         loose = np.zeros(len(fill), bool)
-        if not last:
-            loose[give_up(fill, lower_bound(sizes, capacity), capacity)] = True
+        bound = lower_bound(sizes, capacity)
+        if not last and (gained or len(fill) <= bound):
+            loose[give_up(fill, bound, capacity)] = True
         order = np.argsort(bins, kind="stable")
         ends = np.cumsum(sizes[order])
         offset = np.empty(len(sizes), np.int64)
@@ -193,4 +196,4 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if n == 1:
             return done
         loose, turn = placed.where("given_up"), turn + 1
-        n = max(n // MIX, math.ceil(loose.count() / PIECES)) if n > MIX else 1
+        n = max(n // MIX, math.ceil(loose.count() / PIECES), 1)
