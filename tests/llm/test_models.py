@@ -226,6 +226,22 @@ def test_lines_edge(spark):
     assert line_dedup.clean(df.limit(0)).count() == 0
 
 
+def test_small_hosts_lose_their_boilerplate(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF_MID}/pages.parquet").collect()}
+    hosts = {p: m[1].lower() if (m := re.match(line_dedup.HOST, r.url or "")) else "" for p, r in pages.items()}
+    lines = {p: brute_lines(r.html) for p, r in pages.items()}
+    held = Counter((hosts[p], x) for p in pages for x in set(lines[p]))
+    size = Counter(hosts.values())
+    rows = {r.page_id: r for r in queries.op5_line_dedup(spark, SF_MID).collect()}
+    assert rows.keys() == pages.keys()
+    dropped = 0
+    for p, h in hosts.items():
+        kept = [x for x in lines[p] if held[h, x] < 2 or held[h, x] / size[h] <= 0.3]
+        assert rows[p].kept_text == "\n".join(kept)
+        dropped += (len(lines[p]) - len(kept)) * (size[h] < 5)
+    assert dropped > 0
+
+
 # -- op 6 ------------------------------------------------------------------
 def brute_phrases(text):
     seen, start = set(), 0

@@ -5,8 +5,9 @@ pages that hold a line is divided by the number of its pages; lines above the
 boilerplate ratio are dropped from that host's pages.
 
 Defined results: a null page has no lines; a null url belongs to host ''; a
-line counts once per page; blank lines are neither counted nor kept; hosts of
-fewer than ``min_pages`` pages keep all lines; rows that repeat a page_id are
+line counts once per page; blank lines are neither counted nor kept; a line of
+a single page stays; hosts of fewer than ``min_pages`` pages keep all lines
+(the query spares none of two pages or more); rows that repeat a page_id are
 pages of their own; extra columns are dropped.
 """
 

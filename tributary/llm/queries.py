@@ -41,8 +41,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page without its host's boilerplate lines."""
-    return line_dedup.clean(table(spark, sf_dir, "pages"))
+    """Every page without its host's boilerplate lines, on hosts of any size."""
+    return line_dedup.clean(table(spark, sf_dir, "pages"), min_pages=2)
 
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
