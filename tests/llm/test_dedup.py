@@ -260,6 +260,16 @@ def test_components_long_chain_and_star(spark):
     assert got == {i: 0 for i in range(1, 201)} | {1000 + i: 1000 for i in range(1, 300)}
 
 
+def test_simhash_bridge_without_an_id(spark, monkeypatch):
+    """A fingerprint whose documents all lack an id links what lies around it."""
+    made = [(9, 0b0), (None, 0b11), (5, 0b1111), (None, 1 << 40), (None, 3 << 40), (7, 2**50 - 1)]
+    fps = spark.createDataFrame([(d, i, f) for i, (d, f) in enumerate(made)], "doc_id long, key long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, shingle: fps)
+    got = {r.key: r.component_id for r in simhash.near_duplicates(fps).collect()}
+    assert got == dict(enumerate(brute_components(made, lambda a, b: (a ^ b).bit_count() <= 2)))
+    assert got == {0: 5, 1: 5, 2: 5, 3: 5, 4: 5, 5: 7}
+
+
 # -- op 8 ------------------------------------------------------------------
 def brute_removed(texts, m):
     seen = Counter(t[i : i + m] for t in texts for i in range(len(t) - m + 1))

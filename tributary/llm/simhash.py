@@ -102,14 +102,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """A row per document: doc_id, key, fp, component_id (least doc_id it reaches)."""
     fps = written(fingerprints(docs, shingle), "fingerprints")
-    # One node per fingerprint, named by its least doc_id.
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    found = links(nodes, max_bits)
-    left = nodes.select(F.col("fp").alias("u"), F.col("node").alias("a"))
-    right = nodes.select(F.col("fp").alias("v"), F.col("node").alias("b"))
-    edges = found.join(left, "u").join(right, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    least = components(edges.where("u is not null and v is not null"))
-    named = nodes.join(least, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    # One node per fingerprint: its documents may all lack an id.
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    found = components(links(nodes, max_bits)).withColumnRenamed("node", "fp")
+    members = written(
+        nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "members"
+    )
+    ids = members.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = members.join(ids, "component").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "key", "fp", "component_id")
 
 
