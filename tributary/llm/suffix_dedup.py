@@ -1,21 +1,15 @@
-"""Removal of long repeated substrings by merging shard suffix structures.
+"""Removal of long repeated substrings by digests behind a phrase filter.
+
+It stands in for merging shard suffix structures by interleave refinement: no
+Burrows-Wheeler transform, interleave vector or common prefix is built.
 
 Texts are cut into phrases at content-defined anchors (a position whose k-gram
 hash is the least of some window of ``W`` positions), so equal passages are cut
-alike. A shard holds the suffixes that start at the anchors of its documents
-and, with each, its Burrows-Wheeler symbol: the phrase before it. Shards are
-merged by iterative interleave refinement over that alphabet:
-
-* round 1 interleaves the shards by the first phrase of their suffixes;
-* in round h + 1 each suffix of an open interval (one that holds two suffixes
-  or more) hands its symbol to the suffix before it, whose new interval is
-  (symbol, old interval). Intervals of a single suffix are closed: no common
-  prefix of that many phrases has a second place.
-
-No suffix is ever compared with or sorted against another as a string, and a
-shard sends its distinct intervals only. A window of ``min_bytes`` that occurs
-twice holds ``ROUNDS`` common phrases behind its first inner anchor, whatever
-the text, so the open intervals of the last round cover all repeats.
+alike. Round h counts, over all shards, the digests of the h phrases that start
+at each anchor; a digest that occurs once is closed: those phrases have no
+second place. A shard sends its distinct digests only. A window of ``min_bytes``
+that occurs twice holds ``ROUNDS`` common phrases behind its first inner anchor,
+whatever the text, so the open digests of the last round cover all repeats.
 
 What lies in them is then checked by content (digests of 128 bits, and of 96
 for single windows). All windows
