@@ -6,11 +6,11 @@ import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree
-from tributary.llm.common import prepare, table
+from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, manifest, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree
+from tributary.llm.common import lower_az, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,35 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(table(spark, sf_dir, "documents"), _round_trip, schema)
 
 
+def manifest_rows(docs: DataFrame, levels: int = manifest.LEVELS) -> DataFrame:
+    """Digests of the manifest and of each document's proof, folded from a
+    tampered leaf where 3 divides the document's checksum."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(hit, manifest.leaf_of(lower_az(F.col("text"))))
+    found = manifest.proofs(docs, tampered, levels)
+
+    def shown(name: str) -> Column:
+        return F.lower(F.hex(name))
+
+    # Per level, the first byte of an entry is the place in the run.
+    texts = F.transform("siblings", lambda s: F.lower(F.hex(F.substring(s, 2, manifest.FANOUT * manifest.DIGEST))))
+    return found.select(
+        "doc_id",
+        shown("leaf").alias("leaf"),
+        shown("subroot").alias("subroot"),
+        shown("root").alias("root"),
+        F.sha2(F.array_join(texts, "").cast("binary"), 256).alias("proof_sha256"),
+        shown("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, root and folded proof of every document."""
+    prepare(spark)
+    return manifest_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -110,6 +139,7 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_quality,
         op10_bpe,
+        op13_merkle_manifest,
     )
 }
 
