@@ -5,19 +5,18 @@ while several nodes remain, every ``FANOUT`` consecutive ones (the last run
 may be shorter, even one) become the digest of their digests. The subroots are
 the leaves of one more tree, whose root names the dataset.
 
-Builders are aligned: block ``b`` of a tree covers the ``RUN`` (FANOUT to
-the power LEVELS) leaves from ``b * RUN`` on, a complete subtree, so it is built
-without looking at any other
-block. A builder appends a node as soon as its last child is done: its log is
-the subtree in postorder. Block roots are the leaves of the next tier, and so
-on until a tree has one block left. Where a node stands in a log follows from
-the subtree sizes alone (``position``), so proofs read siblings by address:
-from the top tier down, each log hands every block below it the siblings on
-its way to the root.
-
-Bounds: a task holds one block (``RUN`` digests with their ids), the number of
-tiers is the logarithm of the rows to the base ``RUN``, and what is broadcast
-has one row per partition. A language with most of the rows is many blocks.
+Builders are aligned: with ``R`` for FANOUT to the power LEVELS, block ``b`` of
+a tree covers the ``R`` leaves from ``b * R`` on, a complete subtree, so it is
+built without looking at any other block. A builder appends a node as soon as
+its last child is done: its log is the subtree in postorder. Block roots are
+the leaves of the next tier, and so on until a tree has one block left. Where a
+node stands in a log follows from the subtree sizes alone (``position``), so
+proofs read siblings by address: from the top tier down, each log hands every
+block below it the siblings on its way to the root.
+
+Bounds: a task holds one block (``R`` digests with their ids), the number of
+tiers is the logarithm of the rows to the base ``R``, and what is broadcast has
+one row per partition. A language with most of the rows is many blocks.
 
 Defined results: a null field is ``-`` in a leaf; a null language is a tree of
 its own, the first one; rows of a tree that share a doc_id stand in the order
@@ -212,7 +211,7 @@ def _built(levels: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def _blocks(leaves: DataFrame, label: str, levels: int) -> DataFrame:
-    """One tier: a row per aligned block of RUN leaves, its log and their ids."""
+    """One tier: a row per aligned block, its log and their ids."""
     cut = leaves.select(
         "tree", F.expr(f"place div {FANOUT**levels}").alias("block"), F.col("place"), "id", "leaf", "other"
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, manifest, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree
+from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, manifest, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree, vector_join
 from tributary.llm.common import lower_az, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(table(spark, sf_dir, "documents"), _round_trip, schema)
 
 
+def op12_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    prepare(spark)
+    return vector_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def manifest_rows(docs: DataFrame, levels: int = manifest.LEVELS) -> DataFrame:
     """Digests of the manifest and of each document's proof, folded from a
     tampered leaf where 3 divides the document's checksum."""
@@ -139,6 +145,7 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_quality,
         op10_bpe,
+        op12_vector_join,
         op13_merkle_manifest,
     )
 }
