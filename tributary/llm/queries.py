@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, fingerprint, line_dedup, manifest, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree, vector_join
+from tributary.llm import bpe, conversations, exact_dedup, fingerprint, line_dedup, manifest, packing, quality, simhash, substring_dedup, suffix_dedup, suffix_tree, vector_join
 from tributary.llm.common import lower_az, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.coded(table(spark, sf_dir, "documents"), _round_trip, schema)
 
 
+def repaired_conversations(rows: DataFrame) -> DataFrame:
+    """Faults, repair and its digest for every damaged conversation."""
+    solved = conversations.repair(conversations.damaged(rows))
+    return conversations.summaries(solved).withColumnRenamed("digest", "repaired_sha256")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and least repair of every damaged conversation."""
+    prepare(spark)
+    return repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     prepare(spark)
@@ -145,6 +157,7 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_quality,
         op10_bpe,
+        op11_conversation_repair,
         op12_vector_join,
         op13_merkle_manifest,
     )
