@@ -6,22 +6,22 @@ boilerplate ratio are dropped from that host's pages.
 
 Defined results: a null page has no lines; a null url belongs to host ''; a
 line counts once per page; blank lines are neither counted nor kept; a line of
-a single page stays; hosts of fewer than ``min_pages`` pages keep all lines
-(the query spares none of two pages or more); rows that repeat a page_id are
+a single page stays; hosts of fewer than ``min_pages`` pages keep all lines; rows that repeat a page_id are
 pages of their own; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import written
 
 MAX_RATIO = 0.3
-MIN_PAGES = 5
-# A host's row is dealt to so many partitions, for a host may hold most pages.
-SALTS = 64
+# A single page has no lines in common with its host's others.
+MIN_PAGES = 2
 
 # What a page shows nothing of, and the tags that break lines.
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
@@ -47,8 +47,31 @@ def lines_of(html: Column) -> Column:
     return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != "")
 
 
+def hot_hosts(totals: DataFrame) -> DataFrame:
+    """(host, salts) of the hosts that hold more than a quarter of a partition's
+    share of the pages: no more than four for each partition, so they may be
+    broadcast, and together they have no more than twice that many salts."""
+    quarters = 4 * int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = math.ceil((totals.agg(F.sum("host_pages")).first()[0] or 0) / quarters)
+    hot = totals.where(F.col("host_pages") > share)
+    return F.broadcast(hot.select("host", F.ceil(F.col("host_pages") / max(share, 1)).cast("int").alias("salts")))
+
+
+def salted(rows: DataFrame, hot: DataFrame, by: Column) -> DataFrame:
+    """Rows with a salt: zero but for those of hot hosts."""
+    dealt = rows.join(hot, "host", "left")
+    return dealt.withColumn("salt", F.pmod(by, F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+
+
+def spread(hosts: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Each host once for each of its salts."""
+    known = hosts if hot is None else hosts.join(hot, "host", "left")
+    last = F.coalesce("salts", F.lit(1)) - 1
+    return known.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("salts")
+
+
 def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, host_pages, boiler): the digests of each host's boilerplate.
+    """(host, host_pages, salts, boiler): the digests of each host's boilerplate.
 
     ``pages``: (host, lines). A host has at most (distinct lines of its average
     page) / max_ratio such lines, so the array doesn't grow with its pages.
@@ -56,18 +79,18 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
     """
     each = pages.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x)))).alias("line"))
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    salted = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    totals = written(pages.groupBy("host").agg(F.count("*").alias("host_pages")), "hosts")
+    hot = hot_hosts(totals)
     over = (
-        counts.where("n > 1")
-        .withColumn("salt", F.pmod("line", F.lit(SALTS)).cast("int"))
-        .join(salted, ["host", "salt"])
+        salted(counts.where("n > 1"), hot, F.col("line"))
+        .join(spread(totals, hot), ["host", "salt"])
         .where(F.col("n") / F.col("host_pages") > max_ratio)
     )
     found = over.groupBy("host").agg(F.collect_list("line").alias("boiler"))
-    return totals.join(found, "host", "left").select(
+    return totals.join(found, "host", "left").join(hot, "host", "left").select(
         "host",
         "host_pages",
+        "salts",
         F.when(F.col("host_pages") >= min_pages, F.coalesce("boiler", F.array().cast("array<bigint>")))
         .otherwise(F.array().cast("array<bigint>"))
         .alias("boiler"),
@@ -77,11 +100,10 @@ def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int =
 def clean(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """A row per page: page_id, host, host_pages, n_lines, n_dropped, kept_text."""
     lined = written(pages.select("page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines")), "lines")
-    hosts = boilerplate(lined, max_ratio, min_pages).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    dealt = lined.withColumn("salt", F.pmod(F.xxhash64("page_id", "lines"), F.lit(SALTS)).cast("int"))
-    joined = dealt.join(hosts, ["host", "salt"])
+    hosts = written(boilerplate(lined, max_ratio, min_pages), "boilerplate")
+    hot = F.broadcast(hosts.where("salts is not null").select("host", "salts"))
+    dealt = salted(lined, hot, F.xxhash64("page_id", "lines"))
+    joined = dealt.join(spread(hosts), ["host", "salt"])
     kept = joined.withColumn(
         "kept", F.filter("lines", lambda x: ~F.array_contains("boiler", F.xxhash64(x)))
     )

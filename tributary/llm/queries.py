@@ -42,7 +42,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page without its host's boilerplate lines, on hosts of any size."""
-    return line_dedup.clean(table(spark, sf_dir, "pages"), min_pages=2)
+    return line_dedup.clean(table(spark, sf_dir, "pages"))
 
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,15 +175,27 @@ WITH cut AS (
     SELECT doc_id, generate_subscripts(units, 1) - 1 AS unit, unnest(units) AS u FROM cut
 ), placed AS (
     SELECT doc_id, unit, length(u) AS length,
-        sum(length(u)) OVER (PARTITION BY doc_id ORDER BY unit) - length(u) AS start,
+        sum(length(u)) OVER w - length(u) AS start,
+        sum(CAST(ends_with(u, chr(10)) AS INTEGER)) OVER w - CAST(ends_with(u, chr(10)) AS INTEGER) AS line,
         translate(trim(regexp_replace(u, '[ \t\r\n]+', ' ', 'g'), ' '),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain
-    FROM numbered WHERE length(u) > 0
+    FROM numbered WHERE length(u) > 0 WINDOW w AS (PARTITION BY doc_id ORDER BY unit)
+), lines AS (
+    SELECT doc_id, line, min(unit) AS unit, min(start) AS start, sum(length) AS length,
+        string_agg(plain, ' ' ORDER BY unit) FILTER (plain <> '') AS plain
+    FROM placed GROUP BY doc_id, line
+), parted AS (
+    SELECT *, sum(CAST(plain IS NULL AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY line) AS paragraph FROM lines
+), passages AS (
+    SELECT doc_id, min(unit) AS unit, min(start) AS start, sum(length) AS length, string_agg(plain, ' ' ORDER BY line) AS plain
+    FROM parted WHERE plain IS NOT NULL GROUP BY doc_id, paragraph HAVING count(*) > 1
+    UNION ALL SELECT doc_id, unit, start, length, plain FROM lines WHERE plain IS NOT NULL
+    UNION ALL SELECT p.doc_id, p.unit, p.start, p.length, p.plain FROM placed p JOIN lines l USING (doc_id, line)
+    WHERE p.plain <> l.plain AND length(p.plain) - length(replace(p.plain, ' ', '')) + 1 >= 5
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id, start) AS k,
-        first_value(doc_id) OVER (PARTITION BY plain ORDER BY doc_id, start) AS keep_doc_id,
-        count(*) OVER (PARTITION BY plain) AS copies
-    FROM placed WHERE length(plain) - length(replace(plain, ' ', '')) + 1 >= 5
+    SELECT *, row_number() OVER (PARTITION BY plain ORDER BY doc_id, start, length DESC) AS k,
+        min(doc_id) OVER (PARTITION BY plain) AS keep_doc_id, count(*) OVER (PARTITION BY plain) AS copies
+    FROM passages
 )
 SELECT doc_id, CAST(unit AS INTEGER) AS unit, CAST(start AS INTEGER) AS start, CAST(length AS INTEGER) AS length,
     keep_doc_id, copies FROM ranked WHERE k > 1
