@@ -7,6 +7,7 @@ import pytest
 # Extra columns whose names the operators use inside, too.
 EXTRA = (
     "rank int, hi int, lo int, digest string, block int, fp int, u int, v int, bucket int, tail int, n int, c int, "
+    "__digest int, __doc int, __key int, __block int, __cuts int, doc int, keep int, rows int, cuts int, block_ int, "
     "first int, key int, x int, trusted int, score int, keep_id int, group_size int, sequence_id int, node int, lines int"
 )
 

@@ -57,6 +57,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *bases: str) -> list[str]:
+    """Column names that ``df`` does not have (whatever their case), one for
+    each base: helper columns beside a user's own."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for base in bases:
+        name = base
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def partitions(spark: SparkSession, n_bytes: int, target: int) -> int:
     """Number of partitions of about ``target`` bytes, at least the configured one."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,6 +1,7 @@
 """Exact deduplication with a cuckoo-filter index.
 
-The digest space is dealt into buckets, one per partition. A bucket holds a
+The digest space is dealt into buckets, one per partition; their number follows
+from the rows. A bucket holds a
 cuckoo filter over its live digests and the bucketed content behind it: each
 digest with the document that stays and the size of its group. A digest that
 the filter does not know is new. A hit is verified against the stored digest
@@ -22,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import lower_az, written
+from tributary.llm.common import free_names, lower_az, partitions, written
 
 SLOTS = 4
 MAX_KICKS = 200
 FIRST_BUCKETS = 256
+# Live digests of a bucket on average: they are a task's memory.
+BUCKET_ROWS = 250_000
+# Groups (a digest and two numbers each) that may be broadcast, some 40 MB.
+BROADCAST_GROUPS = 400_000
 # A null doc_id ranks below all others.
 NO_DOC = -(2**63)
 
@@ -185,7 +190,7 @@ def build(digests: DataFrame) -> DataFrame:
         F.lit(1).cast("long").alias("group_size"),
         F.lit(1).cast("long").alias("keep_rows"),
     )
-    n = int(digests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(digests.sparkSession, digests.count(), BUCKET_ROWS)
     return rows.mapInArrow(_absorb, _GROUPS).repartition(n, "digest").mapInArrow(_absorb, _GROUPS)
 
 
@@ -202,7 +207,7 @@ def update(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFra
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.union(part)
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions(index.sparkSession, rows.count(), BUCKET_ROWS)
     dealt = rows.repartition(n, "digest").sortWithinPartitions("op")
     return dealt.mapInArrow(_apply, _GROUPS)
 
@@ -226,17 +231,23 @@ def decisions(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Only rows that share both text and doc_id with a row that stays need a
-    second look; they are dropped by a grouping of their own.
+    Texts are not shuffled while the groups of several rows, which are digests
+    and ids, are few enough to be broadcast by their measured number. Only rows
+    that share text and doc_id with the one that stays meet by digest, each
+    task having reduced its own to one.
     """
     columns = docs.columns
-    keyed = docs.withColumn("__digest", digest_of(F.col("text")))
-    digests = written(keyed.select("doc_id", F.col("__digest").alias("digest")), "digests")
-    groups = written(build(digests).where("group_size > 1"), "groups").select(
-        F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"), F.col("keep_rows").alias("__rows")
+    digest, keep, n = free_names(docs, "digest", "keep", "rows")
+    keyed = docs.withColumn(digest, digest_of(F.col("text")))
+    narrow = written(docs.select("doc_id", digest_of(F.col("text")).alias("digest")), "digests")
+    several = build(narrow).where("group_size > 1").select(
+        F.col("digest").alias(digest), F.col("keep_id").alias(keep), F.col("keep_rows").alias(n)
     )
-    joined = keyed.join(groups, "__digest", "left")
-    rank = F.coalesce("doc_id", F.lit(NO_DOC))
-    once = joined.where(F.col("__keep").isNull() | ((rank == F.col("__keep")) & (F.col("__rows") == 1)))
-    ties = joined.where((rank == F.col("__keep")) & (F.col("__rows") > 1)).dropDuplicates(["__digest"])
-    return once.unionByName(ties).select(columns)
+    groups = written(several, "groups")
+    if groups.count() <= BROADCAST_GROUPS:
+        groups = F.broadcast(groups)
+    joined = keyed.join(groups, digest, "left")
+    best = F.coalesce("doc_id", F.lit(NO_DOC)) == F.col(keep)
+    once = joined.where(F.col(keep).isNull() | (best & (F.col(n) == 1)))
+    ties = joined.where(best & (F.col(n) > 1)).dropDuplicates([digest])
+    return once.select(columns).unionByName(ties.select(columns))

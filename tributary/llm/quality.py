@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import written
+from tributary.llm.common import free_names, written
 
 FOLDS = 3
 HELD_OUT = 1
@@ -241,6 +241,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all columns."""
-    bad = scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
-    same = docs.doc_id.eqNullSafe(F.col("__doc")) & (F.xxhash64(docs.text) == F.col("__key"))
+    doc, key = free_names(docs, "doc", "key")
+    bad = scores(docs, labels).where("predicted = 0").select(F.col("doc_id").alias(doc), F.col("key").alias(key))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(key))
     return docs.join(bad, same, "left_anti")

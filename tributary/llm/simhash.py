@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.common import written
+from tributary.llm.common import free_names, written
 from tributary.llm.components import components
 
 SHINGLE = 3
@@ -115,7 +115,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The document with the least doc_id of every component, all columns."""
+    doc, key = free_names(docs, "doc", "key")
     classes = near_duplicates(docs, shingle, max_bits)
-    stay = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
-    same = docs.doc_id.eqNullSafe(F.col("__doc")) & (F.xxhash64(docs.text) == F.col("__key"))
+    stay = classes.where("doc_id <=> component_id").select(F.col("doc_id").alias(doc), F.col("key").alias(key))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(key))
     return docs.join(stay, same, "left_semi")

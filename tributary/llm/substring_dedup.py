@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import LOWER, UPPER, written
+from tributary.llm.common import LOWER, UPPER, free_names, written
 
 MIN_WORDS = 5
 LAST_RANK = 2**63 - 1
@@ -151,11 +151,12 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     The spans of one document meet in one row: they are no more than its units.
     A span may lie within another.
     """
-    cuts = spans.groupBy(F.col("doc_id").alias("__doc")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "length"))).alias("__cuts")
+    doc, gone_at = free_names(docs, "doc", "cuts")
+    cuts = spans.groupBy(F.col("doc_id").alias(doc)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "length"))).alias(gone_at)
     )
     schema = docs.schema
-    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col(doc)), "left").drop(doc)
     place = schema.names.index("text")
     span = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "length")])
     out = T.StructType([*schema.fields, T.StructField("kept_spans", T.ArrayType(span))])
@@ -163,7 +164,7 @@ def without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     def task(batches):
         for batch in batches:
             kept_texts, kept_spans = [], []
-            cut_lists = batch.column("__cuts").to_pylist()
+            cut_lists = batch.column(gone_at).to_pylist()
             for text, gone in zip(batch.column(place).to_pylist(), cut_lists, strict=True):
                 spans_left, at = [], 0
                 for s in gone or []:

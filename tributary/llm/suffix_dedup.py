@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import partitions
+from tributary.llm.common import free_names, partitions
 
 MIN_BYTES = 400
 ROUNDS = 2
@@ -58,8 +58,6 @@ SEGMENT = 1 << 17
 _NAME = "block int, hi long, n long"
 _CORE = "block int, hi long, lo long, low long, high long, n long"
 _WINDOW = "block int, hi long, lo long, n long"
-# Column of the block of a document; extra columns may have any other name.
-BLOCK = "__block"
 # Kinds of answers to a shard.
 OPEN, WHOLE, MIXED, AGAIN = range(4)
 
@@ -323,11 +321,12 @@ def repeated_spans(docs: DataFrame, finish, schema: str | object, min_bytes: int
     """
     size = n_bytes if n_bytes is not None else docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = partitions(docs.sparkSession, size, BLOCK_BYTES)
-    dealt = _squeezed(docs.withColumn(BLOCK, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")))
-    blocks = dealt.groupBy(BLOCK)
+    (block,) = free_names(docs, "block")
+    dealt = _squeezed(docs.withColumn(block, F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")))
+    blocks = dealt.groupBy(block)
 
     def number(rows: pa.Table, length: int) -> pa.Array:
-        return pa.array(np.full(length, rows.column(BLOCK)[0].as_py(), np.int32))
+        return pa.array(np.full(length, rows.column(block)[0].as_py(), np.int32))
 
     def named(rows: pa.Table, found: np.ndarray) -> pa.Table:
         names, times = np.unique(found, return_counts=True)
