@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from tributary.llm import exact_dedup, packing, quality, simhash, suffix_dedup
 from tributary.llm.common import prepare, table, written
 
+# Bytes of a repeat that is removed: a passage of over 50 words has as many,
+# of five letters and more a word with its blank on average.
+PASSAGE_BYTES = 256
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
@@ -40,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere, too; n_chars follows."""
     prepare(spark)
-    found = suffix_dedup.without_repeats(docs)
+    found = suffix_dedup.without_repeats(docs, PASSAGE_BYTES)
     if "n_chars" in found.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found
