@@ -14,19 +14,20 @@ Without a table format on the classpath, versioning is done with plain files:
   filters on any of them. Column values are mapped to buckets by approximate
   quantiles (a bounded list per column), never by a global sort or rank; the
   number of files follows from the bytes.
-* **schema evolution** appends batches with new columns; reads merge the
-  file schemas.
+* **schema evolution** appends batches with new columns or wider types, each in
+  a folder of its own; a read casts each to the columns of all.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.sources.catalog import data_file_stats, file_inventory
+from tributary.sources.catalog import data_file_stats, exists, file_inventory, folders, footer_counts, listing
 
 VERSION_COL = "snapshot_version"
 OPERATION_COL = "operation"
@@ -45,41 +46,54 @@ class SnapshotTable:
     def version_path(self, version: int) -> str:
         return f"{self.path}/{VERSION_COL}={version}"
 
+    def _written(self) -> list[tuple[int, str, str, bool]]:
+        """(version, operation, folder, committed) of every write that was
+        begun, from the folder names; a write that was cut off has no marker."""
+        found = []
+        for version in folders(self.spark, self.path, f"{VERSION_COL}="):
+            for operation in folders(self.spark, f"{self.path}/{version}", f"{OPERATION_COL}="):
+                folder = f"{self.path}/{version}/{operation}"
+                number, name = version.split("=", 1)[1], operation.split("=", 1)[1]
+                found.append((int(number), name, folder, exists(self.spark, f"{folder}/_SUCCESS")))
+        return sorted(found)
+
+    def published(self) -> dict[int, tuple[str, str]]:
+        """Version to (operation, folder), of the writes that committed."""
+        return {v: (operation, folder) for v, operation, folder, done in self._written() if done}
+
     def versions(self) -> list[int]:
-        """Published versions, from the folder names."""
-        hpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hpath):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(hpath)]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{VERSION_COL}="))
+        return sorted(self.published())
 
     def history(self, limit: int | None = None) -> DataFrame:
-        """Versions, newest first (M1): operation, rows, time and files."""
-        rows = self.spark.read.parquet(self.path).groupBy(
-            F.col(VERSION_COL).cast("long").alias("version"), OPERATION_COL
-        )
-        h = rows.agg(
-            F.count(F.lit(1)).alias("num_rows"),
-            F.max("_metadata.file_modification_time").alias("timestamp"),
-            F.count_distinct("_metadata.file_path").alias("num_files"),
-        ).orderBy(F.col("version").desc())
-        return h.limit(limit) if limit else h
+        """Versions, newest first (M1): operation, rows, time and files. The
+        rows are counted from the files' footers, the rest is the file list."""
+        known = sorted(self.published().items(), reverse=True)[:limit]
+        counted = footer_counts(self.spark, {str(v): folder for v, (_, folder) in known})
+        rows = []
+        for version, (operation, folder) in known:
+            files, _, latest = listing(self.spark, folder)
+            rows.append((version, operation, counted[str(version)], latest / 1000.0, files))
+        schema = "version long, operation string, num_rows long, seconds double, num_files long"
+        h = self.spark.createDataFrame(rows, schema)
+        time = F.timestamp_millis((F.col("seconds") * 1000).cast("long")).alias("timestamp")
+        return h.select("version", OPERATION_COL, "num_rows", time, "num_files").orderBy(F.col("version").desc())
 
     def publish(self, df: DataFrame, operation: str = "WRITE") -> int:
-        """Write ``df`` as the next version."""
-        version = max(self.versions(), default=-1) + 1
+        """Write ``df`` as the next version; the number of a write that was cut
+        off is not given again."""
+        version = max((v for v, *_ in self._written()), default=-1) + 1
         df.write.mode("overwrite").parquet(f"{self.version_path(version)}/{OPERATION_COL}={operation}")
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of ``version`` (default: the latest), with its own columns
         (M2: time travel)."""
+        known = self.published()
         if version is None:
-            version = max(self.versions(), default=None)
-        if version is None:
-            raise ValueError(f"no version at {self.path}")
-        return self.spark.read.parquet(self.version_path(version)).drop(OPERATION_COL)
+            version = max(known, default=None)
+        if version not in known:
+            raise ValueError(f"no version {'' if version is None else version} at {self.path}")
+        return self.spark.read.parquet(known[version][1])
 
     def diff(self, old: int, new: int) -> DataFrame:
         """Rows added in ``new`` and removed from ``old`` (multiset): one
@@ -103,7 +117,7 @@ def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES) ->
     (OPTIMIZE): scan tasks pack files up to the target and write one each."""
     spark = table.spark
     latest = max(table.versions())
-    files_before, _ = data_file_stats(spark, table.version_path(latest))
+    files_before, _ = data_file_stats(spark, table.published()[latest][1])
     packing = {
         "spark.sql.files.maxPartitionBytes": str(target_file_bytes),
         "spark.sql.files.openCostInBytes": "0",
@@ -117,7 +131,7 @@ def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES) ->
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    files_after, _ = data_file_stats(spark, table.version_path(version))
+    files_after, _ = data_file_stats(spark, table.published()[version][1])
     return {"version": version, "files_before": files_before, "files_after": files_after}
 
 
@@ -220,14 +234,108 @@ def cluster(
 # schema evolution (M5)
 # --------------------------------------------------------------------------
 
+# What a type may widen to.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"),
+    "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+    "date": ("timestamp", "timestamp_ntz"),
+}
+APPEND = "append="
+
+
+class NarrowingError(ValueError):
+    """A batch's column has a type that the stored one does not widen to."""
+
+
+def widened(old: T.DataType, new: T.DataType, where: str) -> T.DataType:
+    """The type of a column after a batch: the stored one, or one that widens
+    it without loss, member by member."""
+    if old == new:
+        return old
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return merged(old, new, f"{where}.")
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(widened(old.elementType, new.elementType, f"{where}[]"))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType) and old.keyType == new.keyType:
+        return T.MapType(old.keyType, widened(old.valueType, new.valueType, f"{where}[]"))
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        if new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale:
+            return new
+    elif isinstance(old, T.NullType) or new.simpleString() in WIDER.get(old.simpleString(), ()):
+        return new
+    raise NarrowingError(f"column {where} is {old.simpleString()}; a batch brings {new.simpleString()}, which is not wider: cast it")
+
+
+def merged(old: T.StructType, new: T.StructType, where: str = "") -> T.StructType:
+    """The columns of both, those of ``old`` first."""
+    own = {f.name: f.dataType for f in new.fields}
+    kept = [T.StructField(f.name, widened(f.dataType, own.get(f.name, f.dataType), where + f.name)) for f in old.fields]
+    return T.StructType(kept + [T.StructField(f.name, f.dataType) for f in new.fields if f.name not in old.names])
+
+
+def _appended(spark: SparkSession, path: str) -> list[tuple[str, T.StructType]]:
+    """The committed batches, oldest first, and their columns: one footer each."""
+    known = [f"{path}/{b}" for b in sorted(folders(spark, path, APPEND), key=lambda b: int(b.split("=")[1]))]
+    return [(b, spark.read.parquet(b).schema) for b in known if exists(spark, f"{b}/_SUCCESS")]
+
+
+def _columns(batches: list[tuple[str, T.StructType]]) -> T.StructType:
+    return reduce(merged, [schema for _, schema in batches], T.StructType([]))
+
+
 def append_evolving(df: DataFrame, path: str) -> None:
-    """Append a batch whose schema may add columns."""
-    df.write.mode("append").parquet(path)
+    """Append a batch whose schema may add columns and widen types; one that
+    narrows a type is refused before anything is written."""
+    merged(_columns(_appended(df.sparkSession, path)), df.schema)
+    number = max((int(b.split("=")[1]) for b in folders(df.sparkSession, path, APPEND)), default=-1) + 1
+    df.write.parquet(f"{path}/{APPEND}{number}")
+
+
+def _fit(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    """A stored value in the merged type; members that it lacks are NULL."""
+    if old == new:
+        return value
+    if isinstance(new, T.StructType):
+        return F.when(
+            value.isNotNull(),
+            F.struct(
+                *[
+                    (_fit(value[f.name], old[f.name].dataType, f.dataType) if f.name in old.names else F.lit(None).cast(f.dataType)).alias(f.name)
+                    for f in new.fields
+                ]
+            ),
+        )
+    if isinstance(new, T.ArrayType):
+        return F.transform(value, lambda x: _fit(x, old.elementType, new.elementType))
+    if isinstance(new, T.MapType):
+        return F.transform_values(value, lambda _, x: _fit(x, old.valueType, new.valueType))
+    return value.cast(new)
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """Read every batch; columns missing from older files are NULL."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Read every batch in the columns of all: those that older batches lack are
+    NULL, narrower types are cast. Batches with the same schema are one scan."""
+    batches = _appended(spark, path)
+    if not batches:
+        raise ValueError(f"no batch at {path}")
+    whole = _columns(batches)
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder, schema in batches:
+        alike.setdefault(schema.json(), (schema, []))[1].append(folder)
+    parts = []
+    for schema, paths in alike.values():
+        rows = spark.read.schema(schema).parquet(*paths)
+        parts.append(
+            rows.select(
+                *[
+                    (_fit(F.col(f.name), schema[f.name].dataType, f.dataType) if f.name in schema.names else F.lit(None).cast(f.dataType)).alias(f.name)
+                    for f in whole.fields
+                ]
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:

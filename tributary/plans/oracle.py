@@ -724,6 +724,41 @@ def oracle_sql() -> dict[str, str]:
           payment_status, shipping_city, totalAmount, source_system, source_format FROM ecom_raw""",
         "ecom_raw",
     )
+    q["bronze_footer_counts"] = with_ctes(
+        f"""SELECT source, records FROM ({src_counts})
+        UNION ALL SELECT 'all', CAST(SUM(records) AS BIGINT) FROM ({src_counts})""",
+        "pos_raw",
+        "ecom_raw",
+        "mobile_raw",
+    )
+    new_fields = """SELECT *, CAST(regexp_extract(orderId, '(\\d+)$', 1) AS BIGINT) AS k,
+          ingestion_timestamp > TIMESTAMP '2024-03-05' AS late FROM ecom_raw"""
+    q["landing_new_fields"] = with_ctes(
+        f"""SELECT orderId, customer_id, item_count, totalAmount,
+          CASE WHEN late AND k % 2 = 0 THEN k % 3 = 0 END AS gift_wrap,
+          CASE WHEN late AND k % 4 = 0 THEN 'C' || CAST(k % 7 AS VARCHAR) END AS campaign_code,
+          CASE WHEN late AND k % 4 = 0 THEN k % 5 END AS campaign_percent,
+          CASE WHEN late AND k % 5 = 1 AND orderDate IS NOT NULL THEN 'S' || CAST(k % 3 AS VARCHAR) END AS segment,
+          CASE WHEN late AND k % 6 = 0 AND item_count > 0 THEN k % 24 END AS first_warranty
+        FROM ({new_fields})""",
+        "ecom_raw",
+    )
+    q["landing_discovered_fields"] = with_ctes(
+        f"""SELECT * FROM (
+          SELECT 'giftWrap' AS field, 'BOOLEAN' AS type, count(*) AS records FROM ({new_fields}) WHERE late AND k % 2 = 0
+          UNION ALL SELECT 'campaign', 'OBJECT<code: STRING, percent: BIGINT>', count(*)
+            FROM ({new_fields}) WHERE late AND k % 4 = 0
+          UNION ALL SELECT 'customer', 'OBJECT<segment: STRING>', count(*)
+            FROM ({new_fields}) WHERE late AND k % 5 = 1 AND orderDate IS NOT NULL
+          UNION ALL SELECT 'lineItems', 'ARRAY<OBJECT<warrantyMonths: BIGINT>>', count(*)
+            FROM ({new_fields}) WHERE late AND k % 6 = 0 AND item_count > 0
+        ) WHERE records > 0""",
+        "ecom_raw",
+    )
+    q["type_widening"] = """SELECT o_orderkey AS order_key,
+          CASE WHEN o_orderkey % 3 = 2 THEN CAST(floor(o_totalprice) AS DOUBLE)
+               ELSE CAST(CAST(floor(o_totalprice) AS FLOAT) AS DOUBLE) END AS price,
+          CAST(o_orderdate AS TIMESTAMP) AS ordered, o_orderkey % 100 AS slot, o_orderstatus AS status FROM orders"""
     q["landing_mobile_parquet"] = with_ctes(
         """SELECT transaction_id, product_id, device_id, quantity, amount, "timestamp", app_version,
           platform, payment_status, source_system, source_format FROM mobile_raw""",

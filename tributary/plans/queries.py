@@ -23,7 +23,7 @@ from tributary.plans.medallion import DEFAULT_REPORT_DATE, Medallion
 from tributary.rules import DOCUMENTED
 from tributary.schemas import DEDUP_COLUMNS, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS
 from tributary.session import apply_runtime_conf, fresh_dir
-from tributary.sources import catalog, landing
+from tributary.sources import catalog, landing, semistructured
 from tributary.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +150,18 @@ def bronze_total(spark, sf_dir):
     return profile.grand_total(profile.source_counts(_m(spark, sf_dir).bronze))
 
 
+@register("bronze_footer_counts")
+def bronze_footer_counts(spark, sf_dir):
+    """Records per source and in all, read from the footers of the stored
+    feeds (P5, P6): the scan opens no row group."""
+    _m(spark, sf_dir).bronze  # make sure the feeds are landed
+    root = landing.bronze_root(spark, sf_dir)
+    names = {"POS": "pos", "E-commerce": "ecommerce", "Mobile App": "mobile"}
+    counts = catalog.counted(spark, {shown: f"{root}/{n}" for shown, n in names.items()})
+    total = counts.agg(F.sum("row_count").alias("row_count")).select(F.lit("all").alias("name"), "row_count")
+    return counts.unionAll(total).select(F.col("name").alias("source"), F.col("row_count").alias("records"))
+
+
 # --------------------------------------------------------------------------
 # scalar functions over every raw value
 # --------------------------------------------------------------------------
@@ -524,6 +536,72 @@ def landing_mobile_parquet(spark, sf_dir):
     return _landed_files(spark, sf_dir)["mobile"].select(*cols, "source_system", "source_format")
 
 
+# What the later orders bring besides the known fields, by the
+# number that ends their id.
+def _with_new_fields(orders: DataFrame) -> DataFrame:
+    """The orders landed after the split day, as JSON lines with new fields: a
+    flag, an object, a member of a known object and one of its line items."""
+    k = F.regexp_extract("orderId", r"(\d+)$", 1).cast("bigint")
+    gift = F.when(k % 2 == 0, k % 3 == 0)
+    campaign = F.when(k % 4 == 0, F.struct(F.concat(F.lit("C"), (k % 7).cast("string")).alias("code"), (k % 5).alias("percent")))
+    segment = F.when(k % 5 == 1, F.concat(F.lit("S"), (k % 3).cast("string")))
+    late = orders.filter(F.to_date("ingestion_timestamp") > F.lit(UPSERT_SPLIT_DAY).cast("date")).drop(*AUDIT)
+    late = late.select(
+        *[F.col(c) for c in late.columns if c not in ("customer", "lineItems")],
+        F.col("customer").withField("segment", segment).alias("customer"),
+        F.transform("lineItems", lambda x: x.withField("warrantyMonths", F.when(k % 6 == 0, k % 24))).alias("lineItems"),
+        gift.alias("giftWrap"),
+        campaign.alias("campaign"),
+    )
+    return late.select(F.to_json(F.struct(*late.columns)).alias("value"))
+
+
+def _evolved_orders(spark, sf_dir) -> DataFrame:
+    """Stored orders of two landings: the first ones read with the schema
+    alone, the later ones, which have new fields, with all they bring."""
+    orders = _m(spark, sf_dir).bronze["ecommerce"]
+    early = orders.filter(F.to_date("ingestion_timestamp") <= F.lit(UPSERT_SPLIT_DAY).cast("date"))
+    root = fresh_dir(spark, "new-fields")
+    early.drop(*AUDIT).write.json(f"{root}/first")
+    _with_new_fields(orders).write.text(f"{root}/second")
+    maintenance.append_evolving(landing.read_ecommerce_json(spark, f"{root}/first", LANDING_TS), f"{root}/bronze")
+    maintenance.append_evolving(semistructured.read_ecommerce(spark, f"{root}/second", LANDING_TS), f"{root}/bronze")
+    return maintenance.read_merged(spark, f"{root}/bronze")
+
+
+@register("landing_new_fields")
+def landing_new_fields(spark, sf_dir):
+    """Fields that no schema knows are kept at landing and promoted to typed
+    columns (S4, M5); orders landed before have NULL there."""
+    promoted = semistructured.promote(
+        _evolved_orders(spark, sf_dir),
+        {
+            "gift_wrap": ("$.giftWrap", "boolean"),
+            "campaign_code": ("$.campaign.code", "string"),
+            "campaign_percent": ("$.campaign.percent", "bigint"),
+            "segment": ("$.customer.segment", "string"),
+            "first_warranty": ("$.lineItems[0].warrantyMonths", "bigint"),
+        },
+    )
+    return promoted.select(
+        "orderId",
+        F.col("customer.customerId").alias("customer_id"),
+        F.size("lineItems").alias("item_count"),
+        "totalAmount",
+        "gift_wrap",
+        "campaign_code",
+        "campaign_percent",
+        "segment",
+        "first_warranty",
+    )
+
+
+@register("landing_discovered_fields")
+def landing_discovered_fields(spark, sf_dir):
+    """The unknown fields of the landed orders: name, type, orders with it."""
+    return semistructured.discovered(_evolved_orders(spark, sf_dir))
+
+
 @register("landing_rejects")
 def landing_rejects(spark, sf_dir):
     """Broken lines among the landing files keep their text: sales with fields
@@ -698,6 +776,31 @@ def schema_evolution(spark, sf_dir):
     return maintenance.read_merged(spark, path)
 
 
+@register("type_widening")
+def type_widening(spark, sf_dir):
+    """Three batches whose types widen: int to bigint, float to double, date to
+    timestamp, and a member of a nested column; read in the widest types."""
+    apply_runtime_conf(spark)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    k, path = F.col("o_orderkey"), fresh_dir(spark, "widening")
+
+    def batch(n, key, price, day):
+        rows = orders.filter(k % 3 == n)
+        nested = F.struct((k % 100).cast(key).alias("slot"), F.col("o_orderstatus").alias("status"))
+        return rows.select(
+            k.cast(key).alias("order_key"),
+            F.floor("o_totalprice").cast(price).alias("price"),
+            F.col("o_orderdate").cast(day).alias("ordered"),
+            nested.alias("place"),
+        )
+
+    maintenance.append_evolving(batch(0, "int", "float", "date"), path)
+    maintenance.append_evolving(batch(1, "bigint", "float", "date"), path)
+    maintenance.append_evolving(batch(2, "bigint", "double", "timestamp"), path)
+    rows = maintenance.read_merged(spark, path)
+    return rows.select("order_key", "price", "ordered", F.col("place.slot").alias("slot"), F.col("place.status").alias("status"))
+
+
 # --------------------------------------------------------------------------
 # streaming and incremental
 # --------------------------------------------------------------------------

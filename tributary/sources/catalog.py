@@ -98,3 +98,60 @@ def data_file_stats(spark: SparkSession, path: str) -> tuple[int, int]:
     hidden files; the sizes come from one content summary. No data is read."""
     files = len(spark.read.parquet(path).inputFiles())
     return files, input_bytes(spark, [path])
+
+
+# --------------------------------------------------------------------------
+# file lists and footers
+# --------------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _fs(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders below ``path`` that begin with ``prefix``."""
+    hpath, fs = _fs(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+
+
+def listing(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(data files, their bytes, latest change in epoch milliseconds) of one
+    folder; marker and hidden files do not count."""
+    hpath, fs = _fs(spark, path)
+    shown = [s for s in fs.listStatus(hpath) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return len(shown), sum(s.getLen() for s in shown), max((s.getModificationTime() for s in shown), default=0)
+
+
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster whose Parquet scans answer COUNT, MIN and
+    MAX from the files' footers: no row group is read. Settings of the caller's
+    session stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    v1 = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in v1 if s != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def counted(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(name, row_count) of Parquet tables, from their footers."""
+    own = footer_session(spark)
+    out = None
+    for name, path in paths.items():
+        part = own.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+        part = part.select(F.lit(name).alias("name"), "row_count")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+def footer_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int]:
+    return {r["name"]: r["row_count"] for r in counted(spark, paths).collect()} if paths else {}

@@ -190,8 +190,9 @@ def land_files(
     table, which a retry replaces; the three feeds are landed as concurrent
     jobs. Returns the batch's rows."""
     from tributary.plans.concurrent import run_all
+    from tributary.sources.semistructured import read_ecommerce
 
-    readers = {"pos": read_pos_csv, "ecommerce": read_ecommerce_json, "mobile": read_mobile_parquet}
+    readers = {"pos": read_pos_csv, "ecommerce": read_ecommerce, "mobile": read_mobile_parquet}
     frames = {n: readers[n](spark, p, ingestion_ts) for n, p in landing_paths.items()}
     run_all(
         {n: (lambda n=n: frames[n].write.mode("overwrite").parquet(f"{bronze_base}/{n}/batch={batch}")) for n in frames}
