@@ -86,3 +86,57 @@ def half_up_avg_int(name: str, places: int) -> Column:
         f"CASE WHEN {n} > 0 THEN "
         f"{_half_up_div(f'CAST({s} * SUM({name}) AS DECIMAL(30,0))', f'CAST({n} AS DECIMAL(20,0))')} / {float(s)}D END"
     )
+
+
+# --------------------------------------------------------------------------
+# partial aggregates that add up to the same exact results
+# --------------------------------------------------------------------------
+
+def sum_parts(name: str, prefix: str) -> list[Column]:
+    """What an exact sum or average of a group needs of each part of it."""
+    return [
+        F.count(name).alias(f"{prefix}_n"),
+        F.expr(f"COUNT(TRY_CAST({name} AS {MONEY}))").alias(f"{prefix}_exact_n"),
+        F.expr(_total(name)).alias(f"{prefix}_exact"),
+        F.sum(name).alias(f"{prefix}_plain"),
+    ]
+
+
+def _merged_exact(prefix: str) -> str:
+    """Whether every value of all parts, and their sum, is a DECIMAL."""
+    return (
+        f"(SUM({prefix}_n) = SUM({prefix}_exact_n) AND COUNT_IF({prefix}_n > 0 AND {prefix}_exact IS NULL) = 0 "
+        f"AND TRY_SUM({prefix}_exact) IS NOT NULL)"
+    )
+
+
+def merged_sum(prefix: str) -> Column:
+    """``exact_sum`` over the union of the parts."""
+    exact = f"CAST(TRY_SUM({prefix}_exact) AS DOUBLE)"
+    return F.expr(f"CASE WHEN {_merged_exact(prefix)} THEN {exact} ELSE SUM({prefix}_plain) END")
+
+
+def merged_avg(prefix: str) -> Column:
+    """``exact_avg`` over the union of the parts."""
+    exact = f"CAST(TRY_SUM({prefix}_exact) AS DOUBLE) / CAST(SUM({prefix}_n) AS DOUBLE)"
+    plain = f"TRY_DIVIDE(SUM({prefix}_plain), CAST(SUM({prefix}_n) AS DOUBLE))"
+    return F.expr(f"CASE WHEN {_merged_exact(prefix)} THEN {exact} ELSE {plain} END")
+
+
+def merged_half_up(prefix: str, places: int) -> Column:
+    """``half_up_avg`` over the union of the parts."""
+    total = f"TRY_SUM({prefix}_exact)"
+    m = f"CAST({total} * 1000000 AS DECIMAL(37,0))"
+    n = f"CAST(SUM({prefix}_n) * {10 ** (6 - places)} AS DECIMAL(30,0))"
+    plain = f"TRY_DIVIDE(SUM({prefix}_plain), CAST(SUM({prefix}_n) AS DOUBLE))"
+    return F.expr(
+        f"CASE WHEN {_merged_exact(prefix)} AND ABS({total}) < {EXACT_BOUND} THEN "
+        f"{_half_up_div(m, n)} / {float(10**places)}D ELSE {plain} END"
+    )
+
+
+def merged_half_up_int(total: str, count: str, places: int) -> Column:
+    """``half_up_avg_int`` from partial sums and counts."""
+    s = 10**places
+    num, den = f"CAST({s} * SUM({total}) AS DECIMAL(30,0))", f"CAST(SUM({count}) AS DECIMAL(20,0))"
+    return F.expr(f"CASE WHEN SUM({count}) > 0 THEN {_half_up_div(num, den)} / {float(s)}D END")

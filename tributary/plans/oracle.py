@@ -381,73 +381,90 @@ cte("scored", ["unified"], _scored_sql("unified", clamp=False))
 cte("scored_doc", ["unified_doc"], _scored_sql("unified_doc", clamp=True))
 cte("silver_main", ["scored"], "SELECT * FROM scored WHERE quality_tier <> 'rejected'")
 cte("silver_rejected", ["scored"], "SELECT * FROM scored WHERE quality_tier = 'rejected'")
+# The table after the changes of change data capture: by a digest of the
+# transaction id, rows of the first days of a month whose key occurs once.
 cte(
-    "dedup_w",
+    "silver_main_cdc",
     ["silver_main"],
-    f"""SELECT {SCORED},
-      CASE WHEN customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL THEN 'no_duplicate'
-           WHEN min(prio) OVER w < max(prio) OVER w THEN
-             CASE WHEN row_number() OVER (w ORDER BY prio, {TIE}) = 1 THEN 'kept_by_priority' ELSE 'superseded' END
-           WHEN count(*) OVER r = 1 THEN 'no_duplicate'
-           WHEN row_number() OVER (r ORDER BY {TIE}) = 1 THEN 'kept_by_priority'
-           ELSE 'superseded' END AS duplicate_resolution,
-      first_value(source_system) OVER (w ORDER BY prio, {TIE}) AS best_source
-    FROM (SELECT *, CASE source_system WHEN 'ecommerce' THEN 1 WHEN 'mobile' THEN 2
-                        WHEN 'pos' THEN 3 ELSE 4 END AS prio FROM silver_main)
-    WINDOW w AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE)),
-      r AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE), transaction_id)""",
-)
-cte(
-    "dedup",
-    ["dedup_w"],
-    f"""SELECT {SCORED}, duplicate_resolution = 'superseded' AS is_duplicate, duplicate_resolution
-    FROM dedup_w""",
-)
-cte(
-    "usable",
-    ["dedup"],
-    "SELECT * FROM dedup WHERE quality_tier IN ('high', 'medium') AND NOT is_duplicate",
-)
-cte(
-    "gold_revenue",
-    ["usable"],
-    f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
-      COUNT(DISTINCT transaction_id) AS transaction_count,
-      COUNT(DISTINCT customer_id) AS unique_customers,
-      {exact_sum('total_amount')} AS total_revenue,
-      {exact_avg('total_amount')} AS avg_transaction_value,
-      CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
-      COUNT(DISTINCT product_id) AS unique_products
-    FROM usable WHERE transaction_date IS NOT NULL AND total_amount IS NOT NULL
-    GROUP BY source_system, CAST(transaction_date AS DATE)""",
-)
-cte(
-    "gold_product",
-    ["usable"],
-    f"""SELECT product_id, source_system, COUNT(*) AS times_sold,
-      CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold,
-      {exact_sum('total_amount')} AS total_revenue,
-      {half_up_avg('unit_price', 2)} AS avg_unit_price
-    FROM usable WHERE product_id IS NOT NULL GROUP BY product_id, source_system""",
-)
-cte(
-    "gold_quality",
-    ["silver_main"],
-    f"""SELECT source_system, quality_tier, COUNT(*) AS record_count,
-      {half_up_avg_int('quality_score', 1)} AS avg_quality_score
-    FROM silver_main GROUP BY source_system, quality_tier""",
-)
-cte(
-    "gold_exec",
-    ["usable"],
-    f"""SELECT DATE '{REPORT_DATE}' AS report_date,
-      COUNT(DISTINCT transaction_id) AS total_transactions,
-      COUNT(DISTINCT customer_id) AS unique_customers,
-      {exact_sum('total_amount')} AS total_revenue,
-      {half_up_avg('total_amount', 2)} AS avg_transaction_value,
-      {half_up_avg_int('quality_score', 1)} AS avg_data_quality
-    FROM usable""",
+    f"""SELECT {', '.join('CASE WHEN kind = 0 OR kind = 2 THEN quantity + 1 ELSE quantity END AS quantity' if c == 'quantity'
+        else 'CASE WHEN kind = 2 THEN transaction_date + INTERVAL 40 DAYS ELSE transaction_date END AS transaction_date'
+        if c == 'transaction_date' else c for c in SCORED.split(', '))}
+    FROM (SELECT *, CASE WHEN once THEN mark % 10 END AS kind FROM ({{marked}}))
+    WHERE kind IS NULL OR kind <> 1 OR mark % 50 = 1
+    UNION ALL SELECT {SCORED.replace('transaction_id,', "transaction_id || '-N' AS transaction_id,", 1)}
+    FROM ({{marked}}) WHERE once AND mark % 10 = 3""".format(
+        marked="""SELECT *, CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) AS mark, dayofmonth(transaction_date) <= 6
+          AND count(*) OVER (PARTITION BY source_system, transaction_id) = 1 AS once FROM silver_main"""
+    ),
 )
+for _of in ("", "_cdc"):
+    cte(
+        f"dedup_w{_of}",
+        [f"silver_main{_of}"],
+        f"""SELECT {SCORED},
+          CASE WHEN customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL THEN 'no_duplicate'
+               WHEN min(prio) OVER w < max(prio) OVER w THEN
+                 CASE WHEN row_number() OVER (w ORDER BY prio, {TIE}) = 1 THEN 'kept_by_priority' ELSE 'superseded' END
+               WHEN count(*) OVER r = 1 THEN 'no_duplicate'
+               WHEN row_number() OVER (r ORDER BY {TIE}) = 1 THEN 'kept_by_priority'
+               ELSE 'superseded' END AS duplicate_resolution,
+          first_value(source_system) OVER (w ORDER BY prio, {TIE}) AS best_source
+        FROM (SELECT *, CASE source_system WHEN 'ecommerce' THEN 1 WHEN 'mobile' THEN 2
+                            WHEN 'pos' THEN 3 ELSE 4 END AS prio FROM silver_main{_of})
+        WINDOW w AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE)),
+          r AS (PARTITION BY customer_id, product_id, CAST(transaction_date AS DATE), transaction_id)""",
+    )
+    cte(
+        f"dedup{_of}",
+        [f"dedup_w{_of}"],
+        f"""SELECT {SCORED}, duplicate_resolution = 'superseded' AS is_duplicate, duplicate_resolution
+        FROM dedup_w{_of}""",
+    )
+    cte(
+        f"usable{_of}",
+        [f"dedup{_of}"],
+        f"SELECT * FROM dedup{_of} WHERE quality_tier IN ('high', 'medium') AND NOT is_duplicate",
+    )
+    cte(
+        f"gold_revenue{_of}",
+        [f"usable{_of}"],
+        f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
+          COUNT(DISTINCT transaction_id) AS transaction_count,
+          COUNT(DISTINCT customer_id) AS unique_customers,
+          {exact_sum('total_amount')} AS total_revenue,
+          {exact_avg('total_amount')} AS avg_transaction_value,
+          CAST(SUM(quantity) AS BIGINT) AS total_items_sold,
+          COUNT(DISTINCT product_id) AS unique_products
+        FROM usable{_of} WHERE transaction_date IS NOT NULL AND total_amount IS NOT NULL
+        GROUP BY source_system, CAST(transaction_date AS DATE)""",
+    )
+    cte(
+        f"gold_product{_of}",
+        [f"usable{_of}"],
+        f"""SELECT product_id, source_system, COUNT(*) AS times_sold,
+          CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold,
+          {exact_sum('total_amount')} AS total_revenue,
+          {half_up_avg('unit_price', 2)} AS avg_unit_price
+        FROM usable{_of} WHERE product_id IS NOT NULL GROUP BY product_id, source_system""",
+    )
+    cte(
+        f"gold_quality{_of}",
+        [f"silver_main{_of}"],
+        f"""SELECT source_system, quality_tier, COUNT(*) AS record_count,
+          {half_up_avg_int('quality_score', 1)} AS avg_quality_score
+        FROM silver_main{_of} GROUP BY source_system, quality_tier""",
+    )
+    cte(
+        f"gold_exec{_of}",
+        [f"usable{_of}"],
+        f"""SELECT DATE '{REPORT_DATE}' AS report_date,
+          COUNT(DISTINCT transaction_id) AS total_transactions,
+          COUNT(DISTINCT customer_id) AS unique_customers,
+          {exact_sum('total_amount')} AS total_revenue,
+          {half_up_avg('total_amount', 2)} AS avg_transaction_value,
+          {half_up_avg_int('quality_score', 1)} AS avg_data_quality
+        FROM usable{_of}""",
+    )
 
 
 def with_ctes(select: str, *needed: str) -> str:
@@ -920,11 +937,27 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY source_system, CAST(transaction_date AS DATE)""",
         "silver_main",
     )
-    q["incremental_run"] = with_ctes(
-        """SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,
-          store_id, status, payment_method, source_system, total_amount, quality_score,
-          quality_tier, needs_review, is_duplicate, duplicate_resolution
-        FROM dedup""",
-        "dedup",
-    )
+    for name, source in (("incremental_run", "dedup"), ("cdc_apply", "dedup_cdc")):
+        q[name] = with_ctes(
+            f"""SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,
+              store_id, status, payment_method, source_system, total_amount, quality_score,
+              quality_tier, needs_review, is_duplicate, duplicate_resolution
+            FROM {source}""",
+            source,
+        )
+    figures = [
+        ("revenue_by_source", "gold_revenue_cdc", "source_system", "CAST(transaction_date AS VARCHAR)",
+         "transaction_count unique_customers unique_products total_revenue avg_transaction_value"),
+        ("product_performance", "gold_product_cdc", "source_system", "product_id",
+         "times_sold total_quantity_sold total_revenue avg_unit_price"),
+        ("data_quality_metrics", "gold_quality_cdc", "source_system", "quality_tier", "record_count avg_quality_score"),
+        ("executive_summary", "gold_exec_cdc", "NULL", "CAST(report_date AS VARCHAR)",
+         "total_transactions unique_customers total_revenue avg_transaction_value avg_data_quality"),
+    ]
+    parts = []
+    for table, source, system, key, names in figures:
+        columns = names.split() + ["NULL"] * (5 - len(names.split()))
+        shown = ", ".join(f"CAST({c} AS DOUBLE) AS figure_{i}" for i, c in enumerate(columns, 1))
+        parts.append(f"SELECT '{table}' AS table_name, {system} AS source_system, {key} AS key, {shown} FROM {source}")
+    q["cdc_gold"] = with_ctes("\nUNION ALL ".join(parts), *[f[1] for f in figures])
     return q

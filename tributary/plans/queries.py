@@ -893,6 +893,103 @@ def incremental_run(spark, sf_dir):
     )
 
 
+# Changes are drawn from rows of the first days of a month whose
+# key occurs once, by a digest of the transaction id modulo CHANGE_KINDS.
+CHANGE_DAYS = 6
+CHANGE_KINDS = 10
+
+
+def _changes(deduped: DataFrame) -> list[DataFrame]:
+    """Two batches of changes, some of them out of order: updates that an older
+    one follows, deletes that a late update or an insert follows, rows that
+    move to another month, and new rows."""
+    rows = deduped.filter(F.dayofmonth("transaction_date") <= CHANGE_DAYS).select(*SCORED_COLUMNS)
+    once = deduped.groupBy("source_system", "transaction_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1")
+    rows = rows.join(once.drop("_n"), ["source_system", "transaction_id"], "left_semi")
+    mark = F.conv(F.substring(F.md5("transaction_id"), 1, 8), 16, 10).cast("bigint")
+    rows = rows.withColumn("_kind", mark % CHANGE_KINDS).withColumn("_again", mark % (5 * CHANGE_KINDS) == 1)
+
+    def some(kind, op, seq, **new):
+        found = rows.filter(F.col("_kind") == kind)
+        for name, value in new.items():
+            found = found.withColumn(name, value)
+        return found.select(F.lit(op).alias("op"), F.lit(seq).cast("long").alias("seq"), *SCORED_COLUMNS, "_again")
+
+    more = F.col("quantity") + 1
+    moved = F.col("transaction_date") + F.expr("INTERVAL 40 DAYS")
+    first = [
+        some(0, "U", 2, quantity=more),
+        some(1, "D", 3),
+        some(2, "U", 5, transaction_date=moved),
+        some(3, "I", 1, transaction_id=F.concat("transaction_id", F.lit("-N"))),
+    ]
+    second = [
+        some(0, "U", 1, quantity=F.lit(100).cast("long")),
+        some(1, "U", 2, quantity=F.lit(100).cast("long")),
+        some(1, "I", 4).filter("_again"),
+        some(2, "U", 6, quantity=more, transaction_date=moved),
+    ]
+    return [reduce(DataFrame.unionByName, batch).drop("_again") for batch in (first, second)]
+
+
+# The changed lake of an application's input, which two queries read.
+_CHANGED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _changed_lake(spark, sf_dir) -> dict[str, str]:
+    """Tables of a lake of all landing files to which both batches have been
+    applied, the first one twice, as in a retry."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _CHANGED:
+        return _CHANGED[known]
+    files = landing.write_landing_files(_m(spark, sf_dir).bronze, fresh_dir(spark, "cdc-files"))
+    base = pipeline.run(
+        spark, None, fresh_dir(spark, "cdc-lake"), landing_paths=files, ingestion_ts=LANDING_TS,
+        register=False, period="month",
+    )
+    stored = f"{base.base}-rows"
+    # The changes of a source system, as it would send them.
+    spark.read.parquet(base.tables["silver.unified_sales_deduped"]).select(*SCORED_COLUMNS).write.parquet(stored)
+    batches = _changes(spark.read.parquet(stored))
+    for name, batch in (("c1", batches[0]), ("c1", batches[0]), ("c2", batches[1])):
+        pipeline.apply_changes(spark, base.base, batch, name, report_date=DEFAULT_REPORT_DATE)
+    return _CHANGED.setdefault(known, base.tables)
+
+
+@register("cdc_apply")
+def cdc_apply(spark, sf_dir):
+    """Inserts, updates and deletes applied in two batches, out of order."""
+    path = _changed_lake(spark, sf_dir)["silver.unified_sales_deduped"]
+    return spark.read.parquet(path).select(
+        *[c for c in DEDUP_COLUMNS if c not in ("source_file", "ingestion_timestamp", "transformation_timestamp")]
+    )
+
+
+@register("cdc_gold")
+def cdc_gold(spark, sf_dir):
+    """The four gold tables after the changes, kept up from the partials of the
+    periods that changed (G1-G4): figures by table and key."""
+    tables = _changed_lake(spark, sf_dir)
+    shapes = {
+        "revenue_by_source": ("source_system", "transaction_date", ["transaction_count", "unique_customers", "unique_products", "total_revenue", "avg_transaction_value"]),
+        "product_performance": ("source_system", "product_id", ["times_sold", "total_quantity_sold", "total_revenue", "avg_unit_price"]),
+        "data_quality_metrics": ("source_system", "quality_tier", ["record_count", "avg_quality_score"]),
+        "executive_summary": (None, "report_date", ["total_transactions", "unique_customers", "total_revenue", "avg_transaction_value", "avg_data_quality"]),
+    }
+    parts = []
+    for name, (source, key, figures) in shapes.items():
+        columns = [F.col(c).cast("double") for c in figures] + [F.lit(None).cast("double")] * (5 - len(figures))
+        parts.append(
+            spark.read.parquet(tables[f"gold.{name}"]).select(
+                F.lit(name).alias("table_name"),
+                (F.col(source) if source else F.lit(None).cast("string")).alias("source_system"),
+                F.col(key).cast("string").alias("key"),
+                *[c.alias(f"figure_{i}") for i, c in enumerate(columns, 1)],
+            )
+        )
+    return reduce(DataFrame.unionAll, parts)
+
+
 def queries() -> dict[str, Query]:
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

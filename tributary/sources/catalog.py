@@ -155,3 +155,17 @@ def counted(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 def footer_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int]:
     return {r["name"]: r["row_count"] for r in counted(spark, paths).collect()} if paths else {}
+
+
+def remove_partitions(spark: SparkSession, path: str, column: str, values: list[str]) -> None:
+    """Remove whole partitions of a table, those that are about to be replaced
+    and those that lost all their rows."""
+    for value in values:
+        remove(spark, f"{path}/{column}={value}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the lake has written, if it is there."""
+    hpath, fs = _fs(spark, path)
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
