@@ -892,6 +892,17 @@ def oracle_sql() -> dict[str, str]:
         WHERE customer_id IS NULL OR product_id IS NULL OR transaction_date IS NULL""",
         "silver_main",
     )
+    drop = """least(greatest(coalesce((year(transaction_date) - 1992) // 2, 0), 0), 3)
+              + CASE WHEN CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END"""
+    q["stream_dedup_watermark"] = q["stream_dedup"].replace("ORDER BY ingestion_timestamp", f"ORDER BY {drop}, ingestion_timestamp")
+    q["stream_revenue_windows"] = with_ctes(
+        f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
+          COUNT(*) AS transactions, {exact_sum('total_amount')} AS revenue
+        FROM (SELECT *, max(CAST(transaction_date AS DATE)) OVER () AS latest FROM silver_main
+          WHERE quality_tier IN ('high', 'medium') AND transaction_date IS NOT NULL AND total_amount IS NOT NULL)
+        WHERE CAST(transaction_date AS DATE) + 1 <= latest - 30 GROUP BY 1, 2""",
+        "silver_main",
+    )
     q["stream_revenue"] = with_ctes(
         f"""SELECT source_system, CAST(transaction_date AS DATE) AS transaction_date,
           COUNT(*) AS transactions, {exact_sum('total_amount')} AS revenue

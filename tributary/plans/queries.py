@@ -21,10 +21,10 @@ from tributary.operators import dedup, gold, maintenance, normalize, profile, qu
 from tributary.plans import pipeline
 from tributary.plans.medallion import DEFAULT_REPORT_DATE, Medallion
 from tributary.rules import DOCUMENTED
-from tributary.schemas import DEDUP_COLUMNS, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS
+from tributary.schemas import DEDUP_COLUMNS, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS, SCORED_SCHEMA
 from tributary.session import apply_runtime_conf, fresh_dir
 from tributary.sources import catalog, landing, semistructured
-from tributary.streaming import incremental
+from tributary.streaming import event_time, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -843,6 +843,46 @@ def stream_revenue(spark, sf_dir):
     return incremental.read_revenue(spark, f"{out}/sink")
 
 
+# Rows arrive in drops of two years of sales; those with such a
+# digest of the transaction id, one in ten, come with the next drop.
+DROPS = 5
+LATE_SHARE = 10
+
+
+def _in_drops(spark, sf_dir, run) -> str:
+    """Production rows as they arrive: each drop is appended to the stored
+    table, then ``run`` takes what is new."""
+    m = _m(spark, sf_dir)
+    path = fresh_dir(spark, "drops")
+    mark = F.conv(F.substring(F.md5("transaction_id"), 1, 8), 16, 10).cast("bigint")
+    number = F.floor((F.year("transaction_date") - 1992) / 2)
+    drop = F.least(F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)), F.lit(DROPS - 2))
+    drop = drop + F.when(mark % LATE_SHARE == 0, 1).otherwise(0)
+    m.stored_main.withColumn("_drop", drop).write.partitionBy("_drop").parquet(f"{path}/all")
+    for i in range(DROPS):
+        part = spark.read.schema(SCORED_SCHEMA).parquet(f"{path}/all/_drop={i}")
+        part.write.mode("append").parquet(f"{path}/silver")
+        run(f"{path}/silver", f"{path}/out")
+    return f"{path}/out"
+
+
+@register("stream_dedup_watermark")
+def stream_dedup_watermark(spark, sf_dir):
+    """First arrival of each key over several micro-batches, state bounded by
+    a watermark; late rows are settled apart, none is lost (W2)."""
+    out = _in_drops(spark, sf_dir, lambda silver, out: event_time.dedup(spark, silver, out))
+    event_time.settle(spark, out)
+    return event_time.read_dedup(spark, out).select(*SCORED_COLUMNS, "dedup_day")
+
+
+@register("stream_revenue_windows")
+def stream_revenue_windows(spark, sf_dir):
+    """Daily revenue finalised by a watermark, each day emitted once, with the
+    corrections of late rows (W3)."""
+    out = _in_drops(spark, sf_dir, lambda silver, out: event_time.daily_revenue(spark, silver, out))
+    return event_time.read_daily_revenue(spark, out)
+
+
 # The snapshot/change split day and the status update replay.
 UPSERT_SPLIT_DAY = "2024-03-05"
 UPSERT_DELAY = "INTERVAL 10 DAYS"
