@@ -130,3 +130,26 @@ def test_upsert_latest_change_wins(spark):
     chg = spark.createDataFrame([("a", 2, "new"), ("c", 1, "add"), ("b", 1, "tie")], "k string, t int, v string")
     got = {r.k: r.v for r in incremental.upsert_latest(cur, chg, ["k"], ["t"]).collect()}
     assert got == {"a": "new", "b": "tie", "c": "add"}
+
+
+def test_partial_compaction_leaves_packed_partitions_alone(spark):
+    import os
+
+    path = fresh_dir(spark, "t-crowded")
+    rows = spark.range(3000).selectExpr("id", "cast(id % 3 as string) as part", "repeat('x', 20) as v")
+    for part, files in (("0", 12), ("1", 1), ("2", 5)):
+        rows.filter(f"part = '{part}'").repartition(files).write.mode("append").partitionBy("part").parquet(path)
+
+    def files(part):
+        folder = f"{path}/part={part}"
+        return {n: os.stat(f"{folder}/{n}").st_mtime_ns for n in os.listdir(folder) if n.endswith(".parquet")}
+
+    packed = files("1")
+    done = maintenance.compact_partitions(spark, path, "part", f"{path}-work")
+    assert done == {"0": (1, 12), "2": (1, 5)}
+    assert files("1") == packed and len(files("0")) == len(files("2")) == 1
+    back = spark.read.parquet(path).selectExpr("id", "cast(part as string) as part", "v")
+    assert back.exceptAll(rows).count() == 0 and back.count() == 3000
+    assert maintenance.compact_partitions(spark, path, "part", f"{path}-work") == {}
+    # Several files where the bytes need them.
+    assert maintenance.compact_partitions(spark, path, "part", f"{path}-work", 2000) == {}

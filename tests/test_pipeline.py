@@ -186,3 +186,32 @@ def test_dedup_broadcast_and_shuffle_paths_agree(spark):
     a = dedup.flag_duplicates(main, dup_keys=keys, broadcast_keys=True)
     b = dedup.flag_duplicates(main)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dedup_candidates_by_broadcast_and_by_filter_agree(spark):
+    """Only candidate rows are exchanged where suspects are too many to be
+    broadcast: the filter bitmap lets few others through."""
+    from tributary.session import fresh_dir
+
+    path = fresh_dir(spark, "t-suspects")
+    m = Medallion(spark, SF_SMALL)
+    dedup.suspects(m.stored_main).write.parquet(path)
+    found = spark.read.parquet(path)
+    few = dedup.candidates(m.stored_main, found, True)
+    many = dedup.candidates(m.stored_main, found, False)
+    assert 0 < found.count() < few.count() < m.stored_main.count() / 4
+    assert few.exceptAll(many).count() == 0 and many.exceptAll(few).count() == 0
+    names = ("Exchange hashpartitioning(_hash", "SortMergeJoin", "BroadcastHashJoin")
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    rows = plan.index("getbit") if "getbit" in plan else -1
+    assert rows > 0 and all(n in plan for n in names)
+    # The rows' exchange is above the filter: what does not pass is not shuffled.
+    assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning(_hash") < rows
+
+
+def test_dedup_looks_at_few_rows_exactly(spark):
+    """No sort aggregate over all rows, and one pass of 64-bit hashes."""
+    m = Medallion(spark, SF_SMALL)
+    plan = dedup.suspects(m.stored_main)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
+    assert "Exchange hashpartitioning(_hash" in plan

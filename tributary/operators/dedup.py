@@ -14,19 +14,25 @@ Plan shape. A window over the duplicate key would send every row of a key to
 one task; one hot key (a bulk customer, a default product) would then stall
 the whole job. Instead:
 
-1. one aggregate per key of count, least and greatest priority: a hash
-   aggregate on fixed-width values, so a hot key is combined map-side;
-2. only the rows of keys with several rows are ordered: the least ordering
-   tuple per cross-channel key, and per repeated id of the others;
-3. rows are left-joined to these survivors, which are far fewer than rows. In
-   the production run they are written first and measured: under a fixed
-   bound they are broadcast and rows are not shuffled, otherwise it is a
-   shuffle join whose hot keys adaptive execution splits. Rows with a NULL
-   key part pass by the joins.
+1. one aggregate of counts per 64-bit hash of the key: longs only, so a hash
+   aggregate that combines a hot key map-side and shuffles 16 bytes a key.
+   Hashes seen twice are the suspects, few more than the keys seen twice;
+2. only the suspects' rows are looked at exactly: count, least and greatest
+   priority per key, then the least ordering tuple per cross-channel key, and
+   per repeated id of the others;
+3. rows are left-joined to these survivors, which are far fewer than rows.
+
+In the production run each step is written and measured: under a fixed bound
+suspects and survivors are broadcast and rows are not shuffled. Beyond it a
+bitmap of the suspects' hash positions, whose size is fixed, filters the rows
+first, so that only candidates are exchanged; hot keys are split by adaptive
+execution. Rows with a NULL key part pass by the joins.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,7 +94,6 @@ def _keyed(silver: DataFrame) -> DataFrame:
     return (
         silver.withColumn("_place", _place(silver))
         .withColumn("_dedup_day", F.to_date("transaction_date"))
-        .withColumn("_priority", _priority())
         .withColumn("_order", order)
     )
 
@@ -97,31 +102,77 @@ def _has_key() -> Column:
     return F.col("customer_id").isNotNull() & F.col("product_id").isNotNull() & F.col("_dedup_day").isNotNull()
 
 
-def duplicate_keys(silver: DataFrame) -> DataFrame:
-    """Survivors: key, ``_id`` (NULL for a cross-channel key, else the id that
-    one channel sent again) and the best ordering tuple ``_best``."""
-    rows = _keyed(silver).filter(_has_key())
+HASH = "_hash"
+# Positions of the filter bitmap: 16 MB, whatever the number of suspects.
+FILTER_BITS = 1 << 27
+
+
+def _hashed(silver: DataFrame) -> DataFrame:
+    """Rows with a whole key, and its hash."""
+    rows = silver.withColumn("_dedup_day", F.to_date("transaction_date")).filter(_has_key())
+    return rows.withColumn(HASH, F.xxhash64(*KEY))
+
+
+def suspects(silver: DataFrame) -> DataFrame:
+    """Hashes of the keys that two rows or more have, and of few others."""
+    return _hashed(silver).groupBy(HASH).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(HASH)
+
+
+def key_filter(found: DataFrame) -> DataFrame:
+    """The suspects' positions as bitmaps of 4 KB each (bucket, bits): 4,096
+    rows at most, so it may be broadcast."""
+    at = F.pmod(HASH, F.lit(FILTER_BITS)) + 1
+    return found.groupBy(F.bitmap_bucket_number(at).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")
+    )
+
+
+def candidates(silver: DataFrame, found: DataFrame, few: bool | None = None) -> DataFrame:
+    """The suspects' rows, with what orders them. ``few``: their measured number
+    allows a broadcast, or does not, then the filter goes first; None: not
+    measured, a plain join."""
+    known = [c for c in ORDER if c in silver.columns]
+    rows = _hashed(silver.withColumn("_place", _place(silver)))
+    order = F.struct(_priority().alias("priority"), *known, F.col("_place").alias("place"))
+    rows = rows.select(HASH, *KEY, F.col("transaction_id").alias("_id"), _priority().alias("_priority"), order.alias("_order"))
+    if few is not False:
+        return rows.join(F.broadcast(found) if few else found, HASH, "left_semi")
+    at = F.pmod(HASH, F.lit(FILTER_BITS)) + 1
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    passed = (
+        rows.withColumn("_bucket", F.bitmap_bucket_number(at))
+        .withColumn("_bit", F.bitmap_bit_position(at))
+        .join(F.broadcast(key_filter(found)), "_bucket")
+        .filter(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1)
+    )
+    # Hashes are distinct; as an inner join it stays behind the filter.
+    return passed.select(*rows.columns).join(found, HASH)
+
+
+def survivors(rows: DataFrame) -> DataFrame:
+    """Survivors among candidate rows: key, ``_id`` (NULL for a cross-channel
+    key, else the id that one channel sent again) and the best ordering tuple
+    ``_best``."""
     several = (
         rows.groupBy(*KEY)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_priority").alias("_least"),
-            F.max("_priority").alias("_most"),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_priority").alias("_least"), F.max("_priority").alias("_most"))
         .filter(F.col("_n") > 1)
         .select(*KEY, (F.col("_least") < F.col("_most")).alias("_cross"))
     )
-    narrow = rows.select(*KEY, F.col("transaction_id").alias("_id"), "_order").join(several, KEY)
-    cross = narrow.filter("_cross").groupBy(*KEY).agg(F.min("_order").alias("_best"))
-    again = (
-        narrow.filter("not _cross")
-        .groupBy(*KEY, "_id")
-        .agg(F.min("_order").alias("_best"), F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > 1) & F.col("_id").isNotNull())
-    )
-    return cross.select(*KEY, F.lit(None).cast("string").alias("_id"), "_best").unionByName(
-        again.select(*KEY, "_id", "_best")
+    of = rows.select(*KEY, "_id", "_order").join(several, KEY).filter(F.col("_cross") | F.col("_id").isNotNull())
+    grouped = of.withColumn("_id", F.when(~F.col("_cross"), F.col("_id"))).groupBy(*KEY, "_id").agg(
+        F.min("_order").alias("_best"), F.count(F.lit(1)).alias("_n")
     )
+    return grouped.filter(F.col("_n") > 1).select(*KEY, "_id", "_best")
+
+
+def duplicate_keys(silver: DataFrame) -> DataFrame:
+    """Survivors of all duplicate groups, as one plan. The keys are computed
+    anew, so that a join with them exchanges both sides: only then does adaptive
+    execution split a hot key."""
+    found = survivors(candidates(silver, suspects(silver)))
+    anew = [F.concat(c, F.lit("")).alias(c) if c != "_dedup_day" else F.col(c) for c in KEY]
+    return found.select(*anew, "_id", "_best")
 
 
 def flag_duplicates(
@@ -139,19 +190,16 @@ def flag_duplicates(
     so the rows are joined without being shuffled.
     """
     cols = silver.columns
-    keys = dup_keys if dup_keys is not None else duplicate_keys(silver)
-    cross = keys.filter("_id is null").select(*KEY, F.col("_best").alias("_cross_best"))
-    again = keys.filter("_id is not null").withColumnRenamed("_best", "_again_best")
+    keys = (dup_keys if dup_keys is not None else duplicate_keys(silver)).select(
+        *[F.col(c).alias(f"_of_{c}") for c in KEY], F.col("_id").alias("_of_id"), "_best"
+    )
     if broadcast_keys:
-        cross, again = F.broadcast(cross), F.broadcast(again)
+        keys = F.broadcast(keys)
     rows = _keyed(silver)
-    joined = (
-        rows.filter(_has_key())
-        .withColumn("_id", F.col("transaction_id"))
-        .join(cross, on=KEY, how="left")
-        .join(again, on=[*KEY, "_id"], how="left")
-    )
-    best = F.coalesce("_cross_best", "_again_best")
+    same = [F.col(c) == F.col(f"_of_{c}") for c in KEY]
+    one = F.col("_of_id").isNull() | (F.col("_of_id") == F.col("transaction_id"))
+    joined = rows.filter(_has_key()).join(keys, reduce(Column.__and__, [*same, one]), "left")
+    best = F.col("_best")
     resolution = (
         F.when(best.isNull(), F.lit(NO_DUPLICATE))
         .when(F.col("_order") == best, F.lit(KEPT))

@@ -135,6 +135,52 @@ def compact(table: SnapshotTable, target_file_bytes: int = TARGET_FILE_BYTES) ->
     return {"version": version, "files_before": files_before, "files_after": files_after}
 
 
+def crowded_partitions(
+    spark: SparkSession, path: str, column: str, target_file_bytes: int = TARGET_FILE_BYTES
+) -> dict[str, tuple[int, int]]:
+    """Partitions that have more files than their bytes need: value to (files
+    needed, files now). Only folders are listed."""
+    found = {}
+    for name in folders(spark, path, f"{column}="):
+        now, size, _ = listing(spark, f"{path}/{name}")
+        needed = max(1, math.ceil(size / target_file_bytes))
+        if now > needed:
+            found[name.split("=", 1)[1]] = (needed, now)
+    return found
+
+
+def compact_partitions(
+    spark: SparkSession, path: str, column: str, work: str, target_file_bytes: int = TARGET_FILE_BYTES
+) -> dict[str, tuple[int, int]]:
+    """Rewrite the crowded partitions of a partitioned table, and only those
+    (M3): their rows are dealt to as many files as their bytes need, written to
+    ``work`` and then swapped in, partition by partition. Files of partitions
+    that are packed already are neither read nor written."""
+    crowded = crowded_partitions(spark, path, column, target_file_bytes)
+    if not crowded:
+        return crowded
+    table = spark.read.parquet(path).withColumn(column, F.col(column).cast("string"))
+    rows = table.filter(F.col(column).isin(list(crowded)))
+    # A row per crowded partition, which the folder listing bounds.
+    needs = spark.createDataFrame([(k, n) for k, (n, _) in crowded.items()], f"{column} string, _files int")
+    place = F.pmod(F.xxhash64(*[c for c in table.columns if c != column]), F.col("_files")).cast("int")
+    dealt = rows.join(F.broadcast(needs), column).withColumn("_place", place).drop("_files")
+    n = sum(needed for needed, _ in crowded.values())
+    dealt = dealt.repartition(n, column, "_place").drop("_place")
+    dealt.write.mode("overwrite").partitionBy(column).parquet(work)
+    ready = spark.read.schema(table.schema).parquet(work)
+    packing = {"spark.sql.files.maxPartitionBytes": str(2 * target_file_bytes), "spark.sql.files.openCostInBytes": str(2 * target_file_bytes)}
+    before = {k: spark.conf.get(k, None) for k in packing}
+    for k, v in packing.items():  # a file of ``work`` is a task, and a file again
+        spark.conf.set(k, v)
+    try:
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return crowded
+
+
 # --------------------------------------------------------------------------
 # clustering (M4)
 # --------------------------------------------------------------------------

@@ -871,6 +871,12 @@ def oracle_sql() -> dict[str, str]:
     )
     dedup_cols = f"SELECT {SCORED}, is_duplicate, duplicate_resolution FROM dedup"
     q["compact_table"] = with_ctes(dedup_cols, "dedup")
+    q["compact_partitions"] = with_ctes(
+        """SELECT source_system, count(*) AS records, count(DISTINCT transaction_id) AS ids,
+          CASE source_system WHEN 'pos' THEN 24 WHEN 'mobile' THEN 9 ELSE 1 END AS files_before, 1 AS files_after
+        FROM silver_main GROUP BY source_system""",
+        "silver_main",
+    )
     q["cluster_table"] = with_ctes(dedup_cols, "dedup")
     q["schema_evolution"] = with_ctes(
         f"""SELECT {SCORED}, CASE WHEN source_system <> 'pos' THEN 'online' END AS channel_group

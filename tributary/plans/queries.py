@@ -602,6 +602,10 @@ def landing_discovered_fields(spark, sf_dir):
     return semistructured.discovered(_evolved_orders(spark, sf_dir))
 
 
+# Files that the broken sales are exported to.
+EXPORTS = 16
+
+
 @register("landing_rejects")
 def landing_rejects(spark, sf_dir):
     """Broken lines among the landing files keep their text: sales with fields
@@ -612,14 +616,15 @@ def landing_rejects(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
     short = F.concat(F.lit("POS"), k.cast("string"), F.lit(",C1,SKU-1,1"))
     long = F.concat_ws(",", F.lit("POS"), k.cast("string"), *map(F.lit, "abcdefghijkl"))
-    sales = orders.filter(k % 50 < 2).select(F.lit(1).alias("o"), k, F.when(k % 50 == 0, short).otherwise(long).alias("value"))
-    header = spark.range(1).select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("o_orderkey"), F.lit(",".join(POS_FIELDS)).alias("value"))
-    # One file: a header has to stand above its lines.
-    header.union(sales).coalesce(1).sortWithinPartitions("o").select("value").write.text(f"{root}/pos")
+    sales = orders.filter(k % 50 < 2).select(F.lit(1).alias("o"), F.when(k % 50 == 0, short).otherwise(long).alias("value"), (k % EXPORTS).alias("export"))
+    header = spark.range(EXPORTS).select(F.lit(0).alias("o"), F.lit(",".join(POS_FIELDS)).alias("value"), F.col("id").alias("export"))
+    # A file per export, whose header stands above its lines.
+    exports = header.unionByName(sales).repartition("export").sortWithinPartitions("export", "o")
+    exports.select("value", "export").write.partitionBy("export").text(f"{root}/pos")
     cut = F.concat(F.lit('{"orderId": "ORD-'), k.cast("string"), F.lit('", "customer": {"cust'))
     orders.filter(k % 50 == 2).select(cut.alias("value")).write.text(f"{root}/ecommerce")
     good = landing.write_landing_files(m.bronze, f"{root}-good")
-    pos = landing.read_pos_csv(spark, f"{root}/pos", LANDING_TS).unionByName(landing.read_pos_csv(spark, good["pos"], LANDING_TS))
+    pos = landing.read_pos_csv(spark, f"{root}/pos/*", LANDING_TS).unionByName(landing.read_pos_csv(spark, good["pos"], LANDING_TS))
     online = landing.read_ecommerce_json(spark, f"{root}/ecommerce", LANDING_TS).unionByName(
         landing.read_ecommerce_json(spark, good["ecommerce"], LANDING_TS)
     )
@@ -749,6 +754,25 @@ def compact_table(spark, sf_dir):
     return table.read()
 
 
+@register("compact_partitions")
+def compact_partitions(spark, sf_dir):
+    """A table by channel, two of whose partitions have many small files: only
+    these are rewritten (M3); rows, and files before and after, by channel."""
+    path = fresh_dir(spark, "crowded")
+    rows = _m(spark, sf_dir).stored_main
+    for source, files in (("pos", 24), ("mobile", 9), ("ecommerce", 1)):
+        part = rows.filter(F.col("source_system") == source).repartition(files)
+        part.write.mode("append").partitionBy("source_system").parquet(path)
+    before = {s: catalog.listing(spark, f"{path}/source_system={s}")[0] for s in ("pos", "mobile", "ecommerce")}
+    maintenance.compact_partitions(spark, path, "source_system", f"{path}-work")
+    after = {s: catalog.listing(spark, f"{path}/source_system={s}")[0] for s in before}
+    counts = spark.read.parquet(path).groupBy("source_system").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("transaction_id").alias("ids")
+    )
+    files = spark.createDataFrame([(s, before[s], after[s]) for s in before], "source_system string, files_before int, files_after int")
+    return counts.join(F.broadcast(files), "source_system")
+
+
 @register("cluster_table")
 def cluster_table(spark, sf_dir):
     """Deduped silver clustered by (source_system, transaction_date)."""

@@ -77,18 +77,19 @@ def register_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
 
 
 def file_inventory(df: DataFrame) -> DataFrame:
-    """Files and bytes behind a file-backed frame (S12), from the scan's
-    ``_metadata`` column: distinct (path, size) pairs, then one aggregate.
-    Only the file list is shuffled, never the rows."""
-    files = df.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).distinct()
-    return files.agg(
+    """Files and bytes behind a file-backed frame (S12), from its file list and
+    a listing of those files: no row is read."""
+    files = df.inputFiles()
+    spark = df.sparkSession
+    if files:
+        listed = spark.read.format("binaryFile").load(files).select("path", "length")
+    else:
+        listed = spark.createDataFrame([], "path string, length long")
+    return listed.agg(
         F.count(F.lit(1)).alias("file_count"),
-        F.sum("file_size").alias("total_bytes"),
-        F.min("file_size").alias("min_file_bytes"),
-        F.max("file_size").alias("max_file_bytes"),
+        F.sum("length").alias("total_bytes"),
+        F.min("length").alias("min_file_bytes"),
+        F.max("length").alias("max_file_bytes"),
     )
 
 

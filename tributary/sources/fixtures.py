@@ -98,6 +98,7 @@ def pos_raw(orders: DataFrame) -> DataFrame:
     x = F.concat((F.lit(10) + k % 490).cast("string"), F.lit("."), pad((k * 37) % 100, 2))
     od = F.col("o_orderdate")
 
+    # Fixed values, from here on: the dirty spellings that the rules clean.
     trans_id = F.when(~corrupt, F.concat(F.lit("POS"), pad(k, 8)))
     cust = (
         F.when(corrupt, F.lit("###CORRUPT###"))
