@@ -153,3 +153,34 @@ def test_partial_compaction_leaves_packed_partitions_alone(spark):
     assert maintenance.compact_partitions(spark, path, "part", f"{path}-work") == {}
     # Several files where the bytes need them.
     assert maintenance.compact_partitions(spark, path, "part", f"{path}-work", 2000) == {}
+
+
+def _exchanges(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_are_not_exchanged(spark):
+    """Joins and groupings by the bucket key shuffle the other side only."""
+    from tributary.operators import dedup
+    from tributary.sources import catalog
+    from tributary.streaming.incremental import upsert_latest
+
+    path = fresh_dir(spark, "t-buckets")
+    rows = spark.range(4000).selectExpr(
+        "if(id % 2 = 0, 'pos', 'mobile') as source_system", "concat('T', id) as transaction_id", "id as v", "concat('C', id % 50) as customer_id",
+        "concat('P', id % 7) as product_id", "date_add(date'2024-01-01', cast(id % 9 as int)) as dedup_day",
+    )
+    name = f"silver.t_{path.rsplit('-', 1)[1]}"
+    stored = catalog.bucketed_table(rows, name, path, ["source_system", "transaction_id"], 8)
+    changes = rows.filter("v % 10 = 0").withColumn("v", F.col("v") + 1)
+    out = upsert_latest(stored, changes, ["source_system", "transaction_id"], ["v"])
+    plan = _exchanges(out)
+    below = plan.split("Bucketed: true")
+    assert len(below) >= 3  # both readings of the table use its buckets
+    for part in below[:-1]:
+        last = part[part.rindex("SortMergeJoin"):]
+        stored_side = last[last.index("+-"):].split("FileScan")[0]
+        assert "Exchange" not in stored_side
+    assert out.count() == 4000 and out.agg(F.sum("v")).first()[0] == sum(range(4000)) + 400
+    keyed = catalog.bucketed_table(rows, f"{name}_k", f"{path}-k", ["customer_id", "product_id", "dedup_day"], 8)
+    assert "Exchange" not in _exchanges(dedup.several_channels(keyed, ["customer_id", "product_id", "dedup_day"]))

@@ -224,6 +224,23 @@ def flag_duplicates(
     return out.select(*cols, *extra)
 
 
+def several_channels(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Whole keys that two channels or more sold, with rows and channels; on a
+    table in buckets of the key a local grouping."""
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+    return (
+        rows.filter(whole)
+        .withColumn("_priority", _priority())
+        .groupBy(*key)
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.min("_priority").alias("best_priority"),
+            F.max("_priority").alias("worst_priority"),
+        )
+        .filter(F.col("best_priority") < F.col("worst_priority"))
+    )
+
+
 def key_table_bytes() -> list:
     """``observe`` metrics bounding the decoded size of a duplicate-key table:
     its row count and the total length of its strings."""

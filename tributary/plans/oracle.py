@@ -954,6 +954,16 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY source_system, CAST(transaction_date AS DATE)""",
         "silver_main",
     )
+    q["bucketed_upsert"] = q["incremental_upsert"]
+    q["bucketed_dedup_keys"] = with_ctes(
+        """SELECT customer_id, product_id, CAST(transaction_date AS DATE) AS dedup_day, count(*) AS records,
+          min(prio) AS best_priority, max(prio) AS worst_priority
+        FROM (SELECT *, CASE source_system WHEN 'ecommerce' THEN 1 WHEN 'mobile' THEN 2 WHEN 'pos' THEN 3 ELSE 4 END AS prio
+          FROM silver_main)
+        WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND transaction_date IS NOT NULL
+        GROUP BY 1, 2, 3 HAVING min(prio) < max(prio)""",
+        "silver_main",
+    )
     for name, source in (("incremental_run", "dedup"), ("cdc_apply", "dedup_cdc")):
         q[name] = with_ctes(
             f"""SELECT transaction_id, transaction_date, customer_id, product_id, quantity, unit_price,

@@ -907,16 +907,17 @@ def stream_revenue_windows(spark, sf_dir):
     return event_time.read_daily_revenue(spark, out)
 
 
+# Buckets of a table stored by key: a file each.
+BUCKETS = 16
+
 # The snapshot/change split day and the status update replay.
 UPSERT_SPLIT_DAY = "2024-03-05"
 UPSERT_DELAY = "INTERVAL 10 DAYS"
 
 
-@register("incremental_upsert")
-def incremental_upsert(spark, sf_dir):
+def _snapshot_and_changes(main: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Snapshot of the first landing days, then a change set: the later days
     plus pending online orders re-sent as completed ten days later."""
-    main = _m(spark, sf_dir).main
     day = F.to_date("ingestion_timestamp")
     current = main.filter(day <= F.lit(UPSERT_SPLIT_DAY).cast("date"))
     later = main.filter(day > F.lit(UPSERT_SPLIT_DAY).cast("date"))
@@ -926,9 +927,36 @@ def incremental_upsert(spark, sf_dir):
         .withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr(UPSERT_DELAY))
         .withColumn("transformation_timestamp", F.col("transformation_timestamp") + F.expr(UPSERT_DELAY))
     )
-    return incremental.upsert_latest(
-        current, later.unionByName(updates), ["source_system", "transaction_id"], ["ingestion_timestamp"]
-    )
+    return current, later.unionByName(updates)
+
+
+@register("incremental_upsert")
+def incremental_upsert(spark, sf_dir):
+    current, changes = _snapshot_and_changes(_m(spark, sf_dir).main)
+    return incremental.upsert_latest(current, changes, ["source_system", "transaction_id"], ["ingestion_timestamp"])
+
+
+@register("bucketed_upsert")
+def bucketed_upsert(spark, sf_dir):
+    """The same upsert into a snapshot stored in buckets of its key (S9, W4):
+    the stored side is not exchanged."""
+    current, changes = _snapshot_and_changes(_m(spark, sf_dir).stored_main)
+    key = ["source_system", "transaction_id"]
+    path = fresh_dir(spark, "bucketed")
+    name = f"silver.snapshot_{path.rsplit('-', 1)[1]}"
+    stored = catalog.bucketed_table(current, name, path, key, BUCKETS)
+    return incremental.upsert_latest(stored, changes, key, ["ingestion_timestamp"])
+
+
+@register("bucketed_dedup_keys")
+def bucketed_dedup_keys(spark, sf_dir):
+    """Keys with rows of several channels, from silver stored in buckets of the
+    duplicate key (S9, U2): grouped without an exchange."""
+    rows = _m(spark, sf_dir).stored_main.withColumn("dedup_day", F.to_date("transaction_date"))
+    key = ["customer_id", "product_id", "dedup_day"]
+    path = fresh_dir(spark, "bucketed")
+    stored = catalog.bucketed_table(rows, f"silver.keyed_{path.rsplit('-', 1)[1]}", path, key, BUCKETS)
+    return dedup.several_channels(stored, key)
 
 
 @register("incremental_run")

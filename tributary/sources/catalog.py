@@ -71,6 +71,20 @@ def register_table(
     return spark.table(name)
 
 
+def bucketed_table(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` as an external table bucketed and sorted by ``keys`` (S9):
+    joins and groupings by them read it without an exchange. One task writes one
+    bucket, so there are as many files."""
+    spark = df.sparkSession
+    if "." in name:
+        db = name.split(".", 1)[0]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{workspace_dir(spark, 'warehouse', db + '.db')}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def register_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select_sql}")
     return spark.table(name)

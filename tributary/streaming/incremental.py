@@ -184,12 +184,12 @@ def upsert_latest(current: DataFrame, changes: DataFrame, key: list[str], order_
     """The latest row per key over ``current`` and ``changes``; on equal
     ``order_by`` values the change wins."""
     cols = current.columns
-    both = current.withColumn("_seq", F.lit(0)).unionByName(
-        changes.select(*cols).withColumn("_seq", F.lit(1))
-    )
     # Only keys that the changes name can have several rows: the others pass.
     named = changes.select(*key).distinct()
-    touched = both.join(named, key, "left_semi")
+    # A snapshot bucketed by key is joined where it lies; only its touched rows
+    # and the changes are exchanged.
+    old = current.join(named, key, "left_semi").withColumn("_seq", F.lit(0))
+    touched = old.unionByName(changes.select(*cols).withColumn("_seq", F.lit(1)))
     order = F.struct(*order_by, "_seq")
     latest = touched.groupBy(*key).agg(F.max_by(F.struct(*cols), order).alias("_row"))
     untouched = current.join(named, key, "left_anti")
