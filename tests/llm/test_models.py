@@ -220,12 +220,25 @@ def test_lines_edge(spark):
     want = Counter()
     for h, (p, _, t) in zip(hosts, rows, strict=True):
         lines = brute_lines(t)
-        kept = [x for x in lines if pages[h] < 5 or held[h, x] < 2 or held[h, x] / pages[h] <= 0.3]
+        kept = [x for x in lines if pages[h] < 2 or held[h, x] < 2 or held[h, x] / pages[h] <= 0.3]
         want[p, h, pages[h], len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
     assert Counter(tuple(r) for r in line_dedup.clean(df).collect()) == want
     assert line_dedup.clean(df.limit(0)).count() == 0
 
 
+def test_salts_follow_a_hosts_pages(spark):
+    """A host with most pages is spread by its share; two-page hosts are not."""
+    pages = spark.range(4000).selectExpr("if(id % 3 > 0, 'hot', concat('h', id div 6)) as host", "id as page_id", "array('a', string(id)) as lines")
+    totals = pages.groupBy("host").agg({"page_id": "count"}).withColumnRenamed("count(page_id)", "host_pages")
+    hot = line_dedup.hot_hosts(totals)
+    quarters = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = {r.host: r.salts for r in hot.collect()}
+    assert set(found) == {"hot"} and quarters / 2 < found["hot"] <= quarters
+    dealt = line_dedup.salted(pages, hot, line_dedup.F.xxhash64("page_id")).groupBy("host", "salt").count().collect()
+    assert max(r["count"] for r in dealt) < 4000 / quarters * 2
+    assert {r.salt for r in dealt if r.host != "hot"} == {0}
+
+
 def test_small_hosts_lose_their_boilerplate(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF_MID}/pages.parquet").collect()}
     hosts = {p: m[1].lower() if (m := re.match(line_dedup.HOST, r.url or "")) else "" for p, r in pages.items()}
