@@ -207,7 +207,7 @@ def update(index: DataFrame, inserted: DataFrame | None = None, deleted: DataFra
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.union(part)
-    n = partitions(index.sparkSession, rows.count(), BUCKET_ROWS)
+    n = partitions(index.sparkSession, index.count() + (0 if inserted is None else inserted.count()), BUCKET_ROWS)
     dealt = rows.repartition(n, "digest").sortWithinPartitions("op")
     return dealt.mapInArrow(_apply, _GROUPS)
 
