@@ -12,6 +12,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,19 @@ def apply_runtime_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the jobs inside; what held before holds again after."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def workspace_dir(spark: SparkSession, *parts: str) -> str:
     """Path under the shared workspace (``spark.checkpoint.dir``).
 
