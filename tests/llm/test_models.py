@@ -355,17 +355,117 @@ def test_scores_beat_the_base(spark):
     )
 
 
-def test_tree_distributions_sum_to_one(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    counts = suffix_tree.word_counts(suffix_tree._blocks(docs, 3))
-    model = suffix_tree.grow(docs, suffix_tree.symbols(counts), 3)
-    assert len(model.levels) >= 2 and len(model.levels[1].contexts)
-    every = np.arange(len(model.root))
-    contexts = [np.uint64(0), *model.levels[0].contexts[:5], *model.levels[1].contexts[:5]]
-    for c in contexts:
-        for depth in (0, 1, 2, 3):
-            p = model.probability(np.full(len(every), c), every, depth)
-            assert p.min() > 0 and abs(p.sum() - 1) < 1e-9
+class BruteTree:
+    """The tree in dictionaries, from its definition."""
+
+    def __init__(self, docs, depth, word_min, class_min, context_min, entry_min):
+        self.depth = depth
+        held = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in docs]
+        texts = [suffix_tree.words_of(t) for (_, t), h in zip(docs, held, strict=True) if not h]
+        self.c = Counter(w for t in texts for w in t)
+        self.own = {w for w, n in self.c.items() if n >= word_min}
+        tokens, kinds = Counter(), Counter()
+        for w, n in self.c.items():
+            if w not in self.own:
+                tokens[suffix_tree.ending(w)] += n
+                kinds[suffix_tree.ending(w)] += 1
+        self.classes = {e for e, n in tokens.items() if n >= class_min}
+        self.tokens, self.kinds = Counter({None: 0}), Counter()
+        for e, n in tokens.items():
+            self.tokens[e if e in self.classes else None] += n
+            self.kinds[e if e in self.classes else None] += kinds[e]
+        for w in self.own:
+            self.tokens[w] = self.c[w]
+        total = sum(self.tokens.values())
+        self.root = {s: (n + 0.1) / (total + 0.1 * len(self.tokens)) for s, n in self.tokens.items()}
+        follows = defaultdict(Counter)
+        for t in texts:
+            s = ["^"] * depth + [self.symbol(w) for w in t]
+            for i in range(depth, len(s)):
+                for d in range(1, depth + 1):
+                    follows[tuple(s[i - d : i])][s[i]] += 1
+        self.kept = [{} for _ in range(depth + 1)]
+        candidates = set()
+        for d in range(1, depth + 1):
+            for context, counts in follows.items():
+                if len(context) != d or sum(counts.values()) < context_min or (d > 1 and context[:-1] not in candidates and set(context) != {"^"}):
+                    continue
+                candidates.add(context)
+                n, listed = sum(counts.values()), {x: y for x, y in counts.items() if y >= entry_min}
+                if not listed:
+                    continue
+                left = (n - sum(listed.values()) + 0.75 * len(listed)) / n
+                gain = (n - sum(listed.values())) * math.log(max(left, 1e-12))
+                for x, y in listed.items():
+                    parent = self.p(context[1:], x)
+                    gain += y * math.log(((y - 0.75) / n + left * parent) / parent)
+                if gain >= 3 * len(listed):
+                    self.kept[d][context] = ({x: (y - 0.75) / n for x, y in listed.items()}, left)
+
+    def symbol(self, word):
+        if word in self.own:
+            return word
+        return suffix_tree.ending(word) if suffix_tree.ending(word) in self.classes else None
+
+    def p(self, context, following):
+        p = self.root[following]
+        for d in range(1, len(context) + 1):
+            if tuple(context[-d:]) in self.kept[d]:
+                share, left = self.kept[d][tuple(context[-d:])]
+                p = share.get(following, 0.0) + left * p
+        return p
+
+    def score(self, text):
+        words = suffix_tree.words_of(text)
+        s, total = ["^"] * self.depth, 0.0
+        for w in words:
+            x = self.symbol(w)
+            total += math.log10(self.p(s[len(s) - self.depth :], x))
+            if w not in self.own:
+                total += math.log10((self.c[w] + 0.1) / (self.tokens[x] + 0.1 * (self.kinds[x] + 1)))
+            s.append(x)
+        return total
+
+
+def check_scores(rows, docs, limits):
+    brute = BruteTree(docs, *limits)
+    assert Counter((r.doc_id, f"{r.score:.7g}") for r in rows) == Counter((d, f"{brute.score(t):.7g}") for d, t in docs)
+    return brute
+
+
+@pytest.mark.parametrize("limits", [(3, 4, 4, 4, 2), (2, 32, 32, 32, 3), (0, 8, 8, 8, 2)])
+def test_scores_equal_brute_force(edge, limits):
+    rows = suffix_tree.scores(edge, *limits).collect()
+    check_scores(rows, pairs(edge), limits)
+
+
+def test_scores_of_many_blocks_equal_brute_force(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").repartition(3).cache()
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 20_000)
+    limits = (3, 8, 8, 8, 2)
+    brute = check_scores(suffix_tree.scores(docs, *limits).collect(), pairs(docs), limits)
+    assert all(brute.kept[1:])
+    # Of all symbols, P sums to one in every state.
+    for d in range(4):
+        for context in [("^",) * d, *sorted(brute.kept[d], key=repr)[:20]]:
+            assert abs(sum(brute.p(context, s) for s in brute.root) - 1) < 1e-9
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """More text, more words with a symbol of their own, and more contexts."""
+    limits = (2, 32, 32, 32, 3)
+    few, many = (suffix_tree.tree(spark.read.parquet(f"{d}/documents.parquet"), *limits) for d in (SF_SMALL, SF_MID))
+    assert many[0].n_symbols > 2 * few[0].n_symbols
+    for (_, a), (_, b) in zip(few[3], many[3], strict=True):
+        assert b.count() > 2 * a.count()
+
+
+def test_hashes_rise_with_their_range(spark):
+    codes = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, np.uint64))
+    found = suffix_tree.bucket_of(codes, 13)
+    assert set(found) == set(range(13)) and (np.diff(found) >= 0).all()
+    df = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "code long")
+    assert [r[0] for r in df.select(suffix_tree.bucket_column(df.code, 13)).collect()] == found.tolist()
 
 
 # -- op 9 ------------------------------------------------------------------

@@ -1,19 +1,25 @@
 """Language-model scoring with a probabilistic suffix tree.
 
-Symbols are the frequent words and, for all others, classes by ending; a word
-counts with the probability of its symbol in context times its share of the
-class, learned from all training tokens. The tree's contexts are sequences of
-symbols of variable length. It grows by levels: a context is considered if it
-occurs often enough (at most 1 / ``CONTEXT_SHARE`` are, at each depth, which
-bounds the tree whatever the corpus), and retained if its next-symbol
-distribution diverges from that of its longest retained suffix. Distributions
-are smoothed by absolute discounting towards that suffix; the longest retained
-suffix of the history is the state that scores a token.
-
-Counts cover all training tokens. Word counts, as many as there are words,
-never leave the executors: documents are dealt into blocks of bounded size, a
-block asks for the counts of its distinct words, and the answers meet its
-texts again.
+Symbols are the words that training texts hold ``WORD_MIN`` times, and for all
+others classes by ending; a word counts with the probability of its symbol in
+context times its share of the class. The tree's contexts are sequences of
+symbols of variable length, up to ``DEPTH``. It grows by levels: a context is
+considered if training texts hold it ``CONTEXT_MIN`` times, a next symbol is
+listed if it follows ``ENTRY_MIN`` times, and the context is retained if its
+next-symbol distribution diverges from that of its longest retained suffix.
+Distributions are smoothed by absolute discounting towards that suffix; the
+longest retained suffix of the history is the state that scores a token. All
+limits are counts, not shares: the more text, the more words and contexts.
+
+The tree never leaves the executors. Texts are read once, into blocks of bounded
+size that keep their tokens as numbers. For each level a block asks for its
+distinct strings, one row for each range of string hashes that it meets; a range
+sums what all blocks have counted, the listed strings make a table, contexts are
+weighed in it, and each block gets its answers in the order of its questions. A
+string is asked for once a block at most, so none is hot. Only sums over all
+words and by ending (two bytes and a mark) come to the driver.
+
+Strings are told apart by 64 bits.
 
 Defined results: a null text is the end token alone; a null doc_id is in the
 training part; with no training token every count is zero and all symbols are
@@ -22,38 +28,31 @@ alike; rows that repeat a doc_id are scored each.
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tributary.llm.common import partitions, written
 
-# Shares of the training tokens: of a word with a symbol of its own (so there
-# are at most 1,000), of a class of its own (at most 50,000), of a context.
-WORD_SHARE = 1e-3
-CLASS_SHARE = 2e-5
-CONTEXT_SHARE = 5e-5
-# A next symbol is listed with a context from this share on, but twice at least.
-ENTRY_SHARE = CONTEXT_SHARE / 16
-DEPTH = 2
+WORD_MIN = 32
+CLASS_MIN = 32
+CONTEXT_MIN = 32
+ENTRY_MIN = 3
+DEPTH = 3
 DISCOUNT = 0.75
 # Nats for each listed symbol by which a retained context describes better.
 DIVERGENCE = 3.0
 ALPHA = 0.1
 BLOCK_BYTES = 16 * 1024 * 1024
-BITS = 16
 END = b"\n"  # no word holds it
 MARKS = b".,;:!?&*%$#|"
-GROUP_DOCS = 1000
+BEFORE = np.uint64(3)  # code of the symbol before a text
 
 
 def held_out(doc_id: Column) -> Column:
@@ -67,8 +66,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def word_hash(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+    return xxhash.xxh64_intdigest(word)
 
 
 def ending(word: bytes) -> int:
@@ -78,305 +76,470 @@ def ending(word: bytes) -> int:
     return int.from_bytes(stem[-2:].rjust(2, b"\0") + (mark or b"\0"), "big")
 
 
-@dataclass
-class Level:
-    """Retained contexts of one depth: sorted codes and, sorted by context and
-    next symbol, discounted shares; ``escape`` is what is left to the suffix."""
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of the string ``a`` with the symbol ``b`` behind it."""
+    with np.errstate(over="ignore"):
+        x = np.uint64(0x9E3779B97F4A7C15) * np.asarray(a, np.uint64) + np.asarray(b, np.uint64)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(32))
+
+
+def bucket_of(codes: np.ndarray, n: int) -> np.ndarray:
+    """Range of each hash: rises with the hash."""
+    return ((codes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
 
-    contexts: np.ndarray
-    escape: np.ndarray
-    entries: np.ndarray
-    share: np.ndarray
+def bucket_column(code: Column, n: int) -> Column:
+    """``bucket_of`` in the JVM."""
+    return F.shiftright(F.shiftrightunsigned(code, 32) * F.lit(n), 32).cast("int")
 
 
 @dataclass
 class Model:
-    """The tree and the symbols; its size has a bound that no corpus exceeds."""
+    """What all blocks share: sums over words, and classes by ending."""
 
     n_tokens: int = 0
     n_words: int = 0
-    words: dict[int, int] = field(default_factory=dict)  # hash -> symbol
-    classes: dict[int, int] = field(default_factory=dict)  # ending -> symbol
+    n_symbols: int = 1
+    n_ends: int = 0  # training texts
+    word_min: int = WORD_MIN
+    endings: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    # Tokens and words of each class; the last one is that of all other endings.
     class_tokens: np.ndarray = field(default_factory=lambda: np.zeros(1))
     class_words: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    root: np.ndarray = field(default_factory=lambda: np.ones(1))
-    end: int = 0
-    levels: list[Level] = field(default_factory=list)
-
-    def symbols_of(self, hashes: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        """``symbol`` for many words at a time."""
-        out = _looked_up(self.classes, endings, np.zeros(len(hashes), np.int64))
-        return _looked_up(self.words, hashes, out)
-
-    def symbol(self, hashed: int, word: bytes) -> int:
-        """Symbol 0 is the class of all endings without one of their own."""
-        return self.words.get(hashed) or self.classes.get(ending(word), 0)
-
-    def probability(self, context: np.ndarray, following: np.ndarray, depth: int) -> np.ndarray:
-        """P(following | context): from the root to the longest retained suffix
-        of at most ``depth`` symbols. The latest symbol is the lowest one."""
-        p = self.root[following]
-        for d, level in enumerate(self.levels[:depth], 1):
-            if not len(level.contexts):
-                continue
-            own = context & np.uint64((1 << (BITS * d)) - 1)
-            at = np.minimum(np.searchsorted(level.contexts, own), len(level.contexts) - 1)
-            hit = level.contexts[at] == own
-            code = own[hit] << np.uint64(BITS) | following[hit].astype(np.uint64)
-            listed = np.minimum(np.searchsorted(level.entries, code), len(level.entries) - 1)
-            share = np.where(level.entries[listed] == code, level.share[listed], 0.0)
-            p[hit] = share + level.escape[at[hit]] * p[hit]
-        return p
-
-
-def _looked_up(table: dict[int, int], keys: np.ndarray, other: np.ndarray) -> np.ndarray:
-    if not table or not len(keys):
-        return other
-    known = np.array(sorted(table), np.int64)
-    values = np.array([table[k] for k in known.tolist()], np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], other)
-
-
-def symbol_codes(symbols: list[np.ndarray], end: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(history, next) of all tokens of some texts; before a text are ends."""
-    pad = np.full(depth, end, np.uint64)
-    flat = np.concatenate([x for s in symbols for x in (pad, s)])
-    inside = np.concatenate([x for s in symbols for x in (np.zeros(depth, bool), np.ones(len(s), bool))])
-    at = np.flatnonzero(inside)
-    history = np.zeros(len(at), np.uint64)
-    for d in range(1, depth + 1):
-        history |= flat[at - d] << np.uint64(BITS * (d - 1))
-    return history, flat[at]
 
+    def symbols_of(self, hashes: np.ndarray, endings: np.ndarray, c: np.ndarray) -> tuple:
+        """(code, tokens, P(word | symbol)) of words with the counts ``c``."""
+        own = c >= self.word_min
+        place = np.full(len(hashes), len(self.endings))
+        if len(self.endings):
+            at = np.minimum(np.searchsorted(self.endings, endings), len(self.endings) - 1)
+            place = np.where(self.endings[at] == endings, at, place)
+        code = np.where(own, mixed(hashes, np.uint64(1)), mixed(place.astype(np.uint64), np.uint64(2)))
+        tokens = np.where(own, c, self.class_tokens[place])
+        share = (c + ALPHA) / (self.class_tokens[place] + ALPHA * (self.class_words[place] + 1))
+        return code, tokens, np.where(own, 1.0, share)
 
-# -- counts of words -------------------------------------------------------
-def _blocks(docs: DataFrame, n: int) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long"),
-        "text",
-        held_out(F.col("doc_id")).alias("held_out"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"),
-    )
+    def root(self, tokens: np.ndarray) -> np.ndarray:
+        return (tokens + ALPHA) / (self.n_tokens + ALPHA * self.n_symbols)
+
+
+# -- blocks and their words ------------------------------------------------
+_BLOCK = (
+    "block long, bucket int, hashes binary, endings binary, n binary, "
+    "doc_id binary, known binary, held binary, lengths binary, tokens binary"
+)
+
+
+def _bytes(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x).tobytes()
+
+
+def _cut(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, start, end) of the runs of sorted ``codes`` in each bucket."""
+    at = bucket_of(codes, n)
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+    return at[starts], starts, np.append(starts[1:], len(at)) if len(starts) else starts
+
+
+def blocks(docs: DataFrame, n: int) -> DataFrame:
+    """Blocks of documents: a row with the tokens, as places in the block's
+    sorted distinct word hashes, and a row for each of ``n`` ranges of hashes
+    with the words in it and how often training texts of the block hold them."""
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        schema = pa.schema(
+            [("block", pa.int64()), ("bucket", pa.int32())] + [(c, pa.binary()) for c in _names(_BLOCK)[2:]]
+        )
+        index: dict[bytes, int] = {}
+        ids, held, lengths, tokens, size = [], [], [], [], 0
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            nonlocal number, size
+            hashes = np.fromiter(map(word_hash, index), np.uint64, len(index))
+            kinds = np.fromiter(map(ending, index), np.int32, len(index))
+            codes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            flat = back[np.concatenate(tokens)].astype("<u4")
+            trained = np.repeat(~np.array(held), lengths)
+            counts = np.bincount(flat[trained], minlength=len(codes)).astype(np.int64)
+            known = np.array([d is not None for d in ids])
+            state = [
+                np.array([d or 0 for d in ids], np.int64), known, np.array(held), np.array(lengths, np.int64), flat,
+            ]
+            rows = [(number, None, None, None, None, *map(_bytes, state))]
+            kinds = kinds[first]
+            for b, s, e in zip(*_cut(codes, n), strict=True):
+                rows.append((number, int(b), *(_bytes(x[s:e]) for x in (codes, kinds, counts)), *[None] * 5))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
+            )
+            number += 1
+            size = 0
+            for x in (index, ids, held, lengths, tokens):
+                x.clear()
+
+        for batch in batches:
+            for doc, text, out in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = words_of(text)
+                tokens.append(np.fromiter((index.setdefault(w, len(index)) for w in found), "<u4", len(found)))
+                ids.append(doc)
+                held.append(out)
+                lengths.append(len(found))
+                size += len(text or "") + 64
+                if size >= BLOCK_BYTES:
+                    yield from finished()
+        if ids:
+            yield from finished()
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out"))
+    return rows.mapInArrow(task, _BLOCK)
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _joined(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, kind) for x in column.to_pylist()] or [np.zeros(0, kind)])
+
+
+def _sizes(column: pa.ChunkedArray | pa.Array, width: int = 8) -> np.ndarray:
+    return np.cumsum([len(x) // width for x in column.to_pylist()])[:-1]
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(block, hash, ending, n, c, first): the distinct words of each block, how
-    often its training texts and all training texts have them; ``first`` marks
-    one row of each word. A word is a row per block at most, so none is hot."""
+def word_counts(asked: DataFrame, word_min: int) -> DataFrame:
+    """Answers (block, bucket, counts) to the blocks' words; beside them, for
+    each range, sums by ending: (ending, tokens, words, own): ``own`` is 1 for
+    words with a symbol of their own."""
 
-    def count(group: pa.Table) -> pa.Table:
-        trained: Counter[bytes] = Counter()
-        seen: set[bytes] = set()
-        for text, held in zip(group.column("text").to_pylist(), group.column("held_out").to_pylist(), strict=True):
-            (seen.update if held else trained.update)(words_of(text))
-        seen.update(trained)
-        found = list(seen)
+    def answer(group: pa.Table) -> pa.Table:
+        hashes, n = _joined(group.column("hashes"), np.uint64), _joined(group.column("n"), np.int64)
+        codes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        c = np.zeros(len(codes), np.int64)
+        np.add.at(c, back, n)
+        counts = [_bytes(x) for x in np.split(c[back], _sizes(group.column("hashes")))]
+        kind = _joined(group.column("endings"), np.int32)[first].astype(np.int64) * 2 + (c >= word_min)
+        kinds, of = np.unique(kind[c > 0], return_inverse=True)
+        blank, rows = [None] * len(kinds), [None] * len(counts)
         return pa.table(
             {
-                "block": pa.array(np.full(len(found), group.column("block")[0].as_py(), np.int32)),
-                "hash": pa.array([word_hash(w) for w in found], pa.int64()),
-                "ending": pa.array([ending(w) for w in found], pa.int32()),
-                "n": pa.array([trained.get(w, 0) for w in found], pa.int64()),
+                "block": pa.array(group.column("block").to_pylist() + blank, pa.int64()),
+                "bucket": pa.array(group.column("bucket").to_pylist() + blank, pa.int32()),
+                "counts": pa.array(counts + blank, pa.binary()),
+                "ending": pa.array(rows + (kinds // 2).tolist(), pa.int64()),
+                "own": pa.array(rows + (kinds % 2).tolist(), pa.int64()),
+                "tokens": pa.array(rows + np.bincount(of, c[c > 0]).astype(np.int64).tolist(), pa.int64()),
+                "words": pa.array(rows + np.bincount(of).tolist(), pa.int64()),
             }
         )
 
-    rows = blocks.groupBy("block").applyInArrow(count, "block int, hash long, ending int, n long")
-    same = Window.partitionBy("hash")
-    return rows.withColumn("c", F.sum("n").over(same)).withColumn(
-        "first", F.row_number().over(same.orderBy("block")) == 1
+    schema = "block long, bucket int, counts binary, ending long, own long, tokens long, words long"
+    return asked.groupBy("bucket").applyInArrow(answer, schema)
+
+
+def shared_model(counts: DataFrame, n_ends: int, word_min: int, class_min: int) -> Model:
+    """Sums over all words; what is collected is bounded by the endings."""
+    sums = counts.where("block is null").groupBy("ending", "own").agg(F.sum("tokens").alias("c"), F.sum("words").alias("v"))
+    rows = sorted((r.ending, r.own, r.c, r.v) for r in sums.collect())
+    rest = [r for r in rows if not r[1]]
+    own = [r for r in rest if r[2] >= class_min]
+    other = [r for r in rest if r[2] < class_min]
+    return Model(
+        n_tokens=sum(r[2] for r in rows),
+        n_words=sum(r[3] for r in rows),
+        n_symbols=sum(r[3] for r in rows if r[1]) + len(own) + 1,
+        n_ends=n_ends,
+        word_min=word_min,
+        endings=np.array([r[0] for r in own], np.int64),
+        class_tokens=np.array([r[2] for r in own] + [sum(r[2] for r in other)], float),
+        class_words=np.array([r[3] for r in own] + [sum(r[3] for r in other)], float),
     )
 
 
-def symbols(counts: DataFrame) -> Model:
-    """Symbols and their root distribution; what is collected is bounded by the
-    shares and by the number of endings (2 bytes and a mark)."""
-    model = Model()
-    distinct = counts.where("first and c > 0")
-    total = distinct.agg(F.sum("c"), F.count("*")).first()
-    model.n_tokens, model.n_words = int(total[0] or 0), int(total[1])
-    n = model.n_tokens
-    often = distinct.where(F.col("c") >= max(1.0, WORD_SHARE * n)).select("hash", "c").collect()
-    tokens, kinds = [0.0], [0.0]
-    for h, c in sorted((r.hash, r.c) for r in often):
-        model.words[h] = len(tokens)
-        tokens.append(float(c))
-        kinds.append(1.0)
-    rest = distinct.where(F.col("c") < max(1.0, WORD_SHARE * n))
-    classes = rest.groupBy("ending").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    for e, c, v in sorted((r.ending, r.c, r.v) for r in classes):
-        if c >= CLASS_SHARE * n:
-            model.classes[e] = len(tokens)
-            tokens.append(float(c))
-            kinds.append(float(v))
-        else:
-            tokens[0] += c
-            kinds[0] += v
-    model.class_tokens, model.class_words = np.array(tokens), np.array(kinds)
-    model.root = (model.class_tokens + ALPHA) / (model.class_tokens + ALPHA).sum()
-    model.end = model.symbol(word_hash(END), END)
-    return model
-
-
 # -- the tree --------------------------------------------------------------
-def symbol_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """(lengths, symbols) of the training texts, some in a row, as uint32 and
-    uint16: every level counts them, so words are looked up once."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+@dataclass
+class Asked:
+    """Distinct strings of one length that a block holds, by hash. ``n`` counts
+    the block's training texts, the others are alike in all blocks."""
+
+    codes: np.ndarray
+    context: np.ndarray
+    n: np.ndarray
+    context_n: np.ndarray
+    parent: np.ndarray  # P(last symbol | longest retained proper suffix)
+    contexts: np.ndarray  # distinct contexts, sorted
+    of_context: np.ndarray
+    of_token: np.ndarray
+    candidate: np.ndarray
+
+
+class Walk:
+    """The tokens of a block on their way down the levels of the tree."""
+
+    def __init__(self, model: Model, symbol, tokens, lengths, trained, context_min: int):
+        self.symbol, self.trained, self.context_min = symbol, trained, context_min
+        self.starts = np.cumsum(lengths) - lengths
+        # What lies before a text is counted as often as there are training texts.
+        self.blank, self.n_ends = BEFORE, float(model.n_ends)
+        self.p = model.root(tokens)
+        self.context, self.context_n = self._behind(symbol, tokens)
+
+    def _behind(self, codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        codes, n = np.roll(codes, 1), np.roll(n, 1).astype(float)
+        codes[self.starts], n[self.starts] = self.blank, self.n_ends
+        return codes, n
+
+    def ask(self) -> Asked:
+        candidate = np.flatnonzero(self.context_n >= self.context_min)
+        codes, first, back = np.unique(
+            mixed(self.context[candidate], self.symbol[candidate]), return_index=True, return_inverse=True
+        )
+        at = candidate[first]
+        contexts, of = np.unique(self.context[at], return_inverse=True)
+        n = np.bincount(back, self.trained[candidate], len(codes)).astype(np.int64)
+        return Asked(codes, self.context[at], n, self.context_n[at], self.p[at], contexts, of, back, candidate)
+
+    def go(self, asked: Asked, n: np.ndarray, share: np.ndarray, escape: np.ndarray) -> None:
+        """One symbol deeper; ``escape`` is NaN for contexts not retained."""
+        at = asked.candidate
+        left = escape[asked.of_context][asked.of_token]
+        own = self.p[at]
+        self.p[at] = np.where(np.isnan(left), own, share[asked.of_token] + np.nan_to_num(left) * own)
+        codes, counts = np.zeros(len(self.p), np.uint64), np.zeros(len(self.p))
+        codes[at], counts[at] = asked.codes[asked.of_token], n[asked.of_token]
+        self.blank = mixed(self.blank, BEFORE)
+        self.context, self.context_n = self._behind(codes, counts)
+
+
+_STATE = (
+    "block long, doc_id binary, known binary, held binary, lengths binary, n_known binary, base binary, inner binary, "
+    "tokens binary, codes binary, counts binary"
+)
+_ASK = "block long, bucket int, codes binary, context binary, n binary, context_n binary, parent binary, contexts binary"
+_ANSWER = "block long, depth int, bucket int, n binary, share binary, escape binary"
+
+
+def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
+    """Blocks as symbols: texts' sums that need no context, and tokens as places
+    in the block's symbols."""
+    shared = cut.sparkSession.sparkContext.broadcast(model)
+
+    def state(group: pa.Table, counts: pa.Table) -> pa.Table:
+        own: Model = shared.value
+        rows = group.sort_by("bucket")  # the row of tokens, with no bucket, is the last one
+        ask = rows.slice(0, rows.num_rows - 1)
+        hashes, kinds = _joined(ask.column("hashes"), np.uint64), _joined(ask.column("endings"), np.int32)
+        c = _joined(counts.sort_by("bucket").column("counts"), np.int64).astype(float)
+        if len(c) != len(hashes):
+            raise RuntimeError("a block lacks counts of its words")
+        last = rows.slice(rows.num_rows - 1)
+        lengths = _joined(last.column("lengths"), np.int64)
+        flat = _joined(last.column("tokens"), "<u4")
+        starts = np.cumsum(lengths) - lengths
+        code, tokens, share = own.symbols_of(hashes, kinds, c)
+        codes, first, back = np.unique(code, return_index=True, return_inverse=True)
+        base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
+        sums = [np.add.reduceat(x[flat], starts) for x in ((c > 0).astype(np.int64), base, np.log10(share))]
+        place = back[flat].astype("<u4" if len(codes) > 65536 else "<u2")
+        data = [*map(_bytes, (lengths, *sums, place, codes, tokens[first].astype(float)))]
+        found = [[last.column(x)[0].as_py()] for x in ("block", "doc_id", "known", "held")] + [[x] for x in data]
+        return pa.table({k: pa.array(v, pa.binary() if i else pa.int64()) for i, (k, v) in enumerate(zip(_names(_STATE), found, strict=True))})
+
+    return cut.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(state, _STATE)
+
+
+def _walked(model: Model, group: pa.Table, answers: pa.Table | None, depth: int, context_min: int) -> Walk:
+    """A block's tokens after ``depth`` levels, whose answers are given."""
+    one = {c: group.column(c)[0].as_py() for c in ("lengths", "held", "tokens", "codes", "counts")}
+    lengths, codes = np.frombuffer(one["lengths"], np.int64), np.frombuffer(one["codes"], np.uint64)
+    place = np.frombuffer(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")
+    trained = np.repeat(~np.frombuffer(one["held"], bool), lengths)
+    tokens = np.frombuffer(one["counts"], float)[place]
+    walk = Walk(model, codes[place], tokens, lengths, trained, context_min)
+    if depth:
+        levels = answers.column("depth").to_numpy()
+        answers = answers.sort_by("bucket")
+        levels = answers.column("depth").to_numpy()
+    for d in range(1, depth + 1):
+        asked = walk.ask()
+        own = answers.filter(pa.array(levels == d))
+        n, share, escape = (_joined(own.column(c), k) for c, k in (("n", np.int64), ("share", float), ("escape", float)))
+        if len(n) != len(asked.codes) or len(escape) != len(asked.contexts):
+            raise RuntimeError("a block lacks answers on its strings")
+        walk.go(asked, n, share, escape)
+    return walk
+
+
+def _with_answers(state: DataFrame, answers: DataFrame | None, function, schema: str) -> DataFrame:
+    """``function`` of each block and the answers it has got so far."""
+    if answers is None:
+        return state.groupBy("block").applyInArrow(lambda group: function(group, None), schema)
+    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(function, schema)
+
+
+def asks(state: DataFrame, answers: DataFrame | None, model: Model, depth: int, n: int, context_min: int) -> DataFrame:
+    """What blocks want to know for level ``depth``, a row for each range."""
+    shared = state.sparkSession.sparkContext.broadcast(model)
+
+    def ask(group: pa.Table, known: pa.Table | None) -> pa.Table:
+        found = _walked(shared.value, group, known, depth - 1, context_min).ask()
+        block = group.column("block")[0].as_py()
+        strings = {b: (s, e) for b, s, e in zip(*(x.tolist() for x in _cut(found.codes, n)), strict=True)}
+        contexts = {b: (s, e) for b, s, e in zip(*(x.tolist() for x in _cut(found.contexts, n)), strict=True)}
+        both = sorted(strings.keys() | contexts.keys())
+        columns = [found.codes, found.context, found.n, found.context_n, found.parent]
+        out = [[block] * len(both), both]
+        out += [[_bytes(x[slice(*strings.get(b, (0, 0)))]) for b in both] for x in columns]
+        out += [[_bytes(found.contexts[slice(*contexts.get(b, (0, 0)))]) for b in both]]
+        kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
+        return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=_names(_ASK))
+
+    return _with_answers(state, answers, ask, _ASK)
+
+
+def entries(asked: DataFrame, entry_min: int) -> DataFrame:
+    """The listed strings: code, context, n, context_n, parent."""
+
+    def summed(group: pa.Table) -> pa.Table:
+        codes, first, back = np.unique(_joined(group.column("codes"), np.uint64), return_index=True, return_inverse=True)
+        n = np.zeros(len(codes), np.int64)
+        np.add.at(n, back, _joined(group.column("n"), np.int64))
+        listed = n >= entry_min
+        at = first[listed]
+        return pa.table(
+            {
+                "code": pa.array(codes[listed].view(np.int64)),
+                "context": pa.array(_joined(group.column("context"), np.int64)[at]),
+                "n": pa.array(n[listed]),
+                "context_n": pa.array(_joined(group.column("context_n"), float)[at]),
+                "parent": pa.array(_joined(group.column("parent"), float)[at]),
+            }
+        )
 
-    def task(batches) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        known: dict[bytes, int] = {}
-        for batch in batches:
-            for a in range(0, batch.num_rows, GROUP_DOCS):
-                texts = [words_of(t) for t in batch.column(0).slice(a, GROUP_DOCS).to_pylist()]
-                if len(known) > 500_000:
-                    known.clear()
-                for w in set().union(*texts).difference(known):
-                    known[w] = own.symbol(word_hash(w), w)
-                lengths = np.array([len(t) for t in texts], "<u4")
-                found = np.fromiter((known[w] for t in texts for w in t), "<u2", int(lengths.sum()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()) for x in (lengths, found)], ["lengths", "symbols"]
-                )
-
-    trained = docs.where(~held_out(F.col("doc_id"))).select("text")
-    return trained.mapInArrow(task, "lengths binary, symbols binary")
-
-
-def _level_counts(rows: DataFrame, model: Model, depth: int, contexts: np.ndarray) -> DataFrame:
-    """(code, n): how often the symbol in the low bits follows each of the
-    ``contexts`` in the training texts."""
-    shared = rows.sparkSession.sparkContext.broadcast((model.end, contexts))
+    schema = "code long, context long, n long, context_n double, parent double"
+    return asked.groupBy("bucket").applyInArrow(summed, schema)
+
+
+def retained(listed: DataFrame) -> DataFrame:
+    """(context, escape) of the contexts that diverge from their suffix; the
+    escape is what the listed symbols leave to it."""
+    sums = listed.groupBy("context").agg(F.sum("n").alias("sums"), F.count("*").alias("number"), F.first("context_n").alias("total"))
+    left = (F.col("total") - F.col("sums") + DISCOUNT * F.col("number")) / F.col("total")
+    sums = sums.withColumn("escape", left)
+    share = (F.col("n") - DISCOUNT) / F.col("total")
+    # What isn't listed loses the part of the suffix that the list takes.
+    lost = (F.col("total") - F.col("sums")) * F.log(F.greatest(F.col("escape"), F.lit(1e-12)))
+    gains = (
+        listed.join(sums, "context")
+        .groupBy("context", "number", "escape", lost.alias("lost"))
+        .agg(F.sum(F.col("n") * F.log((share + F.col("escape") * F.col("parent")) / F.col("parent"))).alias("gain"))
+    )
+    return gains.where(F.col("gain") + F.col("lost") >= DIVERGENCE * F.col("number")).select("context", "escape")
 
-    def task(batches) -> Iterator[pa.RecordBatch]:
-        end, wanted = shared.value
-        waiting: list[np.ndarray] = []
 
-        def counted() -> Iterator[pa.RecordBatch]:
-            codes, n = np.unique(np.concatenate(waiting), return_counts=True)
-            waiting.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(n)], ["code", "n"])
+def answered(asked: DataFrame, listed: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
+    """Each block's answers, in the order of its strings and contexts: counts,
+    discounted shares in retained contexts, escapes."""
+    strings = listed.join(kept, "context", "left").select(
+        bucket_column(F.col("code"), n).alias("bucket"),
+        "code",
+        "n",
+        F.when(F.col("escape").isNotNull(), (F.col("n") - DISCOUNT) / F.col("context_n")).otherwise(0.0).alias("value"),
+    )
+    contexts = kept.select(
+        bucket_column(F.col("context"), n).alias("bucket"),
+        F.col("context").alias("code"),
+        F.lit(None).cast("long").alias("n"),
+        F.col("escape").alias("value"),
+    )
 
-        held = 0
-        for batch in batches:
-            for lengths, flat in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ends = np.cumsum(np.frombuffer(lengths, "<u4"))
-                found = np.split(np.frombuffer(flat, "<u2").astype(np.uint64), ends[:-1])
-                history, following = symbol_codes(found, end, depth)
-                at = np.minimum(np.searchsorted(wanted, history), len(wanted) - 1)
-                hit = wanted[at] == history
-                waiting.append(history[hit] << np.uint64(BITS) | following[hit])
-                held += len(waiting[-1])
-            if held > 8_000_000:  # 64 MB of codes
-                yield from counted()
-                held = 0
-        if waiting:
-            yield from counted()
-
-    counted_rows = rows.select("lengths", "symbols").mapInArrow(task, "code long, n long")
-    return counted_rows.groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def grow(docs: DataFrame, model: Model, depth: int = DEPTH) -> Model:
-    """Add the levels of the tree, each from the contexts that the one before
-    has counted often enough."""
-    n = model.n_tokens
-    least = max(2.0, CONTEXT_SHARE * n)
-    listed = max(2.0, ENTRY_SHARE * n)
-    frequent = model.class_tokens >= least
-    contexts = np.flatnonzero(frequent).astype(np.uint64)
-    totals = model.class_tokens[frequent]
-    texts = written(symbol_rows(docs, model), "symbols") if len(contexts) else None
-    for d in range(1, depth + 1):
-        if not len(contexts):
-            break
-        rows = _level_counts(texts, model, d, contexts).where(F.col("n") >= listed)
-        got = rows.toArrow()
-        codes, counts = got.column("code").to_numpy().view(np.uint64), got.column("n").to_numpy().astype(float)
-        order = np.argsort(codes)
-        codes, counts = codes[order], counts[order]
-        of = np.searchsorted(contexts, codes >> np.uint64(BITS))
-        number = np.bincount(of, minlength=len(contexts))
-        sums = np.bincount(of, weights=counts, minlength=len(contexts))
-        share = (counts - DISCOUNT) / totals[of]
-        escape = (totals - sums + DISCOUNT * number) / totals
-        parent = model.probability(codes >> np.uint64(BITS), (codes & np.uint64((1 << BITS) - 1)).astype(np.int64), d - 1)
-        gain = np.bincount(of, weights=counts * np.log((share + escape[of] * parent) / parent), minlength=len(contexts))
-        # What isn't listed loses the part of the suffix that the list takes.
-        gain += (totals - sums) * np.log(np.maximum(escape, 1e-12))
-        kept = (number > 0) & (gain >= DIVERGENCE * number)
-        entries = kept[of]
-        model.levels.append(Level(contexts[kept], escape[kept], codes[entries], share[entries]))
-        # A string that is frequent enough is a context of the next depth. The
-        # ends before a text follow nothing: they are as many as the texts.
-        blank = np.uint64(sum(model.end << (BITS * j) for j in range(d + 1)))
-        longer = (counts >= least) & (codes != blank)
-        contexts, totals = codes[longer], counts[longer]
-        if model.class_tokens[model.end] >= least:
-            at = np.searchsorted(contexts, blank)
-            contexts = np.insert(contexts, at, blank)
-            totals = np.insert(totals, at, model.class_tokens[model.end])
-    return model
+    def reply(group: pa.Table, known: pa.Table) -> pa.Table:
+        is_string = known.column("n").is_valid().to_numpy()
+
+        def looked_up(column: str, table: np.ndarray, *values) -> list[list[bytes]]:
+            wanted = _joined(group.column(column), np.uint64)
+            keys = known.column("code").to_numpy().view(np.uint64)[table]
+            order = np.argsort(keys)
+            found = []
+            for name, other, kind in values:
+                out = np.full(len(wanted), other, kind)
+                if len(keys) and len(wanted):
+                    at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
+                    value = np.asarray(known.column(name).fill_null(0).to_numpy())[table][at]
+                    out = np.where(keys[at] == wanted, value, other).astype(kind)
+                found.append([_bytes(x) for x in np.split(out, _sizes(group.column(column)))] if len(group) else [])
+            return found
+
+        counts, shares = looked_up("codes", is_string, ("n", 0, np.int64), ("value", 0.0, float))
+        (escapes,) = looked_up("contexts", ~is_string, ("value", np.nan, float))
+        out = [group.column("block").to_pylist(), [depth] * len(group), group.column("bucket").to_pylist(), counts, shares, escapes]
+        kinds = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 3
+        return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=_names(_ANSWER))
+
+    wanted = asked.select("block", "bucket", "codes", "contexts")
+    return wanted.groupBy("bucket").cogroup(strings.unionByName(contexts).groupBy("bucket")).applyInArrow(reply, _ANSWER)
 
 
 # -- scores ----------------------------------------------------------------
-def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+def tree(
+    docs: DataFrame, depth: int, word_min: int, class_min: int, context_min: int, entry_min: int
+) -> tuple[Model, DataFrame, DataFrame | None, list[tuple[DataFrame, DataFrame]]]:
+    """(sums, blocks, answers, levels): a level is its listed strings and its
+    retained contexts."""
+    spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(~held_out(F.col("doc_id")), 1))).first()
+    n = partitions(spark, total[0] or 0, BLOCK_BYTES)
+    cut = written(blocks(docs, n), "blocks")
+    counts = written(word_counts(cut.where("bucket is not null").select("block", "bucket", "hashes", "endings", "n"), word_min), "word-counts")
+    model = shared_model(counts, total[1], word_min, class_min)
+    state = written(states(cut, counts.where("block is not null").select("block", "bucket", "counts"), model), "symbols")
+    answers, levels = None, []
+    for d in range(1, depth + 1):
+        asked = written(asks(state, answers, model, d, n, context_min), "asked")
+        listed = written(entries(asked, entry_min), "entries")
+        kept = written(retained(listed), "contexts")
+        got = written(answered(asked, listed, kept, d, n), "answers")
+        answers = got if answers is None else answers.unionByName(got)
+        levels.append((listed, kept))
+    return model, state, answers, levels
+
+
+def scores(
+    docs: DataFrame,
+    depth: int = DEPTH,
+    word_min: int = WORD_MIN,
+    class_min: int = CLASS_MIN,
+    context_min: int = CONTEXT_MIN,
+    entry_min: int = ENTRY_MIN,
+) -> DataFrame:
     """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = partitions(spark, size, BLOCK_BYTES)
-    counts = written(word_counts(_blocks(docs, n)), "word-counts")
-    model = grow(docs, symbols(counts), depth)
-    shared = spark.sparkContext.broadcast(model)
+    model, state, answers, _ = tree(docs, depth, word_min, class_min, context_min, entry_min)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    tag = uuid.uuid4().hex
 
-    def score(group: pa.Table, known: pa.Table) -> pa.Table:
+    def score(group: pa.Table, known: pa.Table | None) -> pa.Table:
         own: Model = shared.value
-        docs_words = [words_of(t) for t in group.column("text").to_pylist()]
-        index: dict[bytes, int] = {w: i for i, w in enumerate(set().union(*docs_words))}
-        hashes = np.array([word_hash(w) for w in index], np.int64)
-        asked, c = known.column("hash").to_numpy(), known.column("c").to_numpy()
-        order = np.argsort(asked)
-        at = order[np.minimum(np.searchsorted(asked, hashes, sorter=order), max(len(asked) - 1, 0))] if len(asked) else []
-        if len(hashes) and (not len(asked) or not np.array_equal(asked[at], hashes)):
-            raise RuntimeError(f"a block lacks counts of its words ({tag})")
-        c = c[at].astype(float) if len(hashes) else np.zeros(0)
-        endings = known.column("ending").to_numpy()[at] if len(hashes) else np.zeros(0, np.int64)
-        place = own.symbols_of(hashes, endings)
-        sym = place.astype(np.uint64)
-        single = np.isin(hashes, np.array(list(own.words), np.int64))
-        inner = np.log10((c + ALPHA) / (own.class_tokens[place] + ALPHA * (own.class_words[place] + 1)))
-        inner[single] = 0.0
-        base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
-        lengths = np.array([len(w) for w in docs_words])
-        flat = np.fromiter((index[w] for words in docs_words for w in words), np.int64, int(lengths.sum()))
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        history, following = symbol_codes(np.split(sym[flat], ends[:-1]), own.end, depth)
-        # Equal tokens in equal contexts are looked up once.
-        codes, back = np.unique(history << np.uint64(BITS) | following, return_inverse=True)
-        p = own.probability(codes >> np.uint64(BITS), (codes & np.uint64((1 << BITS) - 1)).astype(np.int64), depth)
-        per_token = np.log10(p)[back] + inner[flat]
-
-        def summed(x: np.ndarray) -> np.ndarray:
-            return np.add.reduceat(x, starts)
+        walk = _walked(own, group, known, depth, context_min)
+
+        def column(name: str, kind) -> np.ndarray:
+            return np.frombuffer(group.column(name)[0].as_py(), kind)
 
+        lengths = column("lengths", np.int64)
         return pa.table(
             {
-                "doc_id": group.column("doc_id"),
-                "held_out": group.column("held_out"),
-                "n_tokens": pa.array(lengths, pa.int64()),
-                "n_known": pa.array(summed((c > 0).astype(np.int64)[flat]), pa.int64()),
-                "train_tokens": pa.array(np.full(len(lengths), own.n_tokens), pa.int64()),
-                "base_score": pa.array(summed(base[flat])),
-                "score": pa.array(summed(per_token)),
+                "doc_id": pa.array(column("doc_id", np.int64), mask=~column("known", bool)),
+                "held_out": pa.array(column("held", bool)),
+                "n_tokens": pa.array(lengths),
+                "n_known": pa.array(column("n_known", np.int64)),
+                "train_tokens": pa.array(np.full(len(lengths), own.n_tokens, np.int64)),
+                "base_score": pa.array(column("base", float)),
+                "score": pa.array(column("inner", float) + np.add.reduceat(np.log10(walk.p), walk.starts)),
             }
         )
 
-    asked = counts.select("block", "hash", "ending", "c").groupBy("block")
-    return _blocks(docs, n).groupBy("block").cogroup(asked).applyInArrow(score, schema)
+    return _with_answers(state, answers, score, schema)
