@@ -433,9 +433,17 @@ def check_scores(rows, docs, limits):
     return brute
 
 
+def test_numbers_round_trip():
+    for x in (np.array([3, 9, 2**63 + 1], np.uint64), np.zeros(0, np.uint64), np.array([-1, 7]), np.array([0.5, np.nan])):
+        for rising in (False, True):
+            if x.dtype != float or not rising:
+                back = suffix_tree._numbers(suffix_tree._bytes(x, rising), x.dtype, rising)
+                assert np.array_equal(back, x, equal_nan=x.dtype == float)
+
+
 @pytest.mark.parametrize("limits", [(3, 4, 4, 4, 2), (2, 32, 32, 32, 3), (0, 8, 8, 8, 2)])
 def test_scores_equal_brute_force(edge, limits):
-    rows = suffix_tree.scores(edge, *limits).collect()
+    rows = suffix_tree.scores(edge, limits[0], suffix_tree.Limits(*limits[1:])).collect()
     check_scores(rows, pairs(edge), limits)
 
 
@@ -443,7 +451,7 @@ def test_scores_of_many_blocks_equal_brute_force(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").repartition(3).cache()
     monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 20_000)
     limits = (3, 8, 8, 8, 2)
-    brute = check_scores(suffix_tree.scores(docs, *limits).collect(), pairs(docs), limits)
+    brute = check_scores(suffix_tree.scores(docs, limits[0], suffix_tree.Limits(*limits[1:])).collect(), pairs(docs), limits)
     assert all(brute.kept[1:])
     # Of all symbols, P sums to one in every state.
     for d in range(4):
@@ -453,8 +461,7 @@ def test_scores_of_many_blocks_equal_brute_force(spark, monkeypatch):
 
 def test_tree_grows_with_the_corpus(spark):
     """More text, more words with a symbol of their own, and more contexts."""
-    limits = (2, 32, 32, 32, 3)
-    few, many = (suffix_tree.tree(spark.read.parquet(f"{d}/documents.parquet"), *limits) for d in (SF_SMALL, SF_MID))
+    few, many = (suffix_tree.tree(spark.read.parquet(f"{d}/documents.parquet"), 2, suffix_tree.Limits()) for d in (SF_SMALL, SF_MID))
     assert many[0].n_symbols > 2 * few[0].n_symbols
     for (_, a), (_, b) in zip(few[3], many[3], strict=True):
         assert b.count() > 2 * a.count()

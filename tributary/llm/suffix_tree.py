@@ -13,10 +13,11 @@ limits are counts, not shares: the more text, the more words and contexts.
 
 The tree never leaves the executors. Texts are read once, into blocks of bounded
 size that keep their tokens as numbers. For each level a block asks for its
-distinct strings, one row for each range of string hashes that it meets; a range
-sums what all blocks have counted, the listed strings make a table, contexts are
-weighed in it, and each block gets its answers in the order of its questions. A
-string is asked for once a block at most, so none is hot. Only sums over all
+distinct strings, a row for each range of string hashes; a range sums what all
+blocks have counted and answers each in the order of its questions. Of the blocks
+that hold a listed string one puts it into a table, in which contexts are weighed;
+their blocks are told what they leave to the suffix. A string is asked for once a
+block at most, so none is hot. Only sums over all
 words and by ending (two bytes and a mark) come to the driver.
 
 Strings are told apart by 64 bits.
@@ -33,6 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -132,8 +134,21 @@ _BLOCK = (
 )
 
 
-def _bytes(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
+def _bytes(x: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers byte by byte, the first bytes first, which leaves the zeros of
+    small ones together; of rising ones the differences."""
+    if rising and len(x):
+        x = np.concatenate([x[:1], np.diff(x)])
+    x = np.ascontiguousarray(x)
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _numbers(data: bytes, kind, rising: bool = False) -> np.ndarray:
+    """Inverse of ``_bytes``."""
+    width = np.dtype(kind).itemsize
+    x = np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T
+    x = np.ascontiguousarray(x).view(kind).reshape(-1)
+    return np.cumsum(x, dtype=kind) if rising else x
 
 
 def _cut(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,7 +186,8 @@ def blocks(docs: DataFrame, n: int) -> DataFrame:
             rows = [(number, None, None, None, None, *map(_bytes, state))]
             kinds = kinds[first]
             for b, s, e in zip(*_cut(codes, n), strict=True):
-                rows.append((number, int(b), *(_bytes(x[s:e]) for x in (codes, kinds, counts)), *[None] * 5))
+                words = _bytes(codes[s:e], True), _bytes(kinds[s:e]), _bytes(counts[s:e])
+                rows.append((number, int(b), *words, *[None] * 5))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
             )
@@ -201,8 +217,8 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _joined(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, kind) for x in column.to_pylist()] or [np.zeros(0, kind)])
+def _joined(column: pa.ChunkedArray | pa.Array, kind, rising: bool = False) -> np.ndarray:
+    return np.concatenate([_numbers(x, kind, rising) for x in column.to_pylist()] or [np.zeros(0, kind)])
 
 
 def _sizes(column: pa.ChunkedArray | pa.Array, width: int = 8) -> np.ndarray:
@@ -215,7 +231,7 @@ def word_counts(asked: DataFrame, word_min: int) -> DataFrame:
     words with a symbol of their own."""
 
     def answer(group: pa.Table) -> pa.Table:
-        hashes, n = _joined(group.column("hashes"), np.uint64), _joined(group.column("n"), np.int64)
+        hashes, n = _joined(group.column("hashes"), np.uint64, True), _joined(group.column("n"), np.int64)
         codes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         c = np.zeros(len(codes), np.int64)
         np.add.at(c, back, n)
@@ -259,6 +275,16 @@ def shared_model(counts: DataFrame, n_ends: int, word_min: int, class_min: int)
 
 
 # -- the tree --------------------------------------------------------------
+@dataclass
+class Limits:
+    """Least counts in training texts."""
+
+    word: int = WORD_MIN
+    kind: int = CLASS_MIN  # of an ending with a class of its own
+    context: int = CONTEXT_MIN
+    entry: int = ENTRY_MIN
+
+
 @dataclass
 class Asked:
     """Distinct strings of one length that a block holds, by hash. ``n`` counts
@@ -268,7 +294,7 @@ class Asked:
     context: np.ndarray
     n: np.ndarray
     context_n: np.ndarray
-    parent: np.ndarray  # P(last symbol | longest retained proper suffix)
+    parent: np.ndarray  # P(last symbol | longest retained suffix of the context but itself)
     contexts: np.ndarray  # distinct contexts, sorted
     of_context: np.ndarray
     of_token: np.ndarray
@@ -278,8 +304,8 @@ class Asked:
 class Walk:
     """The tokens of a block on their way down the levels of the tree."""
 
-    def __init__(self, model: Model, symbol, tokens, lengths, trained, context_min: int):
-        self.symbol, self.trained, self.context_min = symbol, trained, context_min
+    def __init__(self, model: Model, symbol, tokens, lengths, trained, limits: Limits):
+        self.symbol, self.trained, self.limits = symbol, trained, limits
         self.starts = np.cumsum(lengths) - lengths
         # What lies before a text is counted as often as there are training texts.
         self.blank, self.n_ends = BEFORE, float(model.n_ends)
@@ -292,7 +318,7 @@ class Walk:
         return codes, n
 
     def ask(self) -> Asked:
-        candidate = np.flatnonzero(self.context_n >= self.context_min)
+        candidate = np.flatnonzero(self.context_n >= self.limits.context)
         codes, first, back = np.unique(
             mixed(self.context[candidate], self.symbol[candidate]), return_index=True, return_inverse=True
         )
@@ -301,8 +327,9 @@ class Walk:
         n = np.bincount(back, self.trained[candidate], len(codes)).astype(np.int64)
         return Asked(codes, self.context[at], n, self.context_n[at], self.p[at], contexts, of, back, candidate)
 
-    def go(self, asked: Asked, n: np.ndarray, share: np.ndarray, escape: np.ndarray) -> None:
+    def go(self, asked: Asked, n: np.ndarray, escape: np.ndarray) -> None:
         """One symbol deeper; ``escape`` is NaN for contexts not retained."""
+        share = np.where(n >= self.limits.entry, (n - DISCOUNT) / asked.context_n, 0.0)
         at = asked.candidate
         left = escape[asked.of_context][asked.of_token]
         own = self.p[at]
@@ -317,8 +344,9 @@ _STATE = (
     "block long, doc_id binary, known binary, held binary, lengths binary, n_known binary, base binary, inner binary, "
     "tokens binary, codes binary, counts binary"
 )
-_ASK = "block long, bucket int, codes binary, context binary, n binary, context_n binary, parent binary, contexts binary"
-_ANSWER = "block long, depth int, bucket int, n binary, share binary, escape binary"
+_ASK = "block long, bucket int, codes binary, n binary"
+_ENTRY = "context long, n long, context_n double, parent double, block long, bucket int, contexts binary"
+_ANSWER = "block long, depth int, bucket int, n binary, escape binary"
 
 
 def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
@@ -330,7 +358,7 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         own: Model = shared.value
         rows = group.sort_by("bucket")  # the row of tokens, with no bucket, is the last one
         ask = rows.slice(0, rows.num_rows - 1)
-        hashes, kinds = _joined(ask.column("hashes"), np.uint64), _joined(ask.column("endings"), np.int32)
+        hashes, kinds = _joined(ask.column("hashes"), np.uint64, True), _joined(ask.column("endings"), np.int32)
         c = _joined(counts.sort_by("bucket").column("counts"), np.int64).astype(float)
         if len(c) != len(hashes):
             raise RuntimeError("a block lacks counts of its words")
@@ -343,35 +371,35 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
         sums = [np.add.reduceat(x[flat], starts) for x in ((c > 0).astype(np.int64), base, np.log10(share))]
         place = back[flat].astype("<u4" if len(codes) > 65536 else "<u2")
-        data = [*map(_bytes, (lengths, *sums, place, codes, tokens[first].astype(float)))]
+        data = [*map(_bytes, (lengths, *sums, place)), _bytes(codes, True), _bytes(tokens[first].astype(float))]
         found = [[last.column(x)[0].as_py()] for x in ("block", "doc_id", "known", "held")] + [[x] for x in data]
         return pa.table({k: pa.array(v, pa.binary() if i else pa.int64()) for i, (k, v) in enumerate(zip(_names(_STATE), found, strict=True))})
 
     return cut.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(state, _STATE)
 
 
-def _walked(model: Model, group: pa.Table, answers: pa.Table | None, depth: int, context_min: int) -> Walk:
+def _walked(model: Model, group: pa.Table, answers: pa.Table | None, depth: int, limits: Limits) -> Walk:
     """A block's tokens after ``depth`` levels, whose answers are given."""
     one = {c: group.column(c)[0].as_py() for c in ("lengths", "held", "tokens", "codes", "counts")}
-    lengths, codes = np.frombuffer(one["lengths"], np.int64), np.frombuffer(one["codes"], np.uint64)
-    place = np.frombuffer(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")
-    trained = np.repeat(~np.frombuffer(one["held"], bool), lengths)
-    tokens = np.frombuffer(one["counts"], float)[place]
-    walk = Walk(model, codes[place], tokens, lengths, trained, context_min)
-    if depth:
-        levels = answers.column("depth").to_numpy()
-        answers = answers.sort_by("bucket")
-        levels = answers.column("depth").to_numpy()
+    lengths, codes = _numbers(one["lengths"], np.int64), _numbers(one["codes"], np.uint64, True)
+    place = _numbers(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")
+    trained = np.repeat(~_numbers(one["held"], bool), lengths)
+    walk = Walk(model, codes[place], _numbers(one["counts"], float)[place], lengths, trained, limits)
     for d in range(1, depth + 1):
         asked = walk.ask()
-        own = answers.filter(pa.array(levels == d))
-        n, share, escape = (_joined(own.column(c), k) for c, k in (("n", np.int64), ("share", float), ("escape", float)))
-        if len(n) != len(asked.codes) or len(escape) != len(asked.contexts):
-            raise RuntimeError("a block lacks answers on its strings")
-        walk.go(asked, n, share, escape)
+        walk.go(asked, np.abs(_told(answers, d, "n", np.int64, len(asked.codes))), _told(answers, d, "escape", float, len(asked.contexts)))
     return walk
 
 
+def _told(answers: pa.Table, depth: int, name: str, kind, number: int) -> np.ndarray:
+    """A block's answers of one kind, in the order of its questions."""
+    own = answers.filter((pc.field("depth") == depth) & pc.field(name).is_valid()).sort_by("bucket")
+    found = _joined(own.column(name), kind)
+    if len(found) != number:
+        raise RuntimeError("a block lacks answers on its strings")
+    return found
+
+
 def _with_answers(state: DataFrame, answers: DataFrame | None, function, schema: str) -> DataFrame:
     """``function`` of each block and the answers it has got so far."""
     if answers is None:
@@ -379,47 +407,74 @@ def _with_answers(state: DataFrame, answers: DataFrame | None, function, schema:
     return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(function, schema)
 
 
-def asks(state: DataFrame, answers: DataFrame | None, model: Model, depth: int, n: int, context_min: int) -> DataFrame:
-    """What blocks want to know for level ``depth``, a row for each range."""
+def asks(state: DataFrame, answers: DataFrame | None, model: Model, depth: int, n: int, limits: Limits) -> DataFrame:
+    """The strings that blocks want counted for level ``depth``."""
     shared = state.sparkSession.sparkContext.broadcast(model)
 
     def ask(group: pa.Table, known: pa.Table | None) -> pa.Table:
-        found = _walked(shared.value, group, known, depth - 1, context_min).ask()
-        block = group.column("block")[0].as_py()
-        strings = {b: (s, e) for b, s, e in zip(*(x.tolist() for x in _cut(found.codes, n)), strict=True)}
-        contexts = {b: (s, e) for b, s, e in zip(*(x.tolist() for x in _cut(found.contexts, n)), strict=True)}
-        both = sorted(strings.keys() | contexts.keys())
-        columns = [found.codes, found.context, found.n, found.context_n, found.parent]
-        out = [[block] * len(both), both]
-        out += [[_bytes(x[slice(*strings.get(b, (0, 0)))]) for b in both] for x in columns]
-        out += [[_bytes(found.contexts[slice(*contexts.get(b, (0, 0)))]) for b in both]]
-        kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
-        return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=_names(_ASK))
+        found = _walked(shared.value, group, known, depth - 1, limits).ask()
+        at, starts, ends = _cut(found.codes, n)
+        runs = list(zip(starts.tolist(), ends.tolist(), strict=True))
+        return pa.table(
+            {
+                "block": pa.array([group.column("block")[0].as_py()] * len(at), pa.int64()),
+                "bucket": pa.array(at.astype(np.int32)),
+                "codes": pa.array([_bytes(found.codes[a:b], True) for a, b in runs], pa.binary()),
+                "n": pa.array([_bytes(found.n[a:b]) for a, b in runs], pa.binary()),
+            }
+        )
 
     return _with_answers(state, answers, ask, _ASK)
 
 
-def entries(asked: DataFrame, entry_min: int) -> DataFrame:
-    """The listed strings: code, context, n, context_n, parent."""
+def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
+    """Answers to the blocks' strings: counts over all blocks, zero below all
+    limits. The count is negative for the one block that is to report it."""
 
-    def summed(group: pa.Table) -> pa.Table:
-        codes, first, back = np.unique(_joined(group.column("codes"), np.uint64), return_index=True, return_inverse=True)
+    def answer(group: pa.Table) -> pa.Table:
+        codes, first, back = np.unique(_joined(group.column("codes"), np.uint64, True), return_index=True, return_inverse=True)
         n = np.zeros(len(codes), np.int64)
         np.add.at(n, back, _joined(group.column("n"), np.int64))
-        listed = n >= entry_min
-        at = first[listed]
+        n[n < min(limits.entry, limits.context)] = 0
+        told = n[back]
+        told[first] = -n
         return pa.table(
             {
-                "code": pa.array(codes[listed].view(np.int64)),
-                "context": pa.array(_joined(group.column("context"), np.int64)[at]),
-                "n": pa.array(n[listed]),
-                "context_n": pa.array(_joined(group.column("context_n"), float)[at]),
-                "parent": pa.array(_joined(group.column("parent"), float)[at]),
+                "block": group.column("block"),
+                "depth": pa.array(np.full(len(group), depth, np.int32)),
+                "bucket": group.column("bucket"),
+                "n": pa.array([_bytes(x) for x in np.split(told, _sizes(group.column("codes")))], pa.binary()),
+                "escape": pa.nulls(len(group), pa.binary()),
             }
         )
 
-    schema = "code long, context long, n long, context_n double, parent double"
-    return asked.groupBy("bucket").applyInArrow(summed, schema)
+    return asked.groupBy("bucket").applyInArrow(answer, _ANSWER)
+
+
+def entries(state: DataFrame, answers: DataFrame, model: Model, depth: int, n: int, limits: Limits) -> DataFrame:
+    """The listed strings, each from one block: context, n, context_n, parent.
+    Beside them the distinct contexts of each block: block, bucket, contexts."""
+    shared = state.sparkSession.sparkContext.broadcast(model)
+
+    def listed(group: pa.Table, known: pa.Table) -> pa.Table:
+        asked = _walked(shared.value, group, known, depth - 1, limits).ask()
+        told = _told(known, depth, "n", np.int64, len(asked.codes))
+        own = np.flatnonzero(told <= -limits.entry)
+        at, starts, ends = _cut(asked.contexts, n)
+        few, many = len(at), len(own)
+        contexts = [_bytes(asked.contexts[a:b], True) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        columns = [
+            asked.context[own].view(np.int64), -told[own], asked.context_n[own], asked.parent[own],
+        ]
+        block = pa.array([group.column("block")[0].as_py()] * few, pa.int64())
+        told_rows = [pa.concat_arrays([pa.array(x), pa.nulls(few, pa.array(x).type)]) for x in columns]
+        asked_rows = [
+            pa.concat_arrays([pa.nulls(many, x.type), x])
+            for x in (block, pa.array(at.astype(np.int32)), pa.array(contexts, pa.binary()))
+        ]
+        return pa.table(told_rows + asked_rows, names=_names(_ENTRY))
+
+    return _with_answers(state, answers, listed, _ENTRY)
 
 
 def retained(listed: DataFrame) -> DataFrame:
@@ -439,84 +494,65 @@ def retained(listed: DataFrame) -> DataFrame:
     return gains.where(F.col("gain") + F.col("lost") >= DIVERGENCE * F.col("number")).select("context", "escape")
 
 
-def answered(asked: DataFrame, listed: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
-    """Each block's answers, in the order of its strings and contexts: counts,
-    discounted shares in retained contexts, escapes."""
-    strings = listed.join(kept, "context", "left").select(
-        bucket_column(F.col("code"), n).alias("bucket"),
-        "code",
-        "n",
-        F.when(F.col("escape").isNotNull(), (F.col("n") - DISCOUNT) / F.col("context_n")).otherwise(0.0).alias("value"),
-    )
-    contexts = kept.select(
-        bucket_column(F.col("context"), n).alias("bucket"),
-        F.col("context").alias("code"),
-        F.lit(None).cast("long").alias("n"),
-        F.col("escape").alias("value"),
-    )
-
-    def reply(group: pa.Table, known: pa.Table) -> pa.Table:
-        is_string = known.column("n").is_valid().to_numpy()
+def escapes(asked: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
+    """Answers to the blocks' contexts: the escape, NaN if not retained."""
 
-        def looked_up(column: str, table: np.ndarray, *values) -> list[list[bytes]]:
-            wanted = _joined(group.column(column), np.uint64)
-            keys = known.column("code").to_numpy().view(np.uint64)[table]
+    def answer(group: pa.Table, known: pa.Table) -> pa.Table:
+        wanted = _joined(group.column("contexts"), np.uint64, True)
+        keys = known.column("context").to_numpy().view(np.uint64)
+        out = np.full(len(wanted), np.nan)
+        if len(keys) and len(wanted):
             order = np.argsort(keys)
-            found = []
-            for name, other, kind in values:
-                out = np.full(len(wanted), other, kind)
-                if len(keys) and len(wanted):
-                    at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
-                    value = np.asarray(known.column(name).fill_null(0).to_numpy())[table][at]
-                    out = np.where(keys[at] == wanted, value, other).astype(kind)
-                found.append([_bytes(x) for x in np.split(out, _sizes(group.column(column)))] if len(group) else [])
-            return found
-
-        counts, shares = looked_up("codes", is_string, ("n", 0, np.int64), ("value", 0.0, float))
-        (escapes,) = looked_up("contexts", ~is_string, ("value", np.nan, float))
-        out = [group.column("block").to_pylist(), [depth] * len(group), group.column("bucket").to_pylist(), counts, shares, escapes]
-        kinds = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 3
-        return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=_names(_ANSWER))
-
-    wanted = asked.select("block", "bucket", "codes", "contexts")
-    return wanted.groupBy("bucket").cogroup(strings.unionByName(contexts).groupBy("bucket")).applyInArrow(reply, _ANSWER)
+            at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
+            out = np.where(keys[at] == wanted, known.column("escape").to_numpy()[at], out)
+        told = [_bytes(x) for x in np.split(out, _sizes(group.column("contexts")))] if len(group) else []
+        return pa.table(
+            {
+                "block": group.column("block"),
+                "depth": pa.array(np.full(len(group), depth, np.int32)),
+                "bucket": group.column("bucket"),
+                "n": pa.nulls(len(group), pa.binary()),
+                "escape": pa.array(told, pa.binary()),
+            }
+        )
+
+    placed = kept.withColumn("bucket", bucket_column(F.col("context"), n))
+    return asked.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(answer, _ANSWER)
 
 
 # -- scores ----------------------------------------------------------------
 def tree(
-    docs: DataFrame, depth: int, word_min: int, class_min: int, context_min: int, entry_min: int
+    docs: DataFrame, depth: int, limits: Limits
 ) -> tuple[Model, DataFrame, DataFrame | None, list[tuple[DataFrame, DataFrame]]]:
     """(sums, blocks, answers, levels): a level is its listed strings and its
     retained contexts."""
-    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(~held_out(F.col("doc_id")), 1))).first()
-    n = partitions(spark, total[0] or 0, BLOCK_BYTES)
+    n = partitions(docs.sparkSession, total[0] or 0, BLOCK_BYTES)
     cut = written(blocks(docs, n), "blocks")
-    counts = written(word_counts(cut.where("bucket is not null").select("block", "bucket", "hashes", "endings", "n"), word_min), "word-counts")
-    model = shared_model(counts, total[1], word_min, class_min)
-    state = written(states(cut, counts.where("block is not null").select("block", "bucket", "counts"), model), "symbols")
+    asked = cut.where("bucket is not null").select("block", "bucket", "hashes", "endings", "n")
+    counts = written(word_counts(asked, limits.word), "word-counts")
+    model = shared_model(counts, total[1], limits.word, limits.kind)
+    told = counts.where("block is not null").select("block", "bucket", "counts")
+    state = written(states(cut.drop("n"), told, model), "symbols")
     answers, levels = None, []
     for d in range(1, depth + 1):
-        asked = written(asks(state, answers, model, d, n, context_min), "asked")
-        listed = written(entries(asked, entry_min), "entries")
-        kept = written(retained(listed), "contexts")
-        got = written(answered(asked, listed, kept, d, n), "answers")
+        asked = asks(state, answers, model, d, n, limits)
+        got = written(string_counts(asked, d, limits), "counts")
         answers = got if answers is None else answers.unionByName(got)
+        found = written(entries(state, answers, model, d, n, limits), "entries")
+        listed = found.where("context is not null").select("context", "n", "context_n", "parent")
+        kept = written(retained(listed), "contexts")
+        asked = found.where("block is not null").select("block", "bucket", "contexts")
+        answers = answers.unionByName(written(escapes(asked, kept, d, n), "escapes"))
         levels.append((listed, kept))
     return model, state, answers, levels
 
 
-def scores(
-    docs: DataFrame,
-    depth: int = DEPTH,
-    word_min: int = WORD_MIN,
-    class_min: int = CLASS_MIN,
-    context_min: int = CONTEXT_MIN,
-    entry_min: int = ENTRY_MIN,
-) -> DataFrame:
+def scores(docs: DataFrame, depth: int = DEPTH, limits: Limits | None = None) -> DataFrame:
     """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
-    model, state, answers, _ = tree(docs, depth, word_min, class_min, context_min, entry_min)
+    limits = limits or Limits()
+    model, state, answers, _ = tree(docs, depth, limits)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -524,10 +560,10 @@ def scores(
 
     def score(group: pa.Table, known: pa.Table | None) -> pa.Table:
         own: Model = shared.value
-        walk = _walked(own, group, known, depth, context_min)
+        walk = _walked(own, group, known, depth, limits)
 
         def column(name: str, kind) -> np.ndarray:
-            return np.frombuffer(group.column(name)[0].as_py(), kind)
+            return _numbers(group.column(name)[0].as_py(), kind)
 
         lengths = column("lengths", np.int64)
         return pa.table(
