@@ -33,6 +33,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -51,7 +52,7 @@ DISCOUNT = 0.75
 # Nats for each listed symbol by which a retained context describes better.
 DIVERGENCE = 3.0
 ALPHA = 0.1
-BLOCK_BYTES = 16 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
 END = b"\n"  # no word holds it
 MARKS = b".,;:!?&*%$#|"
 BEFORE = np.uint64(3)  # code of the symbol before a text
@@ -87,6 +88,19 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct codes, a place of each, the number of each place's code):
+    hashed first, so that only distinct codes are sorted."""
+    number, found = pd.factorize(codes)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    number = rank[number]
+    place = np.empty(len(found), np.int64)
+    place[number] = np.arange(len(codes))
+    return found[order], place, number
+
+
 def bucket_of(codes: np.ndarray, n: int) -> np.ndarray:
     """Range of each hash: rises with the hash."""
     return ((codes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
@@ -175,7 +189,7 @@ def blocks(docs: DataFrame, n: int) -> DataFrame:
             nonlocal number, size
             hashes = np.fromiter(map(word_hash, index), np.uint64, len(index))
             kinds = np.fromiter(map(ending, index), np.int32, len(index))
-            codes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            codes, first, back = distinct(hashes)
             flat = back[np.concatenate(tokens)].astype("<u4")
             trained = np.repeat(~np.array(held), lengths)
             counts = np.bincount(flat[trained], minlength=len(codes)).astype(np.int64)
@@ -232,7 +246,7 @@ def word_counts(asked: DataFrame, word_min: int) -> DataFrame:
 
     def answer(group: pa.Table) -> pa.Table:
         hashes, n = _joined(group.column("hashes"), np.uint64, True), _joined(group.column("n"), np.int64)
-        codes, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        codes, first, back = distinct(hashes)
         c = np.zeros(len(codes), np.int64)
         np.add.at(c, back, n)
         counts = [_bytes(x) for x in np.split(c[back], _sizes(group.column("hashes")))]
@@ -319,11 +333,9 @@ class Walk:
 
     def ask(self) -> Asked:
         candidate = np.flatnonzero(self.context_n >= self.limits.context)
-        codes, first, back = np.unique(
-            mixed(self.context[candidate], self.symbol[candidate]), return_index=True, return_inverse=True
-        )
+        codes, first, back = distinct(mixed(self.context[candidate], self.symbol[candidate]))
         at = candidate[first]
-        contexts, of = np.unique(self.context[at], return_inverse=True)
+        contexts, _, of = distinct(self.context[at])
         n = np.bincount(back, self.trained[candidate], len(codes)).astype(np.int64)
         return Asked(codes, self.context[at], n, self.context_n[at], self.p[at], contexts, of, back, candidate)
 
@@ -367,7 +379,7 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         flat = _joined(last.column("tokens"), "<u4")
         starts = np.cumsum(lengths) - lengths
         code, tokens, share = own.symbols_of(hashes, kinds, c)
-        codes, first, back = np.unique(code, return_index=True, return_inverse=True)
+        codes, first, back = distinct(code)
         base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
         sums = [np.add.reduceat(x[flat], starts) for x in ((c > 0).astype(np.int64), base, np.log10(share))]
         place = back[flat].astype("<u4" if len(codes) > 65536 else "<u2")
@@ -432,7 +444,7 @@ def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
     limits. The count is negative for the one block that is to report it."""
 
     def answer(group: pa.Table) -> pa.Table:
-        codes, first, back = np.unique(_joined(group.column("codes"), np.uint64, True), return_index=True, return_inverse=True)
+        codes, first, back = distinct(_joined(group.column("codes"), np.uint64, True))
         n = np.zeros(len(codes), np.int64)
         np.add.at(n, back, _joined(group.column("n"), np.int64))
         n[n < min(limits.entry, limits.context)] = 0
