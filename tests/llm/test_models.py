@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from conftest import SF_MID, SF_SMALL
@@ -266,7 +267,11 @@ def brute_phrases(text):
 
 
 def check_fingerprints(rows, docs):
-    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
+    def turn(text):
+        signed = xxhash.xxh64_intdigest(text.encode(), 42)
+        return signed - (signed >> 63 << 64)
+
+    order = sorted(docs, key=lambda d: (d[0] is None, -(d[0] or 0), -turn(d[1] or ""), d[1] or ""))
     want = Counter()
     for i, (d, t) in enumerate(order):
         t, follower = t or "", order[(i + 1) % len(order)][1] or ""
@@ -291,6 +296,23 @@ def test_fingerprint_single_document(spark):
     check_fingerprints(fingerprint.edited_likeness(df).collect(), [(1, "abcabcabc")])
 
 
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: (None, 3, i)[i % 3], lambda i: 2**60 + i // 40])
+def test_fingerprint_parts_a_hot_id(spark, monkeypatch, ids):
+    """An id of a third of all rows or more is parted by its texts; equal ones
+    are counted, not moved."""
+    monkeypatch.setattr(fingerprint, "HOT_ROWS", 10)
+    rng = random.Random(5)
+    docs = [(ids(i), " ".join(rng.choices("abcdefgh", k=40)) if i % 4 else "one text that a quarter of the rows repeat") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    check_fingerprints(fingerprint.edited_likeness(df).collect(), docs)
+    if len({d for d, _ in docs}) == 1:
+        dealt = fingerprint.with_follower(df).cache()
+        sizes = [r["count"] for r in dealt.groupBy("bucket").count().collect()]
+        assert max(sizes) < 400 / 4
+        assert dealt.filter("tail = 1").count() <= len(sizes)
+        dealt.unpersist()
+
+
 def test_fingerprint_documents(spark):
     rows = queries.op6_fingerprint(spark, SF_SMALL).collect()
     check_fingerprints(rows, pairs(spark.read.parquet(f"{SF_SMALL}/documents.parquet")))

@@ -8,25 +8,33 @@ similarity of the phrase sets, which follows how well one text's dictionary
 compresses the other.
 
 Defined results: a null text counts as empty; a text without phrases has the
-empty fingerprint, which is like itself (1.0) and like nothing else (0.0); of
-rows that share a doc_id the order is that of their texts; a null doc_id
-follows all others; one document alone is its own next.
+empty fingerprint, which is like itself (1.0) and like nothing else (0.0); rows
+that share a doc_id are ordered by falling XXH64 of their texts (seed 42,
+signed), so that one id of very many rows is parted like any range of ids; a
+null doc_id follows all others; one document alone is its own next.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import written
+
 SIZE = 128
 # Ranges of doc_id, for each partition: evens out what hashing deals unevenly.
 RANGES = 4
+# A doc_id of about so many rows that fills several ranges is parted itself.
+HOT_ROWS = 1000
 OUT_ROWS = 500
 
 
@@ -92,41 +100,80 @@ def edit(text: str, follower: str) -> tuple[str, str]:
     return text[: len(text) - half], follower[:half]
 
 
+def _hot(bounds: list[int], rows: int) -> list[tuple[int, int, int]]:
+    """(range, rank, parts) of the ranks that fill several ranges."""
+    share = rows / (len(bounds) + 1)
+    distinct = sorted(set(map(float, bounds)))
+    found = {}
+    for rank, n in sorted(Counter(bounds).items()):
+        if n > 1 and n * share >= HOT_ROWS:
+            # Ranges are parted at doubles; one hot rank in each is enough.
+            found.setdefault(distinct.index(float(rank)) + 1, (rank, n))
+    return [(place, *of) for place, of in found.items()]
+
+
 def with_follower(docs: DataFrame) -> DataFrame:
     """Rows in partitions so that each follows its predecessor by falling
-    doc_id: columns bucket, tail, rank, doc_id, text, sorted.
-
-    Buckets are ranges of doc_id between quantiles. The first row of a bucket
-    also goes to the one before as its tail (the first of all to the last), so
-    texts move once, whatever their number. Only the bounds of the ranges and
-    the first doc_id of each come to the driver.
+    doc_id: columns bucket, tail, rank, turn, copies, doc_id, text, sorted.
+
+    Buckets are ranges of doc_id between quantiles. A doc_id that fills several
+    of them is parted by its texts' digests, and its equal texts are one row
+    with their number, counted before they move. The first row of a bucket also
+    goes to the one before as its tail (the first of all to the last). Only the
+    bounds of the ranges and the place of each one's first row come to the
+    driver.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(2**63)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "rank", F.coalesce("doc_id", F.lit(least))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).select(
+        F.coalesce("doc_id", F.lit(least)).alias("rank"), F.lit(1).cast("long").alias("copies"), "doc_id", "text"
     )
     shares = [i / (RANGES * n) for i in range(1, RANGES * n)]
-    bounds = rows.agg(F.percentile_approx("rank", shares, 100 * RANGES * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    below = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    placed = rows.withColumn("bucket", F.size(F.filter(below, lambda b: b < F.col("rank"))))
-    heads = {r.bucket: r.head for r in placed.groupBy("bucket").agg(F.max("rank").alias("head")).collect()}
-    order = sorted(heads, reverse=True)
-    # The head of each bucket is the tail of the one read before it.
-    tails = {heads[b]: order[i - 1] for i, b in enumerate(order)}
-    if tails:
-        entry = F.create_map(*(F.lit(x) for pair in tails.items() for x in pair))
-        extra = F.element_at(entry, F.col("rank"))
+    found = rows.agg(F.percentile_approx("rank", shares, 100 * RANGES * n), F.count(F.lit(1))).first()
+    bounds = found[0] or []
+    hot = _hot(bounds, found[1])
+    if hot:
+        is_hot = F.col("rank").isin([rank for _, rank, _ in hot])
+        several = rows.filter(is_hot).groupBy("rank", "doc_id", "text").agg(F.sum("copies").alias("copies"))
+        rows = rows.filter(~is_hot).unionByName(written(several, "fingerprint-hot").select(*rows.columns))
+    splits = [-math.inf, *sorted(set(map(float, bounds or [0]))), math.inf]
+    placing = Bucketizer(splits=splits, inputCol="at", outputCol="range")
+    ranged = placing.transform(rows.withColumn("at", F.col("rank").cast("double")))
+    ranged = ranged.select(F.col("range").cast("long").alias("range"), "rank", "copies", "doc_id", "text")
+    turn = F.xxhash64("text")
+    if hot:
+        # A row per hot rank, which are fewer than ranges. Within a range, ranks
+        # below the hot one are part 0, and those above it the last part.
+        last = max(parts for *_, parts in hot) + 1
+        table = spark.createDataFrame(hot, "range long, hot long, parts long")
+        ranged = ranged.join(F.broadcast(table), "range", "left")
+        inside = F.col("rank") == F.col("hot")
+        share = F.shiftright((F.shiftright(turn, 32) + F.lit(2**31)) * F.col("parts"), 32)
+        part = F.when(inside, share + 1).when(F.col("rank") > F.col("hot"), F.lit(last)).otherwise(F.lit(0))
+        bucket, side = F.col("range") * (last + 1) + part, F.when(inside, turn)
     else:
-        extra = F.lit(None).cast("int")
+        bucket, side = F.col("range"), F.lit(None).cast("long")
+    placed = ranged.select(
+        bucket.alias("bucket"), side.alias("side"), "rank", turn.alias("turn"), "copies", "doc_id", "text"
+    )
+    # A part has one rank, so the greatest rank and digest are of one row.
+    first = placed.groupBy("bucket").agg(F.max("rank").alias("rank"), F.max("side").alias("side")).collect()
+    first.sort(key=lambda r: r.bucket, reverse=True)
+    # The head of each bucket is the tail of the one read before it.
+    heads = spark.createDataFrame(
+        [(r.bucket, r.rank, r.side, first[i - 1].bucket) for i, r in enumerate(first)],
+        "of long, head long, head_side long, before long",
+    )
+    is_head = (F.col("bucket") == F.col("of")) & (F.col("rank") == F.col("head")) & F.col("side").eqNullSafe(F.col("head_side"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("tail"))
-    also = F.struct(extra.alias("bucket"), F.lit(1).alias("tail"))
-    dealt = placed.select(
-        F.explode(F.when(extra.isNull(), F.array(own)).otherwise(F.array(own, also))).alias("at"), "rank", "doc_id", "text"
-    ).select("at.bucket", "at.tail", "rank", "doc_id", "text")
-    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "tail", F.desc("rank"), "text")
+    also = F.struct(F.col("before").alias("bucket"), F.lit(1).alias("tail"))
+    dealt = (
+        placed.join(F.broadcast(heads), is_head, "left")
+        .withColumn("at", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, also))))
+        .select("at.bucket", "at.tail", "rank", "turn", "copies", "doc_id", "text")
+    )
+    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "tail", F.desc("rank"), F.desc("turn"), "text")
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
@@ -155,37 +202,56 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
             found.append(signature(np.concatenate([common, hashes(phrases)])))
         return hashlib.sha256((stays + comes).encode()).hexdigest(), *found
 
-    def task(batches) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True) if found else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    def results(batches) -> Iterator[tuple[tuple, int]]:
+        """A row and how often it is one."""
         bucket = before = None  # before: the row that waits for its follower
         waiting = None  # a finished row that waits for its follower's fingerprint
 
-        def finish(own: np.ndarray) -> None:
+        def finished(own: np.ndarray) -> Iterator[tuple[tuple, int]]:
             if waiting is not None:
                 row, mine = waiting
-                out.append((*row, likeness(mine, own)))
+                yield (*row, likeness(mine, own)), 1
+
+        def compared(doc, text: str, follower: str) -> tuple[tuple, np.ndarray]:
+            sha, own, edited = both(text, follower)
+            return (doc, len(text), sha, as_text(own), as_text(edited), likeness(own, edited)), own
 
         for batch in batches:
-            for at, tail, doc, text in zip(
-                *(batch.column(c).to_pylist() for c in ("bucket", "tail", "doc_id", "text")), strict=True
+            for at, tail, copies, doc, text in zip(
+                *(batch.column(c).to_pylist() for c in ("bucket", "tail", "copies", "doc_id", "text")), strict=True
             ):
                 if at != bucket:
                     bucket, before, waiting = at, None, None
                 if before is not None:
-                    sha, own, edited = both(before[1], text)
-                    finish(own)
-                    row = (before[0], len(before[1]), sha, as_text(own), as_text(edited), likeness(own, edited))
+                    mine, written_as, times = before
+                    if times > 1:  # all but the last of equal rows precede their like
+                        row, own = compared(mine, written_as, written_as)
+                        yield from finished(own)
+                        waiting = None
+                        yield (*row, likeness(own, own)), times - 1
+                    row, own = compared(mine, written_as, text)
+                    yield from finished(own)
                     waiting = (row, own)
                     if tail:
-                        finish(fingerprint(text))
+                        yield from finished(fingerprint(text))
                         waiting = None
                 # A tail ends its bucket; rows that tie with it are dropped.
-                before = None if tail else (doc, text)
+                before = None if tail else (doc, text, copies)
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for row, times in results(batches):
+            while times > 0:
+                some = min(times, OUT_ROWS - len(out))
+                out.extend([row] * some)
+                times -= some
                 if len(out) >= OUT_ROWS:
-                    columns = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+                    yield batch_of(out)
                     out.clear()
-        columns = zip(*out, strict=True) if out else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+        yield batch_of(out)
 
     return with_follower(docs).mapInArrow(task, schema)
