@@ -241,7 +241,7 @@ def with_zorder(
     ).first()
     for j in range(len(columns)):
         inner = sorted(set(x for x in (bounds[j] or []) if x is not None and math.isfinite(x)))
-        splits = [-math.inf] + inner + [math.inf]
+        splits = [-math.inf] + (inner or [0.0]) + [math.inf]
         tmp = Bucketizer(splits=splits, inputCol=f"_o{j}", outputCol=f"_b{j}").transform(tmp)
     key = F.lit(0).cast("long")
     for j in range(len(columns)):
@@ -276,6 +276,31 @@ def cluster(
     )
 
 
+# A row group, which is what a lookup reads or leaves out, and the ids that a
+# filter of 1 MB holds at one false hit in a hundred.
+LOOKUP_GROUP_BYTES = 32 * 1024 * 1024
+# Spark hands so many values of one IN to Parquet; longer ones only as a range.
+IN_VALUES = 10
+
+
+def write_with_filters(df: DataFrame, path: str, columns: list[str], row_group_bytes: int = LOOKUP_GROUP_BYTES) -> None:
+    """Write a table whose row groups carry a Bloom filter of each of
+    ``columns``, as small as their distinct values allow: rows of one value are
+    found without reading the other groups, in whatever order the table is."""
+    writer = df.write.option("parquet.block.size", str(row_group_bytes)).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
+def lookup(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows of a stored table that hold one of ``values`` in ``column``, asked
+    for in such lists that each value is tested against the filters."""
+    wanted = sorted(set(values))
+    parts = [F.col(column).isin(wanted[i : i + IN_VALUES]) for i in range(0, len(wanted), IN_VALUES)]
+    return df.filter(reduce(lambda a, b: a | b, parts) if parts else F.lit(False))
+
+
 # --------------------------------------------------------------------------
 # schema evolution (M5)
 # --------------------------------------------------------------------------

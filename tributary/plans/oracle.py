@@ -741,6 +741,17 @@ def oracle_sql() -> dict[str, str]:
           payment_status, shipping_city, totalAmount, source_system, source_format FROM ecom_raw""",
         "ecom_raw",
     )
+    q["landing_paged_api"] = q["landing_ecommerce_json"]
+    # The pages, and what each was answered: see the query.
+    q["landing_page_report"] = with_ctes(
+        """SELECT 'c' || CAST(page AS VARCHAR) AS cursor,
+          CAST(1 + (page % 4 = 1)::INT + (page % 5 = 0)::INT + (page % 7 = 2)::INT + (page % 3 = 1)::INT AS BIGINT) AS responses,
+          CAST((page % 5 = 0)::INT + (page % 7 = 2)::INT AS BIGINT) AS failed, records, records > 0 AS landed
+        FROM (SELECT page, CAST(COUNT(*) AS BIGINT) AS records FROM (
+            SELECT CAST(floor(coalesce(TRY_CAST(regexp_extract(orderId, '(\\d+)$', 1) AS BIGINT), 0) / 512) AS BIGINT) AS page FROM ecom_raw)
+          GROUP BY page)""",
+        "ecom_raw",
+    )
     q["bronze_footer_counts"] = with_ctes(
         f"""SELECT source, records FROM ({src_counts})
         UNION ALL SELECT 'all', CAST(SUM(records) AS BIGINT) FROM ({src_counts})""",
@@ -878,6 +889,11 @@ def oracle_sql() -> dict[str, str]:
         "silver_main",
     )
     q["cluster_table"] = with_ctes(dedup_cols, "dedup")
+    q["point_lookup"] = with_ctes(
+        f"""SELECT {SCORED} FROM silver_main WHERE transaction_id IN (
+          SELECT transaction_id FROM (SELECT DISTINCT transaction_id FROM silver_main) ORDER BY md5(transaction_id) NULLS LAST LIMIT 25)""",
+        "silver_main",
+    )
     q["schema_evolution"] = with_ctes(
         f"""SELECT {SCORED}, CASE WHEN source_system <> 'pos' THEN 'online' END AS channel_group
         FROM silver_main""",

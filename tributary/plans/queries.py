@@ -21,9 +21,9 @@ from tributary.operators import dedup, gold, maintenance, normalize, profile, qu
 from tributary.plans import pipeline
 from tributary.plans.medallion import DEFAULT_REPORT_DATE, Medallion
 from tributary.rules import DOCUMENTED
-from tributary.schemas import DEDUP_COLUMNS, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS, SCORED_SCHEMA
+from tributary.schemas import DEDUP_COLUMNS, ECOMMERCE_SCHEMA, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS, SCORED_SCHEMA
 from tributary.session import apply_runtime_conf, fresh_dir
-from tributary.sources import catalog, landing, semistructured
+from tributary.sources import catalog, landing, paged, semistructured
 from tributary.streaming import event_time, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -513,7 +513,10 @@ def landing_pos_csv(spark, sf_dir):
 
 @register("landing_ecommerce_json")
 def landing_ecommerce_json(spark, sf_dir):
-    e = _landed_files(spark, sf_dir)["ecommerce"]
+    return _landed_orders(_landed_files(spark, sf_dir)["ecommerce"])
+
+
+def _landed_orders(e: DataFrame) -> DataFrame:
     first = F.get(F.col("lineItems"), 0)
     return e.select(
         "orderId",
@@ -602,6 +605,54 @@ def landing_discovered_fields(spark, sf_dir):
     return semistructured.discovered(_evolved_orders(spark, sf_dir))
 
 
+# Order numbers that an API page spans.
+PAGE_KEYS = 512
+
+
+def _responses(spark, sf_dir) -> DataFrame:
+    """The online orders as stored responses of a paged API. Every page was
+    answered in full at the third attempt. Before that, by the page's number:
+    a busy server, a body that was cut off, an older state without its first
+    order; and some clients recorded the answer twice."""
+    orders = _m(spark, sf_dir).bronze["ecommerce"].drop(*AUDIT)
+    k = F.regexp_extract("orderId", r"(\d+)$", 1).try_cast("bigint")
+    number = F.floor(F.coalesce(k, F.lit(0)) / PAGE_KEYS).cast("bigint")
+    pages = orders.select(number.alias("page"), F.struct(*orders.columns).alias("o")).groupBy("page").agg(F.collect_list("o").alias("orders"))
+    last = pages.agg(F.max("page")).first()[0]
+    following = F.when(F.col("page") < last, F.concat(F.lit("c"), (F.col("page") + 1).cast("string"))).alias("next")
+    full = F.to_json(F.struct(following, "orders"))
+    older = F.to_json(F.struct(following, F.slice("orders", 2, F.greatest(F.size("orders") - 1, F.lit(0))).alias("orders")))
+    answers = [
+        (F.lit(True), 3, 200, full),
+        (F.col("page") % 4 == 1, 3, 200, full),
+        (F.col("page") % 5 == 0, 1, 503, F.lit('{"error": "busy"}')),
+        (F.col("page") % 7 == 2, 2, 200, F.substring("full", F.lit(1), F.length("full") - 9)),
+        (F.col("page") % 3 == 1, 1, 200, older),
+    ]
+    cursor = F.concat(F.lit("c"), F.col("page").cast("string")).alias("cursor")
+    recorded = [
+        F.when(said, F.to_json(F.struct(cursor, F.lit(attempt).alias("attempt"), F.lit(status).alias("status"), body.alias("body"))))
+        for said, attempt, status, body in answers
+    ]
+    root = fresh_dir(spark, "pages")
+    lines = pages.withColumn("full", full).select(F.explode(F.array(*recorded)).alias("value")).filter("value IS NOT NULL")
+    lines.repartition(8, "value").write.text(f"{root}/recorded")
+    return paged.land_pages(spark, f"{root}/recorded", f"{root}/bronze", "ecommerce", "orders", LANDING_TS)
+
+
+@register("landing_paged_api")
+def landing_paged_api(spark, sf_dir):
+    """Orders landed from an API's pages: retries, older answers and repeated
+    pages give the same bronze as one file of all orders (S4)."""
+    return _landed_orders(paged.records(_responses(spark, sf_dir), ECOMMERCE_SCHEMA))
+
+
+@register("landing_page_report")
+def landing_page_report(spark, sf_dir):
+    """Responses, failures and landed orders of each page."""
+    return paged.page_report(_responses(spark, sf_dir))
+
+
 # Files that the broken sales are exported to.
 EXPORTS = 16
 
@@ -786,6 +837,23 @@ def cluster_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# Ids looked up at a time.
+LOOKUP_IDS = 25
+
+
+@register("point_lookup")
+def point_lookup(spark, sf_dir):
+    """Sales of given transaction ids from a clustered table whose files carry
+    Bloom filters on the id (M4): the ids least by their digests."""
+    path = fresh_dir(spark, "lookup")
+    main = _m(spark, sf_dir).stored_main
+    ids = main.select("transaction_id").filter("transaction_id IS NOT NULL").distinct()
+    wanted = [r[0] for r in ids.orderBy(F.md5("transaction_id")).limit(LOOKUP_IDS).collect()]
+    clustered = maintenance.cluster(main, ["source_system", "transaction_date"], target_file_bytes=1 << 20)
+    maintenance.write_with_filters(clustered, path, ["transaction_id"])
+    return maintenance.lookup(spark.read.parquet(path), "transaction_id", wanted)
+
+
 @register("schema_evolution")
 def schema_evolution(spark, sf_dir):
     """Point-of-sale rows written first; the other channels appended later
