@@ -69,6 +69,20 @@ def test_compaction_reduces_files_and_keeps_rows(spark):
     assert t.read().exceptAll(df).count() == 0 and df.exceptAll(t.read()).count() == 0
 
 
+def test_string_clustering_of_long_and_missing_values(spark):
+    """Strings far over the quantiles' length, NULLs, and one value only."""
+    rows = [(None if i % 7 == 0 else f"{i % 50:03d}" + "x" * 5000,) for i in range(1000)]
+    path = fresh_dir(spark, "t-long-strings")
+    maintenance.cluster(spark.createDataFrame(rows, "c string"), ["c"], num_files=5).write.parquet(path)
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and back.filter("c IS NULL").count() == 143
+    files = back.groupBy(F.col("_metadata.file_path")).agg(F.count_distinct("c").alias("n"))
+    assert files.agg(F.max("n")).first()[0] < 50
+    one = spark.createDataFrame([("same",)] * 20, "c string")
+    assert maintenance.cluster(one, ["c"], num_files=2).count() == 20
+    assert maintenance.cluster(one.selectExpr("nullif(c, 'same') AS c"), ["c"], num_files=2).count() == 20
+
+
 def test_zorder_clusters_both_columns(spark):
     """After clustering, each file covers a narrower range of either column
     than random placement does."""

@@ -279,20 +279,26 @@ def content_duplicates(df: DataFrame, id_col: str, ignore: list[str] | None = No
     Groups rows by every column except the id (and ``ignore``); NULLs group
     together, rows without an id are corrupt and no copies. Adds ``copies``
     (group size) and ``canonical_id`` (smallest id of the group). Like
-    ``flag_duplicates``: an aggregate that combines before the shuffle, then a
-    join on the content with the groups that have copies, which are few.
+    ``flag_duplicates``: hashes of the content are counted first, 8 bytes a
+    row; only rows whose hash occurs again are grouped and joined by their
+    content itself, so equal hashes of different rows do no harm.
     """
     skip = {id_col, *(ignore or [])}
     content = [c for c in df.columns if c not in skip]
-    known = df.filter(F.col(id_col).isNotNull())
+    # NULLs leave a hash as it is, so where they are is hashed, too.
+    digest = F.xxhash64(*content, *[F.col(c).isNull() for c in content])
+    every = df.filter(F.col(id_col).isNotNull()).withColumn("_h", digest)
+    again = every.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h")
+    known = every.join(again, "_h", "left_semi")
     groups = (
-        known.groupBy(*content)
+        known.groupBy("_h", *content)
         .agg(F.count(F.lit(1)).alias("copies"), F.min(id_col).alias("canonical_id"))
         .filter(F.col("copies") > 1)
     )
     g = groups.alias("_g")
     d = known.alias("_d")
-    cond = [F.col(f"_d.{c}").eqNullSafe(F.col(f"_g.{c}")) for c in content]
+    same = [F.col(f"_d.{c}").eqNullSafe(F.col(f"_g.{c}")) for c in content]
+    cond = [F.col("_d._h") == F.col("_g._h"), *same]
     return d.join(g, cond, "inner").select(
         *[F.col(f"_d.{c}") for c in df.columns], F.col("_g.copies"), F.col("_g.canonical_id")
     )

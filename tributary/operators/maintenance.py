@@ -196,20 +196,26 @@ def _ordinal(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(v, F.lit(-1.0e300))
 
 
-# Strings are compared with so many sampled quantiles; the sample has about
-# so many rows. Both only decide how well files are laid out.
+# Strings are compared with so many sampled quantiles, of as many characters;
+# the sample has about so many rows. All only decide how well files are laid out.
 STRING_BUCKETS = 64
+STRING_CHARS = 256
 STRING_SAMPLE = 100_000
 
 
 def _string_rank(df: DataFrame, name: str) -> Column:
-    """Number of sampled quantiles below a string: its whole text decides."""
+    """Number of sampled quantiles below a string. The sample is sorted on an
+    executor, whose memory its rows and their length bound; only the quantiles
+    come to the driver."""
     n = df.count()
-    some = df.select(name).filter(F.col(name).isNotNull())
+    some = df.select(F.substring(name, 1, STRING_CHARS).alias("s")).filter("s IS NOT NULL")
     if n > STRING_SAMPLE:
         some = some.sample(STRING_SAMPLE / n, seed=1)
-    found = sorted(r[0] for r in some.collect())
-    cuts = sorted({found[i * len(found) // STRING_BUCKETS] for i in range(1, STRING_BUCKETS)}) if found else []
+    found = some.agg(F.sort_array(F.collect_list("s")).alias("s"))
+    at = F.transform(
+        F.sequence(F.lit(1), F.lit(STRING_BUCKETS - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / STRING_BUCKETS).cast("int"))
+    )
+    cuts = [c for c in found.select(F.array_distinct(at)).first()[0] if c is not None]
     if not cuts:
         return F.lit(0.0)
     rank = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b <= F.col(name)))
