@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from conftest import SF_SMALL
-from tributary.llm import components, exact_dedup, simhash, substring_dedup, suffix_dedup
+from tributary.llm import components, exact_dedup, queries, simhash, substring_dedup, suffix_dedup
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -225,6 +225,17 @@ def test_simhash_edge(edge, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_op4_documents(spark):
+    """The registered query, hex digits included, against all pairs."""
+    rows = pairs(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    fps = [(d, brute_fingerprint(t)) for d, t in rows]
+    least = brute_components(fps, lambda a, b: (a ^ b).bit_count() <= 2)
+    got = queries.op4_simhash(spark, SF_SMALL).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got) == sorted(
+        (d, f"{f:016x}", c) for (d, f), c in zip(fps, least, strict=True)
+    )
+
+
 @pytest.mark.parametrize("bits", [1, 2, 3])
 def test_links_find_every_pair(spark, bits):
     rng = random.Random(bits)

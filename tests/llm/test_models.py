@@ -520,6 +520,40 @@ def test_quality_ignores_held_out_labels(spark):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
 
 
+def test_quality_fit_equals_an_independent_minimiser(spark):
+    """Newton's weights against plain accelerated descent on the same risk."""
+    rng = np.random.default_rng(8)
+    n, prior = 4000, 0.4
+    x = np.abs(rng.normal(0.4, 0.2, (n, quality.N_BASE))).astype("<f4")
+    good = rng.random(n) < prior
+    x[good, :3] += 0.1
+    trusted = good & (rng.random(n) < 0.9)
+    rows = [(x[i].tobytes(), bool(trusted[i])) for i in range(n)]
+    found = quality.fit(spark.createDataFrame(rows, "x binary, trusted boolean").repartition(4), prior)
+
+    columns = np.concatenate([x, x * x, np.sqrt(x)], axis=1).astype(float)
+    mean, scale = columns.mean(0), columns.std(0)
+    z = np.concatenate([(columns - mean) / scale, np.ones((n, 1))], axis=1)
+    weight = np.append(np.full(z.shape[1] - 1, quality.RIDGE), 0.0)
+
+    def parts(w):
+        f = z @ w
+        positive = prior * np.logaddexp(0, -f[trusted]).mean()
+        negative = np.logaddexp(0, f).mean() - prior * np.logaddexp(0, f[trusted]).mean()
+        return positive, negative, (weight * w * w).sum() / 2
+
+    w = before = np.zeros(z.shape[1])
+    pace = 4 / np.linalg.eigvalsh(z.T @ z / n + 4 * np.diag(weight))[-1]
+    for i in range(5_000):
+        at = w + i / (i + 3) * (w - before)
+        slope = (1 / (1 + np.exp(-z @ at))) @ z / n - prior * z[trusted].mean(0) + weight * at
+        before, w = w, at - pace * slope
+    own = np.append(found[:-1] * scale, found[-1] + found[:-1] @ mean)
+    assert parts(w)[1] >= 0 and parts(own)[1] >= 0
+    assert abs(sum(parts(own)) - sum(parts(w))) < 1e-4
+    assert np.abs(1 / (1 + np.exp(-z @ own)) - 1 / (1 + np.exp(-z @ w))).max() < 0.02
+
+
 def test_quality_edge(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1), (4, 1), (4, 0), (11, 0), (20, 1), (None, 1), (21, None)], "doc_id long, quality int")
     assert quality.scores(edge, labels).count() == edge.count()
