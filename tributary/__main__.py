@@ -7,6 +7,8 @@
   increment --lake DIR --pos-csv DIR --ecommerce-json DIR --mobile-parquet DIR
          Add newly landed files to a lake built by ``run`` (only the days
          the new rows fall on are re-flagged and re-aggregated).
+  maintain --lake DIR [--target-mb N]
+         Pack the small files of a lake's partitions.
   query  NAME --input DIR [--rows N] [--out PATH] [--master URL]
          Run one registered query; print N rows or write it as Parquet.
   list   Print the registered query names.
@@ -48,6 +50,10 @@ def main(argv: list[str] | None = None) -> int:
     inc.add_argument("--transformation-ts", help="default: now")
     inc.add_argument("--report-date", help="default: today")
     inc.add_argument("--master")
+    m = sub.add_parser("maintain")
+    m.add_argument("--lake", required=True)
+    m.add_argument("--target-mb", type=int, default=128)
+    m.add_argument("--master")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--input", required=True)
@@ -115,6 +121,12 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"tables": res.tables, "timings": res.timings, "metrics": res.metrics}))
         return 0
 
+    if args.cmd == "maintain":
+        from tributary.plans import pipeline
+
+        print(json.dumps(pipeline.maintain(spark, args.lake, args.target_mb << 20)))
+        return 0
+
     df = queries()[args.name](spark, args.input)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
