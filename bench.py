@@ -9,8 +9,9 @@ Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 ``silver_gold_seconds`` is silver + dedup + gold, the transformation pass the
 baseline's own-bench row defines, and ``warm_silver_gold_seconds`` repeats it
 in the same session. ``queries`` has every stage and report in seconds;
-``maintenance`` the file reduction of compaction and the share of files that a
-filter on a clustered column can skip.
+``maintenance`` the file reduction of compaction, the share of files that a
+filter on a clustered column can skip, and the rows that a lookup of one id
+reads with and without Bloom filters.
 """
 
 from __future__ import annotations
@@ -75,6 +76,13 @@ def _maintenance(spark, deduped_path: str, scratch: str) -> dict:
         )
         hit = F.unix_seconds("a").cast("long") <= day + 86400
         out[f"files_read_{name}"] = spans.filter(hit & (F.unix_seconds("b") >= day)).count()
+    maintenance.write_with_filters(spark.read.parquet(f"{scratch}/dealt"), f"{scratch}/filtered", ["transaction_id"])
+    wanted = [rows.agg(F.min_by("transaction_id", F.xxhash64("transaction_id"))).first()[0]]
+    for name in ("dealt", "filtered"):
+        found = maintenance.lookup(spark.read.parquet(f"{scratch}/{name}"), "transaction_id", wanted)
+        found.collect()
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        out[f"rows_read_lookup_{name}"] = scan.metrics().apply("numOutputRows").value()
     return out
 
 
