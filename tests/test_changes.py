@@ -181,3 +181,29 @@ def test_partials_with_values_that_no_decimal_holds(spark):
         (partials.data_quality_metrics(parts), gold.data_quality_metrics(rows)),
     ):
         assert sorted(map(repr, found.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_bitmaps_follow_periods_not_days(spark):
+    """Ids of a period share its bitmaps on whatever day and channel they are
+    sold; a period's new ids are numbered together."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 2 == 0, "2024-03").otherwise("2024-04").alias(PERIOD),
+        F.when(F.col("id") % 3 == 0, "pos").when(F.col("id") % 3 == 1, "web").alias("source_system"),
+        F.concat(F.lit("t"), F.col("id")).alias("transaction_id"), F.concat(F.lit("c"), F.col("id") % 7).alias("customer_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("x"), F.col("id") % 11)).alias("product_id"),
+        F.lit(1).cast("long").alias("quantity"), F.when(F.col("id") % 13 > 0, 1.5).alias("total_amount"), F.lit(1.5).alias("unit_price"),
+        F.lit(80).alias("quality_score"), F.lit("high").alias("quality_tier"), F.lit(False).alias("is_duplicate"),
+        F.timestamp_seconds(F.when(F.col("id") % 2 == 0, 1709251200).otherwise(1711929600) + (F.col("id") % 29) * 86400).alias("transaction_date"),
+    )
+    words = fresh_dir(spark, "words")
+    partials.extend_dictionary(rows, words, f"{words}-new")
+    known = partials.read_dictionary(spark, words)
+    parts = partials.partials(rows, known)
+    assert parts["bitmaps"].count() <= 4 * len(partials.KINDS)  # at most two buckets each
+    numbers = known.filter("kind = 'transaction'").selectExpr("cast(substring(value, 2) as int) % 2 as p", "id").groupBy("p")
+    assert [r.n for r in numbers.agg((F.max("id") - F.min("id") + 1).alias("n")).collect()] == [300, 300]
+    for found, want in (
+        (partials.revenue_by_source(parts), gold.revenue_by_source(rows)),
+        (partials.executive_summary(parts, "2024-06-02"), gold.executive_summary(rows, "2024-06-02")),
+    ):
+        assert sorted(map(repr, found.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
