@@ -49,20 +49,27 @@ class Medallion:
         return land_bronze(self.spark, self.sf_dir)
 
     # silver ---------------------------------------------------------------
+    def feed(self, name: str) -> DataFrame:
+        """One landed feed; the others are landed only if they are used, too."""
+        if "bronze" in self.__dict__:
+            return self.bronze[name]
+        return land_bronze(self.spark, self.sf_dir, (name,))[name]
+
     @cached_property
     def pos(self) -> DataFrame:
-        return normalize.normalize_pos(self.bronze["pos"], self.rules)
+        return normalize.normalize_pos(self.feed("pos"), self.rules)
 
     @cached_property
     def ecommerce(self) -> DataFrame:
-        return normalize.normalize_ecommerce(self.bronze["ecommerce"], self.rules)
+        return normalize.normalize_ecommerce(self.feed("ecommerce"), self.rules)
 
     @cached_property
     def mobile(self) -> DataFrame:
-        return normalize.normalize_mobile(self.bronze["mobile"], self.rules)
+        return normalize.normalize_mobile(self.feed("mobile"), self.rules)
 
     @cached_property
     def unified(self) -> DataFrame:
+        self.bronze  # all three feeds are landed side by side
         return normalize.unify(self.pos, self.ecommerce, self.mobile)
 
     @cached_property

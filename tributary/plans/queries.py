@@ -8,6 +8,7 @@ as wall-clock values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from tributary.functions import codes, dates, prices
 from tributary.functions.exact import exact_avg, exact_sum, half_up_avg
 from tributary.operators import dedup, gold, maintenance, normalize, profile, quality
-from tributary.plans import pipeline
+from tributary.plans import pipeline, sizing
 from tributary.plans.medallion import DEFAULT_REPORT_DATE, Medallion
 from tributary.rules import DOCUMENTED
 from tributary.schemas import DEDUP_COLUMNS, ECOMMERCE_SCHEMA, MOBILE_SCHEMA, POS_FIELDS, SCORED_COLUMNS, SCORED_SCHEMA
@@ -51,6 +52,7 @@ def zone_free(df: DataFrame) -> DataFrame:
 
 def _m(spark: SparkSession, sf_dir: str, **kw) -> Medallion:
     apply_runtime_conf(spark)
+    sizing.tune_tables(spark, sf_dir)
     return Medallion(spark, sf_dir, **kw)
 
 
@@ -63,14 +65,14 @@ AUDIT = ["source_system", "source_format", "ingestion_timestamp", "file_name"]
 
 @register("bronze_pos")
 def bronze_pos(spark, sf_dir):
-    return _m(spark, sf_dir).bronze["pos"].select(*POS_FIELDS, *AUDIT)
+    return _m(spark, sf_dir).feed("pos").select(*POS_FIELDS, *AUDIT)
 
 
 @register("bronze_ecommerce")
 def bronze_ecommerce(spark, sf_dir):
     """Nested orders, compared flattened: struct fields, the first line item,
     and the item count and total quantity over the whole array."""
-    e = _m(spark, sf_dir).bronze["ecommerce"]
+    e = _m(spark, sf_dir).feed("ecommerce")
     first = F.get(F.col("lineItems"), 0)
     qty_total = F.aggregate(
         "lineItems", F.lit(0).cast("bigint"), lambda acc, x: acc + x["quantity"].try_cast("bigint")
@@ -102,13 +104,13 @@ def bronze_ecommerce(spark, sf_dir):
 
 @register("bronze_mobile")
 def bronze_mobile(spark, sf_dir):
-    return _m(spark, sf_dir).bronze["mobile"]
+    return _m(spark, sf_dir).feed("mobile")
 
 
 @register("bronze_sample")
 def bronze_sample(spark, sf_dir):
     """First 10 POS rows by id (top-k: the limit is the feature)."""
-    pos = _m(spark, sf_dir).bronze["pos"]
+    pos = _m(spark, sf_dir).feed("pos")
     return (
         pos.select("TRANS_ID", "PRODUCT_CODE", "PRICE", "QTY", "TRANS_DATE", "STATUS")
         .orderBy(F.col("TRANS_ID").asc_nulls_last())
@@ -122,22 +124,22 @@ def bronze_sample(spark, sf_dir):
 
 @register("bronze_missing_profile")
 def bronze_missing_profile(spark, sf_dir):
-    return profile.missing_profile(_m(spark, sf_dir).bronze["pos"])
+    return profile.missing_profile(_m(spark, sf_dir).feed("pos"))
 
 
 @register("date_variants")
 def date_variants(spark, sf_dir):
-    return profile.date_variants(_m(spark, sf_dir).bronze["pos"])
+    return profile.date_variants(_m(spark, sf_dir).feed("pos"))
 
 
 @register("status_frequency")
 def status_frequency(spark, sf_dir):
-    return profile.value_frequency(_m(spark, sf_dir).bronze["pos"], "STATUS")
+    return profile.value_frequency(_m(spark, sf_dir).feed("pos"), "STATUS")
 
 
 @register("price_nonconforming")
 def price_nonconforming(spark, sf_dir):
-    return profile.price_nonconforming(_m(spark, sf_dir).bronze["pos"])
+    return profile.price_nonconforming(_m(spark, sf_dir).feed("pos"))
 
 
 @register("bronze_source_counts")
@@ -202,13 +204,13 @@ def date_parse_documented(spark, sf_dir):
 
 @register("price_clean")
 def price_clean(spark, sf_dir):
-    pos = _m(spark, sf_dir).bronze["pos"]
+    pos = _m(spark, sf_dir).feed("pos")
     return pos.select(F.col("PRICE").alias("raw_price"), prices.clean_price("PRICE").alias("unit_price"))
 
 
 @register("price_clean_documented")
 def price_clean_documented(spark, sf_dir):
-    pos = _m(spark, sf_dir).bronze["pos"]
+    pos = _m(spark, sf_dir).feed("pos")
     return pos.select(
         F.col("PRICE").alias("raw_price"), prices.clean_price("PRICE", DOCUMENTED).alias("unit_price")
     )
@@ -234,13 +236,13 @@ def status_standardize(spark, sf_dir):
 
 @register("store_normalize")
 def store_normalize(spark, sf_dir):
-    pos = _m(spark, sf_dir).bronze["pos"]
+    pos = _m(spark, sf_dir).feed("pos")
     return pos.select(F.col("STORE").alias("raw_store"), codes.store_id("STORE").alias("store_id"))
 
 
 @register("payment_normalize")
 def payment_normalize(spark, sf_dir):
-    pos = _m(spark, sf_dir).bronze["pos"]
+    pos = _m(spark, sf_dir).feed("pos")
     return pos.select(
         F.col("PAYMENT_TYPE").alias("raw_payment"),
         codes.payment_method("PAYMENT_TYPE").alias("payment_method"),
@@ -273,7 +275,7 @@ def unified_sales(spark, sf_dir):
 
 @register("ecommerce_line_items")
 def ecommerce_line_items(spark, sf_dir):
-    return normalize.ecommerce_line_items(_m(spark, sf_dir).bronze["ecommerce"])
+    return normalize.ecommerce_line_items(_m(spark, sf_dir).feed("ecommerce"))
 
 
 @register("unified_sales_documented")
@@ -358,7 +360,7 @@ def dedup_summary(spark, sf_dir):
 # Audit columns are not content: a re-sent copy may arrive in another file.
 @register("pos_content_duplicates")
 def pos_content_duplicates(spark, sf_dir):
-    pos = _m(spark, sf_dir).bronze["pos"].select(*POS_FIELDS)
+    pos = _m(spark, sf_dir).feed("pos").select(*POS_FIELDS)
     flagged = dedup.content_duplicates(pos, "TRANS_ID")
     return flagged.select(
         "TRANS_ID", "CUST_NUM", "PRODUCT_CODE", "TRANS_DATE", "copies", "canonical_id"
@@ -490,30 +492,25 @@ def epoch_range(spark, sf_dir):
 LANDING_TS = "2024-04-01 00:00:00"
 
 
-def _landed_files(spark, sf_dir) -> dict[str, DataFrame]:
-    """Write the bronze feeds as CSV / JSON / Parquet landing files into a
-    fresh workspace folder and read them back through the feed readers."""
-    m = _m(spark, sf_dir)
-    paths = landing.write_landing_files(m.bronze, fresh_dir(spark, "landing"))
-    return {
-        name: reader(spark, paths[name], LANDING_TS)
-        for name, reader in (
-            ("pos", landing.read_pos_csv),
-            ("ecommerce", landing.read_ecommerce_json),
-            ("mobile", landing.read_mobile_parquet),
-        )
-    }
+READERS = {"pos": landing.read_pos_csv, "ecommerce": landing.read_ecommerce_json, "mobile": landing.read_mobile_parquet}
+
+
+def _landed_files(spark, sf_dir, name: str) -> DataFrame:
+    """Write a bronze feed as CSV / JSON / Parquet landing files into a fresh
+    workspace folder and read them back through its reader."""
+    paths = landing.write_landing_files({name: _m(spark, sf_dir).feed(name)}, fresh_dir(spark, "landing"))
+    return READERS[name](spark, paths[name], LANDING_TS)
 
 
 @register("landing_pos_csv")
 def landing_pos_csv(spark, sf_dir):
     """POS rows after a CSV round trip: NULL and '' must both survive."""
-    return _landed_files(spark, sf_dir)["pos"].select(*POS_FIELDS, "source_system", "source_format")
+    return _landed_files(spark, sf_dir, "pos").select(*POS_FIELDS, "source_system", "source_format")
 
 
 @register("landing_ecommerce_json")
 def landing_ecommerce_json(spark, sf_dir):
-    return _landed_orders(_landed_files(spark, sf_dir)["ecommerce"])
+    return _landed_orders(_landed_files(spark, sf_dir, "ecommerce"))
 
 
 def _landed_orders(e: DataFrame) -> DataFrame:
@@ -536,7 +533,7 @@ def _landed_orders(e: DataFrame) -> DataFrame:
 @register("landing_mobile_parquet")
 def landing_mobile_parquet(spark, sf_dir):
     cols = [f.name for f in MOBILE_SCHEMA.fields]
-    return _landed_files(spark, sf_dir)["mobile"].select(*cols, "source_system", "source_format")
+    return _landed_files(spark, sf_dir, "mobile").select(*cols, "source_system", "source_format")
 
 
 # What the later orders bring besides the known fields, by the
@@ -562,11 +559,11 @@ def _with_new_fields(orders: DataFrame) -> DataFrame:
 def _evolved_orders(spark, sf_dir) -> DataFrame:
     """Stored orders of two landings: the first ones read with the schema
     alone, the later ones, which have new fields, with all they bring."""
-    orders = _m(spark, sf_dir).bronze["ecommerce"]
+    orders = _m(spark, sf_dir).feed("ecommerce")
     early = orders.filter(F.to_date("ingestion_timestamp") <= F.lit(UPSERT_SPLIT_DAY).cast("date"))
     root = fresh_dir(spark, "new-fields")
-    early.drop(*AUDIT).write.json(f"{root}/first")
-    _with_new_fields(orders).write.text(f"{root}/second")
+    early.drop(*AUDIT).write.option("compression", "gzip").json(f"{root}/first")
+    _with_new_fields(orders).write.option("compression", "gzip").text(f"{root}/second")
     maintenance.append_evolving(landing.read_ecommerce_json(spark, f"{root}/first", LANDING_TS), f"{root}/bronze")
     maintenance.append_evolving(semistructured.read_ecommerce(spark, f"{root}/second", LANDING_TS), f"{root}/bronze")
     return maintenance.read_merged(spark, f"{root}/bronze")
@@ -614,11 +611,11 @@ def _responses(spark, sf_dir) -> DataFrame:
     answered in full at the third attempt. Before that, by the page's number:
     a busy server, a body that was cut off, an older state without its first
     order; and some clients recorded the answer twice."""
-    orders = _m(spark, sf_dir).bronze["ecommerce"].drop(*AUDIT)
+    orders = _m(spark, sf_dir).feed("ecommerce").drop(*AUDIT)
     k = F.regexp_extract("orderId", r"(\d+)$", 1).try_cast("bigint")
     number = F.floor(F.coalesce(k, F.lit(0)) / PAGE_KEYS).cast("bigint")
     pages = orders.select(number.alias("page"), F.struct(*orders.columns).alias("o")).groupBy("page").agg(F.collect_list("o").alias("orders"))
-    last = pages.agg(F.max("page")).first()[0]
+    last = orders.agg(F.max(number)).first()[0]
     following = F.when(F.col("page") < last, F.concat(F.lit("c"), (F.col("page") + 1).cast("string"))).alias("next")
     full = F.to_json(F.struct(following, "orders"))
     older = F.to_json(F.struct(following, F.slice("orders", 2, F.greatest(F.size("orders") - 1, F.lit(0))).alias("orders")))
@@ -636,7 +633,7 @@ def _responses(spark, sf_dir) -> DataFrame:
     ]
     root = fresh_dir(spark, "pages")
     lines = pages.withColumn("full", full).select(F.explode(F.array(*recorded)).alias("value")).filter("value IS NOT NULL")
-    lines.repartition(8, "value").write.text(f"{root}/recorded")
+    lines.write.option("compression", "gzip").text(f"{root}/recorded")
     return paged.land_pages(spark, f"{root}/recorded", f"{root}/bronze", "ecommerce", "orders", LANDING_TS)
 
 
@@ -897,15 +894,22 @@ def type_widening(spark, sf_dir):
 # streaming and incremental
 # --------------------------------------------------------------------------
 
+# Files of a feed per micro-batch, at least, and micro-batches, at most: each has
+# a planning and commit of its own, however few rows it takes.
+BATCH_FILES = 2
+MICRO_BATCHES = 16
+
+
 def _silver_stream_run(spark, sf_dir) -> str:
-    """W1 over the landed bronze files, two files per micro-batch; returns
-    the sink path."""
+    """W1 over the landed bronze files, two files per micro-batch, or more where
+    there are so many that it takes over ``MICRO_BATCHES``; returns the sink path."""
     _m(spark, sf_dir).bronze  # make sure the feeds are landed
     root = landing.bronze_root(spark, sf_dir)
     paths = {n: f"{root}/{n}" for n in ("pos", "ecommerce", "mobile")}
+    most = max(catalog.listing(spark, p)[0] for p in paths.values())
     out = fresh_dir(spark, "stream-silver")
     incremental.stream_silver(
-        spark, paths, f"{out}/sink", f"{out}/checkpoint", max_files_per_trigger=2
+        spark, paths, f"{out}/sink", f"{out}/checkpoint", max_files_per_trigger=max(BATCH_FILES, math.ceil(most / MICRO_BATCHES))
     )
     return f"{out}/sink"
 
@@ -975,9 +979,15 @@ def stream_revenue_windows(spark, sf_dir):
     return event_time.read_daily_revenue(spark, out)
 
 
-# Buckets of a table stored by key: a file each.
+# Buckets of a table stored by key, a file each: so many at least, more for
+# larger tables.
 BUCKETS = 16
 
+
+def _buckets(spark, sf_dir) -> int:
+    return max(BUCKETS, sizing.partitions_for(spark, sf_dir))
+
+
 # The snapshot/change split day and the status update replay.
 UPSERT_SPLIT_DAY = "2024-03-05"
 UPSERT_DELAY = "INTERVAL 10 DAYS"
@@ -1012,7 +1022,7 @@ def bucketed_upsert(spark, sf_dir):
     key = ["source_system", "transaction_id"]
     path = fresh_dir(spark, "bucketed")
     name = f"silver.snapshot_{path.rsplit('-', 1)[1]}"
-    stored = catalog.bucketed_table(current, name, path, key, BUCKETS)
+    stored = catalog.bucketed_table(current, name, path, key, _buckets(spark, sf_dir))
     return incremental.upsert_latest(stored, changes, key, ["ingestion_timestamp"])
 
 
@@ -1023,7 +1033,7 @@ def bucketed_dedup_keys(spark, sf_dir):
     rows = _m(spark, sf_dir).stored_main.withColumn("dedup_day", F.to_date("transaction_date"))
     key = ["customer_id", "product_id", "dedup_day"]
     path = fresh_dir(spark, "bucketed")
-    stored = catalog.bucketed_table(rows, f"silver.keyed_{path.rsplit('-', 1)[1]}", path, key, BUCKETS)
+    stored = catalog.bucketed_table(rows, f"silver.keyed_{path.rsplit('-', 1)[1]}", path, key, _buckets(spark, sf_dir))
     return dedup.several_channels(stored, key)
 
 

@@ -12,6 +12,10 @@ import math
 
 from pyspark.sql import SparkSession
 
+# Stored bytes of the driver tables behind a partition. What the feeds derived
+# from them shuffle is several times as large, and larger still in memory.
+TABLE_BYTES = 16 * 1024 * 1024
+TABLES = ("orders", "lineitem", "events")
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 # Parquet expands when decoded and shuffled as rows.
 ROW_EXPANSION = 3.0
@@ -29,6 +33,20 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
+def partitions_for(spark: SparkSession, sf_dir: str, target_bytes: int = TABLE_BYTES) -> int:
+    """Partitions of what is derived from the tables in ``sf_dir``, by their bytes."""
+    size = input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES])
+    return max(1, math.ceil(size / target_bytes))
+
+
+def tune_tables(spark: SparkSession, sf_dir: str) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to fit the tables, so that a
+    task's share stays the same as they grow; it is never lowered."""
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(spark, sf_dir))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def tune_shuffle(
     spark: SparkSession, paths: list[str], target_bytes: int = TARGET_PARTITION_BYTES
 ) -> int:

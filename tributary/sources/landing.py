@@ -108,7 +108,8 @@ def rejects(bronze: dict[str, DataFrame]) -> DataFrame:
 
 def write_landing_files(feeds: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Write fixture feeds as landing files in each feed's native format
-    (audit columns dropped: the readers add them back)."""
+    (audit columns dropped: the readers add them back). JSON, several times as
+    large as the tables, is compressed; a file is a task's share."""
     audit = ["source_system", "source_format", "ingestion_timestamp", "file_name"]
     paths = {}
     for name, df in feeds.items():
@@ -119,7 +120,7 @@ def write_landing_files(feeds: dict[str, DataFrame], root: str) -> dict[str, str
         if fmt == "csv":
             writer.option("header", "true").option("nullValue", "\\N").option("escape", '"').csv(path)
         elif fmt == "json":
-            writer.json(path)
+            writer.option("compression", "gzip").json(path)
         else:
             writer.parquet(path)
         paths[name] = path
@@ -155,7 +156,10 @@ def bronze_root(spark: SparkSession, sf_dir: str) -> str:
     return workspace_dir(spark, "bronze", f"{tag}-v{FIXTURE_VERSION}")
 
 
-def land_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+FEED_NAMES = ("pos", "ecommerce", "mobile")
+
+
+def land_bronze(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = FEED_NAMES) -> dict[str, DataFrame]:
     """The bronze layer: the fixture feeds, written once to the workspace as
     Parquet and read back.
 
@@ -163,11 +167,11 @@ def land_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     arrived) and also gives every downstream plan a plain scan as its leaf;
     the derivation itself runs once per input folder, not once per query.
     A folder is reused only if its write committed (``_SUCCESS`` present).
+    ``names``: the feeds wanted; others are not landed.
     """
     from tributary.plans.concurrent import run_all
 
     root = bronze_root(spark, sf_dir)
-    names = ("pos", "ecommerce", "mobile")
     missing = [n for n in names if not _exists(spark, f"{root}/{n}/_SUCCESS")]
     if missing:
         feeds = fixtures.bronze_feeds(spark, sf_dir)

@@ -27,6 +27,8 @@ from tributary.sources.semistructured import parse_lines
 RESPONSE = "cursor string, attempt int, status int, body string"
 AUDIT = ("source_system", "source_format", "ingestion_timestamp", "file_name")
 OK = 200
+# Superseded responses that may be broadcast: two longs each.
+BROADCAST_BEATEN = 1_000_000
 
 
 def read_responses(
@@ -61,13 +63,16 @@ def read_responses(
 def standing(responses: DataFrame) -> DataFrame:
     """One response per landed cursor, of a stored table of responses.
 
-    Which ones are superseded is found from cursors, attempts and digests alone;
-    pages move only if the superseded ones are too many to broadcast (AQE)."""
+    Which ones are superseded is found from cursors, attempts and digests alone,
+    and counted; pages move only if they are too many to broadcast. A plain join
+    would write the pages to a shuffle before their number is known."""
     place = F.struct("attempt", "digest", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     good = responses.withColumn("place", place).filter("stands")
     tried = good.select("cursor", "place")
     best = tried.groupBy("cursor").agg(F.max("place").alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     beaten = tried.join(best, "cursor").filter(F.col("place") != F.col("best")).select("place.file", "place.row")
+    if beaten.limit(BROADCAST_BEATEN + 1).count() <= BROADCAST_BEATEN:
+        beaten = F.broadcast(beaten)
     kept = good.withColumns({"file": F.col("place.file"), "row": F.col("place.row")})
     return kept.join(beaten, ["file", "row"], "left_anti").select(*responses.columns)
 
@@ -102,5 +107,5 @@ def land_pages(
     """Store the recorded responses as the batch's partition of a bronze table,
     which a retry replaces; returns all stored batches."""
     found = read_responses(spark, path, feed, member, ingestion_ts)
-    found.write.mode("overwrite").parquet(f"{bronze}/batch={batch}")
+    found.write.mode("overwrite").option("compression", "zstd").parquet(f"{bronze}/batch={batch}")
     return spark.read.schema(found.schema).parquet(bronze)

@@ -116,7 +116,7 @@ def stream_dedup(
                 new_rows = new.join(kept.select(*KEY), KEY, "left_anti")
             else:
                 new_rows = new
-            _write_epoch(new_rows.select(*new.columns), sink, epoch, ["month"])
+            _write_epoch(new_rows.select(*new.columns).hint("rebalance", "month"), sink, epoch, ["month"])
         finally:
             new.unpersist()
 
