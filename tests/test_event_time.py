@@ -58,6 +58,29 @@ def test_dedup_settles_late_keys(spark):
     assert kept(spark, out) == ["a1", "b1", "c1", "d1", "e1", "n1", "n2"]
 
 
+def test_state_takes_only_days_within_the_delay(spark):
+    """A run over years: days behind all that were seen and late from the next
+    run on do not go to the state; late copies of their keys are still found."""
+    path = fresh_dir(spark, "closed")
+    silver, out = f"{path}/silver", f"{path}/out"
+
+    def ids(name, epoch):
+        found = spark.read.parquet(f"{out}/{name}").filter(F.col("epoch") == epoch)
+        return sorted(r.transaction_id for r in found.collect())
+
+    land(spark, silver, ("a1", "a", 0, 1.0), ("a2", "a", 0, 1.0), ("b1", "b", 89, 1.0), ("c1", "c", 91, 1.0), ("d1", "d", 100, 1.0))
+    event_time.dedup(spark, silver, out, 10)
+    assert ids("ontime", 0) == ["c1", "d1"] and ids("closed", 0) == ["a1", "b1"]
+    # Day 91 is behind the next watermark, but its keys may be in the state; 101 is not.
+    land(spark, silver, ("a3", "a", 0, 1.0), ("b2", "b", 89, 1.0), ("e1", "e", 89, 1.0), ("c2", "c", 91, 1.0), ("f1", "f", 91, 1.0),
+         ("g1", "g", 101, 1.0), ("h1", "h", 300, 1.0))
+    event_time.dedup(spark, silver, out, 10)
+    assert ids("ontime", 1) == ["c2", "f1", "h1"] and ids("closed", 1) == ["g1"] and ids("late", 1) == ["a3", "b2", "e1"]
+    land(spark, silver, ("f2", "f", 91, 1.0), ("g2", "g", 101, 1.0), ("h2", "h", 300, 1.0))
+    event_time.dedup(spark, silver, out, 10)
+    assert kept(spark, out) == ["a1", "b1", "c1", "d1", "e1", "f1", "g1", "h1"]
+
+
 def test_state_is_in_rocksdb_and_the_setting_is_restored(spark):
     path = fresh_dir(spark, "rocks")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")

@@ -954,7 +954,7 @@ def _in_drops(spark, sf_dir, run) -> str:
     number = F.floor((F.year("transaction_date") - 1992) / 2)
     drop = F.least(F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)), F.lit(DROPS - 2))
     drop = drop + F.when(mark % LATE_SHARE == 0, 1).otherwise(0)
-    m.stored_main.withColumn("_drop", drop).write.partitionBy("_drop").parquet(f"{path}/all")
+    m.main.withColumn("_drop", drop).write.partitionBy("_drop").parquet(f"{path}/all")
     for i in range(DROPS):
         part = spark.read.schema(SCORED_SCHEMA).parquet(f"{path}/all/_drop={i}")
         part.write.mode("append").parquet(f"{path}/silver")

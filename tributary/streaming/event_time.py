@@ -15,15 +15,18 @@ A row's event time is its day. All rows of a duplicate key or a window share
 it, so they are all on time or, once the watermark has passed, all late.
 
 * ``dedup``: the first arrival of each key at once; late keys are settled by a
-  batch job against the months that they touch (``settle``).
+  batch job against the months that they touch (``settle``). A run may span far
+  more than the delay. Its rows of days that no run before has reached, and that
+  are late for every run after it, find no key in the state and leave none that
+  is looked up: they are ``closed``, and the state holds the delay's days only.
 * ``daily_revenue``: each day is emitted once, when the watermark has passed
   it; late rows are corrections, partial sums that readers add.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from contextlib import AbstractContextManager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.exact import merged_sum, sum_parts
 from tributary.operators import quality
+from tributary.session import settings
 from tributary.sources.catalog import folders
 from tributary.streaming.incremental import ARRIVAL, KEY, _has_data, _read_stream, _write_epoch, first_arrivals
 
@@ -42,28 +46,23 @@ DAY = "event_day"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Queries that start here keep their state in RocksDB."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+def rocksdb(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that start here keep their state in RocksDB. It does not count
+    its keys, which takes a lookup more for each write."""
+    prefix = "spark.sql.streaming.stateStore"
+    return settings(spark, {f"{prefix}.providerClass": ROCKSDB, f"{prefix}.rocksdb.trackTotalNumberOfRows": "false"})
 
 
 def _finish(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def _watermark(spark: SparkSession, out: str, epoch: int, delay_days: int):
-    """The greatest day of the epochs before, less the delay; None at first."""
+def _latest(spark: SparkSession, out: str, epoch: int):
+    """The greatest day of the epochs before; None at first."""
     if not folders(spark, f"{out}/seen", "epoch="):
         return None
     seen = spark.read.schema("day date, epoch int").parquet(f"{out}/seen").filter(F.col("epoch") < epoch)
-    return seen.agg(F.date_sub(F.max("day"), delay_days)).first()[0]
+    return seen.agg(F.max("day")).first()[0]
 
 
 def split(
@@ -73,6 +72,7 @@ def split(
     prepare: Callable[[DataFrame], DataFrame],
     delay_days: int = DELAY_DAYS,
     span_days: int = 0,
+    closing: bool = False,
 ) -> None:
     """Part the rows that are new since the last run: ``ontime`` and ``late``
     by day, ``undated`` ones apart. ``prepare`` gives the rows with ``DAY``.
@@ -80,16 +80,28 @@ def split(
     A row is late once the watermark has reached the end of what it belongs to:
     its event time, or ``span_days`` behind it for a window.
 
+    ``closing``: on-time rows of days behind all that runs before have seen, and
+    late from the next run on, go to ``closed``, by month.
+
     A retry of an epoch parts it by the same watermark and replaces its rows.
     """
 
     def part(batch: DataFrame, epoch: int) -> None:
         rows = prepare(batch).persist()
         try:
-            low = _watermark(spark, out, epoch, delay_days)
+            seen = _latest(spark, out, epoch)
             day = F.to_date(DAY)
-            late = F.lit(False) if low is None else F.date_add(day, span_days) <= F.lit(low)
-            parts = {"ontime": day.isNotNull() & ~late, "late": day.isNotNull() & late, "undated": day.isNull()}
+
+            def past(latest) -> Column:
+                return F.lit(False) if latest is None else F.date_add(day, span_days) <= F.date_sub(F.lit(latest), delay_days)
+
+            late, closed = past(seen), F.lit(False)
+            if closing:
+                latest = rows.agg(F.max(day)).first()[0]
+                closed = past(latest) & (F.lit(True) if seen is None else day > F.lit(seen))
+                gone = rows.filter(closed).withColumn("month", _month()).hint("rebalance", "month")
+                _write_epoch(gone, f"{out}/closed", epoch, ["month"])
+            parts = {"ontime": day.isNotNull() & ~late & ~closed, "late": day.isNotNull() & late, "undated": day.isNull()}
             for name, which in parts.items():
                 _write_epoch(rows.filter(which), f"{out}/{name}", epoch, [])
             _write_epoch(rows.agg(F.max(day).alias("day")), f"{out}/seen", epoch, [])
@@ -126,9 +138,9 @@ def _month() -> Column:
 
 
 def dedup(spark: SparkSession, silver_path: str, out: str, delay_days: int = DELAY_DAYS) -> None:
-    """Take what is new in silver: first arrivals go to ``kept`` at once, late
-    rows to the side table ``late``."""
-    split(spark, silver_path, out, _arrivals, delay_days)
+    """Take what is new in silver: first arrivals go to ``kept`` or ``closed`` at
+    once, late rows to the side table ``late``."""
+    split(spark, silver_path, out, _arrivals, delay_days, closing=True)
     if not _has_data(spark, f"{out}/ontime"):
         return
     schema = spark.read.parquet(f"{out}/ontime").schema
@@ -154,15 +166,19 @@ def settle(spark: SparkSession, out: str) -> None:
     first = late.groupBy(*KEY).agg(F.min(F.struct(*order)).alias("_row"))
     rows = first.select(*[F.col(c) if c in KEY else F.col(f"_row.{c}").alias(c) for c in columns])
     months = [r[0] for r in rows.select(_month()).distinct().collect()]  # bounded by the calendar
-    if _has_data(spark, f"{out}/kept"):
-        kept = spark.read.parquet(f"{out}/kept").filter(F.col("month").cast("string").isin(months))
-        rows = rows.join(kept.select(*KEY), KEY, "left_anti")
+    found = None
+    for name in ("kept", "closed"):
+        if _has_data(spark, f"{out}/{name}"):
+            part = spark.read.parquet(f"{out}/{name}").filter(F.col("month").cast("string").isin(months)).select(*KEY)
+            found = part if found is None else found.unionByName(part)
+    if found is not None:
+        rows = rows.join(found, KEY, "left_anti")
     rows.write.mode("overwrite").parquet(f"{out}/settled")
 
 
 def read_dedup(spark: SparkSession, out: str) -> DataFrame:
-    """What was kept, settled, or never a duplicate."""
-    parts = [spark.read.parquet(f"{out}/{n}").drop("month", "epoch", DAY) for n in ("kept", "settled", "undated") if _has_data(spark, f"{out}/{n}")]
+    """What was kept, closed, settled, or never a duplicate."""
+    parts = [spark.read.parquet(f"{out}/{n}").drop("month", "epoch", DAY) for n in ("kept", "closed", "settled", "undated") if _has_data(spark, f"{out}/{n}")]
     if not parts:
         raise ValueError(f"no run at {out}")
     found = parts[0]
