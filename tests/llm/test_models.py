@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import sys
@@ -16,7 +17,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from conftest import SF_MID, SF_SMALL
-from tributary.llm import bpe, fingerprint, line_dedup, packing, quality, queries, suffix_tree
+from tributary.llm import bpe, common, fingerprint, line_dedup, packing, quality, queries, suffix_tree
 
 
 def pairs(df):
@@ -489,6 +490,20 @@ def test_tree_grows_with_the_corpus(spark):
         assert b.count() > 2 * a.count()
 
 
+def test_scores_leave_only_tables_they_read(spark, monkeypatch):
+    """Tables that no later step reads are off the disk before the scores."""
+    made = []
+    monkeypatch.setattr(suffix_tree, "written", lambda df, label, *path: made.append(label) or common.written(df, label, *path))
+    docs = spark.createDataFrame([(i, "a b c a b d " * 9) for i in range(40)], "doc_id long, text string")
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/jobs"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    found = suffix_tree.scores(docs, 2, suffix_tree.Limits(2, 2, 2, 2))
+    left = Counter(p.rsplit("-", 1)[0] for p in set(os.listdir(root)) - before)
+    assert made.count("entries") == 2 and "blocks" in made
+    assert left == {"symbols": 1, "counts": 2, "escapes": 2}
+    assert found.count() == 40
+
+
 def test_hashes_rise_with_their_range(spark):
     codes = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, np.uint64))
     found = suffix_tree.bucket_of(codes, 13)

@@ -42,6 +42,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import partitions, written
+from tributary.session import fresh_dir
+from tributary.sources.catalog import remove
 
 WORD_MIN = 32
 CLASS_MIN = 32
@@ -534,29 +536,40 @@ def escapes(asked: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
 
 # -- scores ----------------------------------------------------------------
 def tree(
-    docs: DataFrame, depth: int, limits: Limits
+    docs: DataFrame, depth: int, limits: Limits, inspect: bool = True
 ) -> tuple[Model, DataFrame, DataFrame | None, list[tuple[DataFrame, DataFrame]]]:
     """(sums, blocks, answers, levels): a level is its listed strings and its
-    retained contexts."""
+    retained contexts. The answers hold what scores need of them, so without
+    ``inspect`` there are no levels and their tables are removed. Blocks by hash
+    are removed once they stand as symbols."""
+    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text")), F.count(F.when(~held_out(F.col("doc_id")), 1))).first()
-    n = partitions(docs.sparkSession, total[0] or 0, BLOCK_BYTES)
-    cut = written(blocks(docs, n), "blocks")
+    n = partitions(spark, total[0] or 0, BLOCK_BYTES)
+    used = [fresh_dir(spark, x) for x in ("blocks", "word-counts")]
+    cut = written(blocks(docs, n), "blocks", used[0])
     asked = cut.where("bucket is not null").select("block", "bucket", "hashes", "endings", "n")
-    counts = written(word_counts(asked, limits.word), "word-counts")
+    counts = written(word_counts(asked, limits.word), "word-counts", used[1])
     model = shared_model(counts, total[1], limits.word, limits.kind)
     told = counts.where("block is not null").select("block", "bucket", "counts")
     state = written(states(cut.drop("n"), told, model), "symbols")
+    for path in used:
+        remove(spark, path)
     answers, levels = None, []
     for d in range(1, depth + 1):
         asked = asks(state, answers, model, d, n, limits)
         got = written(string_counts(asked, d, limits), "counts")
         answers = got if answers is None else answers.unionByName(got)
-        found = written(entries(state, answers, model, d, n, limits), "entries")
+        used = [fresh_dir(spark, x) for x in ("entries", "contexts")]
+        found = written(entries(state, answers, model, d, n, limits), "entries", used[0])
         listed = found.where("context is not null").select("context", "n", "context_n", "parent")
-        kept = written(retained(listed), "contexts")
+        kept = written(retained(listed), "contexts", used[1])
         asked = found.where("block is not null").select("block", "bucket", "contexts")
         answers = answers.unionByName(written(escapes(asked, kept, d, n), "escapes"))
-        levels.append((listed, kept))
+        if inspect:
+            levels.append((listed, kept))
+            continue
+        for path in used:
+            remove(spark, path)
     return model, state, answers, levels
 
 
@@ -564,7 +577,7 @@ def scores(docs: DataFrame, depth: int = DEPTH, limits: Limits | None = None) ->
     """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score."""
     limits = limits or Limits()
-    model, state, answers, _ = tree(docs, depth, limits)
+    model, state, answers, _ = tree(docs, depth, limits, inspect=False)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
