@@ -16,9 +16,11 @@ size that keep their tokens as numbers. For each level a block asks for its
 distinct strings, a row for each range of string hashes; a range sums what all
 blocks have counted and answers each in the order of its questions. Of the blocks
 that hold a listed string one puts it into a table, in which contexts are weighed;
-their blocks are told what they leave to the suffix. A string is asked for once a
-block at most, so none is hot. Only sums over all
-words and by ending (two bytes and a mark) come to the driver.
+their blocks are told what they leave to the suffix. What a block lists of one level
+and asks for the next is found in one pass over it, as counts alone decide what is
+asked. A string is asked for once a block at most, so none is hot. Only sums over all
+words and by ending (two bytes and a mark) come to the driver. Numbers are stored and
+sent compressed, so an exchange takes no more disk than the table behind it.
 
 Strings are told apart by 64 bits.
 
@@ -31,12 +33,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,16 +61,18 @@ BLOCK_BYTES = 8 * 1024 * 1024
 END = b"\n"  # no word holds it
 MARKS = b".,;:!?&*%$#|"
 BEFORE = np.uint64(3)  # code of the symbol before a text
+_IS_MARK = np.isin(np.arange(256), list(MARKS))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(10)) == 0, F.lit(False))
 
 
-def words_of(text: str | None) -> list[bytes]:
+def words_of(text: str | bytes | None) -> list[bytes]:
     """Lower-cased words and the end token. Bytes: only A-Z change, and only
     \\x20 and \\x09-\\x0D part words."""
-    return [*(text or "").encode().lower().split(), END]
+    data = text.encode() if isinstance(text, str) else text or b""
+    return [*data.lower().split(), END]
 
 
 def word_hash(word: bytes) -> int:
@@ -81,6 +86,20 @@ def ending(word: bytes) -> int:
     return int.from_bytes(stem[-2:].rjust(2, b"\0") + (mark or b"\0"), "big")
 
 
+def endings(words: list[bytes]) -> np.ndarray:
+    """``ending`` of each word: words of more than one mark at the end, or of few
+    bytes, one by one."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    data = np.frombuffer(b"\0" * 3 + b"".join(words), np.uint8)
+    a, b, c = (data[ends + i].astype(np.int32) for i in range(3))  # the last three bytes of each
+    mark = _IS_MARK[c]
+    out = np.where(mark, a << 16 | b << 8 | c, b << 16 | c << 8)
+    odd = (mark & _IS_MARK[b]) | (np.diff(ends, prepend=0) < 3)
+    for i in np.flatnonzero(odd).tolist():
+        out[i] = ending(words[i])
+    return out
+
+
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hash of the string ``a`` with the symbol ``b`` behind it."""
     with np.errstate(over="ignore"):
@@ -91,16 +110,22 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted distinct codes, a place of each, the number of each place's code):
-    hashed first, so that only distinct codes are sorted."""
-    number, found = pd.factorize(codes)
-    order = np.argsort(found)
-    rank = np.empty(len(found), np.int64)
-    rank[order] = np.arange(len(found))
-    number = rank[number]
-    place = np.empty(len(found), np.int64)
-    place[number] = np.arange(len(codes))
-    return found[order], place, number
+    """(sorted distinct codes, a place of each, the number of each place's code).
+    Sorted as plain numbers: a code's first bits, and its place in the last ones;
+    codes that only differ in those are rare, and then sorted in full."""
+    bits = np.uint64(max(len(codes) - 1, 1).bit_length())
+    keys = codes >> bits << bits | np.arange(len(codes), dtype=np.uint64)
+    keys.sort()
+    order = (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    found = codes[order]
+    if (found[1:] < found[:-1]).any():
+        order = np.argsort(codes, kind="stable")
+        found = codes[order]
+    new = np.ones(len(codes), bool)
+    new[1:] = found[1:] != found[:-1]
+    number = np.empty(len(codes), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return found[new], order[new], number
 
 
 def bucket_of(codes: np.ndarray, n: int) -> np.ndarray:
@@ -152,16 +177,17 @@ _BLOCK = (
 
 def _bytes(x: np.ndarray, rising: bool = False) -> bytes:
     """Numbers byte by byte, the first bytes first, which leaves the zeros of
-    small ones together; of rising ones the differences."""
+    small ones together; of rising ones the differences. Compressed here, as an
+    exchange takes other codecs than a table."""
     if rising and len(x):
         x = np.concatenate([x[:1], np.diff(x)])
     x = np.ascontiguousarray(x)
-    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return zstandard.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes(), 1)
 
 
 def _numbers(data: bytes, kind, rising: bool = False) -> np.ndarray:
     """Inverse of ``_bytes``."""
-    width = np.dtype(kind).itemsize
+    data, width = zstandard.decompress(data), np.dtype(kind).itemsize
     x = np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T
     x = np.ascontiguousarray(x).view(kind).reshape(-1)
     return np.cumsum(x, dtype=kind) if rising else x
@@ -184,15 +210,16 @@ def blocks(docs: DataFrame, n: int) -> DataFrame:
         schema = pa.schema(
             [("block", pa.int64()), ("bucket", pa.int32())] + [(c, pa.binary()) for c in _names(_BLOCK)[2:]]
         )
-        index: dict[bytes, int] = {}
-        ids, held, lengths, tokens, size = [], [], [], [], 0
+        ids, held, lengths, words, size = [], [], [], [], 0
 
         def finished() -> Iterator[pa.RecordBatch]:
             nonlocal number, size
+            column = pa.array(words, pa.large_binary()).dictionary_encode()
+            index = column.dictionary.to_numpy(zero_copy_only=False).tolist()
             hashes = np.fromiter(map(word_hash, index), np.uint64, len(index))
-            kinds = np.fromiter(map(ending, index), np.int32, len(index))
+            kinds = endings(index)
             codes, first, back = distinct(hashes)
-            flat = back[np.concatenate(tokens)].astype("<u4")
+            flat = back[column.indices.to_numpy()].astype("<u4")
             trained = np.repeat(~np.array(held), lengths)
             counts = np.bincount(flat[trained], minlength=len(codes)).astype(np.int64)
             known = np.array([d is not None for d in ids])
@@ -202,30 +229,31 @@ def blocks(docs: DataFrame, n: int) -> DataFrame:
             rows = [(number, None, None, None, None, *map(_bytes, state))]
             kinds = kinds[first]
             for b, s, e in zip(*_cut(codes, n), strict=True):
-                words = _bytes(codes[s:e], True), _bytes(kinds[s:e]), _bytes(counts[s:e])
-                rows.append((number, int(b), *words, *[None] * 5))
+                asked = _bytes(codes[s:e], True), _bytes(kinds[s:e]), _bytes(counts[s:e])
+                rows.append((number, int(b), *asked, *[None] * 5))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
             )
             number += 1
             size = 0
-            for x in (index, ids, held, lengths, tokens):
+            for x in (ids, held, lengths, words):
                 x.clear()
 
         for batch in batches:
             for doc, text, out in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = words_of(text)
-                tokens.append(np.fromiter((index.setdefault(w, len(index)) for w in found), "<u4", len(found)))
+                words += found
                 ids.append(doc)
                 held.append(out)
                 lengths.append(len(found))
-                size += len(text or "") + 64
+                size += len(text or b"") + 64
                 if size >= BLOCK_BYTES:
                     yield from finished()
         if ids:
             yield from finished()
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out(F.col("doc_id")).alias("held_out"))
+    text = F.col("text").cast("binary")
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     return rows.mapInArrow(task, _BLOCK)
 
 
@@ -233,12 +261,19 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+def _empty(schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.schema([(c, kinds[k]) for c, k in (x.split() for x in schema.split(", "))]).empty_table()
+
+
 def _joined(column: pa.ChunkedArray | pa.Array, kind, rising: bool = False) -> np.ndarray:
-    return np.concatenate([_numbers(x, kind, rising) for x in column.to_pylist()] or [np.zeros(0, kind)])
+    return _parts(column, kind, rising)[0]
 
 
-def _sizes(column: pa.ChunkedArray | pa.Array, width: int = 8) -> np.ndarray:
-    return np.cumsum([len(x) // width for x in column.to_pylist()])[:-1]
+def _parts(column: pa.ChunkedArray | pa.Array, kind, rising: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all cells, where to split them into cells)."""
+    cells = [_numbers(x, kind, rising) for x in column.to_pylist()]
+    return np.concatenate(cells or [np.zeros(0, kind)]), np.cumsum([len(x) for x in cells], dtype=np.int64)[:-1]
 
 
 def word_counts(asked: DataFrame, word_min: int) -> DataFrame:
@@ -247,11 +282,10 @@ def word_counts(asked: DataFrame, word_min: int) -> DataFrame:
     words with a symbol of their own."""
 
     def answer(group: pa.Table) -> pa.Table:
-        hashes, n = _joined(group.column("hashes"), np.uint64, True), _joined(group.column("n"), np.int64)
+        hashes, ends = _parts(group.column("hashes"), np.uint64, True)
         codes, first, back = distinct(hashes)
-        c = np.zeros(len(codes), np.int64)
-        np.add.at(c, back, n)
-        counts = [_bytes(x) for x in np.split(c[back], _sizes(group.column("hashes")))]
+        c = np.bincount(back, _joined(group.column("n"), np.int64), len(codes)).astype(np.int64)
+        counts = [_bytes(x) for x in np.split(c[back], ends)]
         kind = _joined(group.column("endings"), np.int32)[first].astype(np.int64) * 2 + (c >= word_min)
         kinds, of = np.unique(kind[c > 0], return_inverse=True)
         blank, rows = [None] * len(kinds), [None] * len(counts)
@@ -301,20 +335,29 @@ class Limits:
     entry: int = ENTRY_MIN
 
 
-@dataclass
 class Asked:
-    """Distinct strings of one length that a block holds, by hash. ``n`` counts
-    the block's training texts, the others are alike in all blocks."""
+    """Distinct strings of one length that a block holds, by hash: the places of
+    the tokens that end one, and for each string its context and one such place."""
+
+    def __init__(self, walk: Walk):
+        self.candidate = np.flatnonzero(walk.context_n >= walk.limits.context)
+        codes = mixed(walk.context[self.candidate], walk.symbol[self.candidate])
+        self.codes, first, self.of_token = distinct(codes)
+        self.at = self.candidate[first]
+        self.context, self.context_n = walk.context[self.at], walk.context_n[self.at]
 
-    codes: np.ndarray
-    context: np.ndarray
-    n: np.ndarray
-    context_n: np.ndarray
-    parent: np.ndarray  # P(last symbol | longest retained suffix of the context but itself)
-    contexts: np.ndarray  # distinct contexts, sorted
-    of_context: np.ndarray
-    of_token: np.ndarray
-    candidate: np.ndarray
+    @cached_property
+    def contexts(self) -> np.ndarray:
+        """Distinct contexts, sorted."""
+        return self._contexts[0]
+
+    @cached_property
+    def of_context(self) -> np.ndarray:
+        return self._contexts[2]
+
+    @cached_property
+    def _contexts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return distinct(self.context)
 
 
 class Walk:
@@ -333,23 +376,22 @@ class Walk:
         codes[self.starts], n[self.starts] = self.blank, self.n_ends
         return codes, n
 
-    def ask(self) -> Asked:
-        candidate = np.flatnonzero(self.context_n >= self.limits.context)
-        codes, first, back = distinct(mixed(self.context[candidate], self.symbol[candidate]))
-        at = candidate[first]
-        contexts, _, of = distinct(self.context[at])
-        n = np.bincount(back, self.trained[candidate], len(codes)).astype(np.int64)
-        return Asked(codes, self.context[at], n, self.context_n[at], self.p[at], contexts, of, back, candidate)
-
-    def go(self, asked: Asked, n: np.ndarray, escape: np.ndarray) -> None:
-        """One symbol deeper; ``escape`` is NaN for contexts not retained."""
-        share = np.where(n >= self.limits.entry, (n - DISCOUNT) / asked.context_n, 0.0)
-        at = asked.candidate
-        left = escape[asked.of_context][asked.of_token]
-        own = self.p[at]
-        self.p[at] = np.where(np.isnan(left), own, share[asked.of_token] + np.nan_to_num(left) * own)
+    def counts(self, asked: Asked) -> np.ndarray:
+        """How often the block's training texts hold each string; all else that
+        is known of a string is alike in all blocks."""
+        return np.bincount(asked.of_token, self.trained[asked.candidate], len(asked.codes)).astype(np.int64)
+
+    def weigh(self, asked: Asked, n: np.ndarray, left: np.ndarray) -> None:
+        """Probabilities of this level; ``left`` is four times what each string's
+        context leaves to its suffix, 0 if it is not retained."""
+        share = np.where((left > 0) & (n >= self.limits.entry), (n - DISCOUNT) / asked.context_n, 0.0)
+        left = np.where(left > 0, left / 4 / asked.context_n, 1.0)
+        self.p[asked.candidate] = share[asked.of_token] + left[asked.of_token] * self.p[asked.candidate]
+
+    def deepen(self, asked: Asked, n: np.ndarray) -> None:
+        """One symbol deeper: what was asked for are the next contexts."""
         codes, counts = np.zeros(len(self.p), np.uint64), np.zeros(len(self.p))
-        codes[at], counts[at] = asked.codes[asked.of_token], n[asked.of_token]
+        codes[asked.candidate], counts[asked.candidate] = asked.codes[asked.of_token], n[asked.of_token]
         self.blank = mixed(self.blank, BEFORE)
         self.context, self.context_n = self._behind(codes, counts)
 
@@ -359,7 +401,12 @@ _STATE = (
     "tokens binary, codes binary, counts binary"
 )
 _ASK = "block long, bucket int, codes binary, n binary"
-_ENTRY = "context long, n long, context_n double, parent double, block long, bucket int, contexts binary"
+_ENTRY = (
+    "context long, n long, context_n double, parent double, block long, bucket int, contexts binary, "
+    "codes binary, counts binary"
+)
+# ``n`` is twice the count, and one more for the block that is to report the
+# string; ``escape`` is four times what the context leaves, 0 if not retained.
 _ANSWER = "block long, depth int, bucket int, n binary, escape binary"
 
 
@@ -384,8 +431,12 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         codes, first, back = distinct(code)
         base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
         sums = [np.add.reduceat(x[flat], starts) for x in ((c > 0).astype(np.int64), base, np.log10(share))]
-        place = back[flat].astype("<u4" if len(codes) > 65536 else "<u2")
-        data = [*map(_bytes, (lengths, *sums, place)), _bytes(codes, True), _bytes(tokens[first].astype(float))]
+        # Frequent symbols get small numbers, which compress better.
+        used = np.argsort(-np.bincount(back[flat], minlength=len(codes)), kind="stable")
+        rank = np.empty(len(codes), "<u4" if len(codes) > 65536 else "<u2")
+        rank[used] = np.arange(len(codes))
+        tokens = tokens[first].astype(float)[used]
+        data = map(_bytes, (lengths, *sums, rank[back[flat]], codes[used], tokens))
         found = [[last.column(x)[0].as_py()] for x in ("block", "doc_id", "known", "held")] + [[x] for x in data]
         return pa.table({k: pa.array(v, pa.binary() if i else pa.int64()) for i, (k, v) in enumerate(zip(_names(_STATE), found, strict=True))})
 
@@ -395,13 +446,16 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
 def _walked(model: Model, group: pa.Table, answers: pa.Table | None, depth: int, limits: Limits) -> Walk:
     """A block's tokens after ``depth`` levels, whose answers are given."""
     one = {c: group.column(c)[0].as_py() for c in ("lengths", "held", "tokens", "codes", "counts")}
-    lengths, codes = _numbers(one["lengths"], np.int64), _numbers(one["codes"], np.uint64, True)
+    lengths, codes = _numbers(one["lengths"], np.int64), _numbers(one["codes"], np.uint64)
     place = _numbers(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")
     trained = np.repeat(~_numbers(one["held"], bool), lengths)
     walk = Walk(model, codes[place], _numbers(one["counts"], float)[place], lengths, trained, limits)
     for d in range(1, depth + 1):
-        asked = walk.ask()
-        walk.go(asked, np.abs(_told(answers, d, "n", np.int64, len(asked.codes))), _told(answers, d, "escape", float, len(asked.contexts)))
+        asked = Asked(walk)
+        n = _told(answers, d, "n", np.int64, len(asked.codes)) >> 1
+        left = _told(answers, d, "escape", np.int64, len(asked.contexts))[asked.of_context]
+        walk.weigh(asked, n, left)
+        walk.deepen(asked, n)
     return walk
 
 
@@ -421,43 +475,50 @@ def _with_answers(state: DataFrame, answers: DataFrame | None, function, schema:
     return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(function, schema)
 
 
-def asks(state: DataFrame, answers: DataFrame | None, model: Model, depth: int, n: int, limits: Limits) -> DataFrame:
-    """The strings that blocks want counted for level ``depth``."""
+def _runs(codes: np.ndarray, n: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """(buckets, (start, end) of each) of sorted ``codes``."""
+    at, starts, ends = _cut(codes, n)
+    return at.tolist(), list(zip(starts.tolist(), ends.tolist(), strict=True))
+
+
+def asks(state: DataFrame, model: Model, n: int, limits: Limits) -> DataFrame:
+    """The strings that blocks want counted for the first level."""
     shared = state.sparkSession.sparkContext.broadcast(model)
 
-    def ask(group: pa.Table, known: pa.Table | None) -> pa.Table:
-        found = _walked(shared.value, group, known, depth - 1, limits).ask()
-        at, starts, ends = _cut(found.codes, n)
-        runs = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    def ask(group: pa.Table) -> pa.Table:
+        walk = _walked(shared.value, group, None, 0, limits)
+        found = Asked(walk)
+        counts = walk.counts(found)
+        at, runs = _runs(found.codes, n)
         return pa.table(
             {
                 "block": pa.array([group.column("block")[0].as_py()] * len(at), pa.int64()),
-                "bucket": pa.array(at.astype(np.int32)),
+                "bucket": pa.array(at, pa.int32()),
                 "codes": pa.array([_bytes(found.codes[a:b], True) for a, b in runs], pa.binary()),
-                "n": pa.array([_bytes(found.n[a:b]) for a, b in runs], pa.binary()),
+                "n": pa.array([_bytes(counts[a:b]) for a, b in runs], pa.binary()),
             }
         )
 
-    return _with_answers(state, answers, ask, _ASK)
+    return state.groupBy("block").applyInArrow(ask, _ASK)
 
 
 def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
     """Answers to the blocks' strings: counts over all blocks, zero below all
-    limits. The count is negative for the one block that is to report it."""
+    limits. One block is told to report the string."""
 
     def answer(group: pa.Table) -> pa.Table:
-        codes, first, back = distinct(_joined(group.column("codes"), np.uint64, True))
-        n = np.zeros(len(codes), np.int64)
-        np.add.at(n, back, _joined(group.column("n"), np.int64))
+        asked, ends = _parts(group.column("codes"), np.uint64, True)
+        codes, first, back = distinct(asked)
+        n = np.bincount(back, _joined(group.column("n"), np.int64), len(codes)).astype(np.int64)
         n[n < min(limits.entry, limits.context)] = 0
-        told = n[back]
-        told[first] = -n
+        told = n[back] * 2
+        told[first] += n > 0
         return pa.table(
             {
                 "block": group.column("block"),
                 "depth": pa.array(np.full(len(group), depth, np.int32)),
                 "bucket": group.column("bucket"),
-                "n": pa.array([_bytes(x) for x in np.split(told, _sizes(group.column("codes")))], pa.binary()),
+                "n": pa.array([_bytes(x) for x in np.split(told, ends)], pa.binary()),
                 "escape": pa.nulls(len(group), pa.binary()),
             }
         )
@@ -465,61 +526,84 @@ def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(answer, _ANSWER)
 
 
-def entries(state: DataFrame, answers: DataFrame, model: Model, depth: int, n: int, limits: Limits) -> DataFrame:
+def entries(state: DataFrame, answers: DataFrame, model: Model, depth: int, n: int, limits: Limits, last: bool) -> DataFrame:
     """The listed strings, each from one block: context, n, context_n, parent.
-    Beside them the distinct contexts of each block: block, bucket, contexts."""
+    Beside them the distinct contexts of each block: block, bucket, contexts;
+    and, but for the ``last`` level, the strings that blocks want counted for the
+    next one: block, bucket, codes, counts."""
     shared = state.sparkSession.sparkContext.broadcast(model)
 
     def listed(group: pa.Table, known: pa.Table) -> pa.Table:
-        asked = _walked(shared.value, group, known, depth - 1, limits).ask()
+        walk = _walked(shared.value, group, known, depth - 1, limits)
+        asked = Asked(walk)
         told = _told(known, depth, "n", np.int64, len(asked.codes))
-        own = np.flatnonzero(told <= -limits.entry)
-        at, starts, ends = _cut(asked.contexts, n)
-        few, many = len(at), len(own)
-        contexts = [_bytes(asked.contexts[a:b], True) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        columns = [
-            asked.context[own].view(np.int64), -told[own], asked.context_n[own], asked.parent[own],
-        ]
-        block = pa.array([group.column("block")[0].as_py()] * few, pa.int64())
-        told_rows = [pa.concat_arrays([pa.array(x), pa.nulls(few, pa.array(x).type)]) for x in columns]
-        asked_rows = [
-            pa.concat_arrays([pa.nulls(many, x.type), x])
-            for x in (block, pa.array(at.astype(np.int32)), pa.array(contexts, pa.binary()))
+        count = told >> 1
+        own = np.flatnonzero(((told & 1) == 1) & (count >= limits.entry))
+        block = group.column("block")[0].as_py()
+        at, runs = _runs(asked.contexts, n)
+        tables = [
+            {
+                "context": pa.array(asked.context[own].view(np.int64)),
+                "n": pa.array(count[own]),
+                "context_n": pa.array(asked.context_n[own]),
+                "parent": pa.array(walk.p[asked.at[own]]),
+            },
+            {
+                "block": pa.array([block] * len(at), pa.int64()),
+                "bucket": pa.array(at, pa.int32()),
+                "contexts": pa.array([_bytes(asked.contexts[a:b], True) for a, b in runs], pa.binary()),
+            },
         ]
-        return pa.table(told_rows + asked_rows, names=_names(_ENTRY))
+        if not last:
+            walk.deepen(asked, count)
+            asked = Asked(walk)
+            counts = walk.counts(asked)
+            at, runs = _runs(asked.codes, n)
+            tables.append(
+                {
+                    "block": pa.array([block] * len(at), pa.int64()),
+                    "bucket": pa.array(at, pa.int32()),
+                    "codes": pa.array([_bytes(asked.codes[a:b], True) for a, b in runs], pa.binary()),
+                    "counts": pa.array([_bytes(counts[a:b]) for a, b in runs], pa.binary()),
+                }
+            )
+        return pa.concat_tables([empty, *map(pa.table, tables)], promote_options="default")
 
-    return _with_answers(state, answers, listed, _ENTRY)
+    empty = _empty(_ENTRY)
+    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(listed, _ENTRY)
 
 
 def retained(listed: DataFrame) -> DataFrame:
-    """(context, escape) of the contexts that diverge from their suffix; the
-    escape is what the listed symbols leave to it."""
+    """(context, escape, left) of the contexts that diverge from their suffix; the
+    escape is what the listed symbols leave to it, ``left`` four times its part of
+    the count, a whole number as ``DISCOUNT`` is three quarters."""
     sums = listed.groupBy("context").agg(F.sum("n").alias("sums"), F.count("*").alias("number"), F.first("context_n").alias("total"))
     left = (F.col("total") - F.col("sums") + DISCOUNT * F.col("number")) / F.col("total")
-    sums = sums.withColumn("escape", left)
+    whole = (F.col("total") - F.col("sums")) * 4 + F.col("number") * int(4 * DISCOUNT)
+    sums = sums.withColumn("escape", left).withColumn("left", whole.cast("long"))
     share = (F.col("n") - DISCOUNT) / F.col("total")
     # What isn't listed loses the part of the suffix that the list takes.
     lost = (F.col("total") - F.col("sums")) * F.log(F.greatest(F.col("escape"), F.lit(1e-12)))
     gains = (
         listed.join(sums, "context")
-        .groupBy("context", "number", "escape", lost.alias("lost"))
+        .groupBy("context", "number", "escape", "left", lost.alias("lost"))
         .agg(F.sum(F.col("n") * F.log((share + F.col("escape") * F.col("parent")) / F.col("parent"))).alias("gain"))
     )
-    return gains.where(F.col("gain") + F.col("lost") >= DIVERGENCE * F.col("number")).select("context", "escape")
+    return gains.where(F.col("gain") + F.col("lost") >= DIVERGENCE * F.col("number")).select("context", "escape", "left")
 
 
 def escapes(asked: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
-    """Answers to the blocks' contexts: the escape, NaN if not retained."""
+    """Answers to the blocks' contexts: what they leave, 0 if not retained."""
 
     def answer(group: pa.Table, known: pa.Table) -> pa.Table:
-        wanted = _joined(group.column("contexts"), np.uint64, True)
+        wanted, ends = _parts(group.column("contexts"), np.uint64, True)
         keys = known.column("context").to_numpy().view(np.uint64)
-        out = np.full(len(wanted), np.nan)
+        out = np.zeros(len(wanted), np.int64)
         if len(keys) and len(wanted):
             order = np.argsort(keys)
             at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
-            out = np.where(keys[at] == wanted, known.column("escape").to_numpy()[at], out)
-        told = [_bytes(x) for x in np.split(out, _sizes(group.column("contexts")))] if len(group) else []
+            out = np.where(keys[at] == wanted, known.column("left").to_numpy()[at], out)
+        told = [_bytes(x) for x in np.split(out, ends)] if len(group) else []
         return pa.table(
             {
                 "block": group.column("block"),
@@ -530,7 +614,7 @@ def escapes(asked: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
             }
         )
 
-    placed = kept.withColumn("bucket", bucket_column(F.col("context"), n))
+    placed = kept.drop("escape").withColumn("bucket", bucket_column(F.col("context"), n))
     return asked.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInArrow(answer, _ANSWER)
 
 
@@ -554,22 +638,26 @@ def tree(
     state = written(states(cut.drop("n"), told, model), "symbols")
     for path in used:
         remove(spark, path)
-    answers, levels = None, []
+    asked, answers, levels, used = asks(state, model, n, limits), None, [], []
     for d in range(1, depth + 1):
-        asked = asks(state, answers, model, d, n, limits)
         got = written(string_counts(asked, d, limits), "counts")
         answers = got if answers is None else answers.unionByName(got)
-        used = [fresh_dir(spark, x) for x in ("entries", "contexts")]
-        found = written(entries(state, answers, model, d, n, limits), "entries", used[0])
+        for path in used:
+            remove(spark, path)
+        listing, weighed = (fresh_dir(spark, x) for x in ("entries", "contexts"))
+        found = written(entries(state, answers, model, d, n, limits, d == depth), "entries", listing)
         listed = found.where("context is not null").select("context", "n", "context_n", "parent")
-        kept = written(retained(listed), "contexts", used[1])
-        asked = found.where("block is not null").select("block", "bucket", "contexts")
-        answers = answers.unionByName(written(escapes(asked, kept, d, n), "escapes"))
+        kept = written(retained(listed), "contexts", weighed)
+        held = found.where("contexts is not null").select("block", "bucket", "contexts")
+        answers = answers.unionByName(written(escapes(held, kept, d, n), "escapes"))
+        asked = found.where("codes is not null").select("block", "bucket", "codes", F.col("counts").alias("n"))
         if inspect:
             levels.append((listed, kept))
             continue
-        for path in used:
-            remove(spark, path)
+        remove(spark, weighed)
+        used = [listing]
+    for path in used:
+        remove(spark, path)
     return model, state, answers, levels
 
 
