@@ -41,8 +41,9 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.llm.common import partitions, written
 from tributary.session import fresh_dir
@@ -58,6 +59,9 @@ DISCOUNT = 0.75
 DIVERGENCE = 3.0
 ALPHA = 0.1
 BLOCK_BYTES = 8 * 1024 * 1024
+# Blocks are exchanged in up to so many shares, of so many blocks at least.
+WAVES = 4
+WAVE_BLOCKS = 24
 END = b"\n"  # no word holds it
 MARKS = b".,;:!?&*%$#|"
 BEFORE = np.uint64(3)  # code of the symbol before a text
@@ -403,13 +407,19 @@ _STATE = (
 _ASK = "block long, bucket int, codes binary, n binary"
 _ENTRY = (
     "context long, n long, context_n double, parent double, block long, bucket int, contexts binary, "
-    "codes binary, counts binary"
+    "codes binary, counts binary, kind int"
 )
+LISTED, CONTEXTS, WANTED = range(3)  # kinds of these rows
 # ``n`` is twice the count, and one more for the block that is to report the
 # string; ``escape`` is four times what the context leaves, 0 if not retained.
 _ANSWER = "block long, depth int, bucket int, n binary, escape binary"
 
 
+def _frequent(tokens: np.ndarray) -> np.ndarray:
+    """Symbols by falling frequency: small numbers for most tokens compress better."""
+    return np.argsort(-tokens, kind="stable")
+
+
 def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
     """Blocks as symbols: texts' sums that need no context, and tokens as places
     in the block's symbols."""
@@ -431,12 +441,10 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
         codes, first, back = distinct(code)
         base = np.log10((c + ALPHA) / (own.n_tokens + ALPHA * (own.n_words + 1)))
         sums = [np.add.reduceat(x[flat], starts) for x in ((c > 0).astype(np.int64), base, np.log10(share))]
-        # Frequent symbols get small numbers, which compress better.
-        used = np.argsort(-np.bincount(back[flat], minlength=len(codes)), kind="stable")
+        tokens = tokens[first].astype(float)
         rank = np.empty(len(codes), "<u4" if len(codes) > 65536 else "<u2")
-        rank[used] = np.arange(len(codes))
-        tokens = tokens[first].astype(float)[used]
-        data = map(_bytes, (lengths, *sums, rank[back[flat]], codes[used], tokens))
+        rank[_frequent(tokens)] = np.arange(len(codes))
+        data = [*map(_bytes, (lengths, *sums, rank[back[flat]])), _bytes(codes, True), _bytes(tokens)]
         found = [[last.column(x)[0].as_py()] for x in ("block", "doc_id", "known", "held")] + [[x] for x in data]
         return pa.table({k: pa.array(v, pa.binary() if i else pa.int64()) for i, (k, v) in enumerate(zip(_names(_STATE), found, strict=True))})
 
@@ -446,10 +454,11 @@ def states(cut: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
 def _walked(model: Model, group: pa.Table, answers: pa.Table | None, depth: int, limits: Limits) -> Walk:
     """A block's tokens after ``depth`` levels, whose answers are given."""
     one = {c: group.column(c)[0].as_py() for c in ("lengths", "held", "tokens", "codes", "counts")}
-    lengths, codes = _numbers(one["lengths"], np.int64), _numbers(one["codes"], np.uint64)
-    place = _numbers(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")
+    lengths, codes = _numbers(one["lengths"], np.int64), _numbers(one["codes"], np.uint64, True)
+    tokens = _numbers(one["counts"], float)
+    place = _frequent(tokens)[_numbers(one["tokens"], "<u4" if len(codes) > 65536 else "<u2")]
     trained = np.repeat(~_numbers(one["held"], bool), lengths)
-    walk = Walk(model, codes[place], _numbers(one["counts"], float)[place], lengths, trained, limits)
+    walk = Walk(model, codes[place], tokens[place], lengths, trained, limits)
     for d in range(1, depth + 1):
         asked = Asked(walk)
         n = _told(answers, d, "n", np.int64, len(asked.codes)) >> 1
@@ -485,21 +494,26 @@ def asks(state: DataFrame, model: Model, n: int, limits: Limits) -> DataFrame:
     """The strings that blocks want counted for the first level."""
     shared = state.sparkSession.sparkContext.broadcast(model)
 
-    def ask(group: pa.Table) -> pa.Table:
-        walk = _walked(shared.value, group, None, 0, limits)
-        found = Asked(walk)
-        counts = walk.counts(found)
-        at, runs = _runs(found.codes, n)
-        return pa.table(
-            {
-                "block": pa.array([group.column("block")[0].as_py()] * len(at), pa.int64()),
-                "bucket": pa.array(at, pa.int32()),
-                "codes": pa.array([_bytes(found.codes[a:b], True) for a, b in runs], pa.binary()),
-                "n": pa.array([_bytes(counts[a:b]) for a, b in runs], pa.binary()),
-            }
-        )
+    def ask(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                group = pa.Table.from_batches([batch.slice(i, 1)])
+                walk = _walked(shared.value, group, None, 0, limits)
+                found = Asked(walk)
+                yield from pa.table(_wanted(group, found, walk.counts(found), n, "n")).to_batches()
+
+    return state.mapInArrow(ask, _ASK)
+
 
-    return state.groupBy("block").applyInArrow(ask, _ASK)
+def _wanted(group: pa.Table, asked: Asked, counts: np.ndarray, n: int, name: str) -> dict[str, pa.Array]:
+    """A block's questions: its strings in each range, and their counts."""
+    at, runs = _runs(asked.codes, n)
+    return {
+        "block": pa.array([group.column("block")[0].as_py()] * len(at), pa.int64()),
+        "bucket": pa.array(at, pa.int32()),
+        "codes": pa.array([_bytes(asked.codes[a:b], True) for a, b in runs], pa.binary()),
+        name: pa.array([_bytes(counts[a:b]) for a, b in runs], pa.binary()),
+    }
 
 
 def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
@@ -528,7 +542,7 @@ def string_counts(asked: DataFrame, depth: int, limits: Limits) -> DataFrame:
 
 def entries(state: DataFrame, answers: DataFrame, model: Model, depth: int, n: int, limits: Limits, last: bool) -> DataFrame:
     """The listed strings, each from one block: context, n, context_n, parent.
-    Beside them the distinct contexts of each block: block, bucket, contexts;
+    Beside them, as other kinds, the distinct contexts of each block: block, bucket, contexts;
     and, but for the ``last`` level, the strings that blocks want counted for the
     next one: block, bucket, codes, counts."""
     shared = state.sparkSession.sparkContext.broadcast(model)
@@ -557,17 +571,9 @@ def entries(state: DataFrame, answers: DataFrame, model: Model, depth: int, n: i
         if not last:
             walk.deepen(asked, count)
             asked = Asked(walk)
-            counts = walk.counts(asked)
-            at, runs = _runs(asked.codes, n)
-            tables.append(
-                {
-                    "block": pa.array([block] * len(at), pa.int64()),
-                    "bucket": pa.array(at, pa.int32()),
-                    "codes": pa.array([_bytes(asked.codes[a:b], True) for a, b in runs], pa.binary()),
-                    "counts": pa.array([_bytes(counts[a:b]) for a, b in runs], pa.binary()),
-                }
-            )
-        return pa.concat_tables([empty, *map(pa.table, tables)], promote_options="default")
+            tables.append(_wanted(group, asked, walk.counts(asked), n, "counts"))
+        kinds = [pa.table(x | {"kind": np.full(len(next(iter(x.values()))), k, np.int32)}) for k, x in enumerate(tables)]
+        return pa.concat_tables([empty, *kinds], promote_options="default")
 
     empty = _empty(_ENTRY)
     return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(listed, _ENTRY)
@@ -619,6 +625,18 @@ def escapes(asked: DataFrame, kept: DataFrame, depth: int, n: int) -> DataFrame:
 
 
 # -- scores ----------------------------------------------------------------
+def wave_of(block: Column, waves: int) -> Column:
+    return F.pmod(block + F.shiftright(block, 32), F.lit(waves)).cast("int")
+
+
+def in_waves(spark: SparkSession, make, waves: int, path: str, label: str, *by: str) -> DataFrame:
+    """The table that ``make`` gives, written a share of the blocks after the
+    other: no more than one share is in an exchange at a time."""
+    for w in range(waves):
+        part = written(make(w), label, f"{path}/wave={w}", *by)
+    return spark.read.schema(T.StructType([*part.schema, T.StructField("wave", T.IntegerType())])).parquet(path)
+
+
 def tree(
     docs: DataFrame, depth: int, limits: Limits, inspect: bool = True
 ) -> tuple[Model, DataFrame, DataFrame | None, list[tuple[DataFrame, DataFrame]]]:
@@ -635,7 +653,14 @@ def tree(
     counts = written(word_counts(asked, limits.word), "word-counts", used[1])
     model = shared_model(counts, total[1], limits.word, limits.kind)
     told = counts.where("block is not null").select("block", "bucket", "counts")
-    state = written(states(cut.drop("n"), told, model), "symbols")
+    waves = min(WAVES, max(1, (total[0] or 0) // (WAVE_BLOCKS * BLOCK_BYTES)))
+
+    def share(table: DataFrame, w: int) -> DataFrame:
+        return table.where(wave_of(F.col("block"), waves) == w)
+
+    state = in_waves(
+        spark, lambda w: states(share(cut.drop("n"), w), share(told, w), model), waves, fresh_dir(spark, "symbols"), "symbols"
+    )
     for path in used:
         remove(spark, path)
     asked, answers, levels, used = asks(state, model, n, limits), None, [], []
@@ -645,16 +670,22 @@ def tree(
         for path in used:
             remove(spark, path)
         listing, weighed = (fresh_dir(spark, x) for x in ("entries", "contexts"))
-        found = written(entries(state, answers, model, d, n, limits, d == depth), "entries", listing)
-        listed = found.where("context is not null").select("context", "n", "context_n", "parent")
+
+        def listings(w: int, known: DataFrame = answers, d: int = d) -> DataFrame:
+            own = state.where(F.col("wave") == w)
+            return entries(own, share(known, w), model, d, n, limits, d == depth)
+
+        found = in_waves(spark, listings, waves, listing, "entries", "kind")
+        listed = found.where(F.col("kind") == LISTED).select("context", "n", "context_n", "parent")
         kept = written(retained(listed), "contexts", weighed)
-        held = found.where("contexts is not null").select("block", "bucket", "contexts")
+        held = found.where(F.col("kind") == CONTEXTS).select("block", "bucket", "contexts")
         answers = answers.unionByName(written(escapes(held, kept, d, n), "escapes"))
-        asked = found.where("codes is not null").select("block", "bucket", "codes", F.col("counts").alias("n"))
+        asked = found.where(F.col("kind") == WANTED).select("block", "bucket", "codes", F.col("counts").alias("n"))
         if inspect:
             levels.append((listed, kept))
             continue
-        remove(spark, weighed)
+        for path in (weighed, *(f"{listing}/wave={w}/kind={k}" for w in range(waves) for k in (LISTED, CONTEXTS))):
+            remove(spark, path)
         used = [listing]
     for path in used:
         remove(spark, path)
