@@ -512,6 +512,56 @@ def test_hashes_rise_with_their_range(spark):
     assert [r[0] for r in df.select(suffix_tree.bucket_column(df.code, 13)).collect()] == found.tolist()
 
 
+def test_distinct_equals_sorting_in_full():
+    rng = np.random.default_rng(3)
+    few = rng.integers(0, 300, 4000).astype(np.uint64)
+    for codes in (rng.integers(0, 2**64, 4000, np.uint64), few, few << np.uint64(55), few[:1], few[:0]):
+        found, place, number = suffix_tree.distinct(codes)
+        want, back = np.unique(codes, return_inverse=True)
+        assert np.array_equal(found, want) and np.array_equal(number, back) and np.array_equal(codes[place], want)
+
+
+def test_endings_equal_those_of_single_words():
+    rng = random.Random(4)
+    words = [bytes(rng.choice(b"ab\0\xff" + suffix_tree.MARKS) for _ in range(rng.randrange(1, 7))) for _ in range(3000)]
+    for some in (words, [suffix_tree.END], []):
+        assert suffix_tree.endings(some).tolist() == [suffix_tree.ending(w) for w in some]
+
+
+def test_cells_are_sent_compressed():
+    small = np.arange(4000) % 3
+    assert len(suffix_tree._bytes(small)) < 400
+
+
+def test_first_questions_need_no_exchange(spark):
+    docs = spark.createDataFrame([(i, "a b c a b d " * 9) for i in range(40)], "doc_id long, text string")
+    limits = suffix_tree.Limits(2, 2, 2, 2)
+    model, state, _, _ = suffix_tree.tree(docs, 0, limits)
+    asked = suffix_tree.asks(state, model, 4, limits)
+    assert "Exchange" not in asked._jdf.queryExecution().executedPlan().toString()
+    assert asked.count() > 0
+
+
+def test_blocks_are_exchanged_in_shares(spark, monkeypatch):
+    """Each share is a table of its own; scores are those of the whole, and each
+    block is walked once a level for lists and questions."""
+    made = []
+    monkeypatch.setattr(suffix_tree, "written", lambda df, label, *path: made.append(label) or common.written(df, label, *path))
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 4_000)
+    monkeypatch.setattr(suffix_tree, "WAVE_BLOCKS", 2)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").repartition(3).cache()
+    limits = (2, 8, 8, 8, 2)
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/jobs"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    found = suffix_tree.scores(docs, limits[0], suffix_tree.Limits(*limits[1:]))
+    left = Counter(p.rsplit("-", 1)[0] for p in set(os.listdir(root)) - before)
+    assert Counter(made) == {
+        "blocks": 1, "word-counts": 1, "symbols": 4, "counts": 2, "entries": 8, "contexts": 2, "escapes": 2,
+    }
+    assert left == {"symbols": 1, "counts": 2, "escapes": 2}
+    check_scores(found.collect(), pairs(docs), limits)
+
+
 # -- op 9 ------------------------------------------------------------------
 def test_quality_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
