@@ -27,6 +27,9 @@ from tributary.sources.semistructured import parse_lines
 RESPONSE = "cursor string, attempt int, status int, body string"
 AUDIT = ("source_system", "source_format", "ingestion_timestamp", "file_name")
 OK = 200
+# Rows of a row group of stored pages: readers hold all of them at once, thousands
+# otherwise. Its bytes alone, which are counted compressed, would not bound them.
+GROUP_PAGES = 16
 # Superseded responses that may be broadcast: two longs each.
 BROADCAST_BEATEN = 1_000_000
 
@@ -107,5 +110,6 @@ def land_pages(
     """Store the recorded responses as the batch's partition of a bronze table,
     which a retry replaces; returns all stored batches."""
     found = read_responses(spark, path, feed, member, ingestion_ts)
-    found.write.mode("overwrite").option("compression", "zstd").parquet(f"{bronze}/batch={batch}")
+    writer = found.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", str(GROUP_PAGES))
+    writer.parquet(f"{bronze}/batch={batch}")
     return spark.read.schema(found.schema).parquet(bronze)
